@@ -9,7 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp")
+
+
+def epoch() -> Column:
+    """The 1970-01-01 00:00:00 UTC sentinel ("missing time")."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp")
+
 SECONDS_PER_DAY = 86400
 
 # The datetime layouts a conformed CSV cell may use, tried in this
@@ -71,7 +76,7 @@ def best_effort_timestamp(c) -> Column:
 
 def iso_or_epoch(c) -> Column:
     """ISO-8601 → UTC timestamp; missing or unparseable → the epoch sentinel."""
-    return F.coalesce(best_effort_timestamp(c), EPOCH)
+    return F.coalesce(best_effort_timestamp(c), epoch())
 
 
 def iso_or_null(c) -> Column:
@@ -82,7 +87,7 @@ def iso_or_null(c) -> Column:
 def unix_or_epoch(c) -> Column:
     """Unix seconds → UTC timestamp; ≤ 0, missing or invalid → epoch."""
     secs = F.try_cast(col_of(c).cast("string"), "double")
-    return F.when(secs > 0, F.timestamp_seconds(secs.cast("bigint"))).otherwise(EPOCH)
+    return F.when(secs > 0, F.timestamp_seconds(secs.cast("bigint"))).otherwise(epoch())
 
 
 def unix_or_null(c) -> Column:

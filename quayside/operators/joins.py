@@ -88,7 +88,9 @@ def skip_known_fills(new: DataFrame, target: DataFrame, owners: DataFrame, now,
 
     Keys are compared lowercased on both sides (one rule for uid and tx hash).
     """
-    known = owner_semi(target, owners).filter(F.col("ingested_at") >= F.lit(now).cast("timestamp") - F.make_interval(days=F.lit(days)))
+    held = owner_semi(target, owners)
+    ref = F.lit(now).cast(held.schema["ingested_at"].dataType)
+    known = held.filter(F.col("ingested_at") >= ref - F.expr(f"INTERVAL {int(days)} DAYS"))
     known = known.select(
         F.lower("order_uid").alias("_u"), F.lower("tx_hash").alias("_t"), F.col("log_index").alias("_l")
     ).distinct()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.coerce import EPOCH, boundary_day, col_of, json_text
+from quayside.functions.coerce import boundary_day, epoch, col_of, json_text
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
@@ -40,7 +40,7 @@ def edges_per_user(edges: DataFrame, user_col: str, name: str = "edges") -> Data
 def watermark_max(df: DataFrame, col: str, name: str = "watermark") -> DataFrame:
     """Greatest value, where the epoch sentinel counts as "no watermark" (NULL)."""
     c = F.col(col)
-    return df.agg(F.max(F.when(c > EPOCH, c)).alias(name))
+    return df.agg(F.max(F.when(c > epoch(), c)).alias(name))
 
 
 def latest_data_date(df: DataFrame, col: str, name: str = "latest_date") -> DataFrame:

@@ -185,7 +185,11 @@ def _prepare(df: DataFrame, spec: TableSpec, seq: int | None) -> DataFrame:
     return df
 
 
-def _writer(df: DataFrame, spec: TableSpec, mode: str):
+def _writer(df: DataFrame, spec: TableSpec, mode: str, rebalance: bool = False):
+    if rebalance and spec.month_of:
+        # AQE rebalance by month: tiny loads collapse into a few tasks (few files),
+        # a hot month is split across tasks instead of landing in one.
+        df = df.hint("rebalance", MONTH)
     if spec.sort_by:
         df = df.sortWithinPartitions(*([MONTH] if spec.month_of else []), *spec.sort_by)
     w = df.write.mode(mode)
@@ -230,7 +234,7 @@ def append(df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
     """Plain append (and the cheap insert of a replacing table); returns rows written."""
     out = _prepare(df, spec, seq)
     obs = _observe(out)
-    _writer(obs[0], spec, "append").parquet(spec.path)
+    _writer(obs[0], spec, "append", rebalance=True).parquet(spec.path)
     return obs[1].get.get("rows", 0)
 
 
@@ -248,7 +252,7 @@ def full_replace(spark: SparkSession, df: DataFrame, spec: TableSpec, seq: int |
     """Truncate-and-insert as one swap: readers see the old or the new table, never an empty one."""
     staged = scratch_path(spark, "stage")
     out, o = _observe(_prepare(df, spec, seq))
-    _writer(out, spec, "overwrite").parquet(staged)
+    _writer(out, spec, "overwrite", rebalance=True).parquet(staged)
     swap_in(spark, spec, staged, None)
     return o.get.get("rows", 0)
 

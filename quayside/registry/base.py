@@ -21,7 +21,7 @@ def register(name: str, sql: str | None = None):
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(spark, sf_dir)
+            return naive_timestamps(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -33,6 +33,20 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """Present UTC timestamps as wall-clock ``TIMESTAMP_NTZ`` (the driver tables'
+    type), so results line up with the source columns and SQL ``TIMESTAMP``."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+
+    if not any(isinstance(f.dataType, TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[
+        F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
+
+
 def src(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 

@@ -49,6 +49,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
     )
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)
