@@ -41,6 +41,11 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def try_cast(c, to: str) -> Column:
+    """Cast that yields NULL instead of failing (ANSI ``try_cast``)."""
+    return col_of(c).try_cast(to)
+
+
 def blank_to_null(c) -> Column:
     """'' → NULL (``nullIf(x, '')``)."""
     c = col_of(c)
@@ -86,13 +91,13 @@ def iso_or_null(c) -> Column:
 
 def unix_or_epoch(c) -> Column:
     """Unix seconds → UTC timestamp; ≤ 0, missing or invalid → epoch."""
-    secs = F.try_cast(col_of(c).cast("string"), "double")
+    secs = try_cast(col_of(c).cast("string"), "double")
     return F.when(secs > 0, F.timestamp_seconds(secs.cast("bigint"))).otherwise(epoch())
 
 
 def unix_or_null(c) -> Column:
     """Unix seconds (int or float) → UTC timestamp; invalid → NULL (row gets rejected)."""
-    secs = F.try_cast(col_of(c).cast("string"), "double")
+    secs = try_cast(col_of(c).cast("string"), "double")
     ok = secs.isNotNull() & (F.abs(secs) < F.lit(253402300800.0))
     return F.when(ok, F.timestamp_micros((secs * F.lit(1_000_000)).cast("bigint")))
 
@@ -122,13 +127,13 @@ def lenient_int(c) -> Column:
     """Integer or 0: numbers truncate toward zero, text must be an integer literal."""
     c = col_of(c)
     as_text = c.cast("string")
-    whole = F.try_cast(as_text, "bigint")
-    if_number = F.try_cast(F.try_cast(as_text, "double"), "bigint")
+    whole = try_cast(as_text, "bigint")
+    if_number = try_cast(try_cast(as_text, "double"), "bigint")
     return F.coalesce(whole, F.when(~as_text.rlike(r"^\s*-?\d+\s*$") & as_text.rlike(r"^-?[\d.eE+-]+$"), if_number), F.lit(0).cast("bigint"))
 
 
 def lenient_double(c) -> Column:
-    return F.coalesce(F.try_cast(col_of(c).cast("string"), "double"), F.lit(0.0))
+    return F.coalesce(try_cast(col_of(c).cast("string"), "double"), F.lit(0.0))
 
 
 def or_default(c, default) -> Column:

@@ -99,7 +99,7 @@ def capture_rate(expected: DataFrame, captured: DataFrame, user_col: str, expect
     return j.agg(
         F.sum(expected_col).cast("bigint").alias("expected_edges"),
         F.sum("_got").cast("bigint").alias("captured_edges"),
-        F.round(F.sum("_got") * 100.0 / F.sum(expected_col), 4).alias("capture_pct"),
+        F.round(F.sum("_got") * 100.0 / F.sum(expected_col), 4).cast("double").alias("capture_pct"),
         F.count_if((F.col("_got") == 0) & (F.col(expected_col) > 0)).alias("users_empty"),
     )
 

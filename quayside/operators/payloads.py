@@ -20,6 +20,7 @@ from quayside.functions.coerce import (
     lenient_double,
     lenient_int,
     or_default,
+    try_cast,
     unix_or_epoch,
 )
 
@@ -105,7 +106,7 @@ def fee_by_dominant_token(fees: Column) -> Column:
         same = F.filter(fees, lambda f: F.coalesce(f["token"], F.lit("")) == t)
         return F.aggregate(
             same, zero,
-            lambda acc, f: F.try_add(acc, F.try_cast(F.coalesce(f["amount"], F.lit("0")), "decimal(38,0)")),
+            lambda acc, f: F.try_add(acc, try_cast(F.coalesce(f["amount"], F.lit("0")), "decimal(38,0)")),
         )
 
     ranked = F.transform(tokens, lambda t, i: F.struct(total(t).alias("s"), (-i).alias("o"), t.alias("t")))
