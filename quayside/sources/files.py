@@ -27,7 +27,7 @@ def list_drops(spark: SparkSession, folder: str) -> DataFrame:
     rel = F.regexp_extract(F.col("path"), r"^(?:file:)?" + _regex_escape(_strip_scheme(folder)) + r"/([^/]+)", 1)
     names = files.select(rel.alias("name")).filter(F.col("name") != "").distinct()
     stem = F.substring_index(F.col("name"), ".", 1)
-    date = F.when(stem.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(stem, F.lit("yyyy-MM-dd")))
+    date = F.when(stem.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(stem, "yyyy-MM-dd"))
     return names.select("name", F.concat(F.lit(folder + "/"), F.col("name")).alias("path"), date.alias("drop_date"))
 
 
