@@ -47,8 +47,8 @@ def naive_timestamps(df: DataFrame) -> DataFrame:
     ])
 
 
-def src(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+def src(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, sf_dir, name, spread)
 
 
 def sql_order_desc(cols) -> str:

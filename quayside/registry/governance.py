@@ -79,7 +79,7 @@ def _state():
 FROM orders""",
 )
 def snapshot_proposals_rows(spark, sf):
-    o = src(spark, sf, "orders")
+    o = src(spark, sf, "orders", spread=True)
     created = _unix("o_orderdate")
     prop = F.struct(
         F.concat(F.lit("prop-"), F.col("o_orderkey").cast("string")).alias("id"),
@@ -103,7 +103,7 @@ def snapshot_proposals_rows(spark, sf):
 FROM lineitem""",
 )
 def snapshot_votes_rows(spark, sf):
-    li = src(spark, sf, "lineitem")
+    li = src(spark, sf, "lineitem", spread=True)
     vote = F.struct(
         F.concat(F.lit("v-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("id"),
         F.concat(F.lit("0x"), F.col("l_suppkey").cast("string")).alias("voter"),
@@ -581,14 +581,14 @@ def capture_rate(spark, sf):
 
 def trade_pages(spark, sf):
     """One trades page per order; its lineitems are the protocol fees (token = return flag)."""
-    li = src(spark, sf, "lineitem")
+    li = src(spark, sf, "lineitem", spread=True)
     o = src(spark, sf, "orders")
     amount = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
     token = F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N"), F.lit(None)).otherwise(F.col("l_returnflag"))
     fee = F.struct(
         F.col("l_linenumber").alias("_n"), F.col("l_suppkey").alias("_s"), F.col("l_partkey").alias("_p"),
         amount.alias("amount"), token.alias("token"),
-        F.to_json(F.struct(F.lit("surplus").alias("kind"), F.col("l_discount").alias("factor"))).alias("policy"),
+        F.struct(F.lit("surplus").alias("kind"), F.col("l_discount").alias("factor")).alias("policy"),
     )
     fees = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(fee)).alias("fees"))
     j = o.join(fees, o.o_orderkey == fees.l_orderkey, "left")
@@ -599,7 +599,7 @@ def trade_pages(spark, sf):
         F.concat(F.lit("0x"), F.col("o_custkey").cast("string")).alias("owner"),
         F.col("o_orderpriority").alias("sellToken"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("sellAmount"),
-        F.transform("fees", lambda f: F.struct(F.parse_json(f["policy"]).alias("policy"), f["amount"].alias("amount"), f["token"].alias("token"))).alias("executedProtocolFees"),
+        F.transform("fees", lambda f: F.struct(f["policy"].alias("policy"), f["amount"].alias("amount"), f["token"].alias("token"))).alias("executedProtocolFees"),
     )
     return j.select(_one(trade).alias("body"))
 

@@ -130,7 +130,7 @@ def only_filter(spark, sf):
 
 def spot_payloads(spark, sf):
     """Landed spot-price payloads ``(requested_day, body)``, one per lineitem row."""
-    li = src(spark, sf, "lineitem")
+    li = src(spark, sf, "lineitem", spread=True)
     coin = F.concat(F.lit("GNOSIS:0XAB"), F.col("l_partkey").cast("string"))
     quote = F.struct(
         F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.col("l_extendedprice")).alias("price"),

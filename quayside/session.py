@@ -93,5 +93,35 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+# Inputs smaller than this are never re-spread: one task handles them quickly.
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def spread_if_narrow(spark: SparkSession, df, input_bytes: int):
+    """Round-robin ``df`` over all cores when a sizeable input arrives in fewer
+    splits than cores (e.g. a file written as one Parquet row group, which
+    Spark cannot split).  On a cluster, inputs come in many row groups and
+    files, so this is a no-op there; it never adds a shuffle to a well-split scan.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if input_bytes < SPREAD_MIN_BYTES:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False):
+    """A driver table; with ``spread`` it is re-spread over the cores when its
+    file cannot be split (use before CPU-heavy per-row work such as JSON)."""
+    import os
+
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    if not spread:
+        return df
+    try:
+        size = os.path.getsize(path) if os.path.isfile(path) else 0
+    except OSError:
+        size = 0
+    return spread_if_narrow(spark, df, size)
