@@ -347,6 +347,9 @@ def prune_day(spark: SparkSession, spec: TableSpec, new: DataFrame, day_col: str
     run_ts = new.agg(F.max(run_col)).first()[0]
     if run_ts is None:
         return 0  # nothing fetched → nothing pruned
+    if not path_exists(spark, spec.path):
+        append(new, spec)  # first load: nothing older to prune
+        return 1
     months = sorted(set(_months_of(new)) | {_month_of_value(spark, day)})
     existing = read_raw(spark, spec, months)
     keep = existing.filter(~((F.col(day_col) == F.lit(day).cast("date")) & (F.col(run_col) < F.lit(run_ts))))
@@ -377,6 +380,9 @@ def prune_series(
     """
     asset_cols = [asset_cols] if isinstance(asset_cols, str) else list(asset_cols)
     new = _prepare(new, spec, None)
+    if not path_exists(spark, spec.path):
+        append(new, spec)  # first load: nothing older to prune
+        return 0
     returned = new if valid is None else new.filter(valid)
     if per_asset:
         bounds = returned.groupBy(*asset_cols).agg(F.max(date_col).alias("_bound"), F.max(run_col).alias("_run"))
