@@ -201,13 +201,13 @@ def _writer(df: DataFrame, spec: TableSpec, mode: str, rebalance: bool = False):
 
 
 def _spread(df: DataFrame, spec: TableSpec, spark: SparkSession, size_hint: int = 0) -> DataFrame:
-    """Range-partition by (month, key/sort) so each task writes few, large files.
+    """Range-partition by (month, key/sort) so each task writes few, well-sized files.
 
-    A hot month is split across tasks by the key range; the task count follows
-    the data size (about 256 MB per task).
+    One task per ~128 MB of stored data (never fewer tasks than cores): a hot
+    month is split across tasks by key range, a small table still uses every core.
     """
-    target = 256 << 20
-    n = max(1, min(4096, (size_hint + target - 1) // target)) if size_hint else spark.sparkContext.defaultParallelism
+    target = 128 << 20
+    n = max(spark.sparkContext.defaultParallelism, -(-size_hint // target))
     cols = ([MONTH] if spec.month_of else []) + list(spec.key or spec.sort_by)
     if not cols:
         return df.repartition(n)

@@ -407,7 +407,8 @@ SELECT block_date, symbol, chain, address, price, confidence FROM matched WHERE
 )
 def spot_prices_load(spark, sf):
     """A day's quotes matched to the allowlist, inserted, the day's older rows pruned (run twice)."""
-    spec = TB.TableSpec(path=scratch_path(spark, "spot"), month_of="block_date")
+    spec = TB.TableSpec(path=scratch_path(spark, "spot"), month_of="block_date", schema=(
+        "block_date DATE, symbol STRING, chain STRING, address STRING, price DOUBLE, confidence DOUBLE, ingested_at TIMESTAMP_NTZ"))
     payloads = PR.spot_payloads(spark, sf).filter(F.col("requested_day") == F.lit(SPOT_DAY).cast("date")).select("body")
     allow = PR.allowlist(spark, sf)
     LD.spot_prices_load(spark, payloads, allow, spec, SPOT_DAY, "2024-01-01 00:00:00")
@@ -432,7 +433,8 @@ LEFT JOIN last_conf c ON p.coin = c.coin""",
 )
 def price_backfill_load(spark, sf):
     """Chart windows merged per day, inserted; the re-run prunes the previous series."""
-    spec = TB.TableSpec(path=scratch_path(spark, "backfill"), month_of="block_date")
+    spec = TB.TableSpec(path=scratch_path(spark, "backfill"), month_of="block_date", schema=(
+        "asset STRING, block_date DATE, price DOUBLE, confidence DOUBLE, ingested_at TIMESTAMP_NTZ"))
     windows = PR.chart_windows(spark, sf)
     LD.price_backfill_load(spark, windows, spec, "2024-02-01 00:00:00")
     LD.price_backfill_load(spark, windows, spec, "2024-02-02 00:00:00")
@@ -446,7 +448,8 @@ FROM events WHERE value IS NOT NULL AND CAST(ts AS DATE) < DATE '2024-01-30' GRO
 )
 def full_history_load(spark, sf):
     """Last point per day, today excluded, per-asset prune; a re-run leaves no duplicates."""
-    spec = TB.TableSpec(path=scratch_path(spark, "history"), month_of="block_date")
+    spec = TB.TableSpec(path=scratch_path(spark, "history"), month_of="block_date", schema=(
+        "asset STRING, block_date DATE, price DOUBLE, ingested_at TIMESTAMP_NTZ"))
     ev = src(spark, sf, "events").select(F.col("event_type").alias("asset"), "ts", F.col("value").alias("price"), F.col("event_id").alias("pos"))
     LD.full_history_load(spark, ev, spec, "2024-01-30", "2024-02-01 00:00:00")
     LD.full_history_load(spark, ev, spec, "2024-01-30", "2024-02-02 00:00:00")

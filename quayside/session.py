@@ -28,6 +28,10 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Partition directory values are typed by our table specs, never guessed.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Payload flatteners generate large expressions; a generated method above the
+    # JVM's JIT limit (8000 bytecodes) would run interpreted, so fall back to
+    # per-expression code generation instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
