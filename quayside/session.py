@@ -115,17 +115,19 @@ def spread_if_narrow(spark: SparkSession, df, input_bytes: int):
     return df.repartition(cores)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` on any Hadoop filesystem (0 when absent)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False):
     """A driver table; with ``spread`` it is re-spread over the cores when its
     file cannot be split (use before CPU-heavy per-row work such as JSON)."""
-    import os
-
     path = table_path(sf_dir, name)
     df = spark.read.parquet(path)
     if not spread:
         return df
-    try:
-        size = os.path.getsize(path) if os.path.isfile(path) else 0
-    except OSError:
-        size = 0
-    return spread_if_narrow(spark, df, size)
+    return spread_if_narrow(spark, df, stored_bytes(spark, path))
