@@ -208,12 +208,12 @@ def profiles_rows(spark, sf):
 
 @register(
     "category_tree_flatten",
-    """SELECT r_regionkey + 1000 AS id, -1 AS parent_id, r_name AS name, lower(r_name) AS slug,
-       (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) AS topic_count, 0 AS post_count,
+    """SELECT CAST(r_regionkey + 1000 AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, r_name AS name, lower(r_name) AS slug,
+       (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) AS topic_count, CAST(0 AS BIGINT) AS post_count,
        'region ' || r_name AS description
 FROM region
 UNION ALL
-SELECT n_nationkey, n_regionkey + 1000, n_name, lower(replace(n_name, ' ', '-')), n_regionkey, n_nationkey * 3,
+SELECT n_nationkey, n_regionkey + 1000, n_name, lower(replace(n_name, ' ', '-')), n_regionkey, CAST(n_nationkey * 3 AS BIGINT),
        'nation ' || n_name
 FROM nation""",
 )
@@ -393,10 +393,10 @@ def topic_stub_join(spark, sf):
 
 _POSTS_SQL = f"""posts AS (
   SELECT conv_id * 1000 + turn AS id, conv_id AS topic_id, turn + 1 AS post_number,
-         CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END AS user_id, role AS username,
+         CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END AS BIGINT) AS user_id, role AS username,
          TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn) AS created_at,
          TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn) AS updated_at,
-         CASE WHEN turn > 0 THEN turn ELSE 0 END AS reply_to_post_number, 0 AS reply_count,
+         CASE WHEN turn > 0 THEN turn ELSE 0 END AS reply_to_post_number, CAST(0 AS BIGINT) AS reply_count,
          length(text) AS reads,
          CASE WHEN role = 'system' THEN 0 ELSE len(string_split(text, ' ')) END AS like_count,
          text AS raw, '' AS cooked, role, text, turn, conv_id
@@ -496,7 +496,7 @@ def like_pages(spark, sf):
 
 _LIKES_SQL = f"""likes AS (
   SELECT conv_id * 1000 + turn AS post_id, conv_id AS topic_id, turn + 1 AS post_number,
-         CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END AS acting_user_id,
+         CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END AS BIGINT) AS acting_user_id,
          role AS acting_username, TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn) AS created_at,
          0 AS hidden, CASE WHEN length(text) < 50 THEN 1 ELSE 0 END AS deleted
   FROM conversations WHERE turn > 0
