@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.coerce import coin_key
@@ -29,10 +29,6 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def changed_rows(new: DataFrame, held: DataFrame, key) -> DataFrame:
     """Rows of ``new`` that are not identical to the held row of their key.
 

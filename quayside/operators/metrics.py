@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.coerce import boundary_day, epoch, col_of, json_text
+from quayside.functions.coerce import boundary_day, epoch, json_text
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
@@ -171,6 +171,3 @@ def top_owners(df: DataFrame, count_col: str, tie_col: str, n: int) -> DataFrame
     """Top-n report, total order on ties."""
     return df.orderBy(F.desc(count_col), F.asc(tie_col)).limit(n)
 
-
-def col_max(c) -> Column:
-    return F.max(col_of(c))

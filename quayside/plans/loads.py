@@ -221,12 +221,18 @@ def price_backfill_load(spark: SparkSession, windows: DataFrame, spec: TB.TableS
 
 
 def full_history_load(spark: SparkSession, points: DataFrame, spec: TB.TableSpec, today, run_ts,
-                      include_today: bool = False) -> None:
-    """Full history: last point per day, today excluded, insert, per-asset prune."""
+                      include_today: bool = False, dry_run: bool = False) -> DataFrame | None:
+    """Full history: last point per day, today excluded, insert, per-asset prune.
+
+    ``dry_run`` returns the rows that would be written and leaves the table alone.
+    """
     from quayside.operators.filters import exclude_today
 
     daily = M.last_price_per_day(points, "asset", "ts", "price", "pos")
     daily = exclude_today(daily, "day", today, include_today)
     rows = daily.select("asset", F.col("day").alias("block_date"), "price",
                         F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"))
+    if dry_run:
+        return rows
     TB.prune_series(spark, spec, rows, "asset", "block_date", "ingested_at", per_asset=True)
+    return None

@@ -382,7 +382,6 @@ def forum_load(spark, sf):
         )
         return G._bucket_pages(c, item).select(F.to_json(F.struct(F.col("items").alias("directory_items"))).alias("body"))
 
-    cats = G.category_tree_flatten  # noqa: F841  (registered query; payloads rebuilt below)
     r, n = src(spark, sf, "region"), src(spark, sf, "nation")
     sub = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("subs"))
     cat_payloads = r.join(sub, r.r_regionkey == sub.n_regionkey, "left").select(F.to_json(F.struct(F.struct(F.array(F.struct(
