@@ -153,6 +153,21 @@ def price_compare(a: DataFrame, b: DataFrame, keys, price: str = "price") -> Dat
     return j.withColumn("rel_diff", F.when(F.col("price_b") != 0, rel))
 
 
+def price_compare_summary(compared: DataFrame, tolerance: float = 0.0) -> DataFrame:
+    """Agreement report over :func:`price_compare` rows: pairs compared, exact
+    (or within ``tolerance``) matches, median and maximum relative difference,
+    and rows present in only one source.  ``median`` is exact (not a sketch)."""
+    both = F.col("price_a").isNotNull() & F.col("price_b").isNotNull()
+    return compared.agg(
+        F.count_if(both).alias("pairs"),
+        F.count_if(both & (F.col("rel_diff") <= tolerance)).alias("agreeing"),
+        F.median(F.when(both, F.col("rel_diff"))).alias("median_rel_diff"),
+        F.max(F.when(both, F.col("rel_diff"))).alias("max_rel_diff"),
+        F.count_if(F.col("price_b").isNull()).alias("only_a"),
+        F.count_if(F.col("price_a").isNull()).alias("only_b"),
+    )
+
+
 def price_priority(sources: list[DataFrame], keys, min_confidence: float = 0.9) -> DataFrame:
     """Best source per key: sources in priority order; the first only when its
     confidence reaches ``min_confidence`` (NULL confidence counts as trusted).

@@ -234,3 +234,13 @@ def test_truncation_hour_at_cap(spark):
     ev = spark.createDataFrame([(t,) for t in ts], "ts TIMESTAMP")
     got = {str(r.day): (r.suspect, r.complete) for r in M.truncation_check(ev, "ts", cap=3).collect()}
     assert got == {"2024-01-01": (True, False), "2024-01-02": (True, True)}
+
+
+def test_price_compare_summary(spark):
+    from quayside.operators import joins as J
+
+    a = spark.createDataFrame([("x", 1, 100.0), ("y", 1, 50.0), ("z", 1, 10.0), ("w", 1, 1.0)], "asset STRING, day INT, price DOUBLE")
+    b = spark.createDataFrame([("x", 1, 100.0), ("y", 1, 40.0), ("z", 1, 8.0), ("v", 1, 3.0)], "asset STRING, day INT, price DOUBLE")
+    r = J.price_compare_summary(J.price_compare(a, b, ["asset", "day"])).first()
+    assert (r.pairs, r.agreeing, r.only_a, r.only_b) == (3, 1, 1, 1)
+    assert abs(r.median_rel_diff - 0.25) < 1e-12 and abs(r.max_rel_diff - 0.25) < 1e-12
