@@ -174,10 +174,12 @@ def governance_votes_load(spark: SparkSession, proposal_pages: DataFrame, vote_p
 
 
 def forum_load(spark: SparkSession, category_payloads: DataFrame, user_pages: DataFrame, like_pages: DataFrame,
-               topic_details: DataFrame, topic_stubs: DataFrame | None, tables: dict[str, TB.TableSpec], now) -> DataFrame:
+               topic_details: DataFrame, topic_stubs: DataFrame | None, tables: dict[str, TB.TableSpec], now,
+               post_pages: DataFrame | None = None) -> DataFrame:
     """Categories, users, likes, topics, posts and polls.  The previous users
     snapshot (likes-given baseline) is read before the users table is
-    overwritten; returns the users whose likes feed had to be crawled."""
+    overwritten; returns the users whose likes feed had to be crawled.  Posts
+    and polls are read from the topic payloads plus any further post pages."""
     stamp = F.lit(now).cast("timestamp_ntz").alias("ingested_at")
     TB.upsert(P.category_tree_flatten(category_payloads).select("*", stamp), tables["categories"])
     users = P.forum_users_rows(user_pages)
@@ -189,8 +191,9 @@ def forum_load(spark: SparkSession, category_payloads: DataFrame, user_pages: Da
     TB.upsert(users.select("*", stamp), tables["users"])
     TB.upsert(P.forum_likes_rows(like_pages).select("*", stamp), tables["likes"])
     TB.upsert(P.forum_topics_rows(topic_details, topic_stubs).select("*", stamp), tables["topics"])
-    TB.upsert(P.forum_posts_rows(topic_details).select("*", stamp), tables["posts"])
-    TB.upsert(P.forum_poll_options(topic_details).select("*", stamp), tables["polls"])
+    payloads = topic_details if post_pages is None else topic_details.unionByName(post_pages)
+    TB.upsert(P.forum_posts_rows(payloads).select("*", stamp), tables["posts"])
+    TB.upsert(P.forum_poll_options(payloads).select("*", stamp), tables["polls"])
     return targets
 
 

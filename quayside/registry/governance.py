@@ -9,7 +9,8 @@ or 100 customers, one conversation), never a whole table.
 * profile and directory pages ← customer (pages of 50 ids); overlapping pages of
   100 ids with a 10-id overlap ← customer
 * categories ← region with its nations as subcategories
-* topics, posts, polls, likes ← conversations (topic = conversation, post = turn)
+* topics, posts, polls, likes ← conversations (topic = conversation, post = turn);
+  topic headers carry aggregates only, posts come in pages of 20, likes in pages of 30
 * trades with protocol fees ← orders with their lineitems as fees
 """
 
@@ -310,18 +311,21 @@ def _post_struct():
     )
 
 
+POSTS_PER_PAGE = 20   # posts carried by one topic payload (the topic API's chunk size)
+LIKES_PER_PAGE = 30   # actions per like-feed page
+
+
 def topic_details(spark, sf):
-    """One topic detail per conversation (its turns as posts; stream lists one extra id)."""
+    """One topic header per conversation: topic fields from per-topic aggregates
+    (no post list), stream holding one id that never lands."""
     c = _conv_base(spark, sf)
     g = c.groupBy("conv_id", "_created").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("turn").alias("_k"), _post_struct().alias("p")))).alias("_posts"),
         F.count(F.lit(1)).alias("n"), F.max("turn").alias("max_turn"),
         F.sum(F.length("text")).alias("views"), F.count_if(F.col("role") == "assistant").alias("likes"),
         F.count_distinct("role").alias("participants"), F.array_sort(F.collect_set("role")).alias("tags"),
         F.count_if(F.col("role") == "system").alias("sys"),
     )
-    posts = F.transform("_posts", lambda x: x["p"])
-    stream = F.array_append(F.transform("_posts", lambda x: x["p"]["id"]), F.col("conv_id") * 1000 + 999)
+    stream = F.array(F.col("conv_id") * 1000 + 999)
     detail = F.struct(
         F.col("conv_id").alias("id"), F.concat(F.lit("conv "), F.col("conv_id").cast("string")).alias("title"),
         F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("slug"),
@@ -332,11 +336,29 @@ def topic_details(spark, sf):
         _iso(F.col("_created") + F.make_interval(mins=F.col("n").cast("int"))).alias("last_posted_at"),
         F.when(F.col("sys") == 0, _iso(F.col("_created") + F.make_interval(mins=F.col("max_turn").cast("int")))).alias("bumped_at"),
         (F.col("sys") > 0).alias("closed"), F.lit(False).alias("archived"), (F.col("n") > 8).alias("pinned"),
-        F.struct(posts.alias("posts"), stream.alias("stream")).alias("post_stream"),
+        F.struct(F.array().cast("array<string>").alias("posts"), stream.alias("stream")).alias("post_stream"),
     )
     return g.select(F.to_json(detail).alias("body"))
 
 
+def post_pages(spark, sf):
+    """Posts of each topic in pages of at most ``POSTS_PER_PAGE`` turns, each page
+    listing its part of the post stream (so no payload grows with a thread)."""
+    c = _conv_base(spark, sf)
+    g = c.groupBy("conv_id", "_created", F.floor(F.col("turn") / POSTS_PER_PAGE).alias("_page")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("turn").alias("_k"), _post_struct().alias("p")))).alias("_posts"),
+    )
+    posts = F.transform("_posts", lambda x: x["p"])
+    stream = F.transform("_posts", lambda x: x["p"]["id"])
+    page = F.struct(F.col("conv_id").alias("id"), F.struct(posts.alias("posts"), stream.alias("stream")).alias("post_stream"))
+    return g.select(F.to_json(page).alias("body"))
+
+
+def topic_payloads(spark, sf):
+    """Every landed topic payload: headers and post pages."""
+    return topic_details(spark, sf).unionByName(post_pages(spark, sf))
+
+
 def topic_stubs(spark, sf):
     """Latest-list stubs, present for conversations of 4+ turns."""
     c = _conv_base(spark, sf)
@@ -405,7 +427,7 @@ _POSTS_SQL = f"""posts AS (
 
 
 def _posts(spark, sf):
-    return P.forum_posts_rows(topic_details(spark, sf))
+    return P.forum_posts_rows(topic_payloads(spark, sf))
 
 
 @register(
@@ -425,7 +447,7 @@ def forum_posts_rows(spark, sf):
 )
 def posts_still_missing(spark, sf):
     """Stream ids of a topic that no landed post carries."""
-    return P.posts_still_missing(topic_details(spark, sf), _posts(spark, sf))
+    return P.posts_still_missing(topic_payloads(spark, sf), _posts(spark, sf))
 
 
 _POLLS_SQL = f"""polls AS (
@@ -442,7 +464,7 @@ _POLLS_SQL = f"""polls AS (
 
 
 def _poll_rows(spark, sf):
-    return P.forum_poll_options(topic_details(spark, sf))
+    return P.forum_poll_options(topic_payloads(spark, sf))
 
 
 @register("forum_poll_options", "WITH " + _POLLS_SQL + "\nSELECT * FROM polls")
@@ -490,7 +512,7 @@ def like_pages(spark, sf):
         _iso(F.col("_created") + F.make_interval(mins=F.col("turn").cast("int"))).alias("created_at"),
         (F.length("text") < 50).alias("deleted"),
     )
-    g = c.groupBy("role", "conv_id").agg(F.collect_list(act).alias("acts"))
+    g = c.groupBy("role", "conv_id", F.floor(F.col("turn") / LIKES_PER_PAGE).alias("_page")).agg(F.collect_list(act).alias("acts"))
     return g.select(F.col("role").alias("username"), F.to_json(F.struct(F.col("acts").alias("user_actions"))).alias("body"))
 
 

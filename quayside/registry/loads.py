@@ -387,8 +387,9 @@ def forum_load(spark, sf):
     cat_payloads = r.join(sub, r.r_regionkey == sub.n_regionkey, "left").select(F.to_json(F.struct(F.struct(F.array(F.struct(
         (F.col("r_regionkey") + 1000).alias("id"), F.col("r_name").alias("name"), F.col("subs").alias("subcategory_list"))).alias("categories")).alias("category_list"))).alias("body"))
     details, stubs, likes = G.topic_details(spark, sf), G.topic_stubs(spark, sf), G.like_pages(spark, sf)
-    LD.forum_load(spark, cat_payloads, user_pages(0), likes, details, stubs, tables, "2024-02-01 00:00:00")
-    targets = LD.forum_load(spark, cat_payloads, user_pages(1), likes, details, stubs, tables, "2024-02-02 00:00:00")
+    pages = G.post_pages(spark, sf)
+    LD.forum_load(spark, cat_payloads, user_pages(0), likes, details, stubs, tables, "2024-02-01 00:00:00", pages)
+    targets = LD.forum_load(spark, cat_payloads, user_pages(1), likes, details, stubs, tables, "2024-02-02 00:00:00", pages)
     return targets.select("username", "likes_given", "baseline")
 
 
