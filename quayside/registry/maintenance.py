@@ -266,7 +266,7 @@ SELECT batch_no, count(*) AS n_months, CAST(sum(n) AS BIGINT) AS n_rows, min(mon
 FROM r GROUP BY batch_no""",
 )
 def bounded_write(spark, sf):
-    """Write in commit groups of ≤ 24 months and ≤ 1,000 rows per file; report the plan."""
+    """Write with ≤ 1,000 rows per file; report the plan as groups of ≤ 24 months."""
     from quayside.plans.ledger import bounded_write as bw
 
     spec = T.TableSpec(path=scratch_path(spark, "orders_bw"), month_of="o_orderdate", max_records_per_file=1000)
