@@ -61,20 +61,23 @@ def read_json_array(spark: SparkSession, path: str, field: str = "addresses") ->
 
 def read_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Lenient NDJSON: blank lines skipped; malformed lines, non-objects and
-    objects without ``event`` go to the reject frame (line text + reason)."""
+    objects without ``event`` go to the reject frame (line text + reason).
+
+    Each line is parsed once, into a VARIANT (``v``) that later steps read from.
+    """
     lines = spark.read.text(path).select(F.trim("value").alias("line")).filter(F.col("line") != "")
     v = lines.select("line", F.try_parse_json("line").alias("v"))
-    kind = F.schema_of_variant(F.col("v"))
-    is_object = F.col("v").isNotNull() & kind.startswith("OBJECT")
-    has_event = F.get_json_object("line", "$.event").isNotNull()
+    # An object casts to a struct (missing field → NULL, JSON null → variant null);
+    # arrays and scalars do not.
+    head = F.try_variant_get(F.col("v"), "$", "struct<event: variant>")
     reason = (
         F.when(F.col("v").isNull(), F.lit("malformed"))
-        .when(~is_object, F.lit("not_an_object"))
-        .when(~has_event, F.lit("no_event"))
+        .when(head.isNull(), F.lit("not_an_object"))
+        .when(head["event"].isNull(), F.lit("no_event"))
     )
-    tagged = v.select("line", reason.alias("reject_reason"))
-    ok = tagged.filter(F.col("reject_reason").isNull()).select("line")
-    rejects = tagged.filter(F.col("reject_reason").isNotNull())
+    tagged = v.select("line", "v", reason.alias("reject_reason"))
+    ok = tagged.filter(F.col("reject_reason").isNull()).select("line", "v")
+    rejects = tagged.filter(F.col("reject_reason").isNotNull()).select("line", "reject_reason")
     return ok, rejects
 
 
@@ -84,18 +87,23 @@ def events_rows(ok_lines: DataFrame, project_id: str) -> tuple[DataFrame, DataFr
     Missing time → epoch; a time that is not a valid unix number is rejected
     (second frame), never written.
     """
-    from quayside.functions.coerce import epoch, unix_or_null
+    from quayside.functions.coerce import epoch
+
+    def get(path: str, typ: str = "string"):
+        return F.try_variant_get(F.col("v"), path, typ)
 
-    line = F.col("line")
-    time_raw = F.get_json_object(line, "$.properties.time")
-    parsed = unix_or_null(time_raw)
+    secs = get("$.properties.time", "double")
+    present = get("$.properties.time", "variant").isNotNull()
+    ok_time = secs.isNotNull() & (F.abs(secs) < F.lit(253402300800.0))
+    parsed = F.when(ok_time, F.timestamp_micros((secs * F.lit(1_000_000)).cast("bigint")))
+    props = get("$.properties", "variant")
     rows = ok_lines.select(
-        F.coalesce(F.get_json_object(line, "$.event"), F.lit("")).alias("event_name"),
-        F.coalesce(F.get_json_object(line, "$.properties.distinct_id"), F.lit("")).alias("distinct_id"),
-        F.when(time_raw.isNull(), epoch()).otherwise(parsed).alias("event_time"),
-        F.coalesce(F.get_json_object(line, "$.properties.$insert_id"), F.lit("")).alias("insert_id"),
+        F.coalesce(get("$.event"), F.lit("")).alias("event_name"),
+        F.coalesce(get("$.properties.distinct_id"), F.lit("")).alias("distinct_id"),
+        F.when(~present, epoch()).otherwise(parsed).alias("event_time"),
+        F.coalesce(get("$.properties['$insert_id']"), F.lit("")).alias("insert_id"),
         F.lit(project_id).alias("project_id"),
-        F.coalesce(F.get_json_object(line, "$.properties"), F.lit("{}")).alias("properties"),
+        F.coalesce(F.to_json(props), F.lit("{}")).alias("properties"),
     )
     return rows.filter(F.col("event_time").isNotNull()), rows.filter(F.col("event_time").isNull())
 
