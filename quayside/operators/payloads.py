@@ -35,8 +35,9 @@ TRADE = (
     "struct<orderUid: string, txHash: string, blockNumber: bigint, logIndex: bigint, owner: string, "
     f"sellToken: string, buyToken: string, sellAmount: string, buyAmount: string, executedProtocolFees: array<{FEE}>>"
 )
-SPOT = "struct<coins: map<string, struct<price: double, confidence: double>>>"
-CHART = "struct<coins: map<string, struct<prices: array<struct<timestamp: bigint, price: double>>, confidence: double>>>"
+# Dynamic-key objects ({coin: {...}}) are parsed once into VARIANT and cast to a typed map.
+SPOT_COINS = "map<string, struct<price: double, confidence: double>>"
+CHART_COINS = "map<string, struct<prices: array<struct<timestamp: bigint, price: double>>, confidence: double>>"
 SPACE = (
     "struct<id: string, name: string, network: string, symbol: string, proposalsCount: string, "
     "followersCount: string, votesCount: string>"
@@ -159,7 +160,8 @@ def fills_rows(pages: DataFrame, body: str = "body") -> DataFrame:
 
 def spot_price_rows(payloads: DataFrame, day_col: str, body: str = "body") -> DataFrame:
     """``{coins:{key:{price,confidence}}}`` → (block_date, coin, price, confidence); NULL price skipped."""
-    p = payloads.select(F.col(day_col).alias("block_date"), F.explode(F.from_json(F.col(body), SPOT)["coins"]).alias("coin", "q"))
+    coins = F.try_variant_get(F.try_parse_json(F.col(body)), "$.coins", SPOT_COINS)
+    p = payloads.select(F.col(day_col).alias("block_date"), F.explode(coins).alias("coin", "q"))
     return p.select("block_date", "coin", F.col("q.price").alias("price"), F.col("q.confidence").alias("confidence")).filter(
         F.col("price").isNotNull()
     )
@@ -176,7 +178,8 @@ def chart_points(windows: DataFrame, body: str = "body", window_col: str = "wind
 
     ``day`` is the nearest UTC midnight of the tick (half-even at noon).
     """
-    c = windows.select(F.col(window_col), F.explode(F.from_json(F.col(body), CHART)["coins"]).alias("coin", "v"))
+    coins = F.try_variant_get(F.try_parse_json(F.col(body)), "$.coins", CHART_COINS)
+    c = windows.select(F.col(window_col), F.explode(coins).alias("coin", "v"))
     pts = c.select(
         "coin", window_col, F.col("v.confidence").alias("confidence"),
         F.posexplode(F.col("v.prices")).alias("pos", "p"),
