@@ -11,7 +11,7 @@ or 100 customers, one conversation), never a whole table.
 * categories ← region with its nations as subcategories
 * topics, posts, polls, likes ← conversations (topic = conversation, post = turn);
   topic headers carry aggregates only, posts come in pages of 20, likes in pages of 30
-* trades with protocol fees ← orders with their lineitems as fees
+* trades with protocol fees ← one fill per (order, line number), its lineitems as fees
 """
 
 from __future__ import annotations
@@ -602,22 +602,24 @@ def capture_rate(spark, sf):
 
 
 def trade_pages(spark, sf):
-    """One trades page per order; its lineitems are the protocol fees (token = return flag)."""
+    """One trades page per fill: every (order, line number) of ``lineitem`` is a
+    fill of that order (log index = line number) whose protocol fees are the
+    lineitems sharing the key (token = return flag).  Orders without lineitems
+    are one fill without fees."""
     li = src(spark, sf, "lineitem", spread=True)
     o = src(spark, sf, "orders")
     amount = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
     token = F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N"), F.lit(None)).otherwise(F.col("l_returnflag"))
     fee = F.struct(
-        F.col("l_linenumber").alias("_n"), F.col("l_suppkey").alias("_s"), F.col("l_partkey").alias("_p"),
-        amount.alias("amount"), token.alias("token"),
+        F.col("l_suppkey").alias("_s"), F.col("l_partkey").alias("_p"), amount.alias("amount"), token.alias("token"),
         F.struct(F.lit("surplus").alias("kind"), F.col("l_discount").alias("factor")).alias("policy"),
     )
-    fees = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(fee)).alias("fees"))
+    fees = li.groupBy("l_orderkey", "l_linenumber").agg(F.sort_array(F.collect_list(fee)).alias("fees"))
     j = o.join(fees, o.o_orderkey == fees.l_orderkey, "left")
     trade = F.struct(
         F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("orderUid"),
         F.concat(F.lit("0xAB"), F.col("o_orderkey").cast("string")).alias("txHash"),
-        F.col("o_orderkey").alias("blockNumber"), F.lit(0).alias("logIndex"),
+        F.col("o_orderkey").alias("blockNumber"), F.col("l_linenumber").alias("logIndex"),
         F.concat(F.lit("0x"), F.col("o_custkey").cast("string")).alias("owner"),
         F.col("o_orderpriority").alias("sellToken"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("sellAmount"),
@@ -626,16 +628,20 @@ def trade_pages(spark, sf):
     return j.select(_one(trade).alias("body"))
 
 
-_FEES_SQL = """fees AS (
-  SELECT l_orderkey, coalesce(CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN NULL ELSE l_returnflag END, '') AS token,
+_TOKEN_SQL = "CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN NULL ELSE l_returnflag END"
+_FEES_SQL = f"""fees AS (
+  SELECT l_orderkey, l_linenumber, coalesce({_TOKEN_SQL}, '') AS token,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS amount,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey,
-                            CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR),
-                            CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN NULL ELSE l_returnflag END NULLS FIRST) AS pos
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey,
+                            CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR), {_TOKEN_SQL} NULLS FIRST, l_discount) AS pos
   FROM lineitem
 ),
-per_token AS (SELECT l_orderkey, token, sum(amount) AS s, min(pos) AS first_pos FROM fees GROUP BY ALL),
-best AS (SELECT * FROM per_token QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY s DESC, first_pos) = 1)"""
+per_token AS (SELECT l_orderkey, l_linenumber, token, sum(amount) AS s, min(pos) AS first_pos FROM fees GROUP BY ALL),
+best AS (SELECT * FROM per_token QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY s DESC, first_pos) = 1),
+trades AS (
+  SELECT o.*, f.l_linenumber FROM orders o
+  LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) f ON f.l_orderkey = o.o_orderkey
+)"""
 
 
 def _fills(spark, sf):
@@ -646,10 +652,11 @@ def _fills(spark, sf):
     "fills_rows",
     "WITH " + _FEES_SQL + """
 SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, '0xAB' || CAST(o_orderkey AS VARCHAR) AS tx_hash,
-       o_orderkey AS block_number, CAST(0 AS BIGINT) AS log_index, '0x' || CAST(o_custkey AS VARCHAR) AS owner,
-       o_orderpriority AS sell_token, '' AS buy_token, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS sell_amount,
+       o_orderkey AS block_number, CAST(coalesce(t.l_linenumber, 0) AS BIGINT) AS log_index,
+       '0x' || CAST(o_custkey AS VARCHAR) AS owner, o_orderpriority AS sell_token, '' AS buy_token,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS sell_amount,
        '0' AS buy_amount, coalesce(b.token, '') AS fee_token, coalesce(CAST(b.s AS VARCHAR), '0') AS fee_amount
-FROM orders LEFT JOIN best b ON b.l_orderkey = o_orderkey""",
+FROM trades t LEFT JOIN best b ON b.l_orderkey = t.o_orderkey AND b.l_linenumber = t.l_linenumber""",
 )
 def fills_rows(spark, sf):
     """Trades → 12 fill columns with ``or`` defaults (fee policies reported separately)."""
@@ -659,28 +666,30 @@ def fills_rows(spark, sf):
 @register(
     "fee_by_dominant_token",
     "WITH " + _FEES_SQL + """
-SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, coalesce(b.token, '') AS fee_token,
-       coalesce(CAST(b.s AS VARCHAR), '0') AS fee_amount
-FROM orders LEFT JOIN best b ON b.l_orderkey = o_orderkey""",
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, CAST(coalesce(t.l_linenumber, 0) AS BIGINT) AS log_index,
+       coalesce(b.token, '') AS fee_token, coalesce(CAST(b.s AS VARCHAR), '0') AS fee_amount
+FROM trades t LEFT JOIN best b ON b.l_orderkey = t.o_orderkey AND b.l_linenumber = t.l_linenumber""",
 )
 def fee_by_dominant_token(spark, sf):
     """Per fill: the token with the largest summed fee (first seen on ties), its total as text."""
-    return _fills(spark, sf).select("order_uid", "fee_token", "fee_amount")
+    return _fills(spark, sf).select("order_uid", "log_index", "fee_token", "fee_amount")
 
 
 @register(
     "fee_policies_json",
     "WITH " + _FEES_SQL + """
-SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, CAST(count(f.pos) AS INTEGER) AS n_policies,
+SELECT '0x' || CAST(t.o_orderkey AS VARCHAR) AS order_uid, CAST(coalesce(t.l_linenumber, 0) AS BIGINT) AS log_index,
+       CAST(count(f.pos) AS INTEGER) AS n_policies,
        coalesce(string_agg(f.token, ',' ORDER BY f.pos), '') AS tokens,
        coalesce(string_agg(CAST(f.amount AS VARCHAR), ',' ORDER BY f.pos), '') AS amounts
-FROM orders LEFT JOIN fees f ON f.l_orderkey = o_orderkey GROUP BY o_orderkey""",
+FROM trades t LEFT JOIN fees f ON f.l_orderkey = t.o_orderkey AND f.l_linenumber = t.l_linenumber
+GROUP BY t.o_orderkey, t.l_linenumber""",
 )
 def fee_policies_json(spark, sf):
     """Ordered policy array {policy, amount, token}; checked by parsing it back."""
     arr = F.from_json("fee_policies", "array<struct<policy: string, amount: string, token: string>>")
     return _fills(spark, sf).select(
-        "order_uid", F.size(arr).alias("n_policies"),
+        "order_uid", "log_index", F.size(arr).alias("n_policies"),
         F.array_join(F.transform(arr, lambda x: x["token"]), ",").alias("tokens"),
         F.array_join(F.transform(arr, lambda x: x["amount"]), ",").alias("amounts"),
     )

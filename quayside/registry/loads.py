@@ -264,11 +264,16 @@ def crawl_load(spark, sf):
 @register(
     "fills_load",
     f"""WITH owners AS (SELECT DISTINCT '0x' || CAST(o_custkey AS VARCHAR) AS taker
-                FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate >= TIMESTAMP '2000-01-01')
-SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, '0x' || CAST(o_custkey AS VARCHAR) AS owner,
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate >= TIMESTAMP '2000-01-01'),
+trades AS (
+  SELECT o.*, f.l_linenumber FROM orders o
+  LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) f ON f.l_orderkey = o.o_orderkey
+)
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, CAST(coalesce(l_linenumber, 0) AS BIGINT) AS log_index,
+       '0x' || CAST(o_custkey AS VARCHAR) AS owner,
        CASE WHEN o_orderstatus = 'F' AND '0x' || CAST(o_custkey AS VARCHAR) IN (SELECT taker FROM owners)
             THEN TIMESTAMP '{T0}' ELSE TIMESTAMP '{T1}' END AS ingested_at
-FROM orders""",
+FROM trades""",
 )
 def fills_load(spark, sf):
     """Known fills of discovered owners are skipped; the rest are upserted with this run's version."""
@@ -281,7 +286,7 @@ def fills_load(spark, sf):
             F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("order_uid")), "order_uid", "left_semi")
     TB.upsert(held.withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz")), spec)
     LD.fills_load(spark, pages, spec, FR._owners(spark, sf), T1, known_days=14)
-    return TB.read_latest(spark, spec).select("order_uid", "owner", "ingested_at")
+    return TB.read_latest(spark, spec).select("order_uid", "log_index", "owner", "ingested_at")
 
 
 @register(
