@@ -15,28 +15,30 @@ from quayside.functions.coerce import sentinel_to_null
 from quayside.operators.filters import cap_rows, cast_to_target, clean_header, match_columns
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, ddl: str | None = None, multi_line: bool = True) -> DataFrame:
     """Headed CSV.  With ``ddl`` the structure is declared (header names are
     checked against it); without, types are inferred and odd header names
     (spaces, ``%``) are kept verbatim for backticked access.
 
-    ``multiLine`` keeps newlines inside quoted cells intact.
+    ``multi_line`` keeps newlines inside quoted cells intact, at the price of
+    reading each file in one task; bulk exports known to be one record per
+    line can pass ``False`` to have large files split across tasks.
     """
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if ddl:
         return r.schema(ddl).option("enforceSchema", False).csv(path)
     return r.option("inferSchema", True).csv(path)
 
 
 def conform_csv(spark: SparkSession, path: str, target: T.StructType, max_rows: int | None = None,
-                order=None) -> DataFrame:
+                order=None, multi_line: bool = True) -> DataFrame:
     """CSV with a drifting header → rows shaped like the target table.
 
     Read every cell as text, clean the header, keep the columns matching the
     target (exact names, else case-insensitive), cast by target type with
     failures → NULL, then optionally cap the row count in an explicit order.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     df = cast_to_target(match_columns(clean_header(raw), target), target)
     if max_rows is not None:
         df = cap_rows(df, max_rows, order or df.columns[0])
