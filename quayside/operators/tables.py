@@ -233,9 +233,9 @@ def create_if_absent(spark: SparkSession, spec: TableSpec, name: str | None = No
 def append(df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
     """Plain append (and the cheap insert of a replacing table); returns rows written."""
     out = _prepare(df, spec, seq)
-    obs = _observe(out)
-    _writer(obs[0], spec, "append", rebalance=True).parquet(spec.path)
-    return obs[1].get.get("rows", 0)
+    observed, o = _observe(out)
+    _writer(observed, spec, "append", rebalance=True).parquet(spec.path)
+    return _rows_written(o, out)
 
 
 upsert = append  # replacing tables resolve duplicates at read / compaction time
@@ -248,13 +248,25 @@ def _observe(df: DataFrame):
     return df.observe(o, F.count(F.lit(1)).alias("rows")), o
 
 
+def _rows_written(o, df: DataFrame) -> int:
+    """Rows counted by the write itself; when no metrics arrived (an empty
+    write runs no task), fall back to counting the input."""
+    try:
+        return int(o.get.get("rows", 0))
+    except Exception:  # no observed metrics
+        return df.count()
+
+
 def full_replace(spark: SparkSession, df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
     """Truncate-and-insert as one swap: readers see the old or the new table, never an empty one."""
     staged = scratch_path(spark, "stage")
-    out, o = _observe(_prepare(df, spec, seq))
+    prepared = _prepare(df, spec, seq)
+    out, o = _observe(prepared)
     _writer(out, spec, "overwrite", rebalance=True).parquet(staged)
+    if not path_exists(spark, staged):
+        spark.createDataFrame([], prepared.schema).write.parquet(staged)
     swap_in(spark, spec, staged, None)
-    return o.get.get("rows", 0)
+    return _rows_written(o, prepared)
 
 
 # --------------------------------------------------------------------------- #

@@ -143,3 +143,13 @@ def test_month_predicate_prunes_partitions(spark, scratch):
     assert df.count() == 2
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and T.MONTH in plan
+
+
+def test_empty_loads(spark, scratch):
+    spec = T.TableSpec(path=scratch("em"), key=("k",), month_of="d", schema=DDL)
+    assert T.append(_df(spark, []), spec) == 0          # no metrics from an empty write: counted fallback
+    assert T.append(_df(spark, [("a", 1, 1, None, "x")]), spec) == 1  # NULL month partition
+    assert _latest(spark, spec) == [("a", 1, 1, None, "x")]
+    plain = T.TableSpec(path=scratch("emp"), schema=DDL)
+    assert T.full_replace(spark, _df(spark, []), plain) == 0
+    assert T.read_raw(spark, plain).count() == 0
