@@ -402,6 +402,7 @@ def prune_series(
         # One scalar pair for the whole load, applied as literals.
         bound, run = returned.agg(F.max(date_col), F.max(run_col)).first()
         if bound is None:
+            append(new, spec)  # nothing prunable returned: insert only
             return 0
         bounds = returned.select(*asset_cols).distinct().select(
             *asset_cols, F.lit(bound).alias("_bound"), F.lit(run).alias("_run"))

@@ -153,3 +153,13 @@ def test_empty_loads(spark, scratch):
     plain = T.TableSpec(path=scratch("emp"), schema=DDL)
     assert T.full_replace(spark, _df(spark, []), plain) == 0
     assert T.read_raw(spark, plain).count() == 0
+
+
+def test_prune_series_inserts_even_when_nothing_prunable(spark, scratch):
+    spec = T.TableSpec(path=scratch("pn"), month_of="block_date", schema=PDDL)
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    T.append(_prices(spark, [("BAD", dt.date(2023, 11, 5), 1.0, t1)]), spec)
+    valid = F.col("asset").rlike(r"^0x[0-9a-f]+$")
+    T.prune_series(spark, spec, _prices(spark, [("BAD", dt.date(2023, 12, 1), 2.0, t2)]), "asset", "block_date",
+                   "ingested_at", valid=valid)
+    assert sorted(str(r.block_date) for r in T.read_raw(spark, spec).collect()) == ["2023-11-05", "2023-12-01"]
