@@ -607,7 +607,7 @@ def trade_pages(spark, sf):
     lineitems sharing the key (token = return flag).  Orders without lineitems
     are one fill without fees."""
     li = src(spark, sf, "lineitem", spread=True)
-    o = src(spark, sf, "orders")
+    o = src(spark, sf, "orders", spread=True)  # streamed side of a possible broadcast join
     amount = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
     token = F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N"), F.lit(None)).otherwise(F.col("l_returnflag"))
     fee = F.struct(

@@ -98,7 +98,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 # Inputs smaller than this are never re-spread: one task handles them quickly.
-SPREAD_MIN_BYTES = 4 << 20
+SPREAD_MIN_BYTES = 1 << 20
 
 
 def spread_if_narrow(spark: SparkSession, df, input_bytes: int):
