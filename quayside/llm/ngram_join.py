@@ -3,7 +3,8 @@
 The global order puts rare shingles before frequent ones: shingles that occur in
 few documents stand first, by hash, then the frequent ones by their number.
 Two sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of
-each in that order (its prefix), so only documents that meet there can link.
+each in that order (its prefix), so only documents that meet there can link;
+for given sizes the shared one stands before n - ceil(t / (1 + t) (n + m)) + 1.
 Candidates are then decided by vertical partitioning: the order is cut into
 fragments, every set into one segment per fragment, overlaps are counted per
 pair and fragment, and the partial counts are summed per pair.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .shared import Memo, Scratch, components, maybe_member, prepare
 
 FLUSH = 1_000_000        # shingles a task gathers before it writes them out
-FREQUENT = 32            # a shingle in fewer texts is never frequent
+FREQUENT = 8             # a shingle that occurs less often is never frequent
 MOST_FREQUENT = 1 << 20  # at most so many frequent shingles are known to all tasks
 FRAGMENTS = 8            # of the global order, the last for frequent shingles
 HUB_ROUNDS = 2
@@ -148,27 +149,27 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
     num, den = threshold
 
     def emit(batches):
-        blank = {"kind": None, "rid": None, "doc": None, "digest": None, "n": None, "p": None, "twice": None, "r": None, "cells": None, "rows": None}
+        blank = {"kind": None, "rid": None, "doc": None, "digest": None, "n": None, "twice": None, "r": None, "cells": None, "rows": None, "places": None}
 
         def frame(columns):
             out = pd.DataFrame({**blank, **columns}, columns=list(blank))
-            for c in ("rid", "doc", "n", "p", "twice", "r"):
+            for c in ("rid", "doc", "n", "twice", "r"):
                 out[c] = out[c].astype("Int64")
             return out
 
         def flush(base, texts, rare, common):
-            yield frame({"kind": "text", **{k: [t[i] for t in texts] for i, k in enumerate(("rid", "doc", "digest", "n", "p", "twice"))}})
+            yield frame({"kind": "text", **{k: [t[i] for t in texts] for i, k in enumerate(("rid", "doc", "digest", "n", "twice"))}})
             for kind, held in (("rare", rare), ("common", common)):
                 if not held:
                     continue
-                cells = np.concatenate([c for _, c in held])
-                rows = np.concatenate([np.full(len(c), i, np.uint32) for i, c in held])
+                cells, places = (np.concatenate([x[k] for x in held]) for k in (1, 2))
+                rows = np.repeat(np.array([x[0] for x in held], np.uint16), [len(x[1]) for x in held])
                 by = np.argsort(cells, kind="stable")
-                cells, rows = cells[by], rows[by]
+                cells, rows, places = cells[by], rows[by], places[by]
                 r = ((cells.astype(np.uint64) * np.uint64(ranges)) >> np.uint64(32)).astype(int)
                 cuts = np.flatnonzero(np.diff(r)) + 1
                 yield frame({"kind": kind, "rid": base, "r": r[np.concatenate([[0], cuts])],
-                             "cells": [c.tobytes() for c in np.split(cells, cuts)], "rows": [c.tobytes() for c in np.split(rows, cuts)]})
+                             **{name: [c.tobytes() for c in np.split(x, cuts)] for name, x in (("cells", cells), ("rows", rows), ("places", places))}})
 
         known, texts, rare, common, size, base = order.value, [], [], [], 0, None
         for batch in batches:
@@ -179,15 +180,17 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
                 base = rid if base is None else base
                 doc = None if pd.isna(doc) else int(doc)
                 if not n:
-                    texts.append((rid, doc, None, 0, 0, 0))
+                    texts.append((rid, doc, None, 0, 0))
                 else:
                     p = n - -(-num * n // den) + 1
                     few, many = known.prefix(h, p)
-                    held = np.unique(_cells(few)), np.unique(_cells(many))
-                    for kind, cells in zip((rare, common), held):
-                        if len(cells):
-                            kind.append((rid - base, cells))
-                    texts.append((rid, doc, xxhash.xxh3_128_digest(h.tobytes()), n, p, p - len(held[0]) - len(held[1])))
+                    distinct = 0
+                    for kind, part, first in ((rare, few, 0), (common, many, len(few))):
+                        if len(part):
+                            cells, place = np.unique(_cells(part), return_index=True)
+                            kind.append((rid - base, cells, np.minimum(place + first, 65535).astype(np.uint16)))
+                            distinct += len(cells)
+                    texts.append((rid, doc, xxhash.xxh3_128_digest(h.tobytes()), n, p - distinct))
                     size += p
                 if size >= FLUSH // 2 or len(texts) >= 50_000:
                     yield from flush(base, texts, rare, common)
@@ -196,33 +199,41 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
             yield from flush(base, texts, rare, common)
 
     return docs.select("__rid", "__doc", "__text").mapInPandas(
-        emit, "kind string, rid long, doc long, digest binary, n long, p long, twice long, r long, cells binary, rows binary")
+        emit, "kind string, rid long, doc long, digest binary, n long, twice long, r long, cells binary, rows binary, places binary")
+
+
+def _opened(packed: pd.DataFrame) -> pd.DataFrame:
+    """The entries of packed rows: ``cell, rid, place`` in the order."""
+    cells = [np.frombuffer(b, np.uint32) for b in packed["cells"]]
+    return pd.DataFrame({
+        "cell": np.concatenate(cells).astype(np.int64),
+        "rid": np.concatenate([np.frombuffer(b, np.uint16).astype(np.int64) + base for base, b in zip(packed["rid"], packed["rows"])]),
+        "place": np.concatenate([np.frombuffer(b, np.uint16) for b in packed["places"]]).astype(np.int32)})
+
+
+_ENTRY = "cell long, rid long, place int"
 
 
 def _shared_rare(packed: DataFrame) -> DataFrame:
-    """``cell, rid`` of rare prefix cells that two texts or more hold.
+    """Entries of the rare prefix cells that two texts or more hold.
 
     Grouped by range of the cell: a rare cell has few rows, so ranges are even."""
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        cells = np.concatenate([np.frombuffer(b, np.uint32) for b in group["cells"]])
-        rid = np.concatenate([np.frombuffer(b, np.uint32).astype(np.int64) + base for base, b in zip(group["rid"], group["rows"])])
-        by = np.argsort(cells, kind="stable")
-        cells, rid = cells[by], rid[by]
-        same = cells[1:] == cells[:-1]
-        shared = np.append(same, False) | np.insert(same, 0, False)
-        return pd.DataFrame({"cell": cells[shared].astype(np.int64), "rid": rid[shared]})
+        found = _opened(group).sort_values("cell", kind="stable")
+        same = np.diff(found["cell"].to_numpy()) == 0
+        return found[np.append(same, False) | np.insert(same, 0, False)]
 
-    return packed.groupBy("r").applyInPandas(meet, "cell long, rid long")
+    return packed.select("r", "rid", "cells", "rows", "places").groupBy("r").applyInPandas(meet, _ENTRY)
 
 
 def _unfolded(packed: DataFrame) -> DataFrame:
-    """``cell, rid`` of packed rows, a row each."""
+    """All entries of packed rows, a row each."""
     def unfold(batches):
         for batch in batches:
-            for base, cells, rows in zip(batch["rid"], batch["cells"], batch["rows"]):
-                yield pd.DataFrame({"cell": np.frombuffer(cells, np.uint32).astype(np.int64), "rid": np.frombuffer(rows, np.uint32).astype(np.int64) + base})
+            for k in range(len(batch)):
+                yield _opened(batch.iloc[k:k + 1])
 
-    return packed.select("rid", "cells", "rows").mapInPandas(unfold, "cell long, rid long")
+    return packed.select("rid", "cells", "rows", "places").mapInPandas(unfold, _ENTRY)
 
 
 class JaccardGroups:
@@ -241,17 +252,32 @@ class JaccardGroups:
         ranges = max(64, 2 * self.docs.rdd.getNumPartitions())
         counted = self.scratch.keep(_count_cells(self.docs, self.width, ranges))
         total = counted.filter("cell < 0").agg(F.sum("n")).first()[0] or 0
-        # total / least cells at most can be that frequent, so the list is bounded.
-        least = max(FREQUENT, -(-total // MOST_FREQUENT))
+        # The least count that leaves a list within the bound; total / MOST_FREQUENT always does.
+        most = 1 << 16
+        sizes = counted.filter("cell >= 0").groupBy(F.least("n", F.lit(most)).alias("n")).agg(F.count("*").alias("cells")).collect()
+        least, listed = max(FREQUENT, -(-total // MOST_FREQUENT)), 0
+        for n, cells in sorted(((r["n"], r["cells"]) for r in sizes), reverse=True):
+            listed += cells
+            if listed > MOST_FREQUENT:
+                break
+            least = min(least, n) if n < most else least
         often = counted.filter((F.col("cell") >= 0) & (F.col("n") >= least)).toPandas()
+        self.scratch.drop(counted)
         return self.spark.sparkContext.broadcast(FrequentFirst(often["cell"].to_numpy(), often["n"].to_numpy())), total
 
-    def enough(self, shared, nx, ny, px, py, slack):
+    def near(self, n, place, m):
+        """Whether an entry of a set of ``n`` at ``place`` can be the first that it
+        shares with a set of ``m`` that reaches the threshold."""
+        num, den = self.threshold
+        return (num + den) * (n - place) >= num * (n + m)
+
+    def enough(self, shared):
         """Whether a pair with ``shared`` common prefix cells can reach the threshold:
         beyond the prefix that ends first, all shingles of its text may be common."""
         num, den = self.threshold
-        fits = (num * F.greatest(nx, ny) <= den * F.least(nx, ny))
-        return fits & ((shared + slack + F.greatest(nx - px, ny - py)) * (num + den) >= num * (nx + ny))
+        nx, ny = F.col("nx"), F.col("ny")
+        behind = F.greatest(*[F.ceil(n * num / den) - 1 for n in (nx, ny)])
+        return (num * F.greatest(nx, ny) <= den * F.least(nx, ny)) & ((shared + F.least("tx", "ty") + behind) * (num + den) >= num * (nx + ny))
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """``(texts, groups)``: rid, doc, node, n; node, component node."""
@@ -260,48 +286,62 @@ class JaccardGroups:
         order, total = self.order()
         ranges = max(16, total // (2 * FLUSH))
         written = keep(_prefixes(self.docs, self.width, self.threshold, order, ranges), by="kind")
-        texts = written.filter("kind = 'text'").select("rid", "doc", "digest", "n", "p", "twice")
+        texts = written.filter("kind = 'text'").select("rid", "doc", "digest", "n", "twice")
         classes = texts.filter("n > 0").groupBy("digest").agg(F.min("rid").alias("node"))
         texts = keep(texts.join(classes, "digest", "left").withColumn("node", F.coalesce("node", "rid")))
-        nodes = texts.filter("rid = node AND n > 0").select("node", "n", "p", "twice", "doc", "digest")
-        rare, common = written.filter("kind = 'rare'"), written.filter("kind = 'common'")
-        met = _shared_rare(rare).unionAll(_unfolded(common))
-        buckets = keep(met.join(texts.select("rid", "node"), "rid").select("cell", "node").distinct())
+        nodes = texts.filter("rid = node AND n > 0").select("node", "n", "twice", "doc", "digest")
+        # Copies have one prefix, so the entries of one row of each set are enough.
+        entries = _shared_rare(written.filter("kind = 'rare'")).unionAll(_unfolded(written.filter("kind = 'common'")))
+        entries = self._live(keep(entries.withColumnRenamed("rid", "node").join(nodes.select("node", "n", "twice"), "node")))
         self.scratch.drop(written)
 
-        sizes = nodes.select("node", "n", "p", "twice")
         tried = groups = None
         for _ in range(HUB_ROUNDS):
-            marked = self._open_buckets(buckets, groups)
-            hubs = marked.groupBy("cell").agg(F.min(F.struct("group", "node")).alias("hub"))
-            met = (marked.join(hubs, "cell").filter("group <> hub.group")
-                   .groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("shared")))
-            best = (self._sized(met.select(F.col("node").alias("x"), F.col("hub").alias("y"), "shared"), sizes)
+            marked = self._open_buckets(entries, groups)
+            hubs = marked.groupBy("cell").agg(F.min(F.struct("place", "node", "group", "n", "twice")).alias("hub"))
+            best = (self._candidates(marked.join(hubs, "cell").filter("group <> hub.group").select(
+                        F.col("node").alias("x"), F.col("hub.node").alias("y"), F.col("n").alias("nx"), F.col("hub.n").alias("ny"),
+                        F.col("place").alias("ax"), F.col("hub.place").alias("ay"), F.col("twice").alias("tx"), F.col("hub.twice").alias("ty")))
                     .groupBy("x").agg(F.max(F.struct("shared", (-F.col("y")).alias("y"), "nx", "ny")).alias("b"))
                     .select("x", (-F.col("b.y")).alias("y"), "b.nx", "b.ny"))
             tried, groups = self._try(best, nodes, tried, groups)
-        marked = self._open_buckets(buckets, groups)
-        a, b = marked.select("cell", F.col("group").alias("gx"), F.col("node").alias("x")), marked.select("cell", F.col("group").alias("gy"), F.col("node").alias("y"))
-        met = a.join(b, "cell").filter("gx < gy").groupBy("x", "y").agg(F.count("*").alias("shared"))
-        left = self._sized(met, sizes).select("x", "y", "nx", "ny")
+        marked = self._open_buckets(entries, groups)
+        a, b = (marked.select("cell", *[F.col(c).alias(d + side) for c, d in (("group", "g"), ("n", "n"), ("place", "a"), ("twice", "t"))],
+                              F.col("node").alias(side)) for side in "xy")
+        left = self._candidates(a.join(b, "cell").filter("gx < gy")).select("x", "y", "nx", "ny")
         known = tried.select("x", "y").unionAll(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
         _, groups = self._try(left.join(known, ["x", "y"], "left_anti"), nodes, tried, groups)
         return texts, groups
 
-    def _open_buckets(self, buckets: DataFrame, groups: DataFrame | None) -> DataFrame:
-        """``cell, node, group`` of the buckets that hold nodes of several groups."""
+    def _live(self, entries: DataFrame) -> DataFrame:
+        """Entries of the nodes that stand early enough in some bucket to link with
+        its smallest set, in buckets where two of these meet."""
+        num, den = self.threshold
+        met = entries.groupBy("cell").agg(F.min("n").alias("least"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
+        near = self.near(F.col("n"), F.col("place"), F.greatest("least", F.ceil(F.col("n") * num / den)))
+        nodes = entries.join(met, "cell").filter(near).select("node").distinct()
+        live = entries.join(nodes, "node", "left_semi")
+        met = live.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("cell")
+        kept = self.scratch.keep(live.join(met, "cell", "left_semi"))
+        self.scratch.drop(entries)
+        return kept
+
+    def _open_buckets(self, entries: DataFrame, groups: DataFrame | None) -> DataFrame:
+        """Entries with ``group``, of the buckets that hold nodes of several groups."""
         if groups is None:
-            marked = buckets.withColumn("group", F.col("node"))
-        else:
-            marked = buckets.join(groups.withColumnRenamed("id", "node"), "node", "left").select(
-                "cell", "node", F.coalesce("component_id", "node").alias("group"))
+            return entries.withColumn("group", F.col("node"))
+        marked = (entries.join(groups.withColumnRenamed("id", "node"), "node", "left")
+                  .withColumn("group", F.coalesce("component_id", "node")).drop("component_id"))
         mixed = marked.groupBy("cell").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("cell")
-        return marked.join(mixed, "cell")
+        return marked.join(mixed, "cell", "left_semi")
 
-    def _sized(self, met: DataFrame, sizes: DataFrame) -> DataFrame:
-        for side in ("x", "y"):
-            met = met.join(sizes.select(*[F.col(c).alias(side if c == "node" else c[0] + side) for c in sizes.columns]), side)
-        return met.filter(self.enough(F.col("shared"), F.col("nx"), F.col("ny"), F.col("px"), F.col("py"), F.least("tx", "ty")))
+    def _candidates(self, met: DataFrame) -> DataFrame:
+        """Pairs of a join of entries that can link, with the entries they share."""
+        near = self.near(F.col("nx"), F.col("ax"), F.col("ny")) & self.near(F.col("ny"), F.col("ay"), F.col("nx"))
+        num, den = self.threshold
+        fits = num * F.greatest("nx", "ny") <= den * F.least("nx", "ny")
+        return (met.filter(fits).groupBy("x", "y", "nx", "ny", "tx", "ty").agg(F.count("*").alias("shared"), F.max(near).alias("near"))
+                .filter(F.col("near") & self.enough(F.col("shared"))))
 
     def _try(self, pairs: DataFrame, nodes: DataFrame, tried: DataFrame | None, groups: DataFrame | None):
         """Decides pairs (x, y, nx, ny); returns all pairs tried and the components."""
