@@ -149,16 +149,16 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
     num, den = threshold
 
     def emit(batches):
-        blank = {"kind": None, "rid": None, "doc": None, "digest": None, "n": None, "twice": None, "r": None, "cells": None, "rows": None, "places": None}
+        blank = {"kind": None, "rid": None, "doc": None, "digest": None, "n": None, "twice": None, "often": None, "r": None, "cells": None, "rows": None, "places": None}
 
         def frame(columns):
             out = pd.DataFrame({**blank, **columns}, columns=list(blank))
-            for c in ("rid", "doc", "n", "twice", "r"):
+            for c in ("rid", "doc", "n", "twice", "often", "r"):
                 out[c] = out[c].astype("Int64")
             return out
 
         def flush(base, texts, rare, common):
-            yield frame({"kind": "text", **{k: [t[i] for t in texts] for i, k in enumerate(("rid", "doc", "digest", "n", "twice"))}})
+            yield frame({"kind": "text", **{k: [t[i] for t in texts] for i, k in enumerate(("rid", "doc", "digest", "n", "twice", "often"))}})
             for kind, held in (("rare", rare), ("common", common)):
                 if not held:
                     continue
@@ -180,7 +180,7 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
                 base = rid if base is None else base
                 doc = None if pd.isna(doc) else int(doc)
                 if not n:
-                    texts.append((rid, doc, None, 0, 0))
+                    texts.append((rid, doc, None, 0, 0, 0))
                 else:
                     p = n - -(-num * n // den) + 1
                     few, many = known.prefix(h, p)
@@ -190,7 +190,7 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
                             cells, place = np.unique(_cells(part), return_index=True)
                             kind.append((rid - base, cells, np.minimum(place + first, 65535).astype(np.uint16)))
                             distinct += len(cells)
-                    texts.append((rid, doc, xxhash.xxh3_128_digest(h.tobytes()), n, p - distinct))
+                    texts.append((rid, doc, xxhash.xxh3_128_digest(h.tobytes()), n, p - distinct, len(many)))
                     size += p
                 if size >= FLUSH // 2 or len(texts) >= 50_000:
                     yield from flush(base, texts, rare, common)
@@ -199,7 +199,7 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
             yield from flush(base, texts, rare, common)
 
     return docs.select("__rid", "__doc", "__text").mapInPandas(
-        emit, "kind string, rid long, doc long, digest binary, n long, twice long, r long, cells binary, rows binary, places binary")
+        emit, "kind string, rid long, doc long, digest binary, n long, twice long, often long, r long, cells binary, rows binary, places binary")
 
 
 def _opened(packed: pd.DataFrame) -> pd.DataFrame:
@@ -286,28 +286,31 @@ class JaccardGroups:
         order, total = self.order()
         ranges = max(16, total // (2 * FLUSH))
         written = keep(_prefixes(self.docs, self.width, self.threshold, order, ranges), by="kind")
-        texts = written.filter("kind = 'text'").select("rid", "doc", "digest", "n", "twice")
+        texts = written.filter("kind = 'text'").select("rid", "doc", "digest", "n", "twice", "often")
         classes = texts.filter("n > 0").groupBy("digest").agg(F.min("rid").alias("node"))
         texts = keep(texts.join(classes, "digest", "left").withColumn("node", F.coalesce("node", "rid")))
-        nodes = texts.filter("rid = node AND n > 0").select("node", "n", "twice", "doc", "digest")
+        nodes = texts.filter("rid = node AND n > 0").select("node", "n", "twice", "often", "doc", "digest")
         # Copies have one prefix, so the entries of one row of each set are enough.
-        entries = _shared_rare(written.filter("kind = 'rare'")).unionAll(_unfolded(written.filter("kind = 'common'")))
-        entries = self._live(keep(entries.withColumnRenamed("rid", "node").join(nodes.select("node", "n", "twice"), "node")))
+        entries = (_shared_rare(written.filter("kind = 'rare'")).withColumn("common", F.lit(False))
+                   .unionAll(_unfolded(written.filter("kind = 'common'")).withColumn("common", F.lit(True))))
+        entries = self._live(keep(entries.withColumnRenamed("rid", "node").join(nodes.select("node", "n", "twice", "often"), "node")))
         self.scratch.drop(written)
 
         tried = groups = None
         for _ in range(HUB_ROUNDS):
             marked = self._open_buckets(entries, groups)
-            hubs = marked.groupBy("cell").agg(F.min(F.struct("place", "node", "group", "n", "twice")).alias("hub"))
+            hubs = marked.groupBy("cell").agg(F.min(F.struct("place", "node", "group", "n", "twice", "often")).alias("hub"))
             best = (self._candidates(marked.join(hubs, "cell").filter("group <> hub.group").select(
                         F.col("node").alias("x"), F.col("hub.node").alias("y"), F.col("n").alias("nx"), F.col("hub.n").alias("ny"),
-                        F.col("place").alias("ax"), F.col("hub.place").alias("ay"), F.col("twice").alias("tx"), F.col("hub.twice").alias("ty")))
+                        F.col("place").alias("ax"), F.col("hub.place").alias("ay"), F.col("twice").alias("tx"), F.col("hub.twice").alias("ty"),
+                        F.col("often").alias("ox"), F.col("hub.often").alias("oy"), "common"))
                     .groupBy("x").agg(F.max(F.struct("shared", (-F.col("y")).alias("y"), "nx", "ny")).alias("b"))
                     .select("x", (-F.col("b.y")).alias("y"), "b.nx", "b.ny"))
             tried, groups = self._try(best, nodes, tried, groups)
         marked = self._open_buckets(entries, groups)
-        a, b = (marked.select("cell", *[F.col(c).alias(d + side) for c, d in (("group", "g"), ("n", "n"), ("place", "a"), ("twice", "t"))],
-                              F.col("node").alias(side)) for side in "xy")
+        named = (("group", "g"), ("n", "n"), ("place", "a"), ("twice", "t"), ("often", "o"))
+        a, b = (marked.select("cell", "common", *[F.col(c).alias(d + side) for c, d in named], F.col("node").alias(side)) for side in "xy")
+        b = b.drop("common")
         left = self._candidates(a.join(b, "cell").filter("gx < gy")).select("x", "y", "nx", "ny")
         known = tried.select("x", "y").unionAll(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
         _, groups = self._try(left.join(known, ["x", "y"], "left_anti"), nodes, tried, groups)
@@ -315,12 +318,14 @@ class JaccardGroups:
 
     def _live(self, entries: DataFrame) -> DataFrame:
         """Entries of the nodes that stand early enough in some bucket to link with
-        its smallest set, in buckets where two of these meet."""
+        its smallest set, in buckets where two of these meet; of frequent shingles,
+        which have large buckets, only the entries that do."""
         num, den = self.threshold
         met = entries.groupBy("cell").agg(F.min("n").alias("least"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
         near = self.near(F.col("n"), F.col("place"), F.greatest("least", F.ceil(F.col("n") * num / den)))
-        nodes = entries.join(met, "cell").filter(near).select("node").distinct()
-        live = entries.join(nodes, "node", "left_semi")
+        marked = entries.join(met, "cell").withColumn("near", near).drop("least", "lo", "hi")
+        nodes = marked.filter("near").select("node").distinct()
+        live = marked.filter("near OR NOT common").drop("near").join(nodes, "node", "left_semi")
         met = live.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("cell")
         kept = self.scratch.keep(live.join(met, "cell", "left_semi"))
         self.scratch.drop(entries)
@@ -336,12 +341,17 @@ class JaccardGroups:
         return marked.join(mixed, "cell", "left_semi")
 
     def _candidates(self, met: DataFrame) -> DataFrame:
-        """Pairs of a join of entries that can link, with the entries they share."""
+        """Pairs of a join of entries that can link, with the entries they share.
+
+        All shared rare entries are counted.  Of the frequent ones, those that can
+        come first make a pair; the others are not looked at but taken as shared.
+        """
         near = self.near(F.col("nx"), F.col("ax"), F.col("ny")) & self.near(F.col("ny"), F.col("ay"), F.col("nx"))
         num, den = self.threshold
         fits = num * F.greatest("nx", "ny") <= den * F.least("nx", "ny")
-        return (met.filter(fits).groupBy("x", "y", "nx", "ny", "tx", "ty").agg(F.count("*").alias("shared"), F.max(near).alias("near"))
-                .filter(F.col("near") & self.enough(F.col("shared"))))
+        return (met.filter(fits & (near | ~F.col("common"))).groupBy("x", "y", "nx", "ny", "tx", "ty", "ox", "oy")
+                .agg(F.count("*").alias("shared"), F.count_if(~F.col("common")).alias("rare"), F.max(near).alias("near"))
+                .filter(F.col("near") & self.enough(F.col("rare") + F.least("ox", "oy"))))
 
     def _try(self, pairs: DataFrame, nodes: DataFrame, tried: DataFrame | None, groups: DataFrame | None):
         """Decides pairs (x, y, nx, ny); returns all pairs tried and the components."""
