@@ -101,7 +101,7 @@ RULES = [
 KINDS = ["restricted", "copyleft", "unknown", "permissive"]
 
 _WORTH_READING = re.compile(r"licen[cs]|copyright|permi|warrant|redistribut|rights reserved|spdx|public domain|free software|unencumbered", re.I)
-_LEGAL = re.compile(r"\blicen[sc]ed? (?:under|at|for)\b|\blicense\b|\bcopyright\b|\bpermission is\b|\bwithout warranty\b|\bredistribut", re.I)
+_LEGAL = re.compile(r"\blicen[sc]ed? (?:under|at|for)\b|\blicense\b|\bcopyright\b|\bpermission is\b|\bwithout warranty\b|\bredistributions?\b", re.I)
 _COPYRIGHT = re.compile(r"^(?:copyright|c)\b.*\b(?:19|20)\d\d\b|^copyright (?:c )?(?:by )?\w")
 _SPDX = re.compile(r"spdx-license-identifier\s*:\s*([A-Za-z0-9.+-]+)", re.I)
 _LINE_MARKS = re.compile(r"^[\s*#/;%>|-]+")
