@@ -62,18 +62,10 @@ class Vocabulary:
         # a shorter stretch of bytes ends no token at all.
         # ``None``: the stretch ends some token but is none itself.
         self.endings: dict[bytes, int | None] = {t[k:]: None for t in ranks for k in range(len(t))}
-        self.endings.update(ranks)
+        self.endings.update((t, r) for t, r in ranks.items() if merge_by_rank(t, ranks) == [r])  # others close nothing
         self._apart: dict[int, bool] = {}
-        self._whole: dict[int, bool] = {}
         self._edges: dict[tuple[int, bool], list[int]] = {}
 
-    def whole(self, token: int) -> bool:
-        """Whether merging the token's own bytes gives the token."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = merge_by_rank(self.tokens[token], self.ranks) == [token]
-        return known
-
     def edge(self, token: int, right: bool) -> list[int]:
         """The tokens that stand at the right (left) end while ``token`` is
         merged from its bytes, from the single byte to the token itself."""
@@ -135,9 +127,9 @@ class PrefixTable:
         start = len(self.data)
         self.data += more
         data, last, v = bytes(self.data), self.last, self.vocabulary
-        endings, whole, apart = v.endings, v.whole, v.apart
+        endings, known, apart = v.endings, v._apart, v.apart
         for end in range(start + 1, len(data) + 1):
-            closing, begin = [], end
+            begins, tokens, begin = [], [], end
             while begin:
                 begin -= 1
                 stretch = data[begin:end]
@@ -145,11 +137,17 @@ class PrefixTable:
                     break
                 token = endings[stretch]
                 if token is not None:
-                    closing.append((begin, token))
-            for begin, token in reversed(closing):  # long tokens are the likelier ones
-                if whole(token) and (begin == 0 or apart(last[begin - 1], token)):
-                    last.append(token)
-                    break
+                    begins.append(begin)
+                    tokens.append(token)
+            while tokens:  # long tokens are the likelier ones
+                begin, token = begins.pop(), tokens.pop()
+                if begin:
+                    before = last[begin - 1]
+                    fits = known.get(before << 32 | token)
+                    if not (apart(before, token) if fits is None else fits):
+                        continue
+                last.append(token)
+                break
             else:
                 raise ValueError("no token of the vocabulary closes this prefix")
         return self
@@ -173,7 +171,7 @@ class PrefixTable:
 class Codec:
     """Encodes and decodes texts: every match of ``pattern`` is one piece."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 350_000):
         self.vocabulary = Vocabulary(ranks)
         self.find = regex.compile(pattern).findall
         self.pieces = Memo(self._piece, memo)
@@ -182,7 +180,9 @@ class Codec:
     def _piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8", "surrogatepass")
         token = self.vocabulary.ranks.get(data)  # a piece that is a token stays whole
-        return (token,) if token is not None else tuple(PrefixTable(self.vocabulary, data).tokens())
+        if token is not None:
+            return (token,)
+        return tuple(PrefixTable(self.vocabulary, data).tokens())
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.find(chunk))))

@@ -133,16 +133,19 @@ class Memo(dict):
         self.fn, self.size, self.old = fn, size, {}
 
     def __missing__(self, key):
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
         value = self.old.get(key)
         if value is None:
             value = self.fn(key)
         if len(key) <= 64:
-            self[key] = value
+            self.put(key, value)
         return value
 
+    def put(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
 
 _EDGE_SPACE = re.compile(r" \s|\s ")
 

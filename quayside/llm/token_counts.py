@@ -35,7 +35,7 @@ def byte_letters() -> dict[str, int]:
 class MergeCounter:
     """Counts the tokens of texts by the merges of a byte-level BPE file."""
 
-    def __init__(self, file: bytes, memo: int = 200_000):
+    def __init__(self, file: bytes, memo: int = 400_000):
         spec = json.loads(file)
         model = spec["model"]
         pre = spec.get("pre_tokenizer") or {}
