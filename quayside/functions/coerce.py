@@ -73,10 +73,15 @@ def parse_datetime_layouts(c) -> Column:
 
 
 def best_effort_timestamp(c) -> Column:
-    """ISO text (``T``/space separator, ``Z`` or ``UTC`` suffix, offsets) → timestamp, else NULL."""
+    """ISO text (``T``/space separator, ``Z`` or ``UTC`` suffix, offsets) or unix
+    seconds of 9 or 10 digits → timestamp, else NULL."""
     c = F.trim(col_of(c).cast("string"))
     cleaned = F.regexp_replace(c, r"\s+UTC$", "")
-    return F.coalesce(F.try_to_timestamp(cleaned), parse_datetime_layouts(cleaned))
+    # Only text that begins with a year is given to the lenient cast: it would take
+    # a bare time of day as today's.
+    dated = F.when(cleaned.rlike(r"^\d{4}(-|$)"), F.try_to_timestamp(cleaned))
+    unix = F.when(cleaned.rlike(r"^\d{9,10}$"), F.timestamp_seconds(try_cast(cleaned, "bigint")))
+    return F.coalesce(unix, dated, parse_datetime_layouts(cleaned))
 
 
 def iso_or_epoch(c) -> Column:

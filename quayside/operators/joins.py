@@ -89,7 +89,7 @@ def skip_known_fills(new: DataFrame, target: DataFrame, owners: DataFrame, now,
     known = held.filter(F.col("ingested_at") >= ref - F.expr(f"INTERVAL {int(days)} DAYS"))
     known = known.select(
         F.lower("order_uid").alias("_u"), F.lower("tx_hash").alias("_t"), F.col("log_index").alias("_l")
-    ).distinct()
+    )
     k = new.select("*", F.lower("order_uid").alias("_u"), F.lower("tx_hash").alias("_t"), F.col("log_index").alias("_l"))
     return k.join(known, ["_u", "_t", "_l"], "left_anti").drop("_u", "_t", "_l")
 

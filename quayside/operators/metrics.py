@@ -165,9 +165,3 @@ def first_per_id(df: DataFrame, id_col, pos_cols, value_cols) -> DataFrame:
     value_cols = [c for c in value_cols if c not in id_col]
     w = df.groupBy(*id_col).agg(F.min(F.struct(*pos_cols, *value_cols)).alias("_w"))
     return w.select(*id_col, *[F.col("_w")[c].alias(c) for c in pos_cols + value_cols])
-
-
-def top_owners(df: DataFrame, count_col: str, tie_col: str, n: int) -> DataFrame:
-    """Top-n report, total order on ties."""
-    return df.orderBy(F.desc(count_col), F.asc(tie_col)).limit(n)
-

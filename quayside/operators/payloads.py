@@ -93,6 +93,11 @@ def explode_json_array(df: DataFrame, body: str, element_ddl: str, keep=()) -> D
     return df.select(*keep, F.posexplode_outer(arr).alias("pos", "e")).filter(F.col("e").isNotNull())
 
 
+def _amount(fee: Column) -> Column:
+    """Amount text of a fee; missing and empty count as 0."""
+    return F.coalesce(F.nullif(fee["amount"], F.lit("")), F.lit("0"))
+
+
 def fee_by_dominant_token(fees: Column) -> Column:
     """Per trade: token with the greatest summed fee (tie → first seen), that sum
     as text; ``('', '0')`` when there are no fees.
@@ -107,7 +112,7 @@ def fee_by_dominant_token(fees: Column) -> Column:
         same = F.filter(fees, lambda f: F.coalesce(f["token"], F.lit("")) == t)
         return F.aggregate(
             same, zero,
-            lambda acc, f: F.try_add(acc, try_cast(F.coalesce(f["amount"], F.lit("0")), "decimal(38,0)")),
+            lambda acc, f: F.try_add(acc, try_cast(_amount(f), "decimal(38,0)")),
         )
 
     ranked = F.transform(tokens, lambda t, i: F.struct(total(t).alias("s"), (-i).alias("o"), t.alias("t")))
@@ -118,14 +123,15 @@ def fee_by_dominant_token(fees: Column) -> Column:
 
 
 def fee_policies_json(fees: Column) -> Column:
-    """Ordered JSON array of {policy, amount, token} with the reference defaults."""
+    """Ordered JSON array of {policy, amount, token} with the reference defaults;
+    a policy that is not JSON counts as missing."""
     fees = F.coalesce(fees, F.array().cast(f"array<{FEE}>"))
     return F.to_json(
         F.transform(
             fees,
             lambda f: F.struct(
-                F.coalesce(F.parse_json(f["policy"]), F.parse_json(F.lit("{}"))).alias("policy"),
-                F.coalesce(f["amount"], F.lit("0")).alias("amount"),
+                F.coalesce(F.try_parse_json(f["policy"]), F.parse_json(F.lit("{}"))).alias("policy"),
+                _amount(f).alias("amount"),
                 F.coalesce(f["token"], F.lit("")).alias("token"),
             ),
         )

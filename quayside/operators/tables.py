@@ -298,7 +298,13 @@ def business_columns(df: DataFrame) -> list[str]:
 
 
 def read_latest(spark: SparkSession, spec: TableSpec, months: list | None = None) -> DataFrame:
-    """Merge-on-read view (``FINAL``): newest row per key, internal columns dropped."""
+    """Merge-on-read view (``FINAL``): newest row per key, internal columns dropped.
+
+    ``months`` needs the month column in the key: otherwise the newest row of a
+    key may lie in a month that is not read.
+    """
+    if months is not None and spec.keyed and spec.month_of not in spec.key:
+        raise ValueError(f"months of a table whose key lacks {spec.month_of!r} would give superseded rows")
     raw = read_raw(spark, spec, months)
     cols = business_columns(raw)
     if not spec.keyed:

@@ -48,8 +48,8 @@ def _as_date(v):
 
 
 def date_plan(spark: SparkSession, ledger: DataFrame, today, backfill: tuple | None = None,
-              from_date=None, day_col: str = "completed_date") -> DataFrame:
-    """Days to process.
+              from_date=None, day_col: str = "completed_date", project_id: str | None = None) -> DataFrame:
+    """Days to process (of one project, where ``project_id`` is given).
 
     backfill=(from, to): exactly that range.  Daily: last completed day + 1 up to
     yesterday; without any completed day, ``from_date`` or yesterday.  Up to
@@ -59,7 +59,7 @@ def date_plan(spark: SparkSession, ledger: DataFrame, today, backfill: tuple | N
     yesterday = today - dt.timedelta(days=1)
     if backfill is not None:
         return days_between(spark, _as_date(backfill[0]), _as_date(backfill[1]))
-    last = _as_date(ledger.agg(F.max(day_col)).first()[0])
+    last = _as_date(_completed(ledger, project_id).agg(F.max(day_col)).first()[0])
     if last is not None:
         start = last + dt.timedelta(days=1)
     else:
@@ -67,9 +67,16 @@ def date_plan(spark: SparkSession, ledger: DataFrame, today, backfill: tuple | N
     return days_between(spark, start, yesterday)
 
 
-def pending_dates(plan: DataFrame, ledger: DataFrame, day_col: str = "completed_date") -> DataFrame:
-    """Planned days not yet completed (restartable backfill)."""
-    done = ledger.select(F.col(day_col).alias("day")).distinct()
+def _completed(ledger: DataFrame, project_id: str | None) -> DataFrame:
+    """Ledger rows marked complete, of one project or of all."""
+    if "status" in ledger.columns:
+        ledger = ledger.filter(F.col("status") == "complete")
+    return ledger if project_id is None else ledger.filter(F.col("project_id") == project_id)
+
+
+def pending_dates(plan: DataFrame, ledger: DataFrame, day_col: str = "completed_date", project_id: str | None = None) -> DataFrame:
+    """Planned days not yet completed (restartable backfill), of one project where given."""
+    done = _completed(ledger, project_id).select(F.col(day_col).alias("day")).distinct()
     return plan.join(done, "day", "left_anti")
 
 

@@ -102,8 +102,8 @@ def blacklist_load(spark: SparkSession, path: str, spec: TB.TableSpec) -> int:
     return TB.full_replace(spark, R.read_json_array(spark, path), spec)
 
 
-def wallets_load(spark: SparkSession, path: str, spec: TB.TableSpec, target: T.StructType, max_rows: int | None = None) -> None:
-    TB.append(R.conform_csv(spark, path, target, max_rows=max_rows), spec)
+def wallets_load(spark: SparkSession, path: str, spec: TB.TableSpec, target: T.StructType) -> None:
+    TB.append(R.conform_csv(spark, path, target), spec)
     TB.compact(spark, spec)
 
 
@@ -146,7 +146,7 @@ def events_load(spark: SparkSession, ndjson_path: str, events: TB.TableSpec, led
     rows, bad_time = R.events_rows(ok, project_id)
     TB.upsert(rows, events)
     counts = rows.groupBy(F.to_date("event_time").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-    plan = I.date_plan(spark, TB.read_latest(spark, ledger), today, backfill=(day_from, day_to))
+    plan = I.date_plan(spark, TB.read_latest(spark, ledger), today, backfill=(day_from, day_to), project_id=project_id)
     days = I.late_data_guard(plan.join(counts, "day", "left").fillna(0, ["rows"]), today).filter("mark_complete")
     I.mark_complete(spark, days.select("day", "rows"), ledger, project_id, run_ts)
     return rejects.select("line", "reject_reason").unionByName(

@@ -53,7 +53,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
     )
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)
@@ -69,7 +68,7 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and library-managed tables.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a temporary folder is created and registered as the
+    on a local master (tests) a temporary folder is created and registered as the
     checkpoint directory, so ``DataFrame.checkpoint()`` works too.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -81,6 +80,8 @@ def shared_root(spark: SparkSession) -> str:
     if current:
         # A checkpoint dir set programmatically: use its parent folder.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOT:
         _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="quayside-")

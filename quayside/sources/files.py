@@ -8,6 +8,8 @@ so choosing among millions of objects stays a Spark job; only the chosen path
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,27 +26,22 @@ def list_drops(spark: SparkSession, folder: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
     )
-    rel = F.regexp_extract(F.col("path"), r"^(?:file:)?" + _regex_escape(_strip_scheme(folder)) + r"/([^/]+)", 1)
+    # Listed paths may spell scheme and authority differently: compare what follows.
+    bare = F.regexp_replace(F.col("path"), _SCHEME, "/")
+    rel = F.regexp_extract(bare, "^" + re.escape(re.sub(_SCHEME, "/", folder)) + r"/([^/]+)", 1)
     names = files.select(rel.alias("name")).filter(F.col("name") != "").distinct()
     stem = F.substring_index(F.col("name"), ".", 1)
     date = F.when(stem.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(stem, "yyyy-MM-dd"))
     return names.select("name", F.concat(F.lit(folder + "/"), F.col("name")).alias("path"), date.alias("drop_date"))
 
 
-def _strip_scheme(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def _regex_escape(s: str) -> str:
-    import re
-
-    return re.escape(s)
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/+"
 
 
-def select_files(spark: SparkSession, folder: str, mode: str = "latest", date=None) -> DataFrame:
+def select_files(spark: SparkSession, folder: str, mode: str = "latest", date=None, pattern: str = "{{DATE}}.parquet") -> DataFrame:
     """Paths to load: ``latest`` (newest dated ``.parquet``; undated names sort
     lowest; ties → first in listing order), ``date`` (the drop for ``date``,
-    mandatory), ``all`` (every ``.parquet`` drop — non-Parquet objects are
+    mandatory; its name is ``pattern`` with the date put in), ``all`` (every ``.parquet`` drop — non-Parquet objects are
     skipped on purpose)."""
     drops = list_drops(spark, folder).filter(F.col("name").endswith(".parquet"))
     if mode == "all":
@@ -52,7 +49,7 @@ def select_files(spark: SparkSession, folder: str, mode: str = "latest", date=No
     if mode == "date":
         if date is None:
             raise ValueError("mode 'date' needs a date")
-        return drops.filter(F.col("name") == F.lit(f"{date}.parquet"))
+        return drops.filter(F.col("name") == F.lit(pattern.replace("{{DATE}}", str(date))))
     if mode == "latest":
         return drops.orderBy(F.col("drop_date").desc_nulls_last(), F.col("name").asc()).limit(1)
     raise ValueError(f"unknown mode {mode!r}")
