@@ -186,7 +186,7 @@ def test_licences(spark):
         "Released under the MIT License. All rights reserved.": (["MIT", "all-rights-reserved"], "restricted"),
         "He warranted no permission to redistribute his thoughts": ([], "none"),
     }
-    texts = [*cases, None, "", "word " * 30000 + "Licensed under CC BY-NC 4.0."]
+    texts = [*cases, None, "", "word. " * 30000 + "Licensed under CC BY-NC 4.0."]
     got = by_id(licence_scan.scan_licences(docs(spark, texts)))
     for k, (licences, kind) in enumerate(cases.values()):
         assert (list(got[k][0].licences), got[k][0].licence_kind) == (licences, kind), texts[k]
