@@ -49,6 +49,22 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int], below: int = 1 << 62) -
     return [ranks[p] for p in parts]
 
 
+class _Steps(dict):
+    """Moves between states, computed when first met; at most ``MOST`` are held."""
+
+    MOST = 500_000
+
+    def __init__(self, fn):
+        super().__init__()
+        self.fn = fn
+
+    def __missing__(self, move: int) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        state = self[move] = self.fn(move)
+        return state
+
+
 class Vocabulary:
     """Ranks with what the prefix table asks of them."""
 
@@ -58,14 +74,32 @@ class Vocabulary:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # Every ending of a token: a longer candidate can be ruled out as soon as
-        # a shorter stretch of bytes ends no token at all.
-        # ``None``: the stretch ends some token but is none itself.
-        self.endings: dict[bytes, int | None] = {t[k:]: None for t in ranks for k in range(len(t))}
-        self.endings.update((t, r) for t, r in ranks.items() if merge_by_rank(t, ranks) == [r])  # others close nothing
+        # Tokens that their own bytes merge into; others close nothing.
+        closing = {t: r for t, r in ranks.items() if merge_by_rank(t, ranks) == [r]}
+
+        def longest_ending(stretch: bytes, at: int = 0) -> int:
+            return next((closing[stretch[k:]] for k in range(at, len(stretch)) if stretch[k:] in closing), -1)
+
+        # A state is the longest end of the bytes so far with which a token can
+        # begin; it knows the longest token that ends there, and every token the
+        # next shorter one (-1: none).
+        self.states = {b"": 0}
+        for t in ranks:
+            for k in range(1, len(t) + 1):
+                self.states.setdefault(t[:k], len(self.states))
+        self._stretches = list(self.states)
+        self.closes = [longest_ending(stretch) for stretch in self._stretches]
+        self.shorter = {r: longest_ending(t, 1) for t, r in ranks.items()}
+        self.size = {r: len(t) for t, r in ranks.items()}
+        self.step = _Steps(self._step)
         self._apart: dict[int, bool] = {}
         self._edges: dict[tuple[int, bool], list[int]] = {}
 
+    def _step(self, move: int) -> int:
+        """The state after ``move``: a state and the byte that follows, in the last 8 bits."""
+        stretch = self._stretches[move >> 8] + bytes([move & 255])
+        return next(self.states[stretch[k:]] for k in range(len(stretch) + 1) if stretch[k:] in self.states)
+
     def edge(self, token: int, right: bool) -> list[int]:
         """The tokens that stand at the right (left) end while ``token`` is
         merged from its bytes, from the single byte to the token itself."""
@@ -121,42 +155,38 @@ class PrefixTable:
         self.vocabulary = vocabulary
         self.data = bytearray()
         self.last: list[int] = []
+        self._state: list[int] = []  # of every prefix, to go on after an edit
         self.append(data)
 
     def append(self, more: bytes) -> "PrefixTable":
-        start = len(self.data)
+        end, last, states, v = len(self.data), self.last, self._state, self.vocabulary
         self.data += more
-        data, last, v = bytes(self.data), self.last, self.vocabulary
-        endings, known, apart = v.endings, v._apart, v.apart
-        for end in range(start + 1, len(data) + 1):
-            begins, tokens, begin = [], [], end
-            while begin:
-                begin -= 1
-                stretch = data[begin:end]
-                if stretch not in endings:
+        step, closes, shorter, size, known, apart = v.step, v.closes, v.shorter, v.size, v._apart, v.apart
+        state = states[-1] if states else 0
+        for byte in more:
+            end += 1
+            state = step[state << 8 | byte]
+            token = closes[state]
+            while token >= 0:  # long tokens are the likelier ones
+                begin = end - size[token]
+                if not begin:
                     break
-                token = endings[stretch]
-                if token is not None:
-                    begins.append(begin)
-                    tokens.append(token)
-            while tokens:  # long tokens are the likelier ones
-                begin, token = begins.pop(), tokens.pop()
-                if begin:
-                    before = last[begin - 1]
-                    fits = known.get(before << 32 | token)
-                    if not (apart(before, token) if fits is None else fits):
-                        continue
-                last.append(token)
-                break
+                before = last[begin - 1]
+                fits = known.get(before << 32 | token)
+                if apart(before, token) if fits is None else fits:
+                    break
+                token = shorter[token]
             else:
                 raise ValueError("no token of the vocabulary closes this prefix")
+            last.append(token)
+            states.append(state)
         return self
 
     def replace(self, start: int, stop: int, new: bytes) -> "PrefixTable":
         """Replaces ``data[start:stop]``; prefixes up to ``start`` are kept, and
         behind the edit only bytes up to the end are computed again."""
         tail = bytes(self.data[stop:])
-        del self.data[start:], self.last[start:]
+        del self.data[start:], self.last[start:], self._state[start:]
         return self.append(new + tail)
 
     def tokens(self) -> list[int]:
@@ -164,7 +194,7 @@ class PrefixTable:
         while end:
             token = self.last[end - 1]
             out.append(token)
-            end -= len(self.vocabulary.tokens[token])
+            end -= self.vocabulary.size[token]
         return out[::-1]
 
 
@@ -176,6 +206,7 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.pieces = Memo(self._piece, memo)
         self.chunks = Memo(self._chunk, memo)
+        self.listed = Memo(self._listed, memo)
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8", "surrogatepass")
@@ -187,6 +218,17 @@ class Codec:
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.find(chunk))))
 
+    def _listed(self, chunk: str) -> tuple[int, str, bytes]:
+        ids = self._chunk(chunk)
+        return len(ids), ",".join(map(str, ids)), self.decode(ids)
+
+    def digests(self, text: str | None) -> tuple[int, str, str]:
+        """Number of ids, and the SHA-256 of the ids (decimal, joined by commas)
+        and of the bytes they decode to."""
+        found = [x for x in map(self.listed.__getitem__, chunks(text or "")) if x[0]]
+        ids, data = ",".join([x[1] for x in found]), b"".join([x[2] for x in found])
+        return sum([x[0] for x in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(data).hexdigest()
+
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(map(self.chunks.__getitem__, chunks(text or ""))))
 
@@ -214,20 +256,19 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     the workers.  Nothing is shuffled; a hot source or repeated rows only share
     memoised chunks.
     """
-    return _encoded(docs, path, pattern, text, id, "token_ids array<int>, decoded binary",
-                    lambda ids, data: (ids, data))
+    def both(codec, t):
+        ids = codec.encode(t)
+        return ids, codec.decode(ids)
+
+    return _encoded(docs, path, pattern, text, id, "token_ids array<int>, decoded binary", both)
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text", id: str = "doc_id") -> DataFrame:
     """As :func:`encode_documents`, but digests in place of ids and bytes, so
     that they need not travel: ``id, n_tokens long, ids_sha256 (of the decimal
     ids joined by commas), decoded_sha256``."""
-    def digest(ids, data):
-        listed = ",".join(map(str, ids)).encode()
-        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(data).hexdigest()
-
     return _encoded(docs, path, pattern, text, id,
-                    "n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
+                    "n_tokens long, ids_sha256 string, decoded_sha256 string", Codec.digests)
 
 
 def _encoded(docs, path, pattern, text, id, fields, shape):
@@ -240,10 +281,7 @@ def _encoded(docs, path, pattern, text, id, fields, shape):
     def encode(batches):
         codec = codec_for(key, shipped.value, pattern)
         for batch in batches:
-            rows = []
-            for t in batch.iloc[:, 1]:
-                ids = codec.encode(t)
-                rows.append(shape(ids, codec.decode(ids)))
+            rows = [shape(codec, t) for t in batch.iloc[:, 1]]
             out = pd.DataFrame(rows, columns=names, dtype=object)
             out.insert(0, id, batch.iloc[:, 0].values)
             yield out
