@@ -5,10 +5,13 @@ A table is a Parquet directory described by a :class:`TableSpec`.  Keyed
 table is read (:func:`read_latest`) and is made physical by :func:`compact`.
 Loads therefore stay cheap appends and never shuffle the existing table.
 
-Plain Parquet has no MERGE or DELETE, so every mutation rewrites only the month
-partitions it touches: the new content is written to a staging folder next to
-the table and then swapped in partition by partition.  Nothing reads and
-overwrites the same files in one plan.
+Plain Parquet has no MERGE or DELETE, so a mutation reads the files of the month
+partitions it touches, appends their new content with Spark's own committer,
+and only then deletes the files it read.  A load that lands meanwhile is another
+file and stays.  What is not atomic: between the append and the deletes both
+versions are visible, and a crash there leaves rows twice, never a gap.  In a
+keyed table the copies are equal and collapse on read; in a plain table the next
+rewrite finishes the deletes that were noted.  One rewriter per table at a time.
 
 "Newest" is a total order: ``(version, _load_seq, every other column)``, all
 descending.  ``_load_seq`` is stamped on each load, so equal versions resolve to
@@ -121,46 +124,55 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def _rename(spark, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    parent = d.getParent()
-    if not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(s, d):
-        raise IOError(f"rename failed: {src} -> {dst}")
-
-
-def _delete(spark, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def _partition_dir(spec: TableSpec, month) -> str:
-    return f"{spec.path}/{MONTH}={month}"
-
-
-def swap_in(spark: SparkSession, spec: TableSpec, staged: str, months: list | None) -> None:
-    """Replace the table (months=None) or only the listed month partitions by the staged copy.
-
-    Listed months absent from the staged copy are removed (they became empty).
-    """
-    trash = f"{staged}.replaced-{uuid.uuid4().hex[:8]}"
-    if months is None or not spec.month_of:
-        if path_exists(spark, spec.path):
-            _rename(spark, spec.path, trash)
-        _rename(spark, staged, spec.path)
-    else:
-        for m in months:
-            target = _partition_dir(spec, m)
-            fresh = f"{staged}/{MONTH}={m}"
-            if path_exists(spark, target):
-                _rename(spark, target, f"{trash}/{MONTH}={m}")
-            if path_exists(spark, fresh):
-                _rename(spark, fresh, target)
-        _delete(spark, staged)
-    _delete(spark, trash)
+NOTES = "_replaced"  # hidden folder of a table: files a rewrite has replaced and still has to delete
+
+
+def _delete_files(spark: SparkSession, spec: TableSpec, files: list[str]) -> None:
+    """Delete replaced files, and the month folders that become empty."""
+    parents = {}
+    for f in files:
+        fs, p = _fs(spark, f)
+        fs.delete(p, False)
+        parents[p.getParent().toString()] = (fs, p.getParent())
+    root = _fs(spark, spec.path)[1].toUri().getPath()
+    for fs, folder in parents.values():
+        if folder.toUri().getPath() != root and fs.exists(folder) and not len(fs.listStatus(folder)):
+            fs.delete(folder, False)
+
+
+def finish_rewrites(spark: SparkSession, spec: TableSpec) -> None:
+    """Delete what earlier rewrites replaced but did not come to delete."""
+    notes = f"{spec.path}/{NOTES}"
+    fs, folder = _fs(spark, notes)
+    if not fs.exists(folder):
+        return
+    for status in fs.listStatus(folder):
+        note = status.getPath().toString()
+        if note.endswith(".files"):  # complete: renamed when written
+            _delete_files(spark, spec, [r[0] for r in spark.read.text(note).collect()])
+        fs.delete(status.getPath(), True)
+    fs.delete(folder, True)
+
+
+def drop_files(spark: SparkSession, spec: TableSpec, files: list[str]) -> None:
+    """Note the replaced files, then delete them."""
+    if not files:
+        return
+    draft = f"{spec.path}/{NOTES}/{uuid.uuid4().hex}"
+    spark.createDataFrame([(f,) for f in files], "f string").coalesce(1).write.text(draft)
+    fs, p = _fs(spark, draft)
+    if not fs.rename(p, _fs(spark, draft + ".files")[1]):
+        raise IOError(f"cannot note the replaced files of {spec.path}")
+    finish_rewrites(spark, spec)
+
+
+def stored_files(df: DataFrame, months: list | None = None) -> list[str]:
+    """Files behind a frame of ``read_raw``, of all months or the given ones (paths only)."""
+    files = list(df.inputFiles())
+    if months is None:
+        return files
+    names = tuple(f"/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if m is None else m}/" for m in months)
+    return [f for f in files if any(n in f for n in names)]
 
 
 # --------------------------------------------------------------------------- #
@@ -258,15 +270,21 @@ def _rows_written(o, df: DataFrame) -> int:
 
 
 def full_replace(spark: SparkSession, df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
-    """Truncate-and-insert as one swap: readers see the old or the new table, never an empty one."""
-    staged = scratch_path(spark, "stage")
-    prepared = _prepare(df, spec, seq)
-    out, o = _observe(prepared)
-    _writer(out, spec, "overwrite", rebalance=True).parquet(staged)
-    if not path_exists(spark, staged):
-        spark.createDataFrame([], prepared.schema).write.parquet(staged)
-    swap_in(spark, spec, staged, None)
-    return _rows_written(o, prepared)
+    """Truncate-and-insert without a gap: the new rows are added, then the files
+    that held the old ones are deleted.  If it fails in between, both are
+    visible until the next replace, which removes every older file."""
+    finish_rewrites(spark, spec)
+    old = stored_files(read_raw(spark, spec)) if path_bytes(spark, spec.path) else []
+    n = append(df, spec, seq)
+    if not n:
+        _keep_schema(spark, spec, _prepare(df, spec, seq))
+    drop_files(spark, spec, old)
+    return n
+
+
+def _keep_schema(spark: SparkSession, spec: TableSpec, df: DataFrame) -> None:
+    """An empty file, so that a table without rows still has its columns."""
+    spark.createDataFrame([], df.schema).write.mode("append").parquet(spec.path)
 
 
 # --------------------------------------------------------------------------- #
@@ -281,7 +299,7 @@ def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 def read_raw(spark: SparkSession, spec: TableSpec, months: list | None = None) -> DataFrame:
     """Every stored row, internal columns included; ``months`` prunes partitions."""
-    if not path_exists(spark, spec.path):
+    if not path_bytes(spark, spec.path):
         if not spec.schema:
             raise FileNotFoundError(spec.path)
         return _empty(spark, spec)
@@ -289,7 +307,8 @@ def read_raw(spark: SparkSession, spec: TableSpec, months: list | None = None) -
     if spec.month_of:
         df = df.withColumn(MONTH, F.col(MONTH).cast("date"))
         if months is not None:
-            df = df.filter(F.col(MONTH).isin([str(m) for m in months]))
+            known = F.coalesce(F.col(MONTH).isin([str(m) for m in months if m is not None]), F.lit(False))
+            df = df.filter(known | F.col(MONTH).isNull() if None in months else known)
     return df
 
 
@@ -333,48 +352,62 @@ def _months_of(df: DataFrame) -> list:
     return [r[0] for r in df.select(MONTH).distinct().collect()]
 
 
-def rewrite_months(spark: SparkSession, spec: TableSpec, content: DataFrame, months: list | None) -> None:
-    """Stage ``content`` (the full new state of ``months``) and swap it in."""
-    staged = scratch_path(spark, "stage")
-    size = path_bytes(spark, spec.path)
-    _writer(_spread(content, spec, spark, size), spec, "overwrite").parquet(staged)
-    if not path_exists(spark, staged):
-        spark.createDataFrame([], content.schema).write.parquet(staged)
-    swap_in(spark, spec, staged, months)
+def rewrite_months(spark: SparkSession, spec: TableSpec, content: DataFrame, read: list[str]) -> None:
+    """Replace the files ``read``, from which ``content`` was computed, by ``content``."""
+    observed, o = _observe(_spread(content, spec, spark, path_bytes(spark, spec.path)))
+    _writer(observed, spec, "append").parquet(spec.path)
+    if not _rows_written(o, content):
+        _keep_schema(spark, spec, content)
+    drop_files(spark, spec, read)
 
 
 def compact(spark: SparkSession, spec: TableSpec, months: list | None = None) -> None:
     """``OPTIMIZE ... FINAL``: keyed tables are physically deduplicated, plain
     tables only have their files merged (duplicates stay)."""
+    finish_rewrites(spark, spec)
     raw = read_raw(spark, spec, months)
-    if spec.keyed:
-        raw = latest(raw, spec.key, spec.order)
-    if spec.month_of and months is None:
-        months_touched = None
-    else:
-        months_touched = months
-    rewrite_months(spark, spec, raw, months_touched)
+    merged = latest(raw, spec.key, spec.order) if spec.keyed else raw
+    rewrite_months(spark, spec, merged, stored_files(raw, months))
+
+
+def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The load, written once and read back, so that it is evaluated once."""
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def prune_day(spark: SparkSession, spec: TableSpec, new: DataFrame, day_col: str, day, run_col: str) -> int:
     """Insert-then-prune for one day: rows of ``day`` older than this run are removed.
 
-    Only the month partition(s) holding ``day`` and the new rows are rewritten.
+    Only the month partition holding ``day`` is rewritten.
     """
-    new = _prepare(new, spec, None)
+    finish_rewrites(spark, spec)
+    new = _staged(spark, _prepare(new, spec, None))
     run_ts = new.agg(F.max(run_col)).first()[0]
     if run_ts is None:
         return 0  # nothing fetched → nothing pruned
-    if not path_exists(spark, spec.path):
+    if not path_bytes(spark, spec.path):
         append(new, spec)  # first load: nothing older to prune
         return 1
-    months = sorted(set(_months_of(new)) | {_month_of_value(spark, day)})
+    months = [_month_of_value(spark, day)]
     existing = read_raw(spark, spec, months)
-    keep = existing.filter(~((F.col(day_col) == F.lit(day).cast("date")) & (F.col(run_col) < F.lit(run_ts))))
-    rewrite_months(spark, spec, keep.unionByName(new, allowMissingColumns=True), months)
+    append(new, spec)
+    doomed = (F.col(day_col) == F.lit(day).cast("date")) & (F.col(run_col) < F.lit(run_ts))
+    _prune(spark, spec, existing, existing.filter(~F.coalesce(doomed, F.lit(False))), months)
     return 1
 
 
+def _prune(spark: SparkSession, spec: TableSpec, existing: DataFrame, survivors: DataFrame, months: list) -> None:
+    """Keep only ``survivors`` of the rows ``existing`` held when it was listed."""
+    files = stored_files(existing, months)
+    if not files:
+        return
+    observed, _ = _observe(_spread(survivors, spec, spark, path_bytes(spark, spec.path)))
+    _writer(observed, spec, "append").parquet(spec.path)
+    drop_files(spark, spec, files)
+
+
 def _month_of_value(spark, day):
     return spark.range(1).select(month_start(F.lit(day))).first()[0]
 
@@ -397,29 +430,31 @@ def prune_series(
     Returns the number of month partitions rewritten.
     """
     asset_cols = [asset_cols] if isinstance(asset_cols, str) else list(asset_cols)
-    new = _prepare(new, spec, None)
-    if not path_exists(spark, spec.path):
+    finish_rewrites(spark, spec)
+    new = _staged(spark, _prepare(new, spec, None))
+    if not path_bytes(spark, spec.path):
         append(new, spec)  # first load: nothing older to prune
         return 0
     returned = new if valid is None else new.filter(valid)
+    # One scalar pair for the whole load.
+    bound, run = returned.agg(F.max(date_col), F.max(run_col)).first()
+    existing = read_raw(spark, spec)
+    append(new, spec)
+    if bound is None:
+        return 0  # nothing prunable returned: insert only
     if per_asset:
         bounds = returned.groupBy(*asset_cols).agg(F.max(date_col).alias("_bound"), F.max(run_col).alias("_run"))
     else:
-        # One scalar pair for the whole load, applied as literals.
-        bound, run = returned.agg(F.max(date_col), F.max(run_col)).first()
-        if bound is None:
-            append(new, spec)  # nothing prunable returned: insert only
-            return 0
         bounds = returned.select(*asset_cols).distinct().select(
             *asset_cols, F.lit(bound).alias("_bound"), F.lit(run).alias("_run"))
-    existing = read_raw(spark, spec)
-    doomed_cond = (F.col(date_col) <= F.col("_bound")) & (F.col(run_col) < F.col("_run"))
-    # Months touched: where stored rows die, plus where new rows land.
-    doomed = existing.join(bounds, asset_cols).filter(doomed_cond)
-    months = sorted(set(_months_of(doomed)) | set(_months_of(new)))
+    doomed = F.coalesce((F.col(date_col) <= F.col("_bound")) & (F.col(run_col) < F.col("_run")), F.lit(False))
+    # Months in which stored rows die; none lies behind the newest bound.
+    reached = existing.filter(F.col(MONTH) <= month_start(F.lit(bound))) if spec.month_of == date_col else existing
+    months = _months_of(reached.join(bounds, asset_cols).filter(doomed))
     if not months:
         return 0
-    scope = read_raw(spark, spec, months)
-    survivors = scope.join(bounds, asset_cols, "left").filter(~F.coalesce(doomed_cond, F.lit(False))).select(*scope.columns)
-    rewrite_months(spark, spec, survivors.unionByName(new, allowMissingColumns=True), months)
+    scope = existing.filter(F.coalesce(F.col(MONTH).isin([str(m) for m in months if m is not None]), F.lit(False))
+                            | (F.col(MONTH).isNull() if None in months else F.lit(False)))
+    survivors = scope.join(bounds, asset_cols, "left").filter(~doomed).select(*scope.columns)
+    _prune(spark, spec, existing, survivors, months)
     return len(months)

@@ -52,12 +52,11 @@ def stream_upsert(spark, sf):
 
 @register("stream_dedupe", _EVENTS_SQL)
 def stream_dedupe(spark, sf):
-    """Re-delivered events dropped by key within the 3-day lateness bound."""
+    """Re-delivered events dropped by key, whatever their age."""
     folder, schema = _land(spark, sf, redeliver=True)
-    out, ckpt = scratch_path(spark, "dedupe_out"), scratch_path(spark, "ckpt")
-    stream = S.dedupe_stream(S.file_stream(spark, folder, schema), KEY, "event_time", "3 days")
-    S.append_to_parquet(stream, out, ckpt)
-    return spark.read.parquet(out)
+    spec = T.TableSpec(path=scratch_path(spark, "dedupe_out"), key=tuple(KEY))
+    S.dedupe_to_table(S.file_stream(spark, folder, schema, max_files_per_trigger=4), spec, scratch_path(spark, "ckpt"))
+    return T.read_latest(spark, spec)
 
 
 @register(
@@ -65,9 +64,9 @@ def stream_dedupe(spark, sf):
     "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1",
 )
 def stream_daily_counts(spark, sf):
-    """Per-day counts with a 3-day lateness bound, upserted per micro-batch."""
+    """Per-day counts of events of any age, upserted per micro-batch."""
     folder, schema = _land(spark, sf, redeliver=False)
     spec = T.TableSpec(path=scratch_path(spark, "daily_counts"), key=("day",))
-    counts = S.daily_counts(S.file_stream(spark, folder, schema, max_files_per_trigger=2), "event_time", "3 days")
+    counts = S.daily_counts(S.file_stream(spark, folder, schema, max_files_per_trigger=2), "event_time")
     S.counts_to_table(counts, spec, scratch_path(spark, "ckpt"))
     return T.read_latest(spark, spec)

@@ -1,9 +1,9 @@
 """The daily loads as Structured Streaming jobs.
 
 Landing folders are file-stream sources; every sink is a replacing table
-written from ``foreachBatch`` with the micro-batch id as the load sequence, so a
-replayed batch (after a failure) rewrites rows that compare equal and
-``read_latest`` stays exactly-once.  Checkpoints live under the shared root.
+written from ``foreachBatch`` with the same clock-based load sequence as the batch
+loads, so the last delivery wins whichever way it came.  A replayed batch (after a
+failure) adds the same rows again, which collapse on read.  Checkpoints live under the shared root.
 """
 
 from __future__ import annotations
@@ -24,17 +24,12 @@ def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
     return r.load(folder)
 
 
-def _batch_seq(base: int, batch_id: int) -> int:
-    return base + batch_id
-
-
-def upsert_batches(stream: DataFrame, spec: T.TableSpec, checkpoint: str, seq_base: int = 0,
-                   available_now: bool = True) -> StreamingQuery:
-    """Continuous landing → replacing table: each micro-batch is appended with
-    ``_load_seq = seq_base + batch_id`` (cheap insert; newest wins on read)."""
+def upsert_batches(stream: DataFrame, spec: T.TableSpec, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Continuous landing → replacing table: each micro-batch is appended as a
+    load of its own (cheap insert; newest wins on read)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        T.upsert(batch, spec, seq=_batch_seq(seq_base, batch_id))
+        T.upsert(batch, spec)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -49,7 +44,7 @@ def stream_upsert(spark: SparkSession, folder: str, schema, spec: T.TableSpec, c
 
 
 def _as_event_time(stream: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need a zoned TIMESTAMP; wall-clock NTZ columns are read as UTC."""
+    """Wall-clock NTZ columns are read as UTC."""
     from pyspark.sql.types import TimestampNTZType
 
     if isinstance(stream.schema[ts].dataType, TimestampNTZType):
@@ -57,12 +52,11 @@ def _as_event_time(stream: DataFrame, ts: str) -> DataFrame:
     return stream
 
 
-def dedupe_stream(stream: DataFrame, key: list[str], ts: str, delay: str = "3 days") -> DataFrame:
-    """Drop re-delivered events by key while they can still arrive (lateness bound ``delay``).
-
-    State per key is kept only up to the watermark, so it stays bounded.
-    """
-    return _as_event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
+def dedupe_to_table(stream: DataFrame, spec: T.TableSpec, checkpoint: str) -> None:
+    """Drop re-delivered events by key, however late they come: the replacing
+    table (``spec.key``) is the memory, so no state is kept and no row is dropped
+    for its age."""
+    upsert_batches(stream, spec, checkpoint).awaitTermination()
 
 
 def append_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
@@ -73,14 +67,10 @@ def append_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
-def daily_counts(stream: DataFrame, ts: str, delay: str = "3 days") -> DataFrame:
-    """Per-UTC-day event counts that accept arrivals up to ``delay`` late."""
-    return (
-        _as_event_time(stream, ts).withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 day").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.to_date(F.col("w.start")).alias("day"), "n")
-    )
+def daily_counts(stream: DataFrame, ts: str) -> DataFrame:
+    """Per-UTC-day event counts.  The state is one row per day, bounded by the
+    calendar, so there is no watermark and a row of any age is counted."""
+    return _as_event_time(stream, ts).groupBy(F.to_date(F.col(ts)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def counts_to_table(counts: DataFrame, spec: T.TableSpec, checkpoint: str) -> None:
@@ -88,7 +78,7 @@ def counts_to_table(counts: DataFrame, spec: T.TableSpec, checkpoint: str) -> No
     upserted, the latest batch wins on read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        T.upsert(batch, spec, seq=batch_id)
+        T.upsert(batch, spec)
 
     q = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

@@ -42,6 +42,27 @@ def test_daily_counts_stream_equals_batch(spark, scratch):
     assert got == [("2024-01-01", 24), ("2024-01-02", 24), ("2024-01-03", 24)]
 
 
+def test_a_late_first_delivery_is_kept(spark, scratch):
+    landing = scratch("landing")
+    spec = T.TableSpec(path=scratch("tbl"), key=("project_id", "event_name", "event_time", "insert_id"))
+    for hours in (24 * 20, 24 * 21, 24 * 5, 24 * 20):
+        _rows(spark, [hours]).coalesce(1).write.mode("append").parquet(landing)
+        S.dedupe_to_table(S.file_stream(spark, landing, _rows(spark, [0]).schema, max_files_per_trigger=1), spec, landing + "-ckpt")
+    assert sorted(r.insert_id for r in T.read_latest(spark, spec).collect()) == ["120", "480", "504"]
+
+
+def test_stream_and_batch_share_one_sequence(spark, scratch):
+    spec = T.TableSpec(path=scratch("tbl"), key=("project_id", "event_name", "event_time", "insert_id"))
+    T.upsert(_rows(spark, [0], n=1), spec)
+    for n in (2, 3):  # the second with a new checkpoint
+        landing = scratch("landing")
+        _rows(spark, [0], n=n).write.parquet(landing)
+        S.stream_upsert(spark, landing, _rows(spark, [0]).schema, spec, scratch("ckpt"))
+        assert [r.n for r in T.read_latest(spark, spec).collect()] == [n]
+    T.upsert(_rows(spark, [0], n=4), spec)
+    assert [r.n for r in T.read_latest(spark, spec).collect()] == [4]
+
+
 def test_sized_broadcast_checks_the_bound(spark):
     small = spark.range(10)
     assert "ResolvedHint" in small.transform(lambda d: J.sized_broadcast(d, 100))._jdf.queryExecution().analyzed().toString() or \
