@@ -307,11 +307,15 @@ def read_raw(spark: SparkSession, spec: TableSpec, months: list | None = None) -
     if spec.month_of:
         df = df.withColumn(MONTH, F.col(MONTH).cast("date"))
         if months is not None:
-            known = F.coalesce(F.col(MONTH).isin([str(m) for m in months if m is not None]), F.lit(False))
-            df = df.filter(known | F.col(MONTH).isNull() if None in months else known)
+            df = df.filter(_in_months(months))
     return df
 
 
+def _in_months(months: list) -> Column:
+    known = F.coalesce(F.col(MONTH).isin([str(m) for m in months if m is not None]), F.lit(False))
+    return known | F.col(MONTH).isNull() if None in months else known
+
+
 def business_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in INTERNAL]
 
@@ -398,6 +402,29 @@ def prune_day(spark: SparkSession, spec: TableSpec, new: DataFrame, day_col: str
     return 1
 
 
+def prune_days(spark: SparkSession, spec: TableSpec, new: DataFrame, day_col: str, run_col: str) -> int:
+    """:func:`prune_day` for every day that the load holds, in one pass over the
+    months in which rows die.  Returns the number of those months."""
+    finish_rewrites(spark, spec)
+    new = _staged(spark, _prepare(new, spec, None))
+    run_ts = new.agg(F.max(run_col)).first()[0]
+    if run_ts is None:
+        return 0
+    if not path_bytes(spark, spec.path):
+        append(new, spec)
+        return 0
+    existing = read_raw(spark, spec)
+    append(new, spec)
+    days = new.select(F.col(day_col)).distinct().withColumn("_returned", F.lit(True))
+    doomed = F.coalesce(F.col("_returned") & (F.col(run_col) < F.lit(run_ts)), F.lit(False))
+    months = _months_of(existing.join(days, day_col).filter(doomed))
+    if not months:
+        return 0
+    scope = existing.filter(_in_months(months))
+    _prune(spark, spec, existing, scope.join(days, day_col, "left").filter(~doomed).select(*scope.columns), months)
+    return len(months)
+
+
 def _prune(spark: SparkSession, spec: TableSpec, existing: DataFrame, survivors: DataFrame, months: list) -> None:
     """Keep only ``survivors`` of the rows ``existing`` held when it was listed."""
     files = stored_files(existing, months)
@@ -453,8 +480,7 @@ def prune_series(
     months = _months_of(reached.join(bounds, asset_cols).filter(doomed))
     if not months:
         return 0
-    scope = existing.filter(F.coalesce(F.col(MONTH).isin([str(m) for m in months if m is not None]), F.lit(False))
-                            | (F.col(MONTH).isNull() if None in months else F.lit(False)))
+    scope = existing.filter(_in_months(months))
     survivors = scope.join(bounds, asset_cols, "left").filter(~doomed).select(*scope.columns)
     _prune(spark, spec, existing, survivors, months)
     return len(months)

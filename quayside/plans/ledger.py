@@ -106,11 +106,11 @@ def bounded_write(spark: SparkSession, df: DataFrame, spec: T.TableSpec, max_mon
     T.append(df, spec)
     batches = F.broadcast(month_batches(df, spec.month_of, max_months))
     per_month = df.groupBy(month_start(spec.month_of).alias(T.MONTH)).agg(F.count(F.lit(1)).alias("n"))
-    cap = spec.max_records_per_file or (1 << 62)
+    files = F.ceil(F.col("n") / F.lit(spec.max_records_per_file)) if spec.max_records_per_file else F.lit(1)
     return per_month.join(batches, T.MONTH).groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("n_months"),
         F.sum("n").cast("bigint").alias("n_rows"),
         F.min(T.MONTH).alias("first_month"),
         F.max(T.MONTH).alias("last_month"),
-        F.sum(F.ceil(F.col("n") / F.lit(cap))).cast("bigint").alias("min_files"),
+        F.sum(files).cast("bigint").alias("min_files"),
     )

@@ -204,32 +204,37 @@ def forum_load(spark: SparkSession, category_payloads: DataFrame, user_pages: Da
 
 def spot_prices_load(spark: SparkSession, payloads: DataFrame, allowlist: DataFrame, spec: TB.TableSpec,
                      day, run_ts) -> DataFrame:
-    """Daily quotes → allowlist match → insert, then prune that day's older rows.
-    Returns the allowlisted assets that came back empty."""
-    quotes = P.spot_price_rows(payloads.withColumn("_day", F.lit(day).cast("date")), "_day")
+    """Daily quotes → allowlist match → insert, then prune the older rows of the
+    days returned.  ``day`` is the requested day, or the name of the payload
+    column that holds it when several days are loaded at once.  Returns the
+    allowlisted assets that came back empty."""
+    dated = payloads.withColumn("_day", F.col(day) if day in payloads.columns else F.lit(day).cast("date"))
+    quotes = P.spot_price_rows(dated, "_day")
     rows = J.allowlist_lookup(quotes, allowlist).select(
         "block_date", "symbol", "chain", "address", "price", "confidence", F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at")
     )
-    TB.prune_day(spark, spec, rows, "block_date", day, "ingested_at")
+    TB.prune_days(spark, spec, rows, "block_date", "ingested_at")
     return J.missing_assets(allowlist, rows, ["chain", "address"])
 
 
-def price_backfill_load(spark: SparkSession, windows: DataFrame, spec: TB.TableSpec, run_ts) -> None:
-    """Chart windows → one point per asset and day → insert, prune the returned series."""
+def price_backfill_load(spark: SparkSession, windows: DataFrame, spec: TB.TableSpec, run_ts, valid=None) -> None:
+    """Chart windows → one point per asset and day → insert, prune the returned
+    series; assets that fail ``valid`` are inserted but never pruned."""
     pts = P.chart_points(windows)
     series = M.merge_chart_windows(pts, "coin", "day", "price", "window_no", "pos", "confidence")
     rows = series.select(F.col("coin").alias("asset"), F.col("day").alias("block_date"), "price", "confidence",
                          F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"))
-    TB.prune_series(spark, spec, rows, "asset", "block_date", "ingested_at")
+    TB.prune_series(spark, spec, rows, "asset", "block_date", "ingested_at", valid=valid)
 
 
 def full_history_load(spark: SparkSession, points: DataFrame, spec: TB.TableSpec, today, run_ts,
                       include_today: bool = False, dry_run: bool = False) -> DataFrame | None:
-    """Full history: last point per day, today excluded, insert, per-asset prune.
+    """Full history: last point per day, today excluded, insert, per-asset prune
+    of the assets whose identifier is safe; the others are only inserted.
 
     ``dry_run`` returns the rows that would be written and leaves the table alone.
     """
-    from quayside.operators.filters import exclude_today
+    from quayside.operators.filters import SLUG_ID, exclude_today
 
     daily = M.last_price_per_day(points, "asset", "ts", "price", "pos")
     daily = exclude_today(daily, "day", today, include_today)
@@ -237,5 +242,5 @@ def full_history_load(spark: SparkSession, points: DataFrame, spec: TB.TableSpec
                         F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"))
     if dry_run:
         return rows
-    TB.prune_series(spark, spec, rows, "asset", "block_date", "ingested_at", per_asset=True)
+    TB.prune_series(spark, spec, rows, "asset", "block_date", "ingested_at", per_asset=True, valid=F.col("asset").rlike(SLUG_ID))
     return None

@@ -402,22 +402,15 @@ def forum_load(spark, sf):
 # Price loads
 # --------------------------------------------------------------------------- #
 
-SPOT_DAY = "1996-03-13"
-
-
-@register(
-    "spot_prices_load",
-    PR._LOOKUP_SQL + f"""
-SELECT block_date, symbol, chain, address, price, confidence FROM matched WHERE block_date = DATE '{SPOT_DAY}'""",
-)
+@register("spot_prices_load", PR._LOOKUP_SQL + "\nSELECT block_date, symbol, chain, address, price, confidence FROM matched")
 def spot_prices_load(spark, sf):
-    """A day's quotes matched to the allowlist, inserted, the day's older rows pruned (run twice)."""
+    """Quotes of all days matched to the allowlist, inserted, those days' older rows pruned (run twice)."""
     spec = TB.TableSpec(path=scratch_path(spark, "spot"), month_of="block_date", schema=(
         "block_date DATE, symbol STRING, chain STRING, address STRING, price DOUBLE, confidence DOUBLE, ingested_at TIMESTAMP_NTZ"))
-    payloads = PR.spot_payloads(spark, sf).filter(F.col("requested_day") == F.lit(SPOT_DAY).cast("date")).select("body")
+    payloads = PR.spot_payloads(spark, sf)
     allow = PR.allowlist(spark, sf)
-    LD.spot_prices_load(spark, payloads, allow, spec, SPOT_DAY, "2024-01-01 00:00:00")
-    LD.spot_prices_load(spark, payloads, allow, spec, SPOT_DAY, "2024-01-02 00:00:00")
+    LD.spot_prices_load(spark, payloads, allow, spec, "requested_day", "2024-01-01 00:00:00")
+    LD.spot_prices_load(spark, payloads, allow, spec, "requested_day", "2024-01-02 00:00:00")
     return TB.read_raw(spark, spec).select("block_date", "symbol", "chain", "address", "price", "confidence")
 
 

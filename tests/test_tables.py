@@ -221,3 +221,13 @@ def test_prune_evaluates_the_load_once_and_takes_null_dates(spark, scratch):
     T.prune_series(spark, spec, new, "asset", "block_date", "ingested_at")
     assert seen.value == 2
     assert _rows(spark, spec) == [("0xa", 2.0), ("0xa", 8.0), ("0xa", 9.0)]
+
+
+def test_prune_days_replaces_only_the_days_returned(spark, scratch):
+    spec = T.TableSpec(path=scratch("days"), month_of="block_date", schema=PDDL)
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    a, b, c = dt.date(2023, 11, 1), dt.date(2023, 11, 2), dt.date(2023, 12, 1)
+    T.append(_prices(spark, [("0xa", a, 1.0, t1), ("0xa", b, 2.0, t1), ("0xb", c, 3.0, t1), ("0xb", None, 4.0, t1)]), spec)
+    assert T.prune_days(spark, spec, _prices(spark, [("0xa", a, 9.0, t2), ("0xc", c, 8.0, t2)]), "block_date", "ingested_at") == 2
+    assert _rows(spark, spec) == [("0xa", 2.0), ("0xa", 9.0), ("0xb", 4.0), ("0xc", 8.0)]
+    assert T.prune_days(spark, spec, _prices(spark, []), "block_date", "ingested_at") == 0
