@@ -177,6 +177,9 @@ def _prefixes(docs: DataFrame, width: int, threshold: tuple[int, int], order, ra
                 h = shingles(text, width)
                 n = len(h)
                 rid = int(rid)
+                if base is not None and not 0 <= rid - base < 1 << 16:  # the next file of several in a partition
+                    yield from flush(base, texts, rare, common)
+                    texts, rare, common, size, base = [], [], [], 0, None
                 base = rid if base is None else base
                 doc = None if pd.isna(doc) else int(doc)
                 if not n:
@@ -237,15 +240,21 @@ def _unfolded(packed: DataFrame) -> DataFrame:
 
 
 class JaccardGroups:
-    """The steps of :func:`jaccard_groups`, over one input."""
+    """The steps of :func:`jaccard_groups`, over one input.
+
+    With ``numbered`` the rows are written once with their numbers: these depend
+    on how files are packed into partitions, so a later plan over the same files
+    can number other rows.  Without, numbers hold within the groups only."""
 
-    def __init__(self, docs: DataFrame, width: int, threshold: tuple[int, int], text: str, id: str):
+    def __init__(self, docs: DataFrame, width: int, threshold: tuple[int, int], text: str, id: str, numbered: bool = False):
         self.spark = docs.sparkSession
         prepare(self.spark)
+        self.scratch = Scratch(self.spark, "ngrams")
         # Rows of one partition have consecutive ids, so packed rows hold differences.
-        self.docs = docs.select(F.monotonically_increasing_id().alias("__rid"), F.col(id).cast("long").alias("__doc"), F.col(text).alias("__text"))
+        rows = docs.withColumn("__rid", F.monotonically_increasing_id())
+        self.rows = self.scratch.keep(rows) if numbered else rows
+        self.docs = self.rows.select("__rid", F.col(id).cast("long").alias("__doc"), F.col(text).alias("__text"))
         self.width, self.threshold = width, threshold
-        self.scratch = Scratch(self.spark, "ngrams")
 
     def order(self):
         """Broadcast order, and the number of shingle occurrences."""
@@ -410,19 +419,19 @@ def jaccard_groups(docs: DataFrame, width: int = 5, threshold: tuple[int, int] =
 
 
 def drop_copies(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5), text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``docs``, a written table, with one row of each group: that of the smallest
-    id, and of equal ids the first row.  Rows without shingles all stay.
+    """``docs`` with one row of each group: that of the smallest id, and of equal
+    ids the first row.  Rows without shingles all stay.
 
     Rows that may have to go are picked out by a bitmap; only they meet the
     exact list, so the texts of all others are not shuffled.
     """
-    join = JaccardGroups(docs, width, threshold, text, id)
+    join = JaccardGroups(docs, width, threshold, text, id, numbered=True)
     texts, groups = join.run()
     placed = join.scratch.keep(texts.join(groups.withColumnRenamed("id", "node"), "node", "left")
                                .select("rid", "doc", F.coalesce("component_id", "node").alias("group")))
     first = placed.groupBy("group").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "rid")).alias("first"))
     gone = join.scratch.keep(placed.join(first, "group").filter("rid <> first.rid").select(F.col("rid").alias("__rid")))
-    flagged = maybe_member(docs.withColumn("__rid", F.monotonically_increasing_id()), "__rid", gone, "__maybe", gone.count())
+    flagged = maybe_member(join.rows, "__rid", gone, "__maybe", gone.count())
     sure = flagged.filter(~F.col("__maybe"))
     checked = flagged.filter("__maybe").join(gone, "__rid", "left_anti")
     return sure.select(*docs.columns).unionAll(checked.select(*docs.columns))

@@ -91,6 +91,28 @@ def test_ngram_groups_of_repeated_rows_and_nothing(spark):
     assert ngram_join.jaccard_groups(df.limit(0)).count() == 0
 
 
+def test_copies_go_though_files_are_packed_anew(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(60)]
+    rows = [(k, texts[k // 2 if k % 3 else k % 60]) for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7, "doc_id")
+    _, want = brute_groups(rows)
+    path, run, setting = written(spark, df), ngram_join.JaccardGroups.run, "spark.sql.files.openCostInBytes"
+
+    def packed_anew(join):  # as when an executor is lost between the two plans
+        found = run(join)
+        spark.conf.set(setting, "1m")
+        return found
+
+    monkeypatch.setattr(ngram_join.JaccardGroups, "run", packed_anew)
+    spark.conf.set(setting, "1")
+    try:
+        kept = sorted(r.doc_id for r in ngram_join.drop_copies(spark.read.parquet(path)).collect())
+    finally:
+        spark.conf.unset(setting)
+    assert kept == sorted(i for i, c in want.items() if i == c)
+
+
 def test_packed_cells_round_trip():
     rng = np.random.default_rng(0)
     for size in (1, 5, 5000):
