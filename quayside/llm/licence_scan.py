@@ -100,7 +100,8 @@ RULES = [
 # Kinds from the most to the least binding; a text with several takes the first.
 KINDS = ["restricted", "copyleft", "unknown", "permissive"]
 
-_WORTH_READING = re.compile(r"licen[cs]|copyright|permi|warrant|redistribut|rights reserved|spdx|public domain|free software|unencumbered", re.I)
+# Stems of what reads like a licence (_LEGAL) or names one (_SPDX); single words, as a line may end between two.
+_STEMS = r"licen[cs]|copyright|permi|warrant|redistribut|spdx"
 _LEGAL = re.compile(r"\blicen[sc]ed? (?:under|at|for)\b|\blicense\b|\bcopyright\b|\bpermission is\b|\bwithout warranty\b|\bredistributions?\b", re.I)
 _COPYRIGHT = re.compile(r"^(?:copyright|c)\b.*\b(?:19|20)\d\d\b|^copyright (?:c )?(?:by )?\w")
 _SPDX = re.compile(r"spdx-license-identifier\s*:\s*([A-Za-z0-9.+-]+)", re.I)
@@ -121,6 +122,9 @@ class SentenceRules:
     def __init__(self, sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, str, list[str]]] = RULES):
         self.known = {normalise(s): name for name, forms in sentences.items() for s in forms}
         self.openings = {" ".join(words[:k]) for words in (s.split() for s in self.known) for k in range(1, len(words))}
+        # A word of each known sentence that holds none of the stems: without any, no sentence can be found.
+        words = (max(s.split(), key=lambda w: (not w.isalpha() and not w[0].isdigit(), len(w))) for s in self.known if s and not re.search(_STEMS, s))
+        self.worth_reading = re.compile("|".join([_STEMS, *map(re.escape, sorted(set(words)))]), re.I)
         self.rules = sorted(rules, key=lambda r: -len(r[2]))  # stable: among equal lengths the earlier rule
 
     def identifiers(self, text: str) -> list[str]:
@@ -186,7 +190,7 @@ class SentenceRules:
 
     def scan(self, text: str | None) -> tuple[list[str], list[str], str]:
         """``(identifiers, licences, kind)`` of a whole text."""
-        if not text or not _WORTH_READING.search(text):
+        if not text or not self.worth_reading.search(text.lower()):
             return [], [], "none"
         found = self.identifiers(text)
         licences = self.match(found)

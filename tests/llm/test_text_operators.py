@@ -195,6 +195,17 @@ def test_licences(spark):
     assert licence_scan.scan_licences(docs(spark).limit(0)).count() == 0
 
 
+def test_every_known_sentence_is_found_alone():
+    own = licence_scan.SentenceRules({"Own": ["Use it as you like"]}, [("own", "permissive", ["Own"])])
+    assert own.scan("Words. Use it as you\n like. Words.") == (["Own"], ["own"], "permissive")
+    rules = licence_scan.SentenceRules()
+    for name, forms in licence_scan.SENTENCES.items():
+        for form in forms:
+            assert rules.scan(f"{form}.")[0] == [name], form
+            assert rules.scan("# " + form.upper().replace(" ", "\n# "))[0] == [name], form
+    assert rules.scan("Released under CC0 1.0.")[1:] == (["CC0-1.0"], "permissive")
+
+
 def test_quality_trees(spark):
     rng = random.Random(1)
     good = [" ".join(rng.choice("the river runs over old stones and under green trees".split()) for _ in range(60)) + "." for _ in range(150)]
