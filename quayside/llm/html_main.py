@@ -3,10 +3,10 @@
 Pages of one host are put in the order of their URL paths, and each is paired
 with its neighbours there.  Their lines (one per text block) are aligned by
 longest common subsequence.  Shared lines are the site's, not the page's, and
-are deleted.  Markup that names its own role (menus, footers, adverts, an
-article element) decides before the comparison does, so that an article keeps a
-sentence that its neighbour happens to repeat, and a page that copies its
-neighbour does not lose its text.
+are deleted, inside article elements too, except headings and sentences there.
+Elements that are furniture by their tag (menus, footers) go; what only a word
+in a name suggests is settled by the comparison.  A neighbour that copies the
+page says nothing, and the nearest page that is none is compared instead.
 """
 
 from __future__ import annotations
@@ -52,7 +52,13 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
-FURNITURE_LINE, ARTICLE_LINE, OPEN_LINE = 0, 1, 2
+# What the markup says of a line.  A heading line is one of an article.  Of an
+# element with a furniture name, TOLD: a whole word of class, id or role is the
+# name ("ad"); NAMED, in or outside an article: a part of one ("no-sidebar").
+FURNITURE_LINE, ARTICLE_LINE, OPEN_LINE, HEADING_LINE, NAMED_LINE, NAMED_ARTICLE_LINE, TOLD_LINE = range(7)
+IN_ARTICLE = frozenset((ARTICLE_LINE, HEADING_LINE, NAMED_ARTICLE_LINE))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
 
 
 def _role(tag: str, rest: str, in_article: bool) -> int | None:
@@ -152,9 +158,9 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
                     if t in _SETS["block"]:
                         break
             inside = role_now()
-            role = _role(tag, m.group("rest"), inside == ARTICLE_LINE)
+            role = _role(tag, m.group("rest"), inside in IN_ARTICLE)
             if inside == FURNITURE_LINE or role is None:
-                role = inside
+                role = HEADING_LINE if inside == ARTICLE_LINE and tag in _HEADINGS else inside
             stack.append((tag, role))
     if at < len(page) and not silent:
         held.append(page[at:])
@@ -236,26 +242,63 @@ def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(bits.astype(np.int64))])
 
 
-COPY_SHARE = 0.5  # a neighbour that shares so much of a page's text is a copy of it
+COPY_SHARE = 0.9  # pages that share so much of the text of both are copies
 
 
-def shared_lines(lines: np.ndarray, chars: np.ndarray, neighbours: list[np.ndarray]) -> np.ndarray:
-    """Indexes of the lines that a neighbour shares.  ``neighbours`` stand nearest
-    first; one that is a copy (it shares most of the text) says nothing."""
+def is_copy(a: np.ndarray, chars_a: np.ndarray, b: np.ndarray, chars_b: np.ndarray) -> bool:
+    """Whether two whole pages are nearly equal."""
+    most, least = max(chars_a.sum(), chars_b.sum()), min(chars_a.sum(), chars_b.sum())
+    if least < COPY_SHARE * most:
+        return False
+    return np.array_equal(a, b) or bool(chars_a[common_lines(a, b)].sum() >= COPY_SHARE * most)
+
+
+def others(lines: list[np.ndarray], chars: list[np.ndarray], hosts: list[str], step: int) -> list[int | None]:
+    """For each page the nearest of its host in one direction that is no copy of
+    it.  Past a copy, the search goes on where that copy's own ended."""
+    n = len(lines)
+    found: list[int | None] = [None] * n
+    for k in range(n) if step < 0 else range(n - 1, -1, -1):
+        j = k + step if 0 <= k + step < n and hosts[k + step] == hosts[k] else None
+        while j is not None and is_copy(lines[k], chars[k], lines[j], chars[j]):
+            j = found[j]
+        found[k] = j
+    return found
+
+
+def shared_lines(lines: np.ndarray, neighbours: list[np.ndarray]) -> np.ndarray | None:
+    """Indexes of the lines that the first neighbour that shares any shares;
+    none without a neighbour."""
     for other in neighbours:
         found = common_lines(lines, other)
-        if len(found) and chars[found].sum() <= COPY_SHARE * chars.sum():
+        if len(found):
             return found
-    return np.zeros(0, np.int64)
+    return np.zeros(0, np.int64) if neighbours else None
 
 
 def main_text(texts: list[str], roles: list[int], shared) -> str:
-    """Joins what is left: inside an article element all but furniture; without
-    one, the lines that are neither furniture nor shared with a neighbour."""
-    shared = set(shared)
-    wanted = ARTICLE_LINE if any(r == ARTICLE_LINE for r in roles) else OPEN_LINE
-    return "\n".join(t for k, (t, r) in enumerate(zip(texts, roles))
-                     if r == wanted and (wanted == ARTICLE_LINE or k not in shared))
+    """Joins the lines that are neither furniture nor shared with a neighbour.
+
+    A heading or sentence of an article stays though shared.  Where the article
+    lines that are not shared are most of the text, they are all of it.  What a
+    part of a name calls furniture stays where a neighbour was compared and does
+    not share it, without neighbour only where it is most of the text; what a
+    whole name calls so, only where nothing else is left."""
+    compared = shared is not None
+    shared = set(shared if compared else ())
+    size = [0] * 7
+    for k, (t, r) in enumerate(zip(texts, roles)):
+        size[r] += len(t) if k not in shared else 0
+    named = compared or size[NAMED_LINE] + size[NAMED_ARTICLE_LINE] > size[OPEN_LINE] + size[ARTICLE_LINE] + size[HEADING_LINE]
+    article = {ARTICLE_LINE, HEADING_LINE} | ({NAMED_ARTICLE_LINE} if named else set())
+    outside = {OPEN_LINE} | ({NAMED_LINE} if named else set())
+    wanted = article if sum(size[r] for r in article) > sum(size[r] for r in outside) else article | outside
+
+    def joined(wanted):
+        return "\n".join(t for k, (t, r) in enumerate(zip(texts, roles)) if r in wanted and (
+            k not in shared or r == HEADING_LINE or r == ARTICLE_LINE and _SENTENCE.search(t)))
+
+    return joined(wanted) or joined({TOLD_LINE})
 
 
 def _path_key():
@@ -308,13 +351,14 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
         group = group.sort_values(order + ["guest"], kind="stable")
         hosts, paths, lines = group["host"].tolist(), group["path"].tolist(), [np.asarray(x, np.int64) for x in group["lines"]]
         chars = [np.asarray(x, np.int64) for x in group["chars"]]
-        out = []
+        out, sides = [], [others(lines, chars, hosts, step) for step in (-1, 1)]
         for k, (key, guest) in enumerate(zip(group["key"], group["guest"])):
             if guest:
                 continue
-            near = [j for j in (k - 1, k + 1) if 0 <= j < len(hosts) and hosts[j] == hosts[k]]
+            near = [side[k] for side in sides if side[k] is not None]
             near.sort(key=lambda j: -_same_start(paths[k], paths[j]))
-            out.append((key, shared_lines(lines[k], chars[k], [lines[j] for j in near]).tolist()))
+            found = shared_lines(lines[k], [lines[j] for j in near])
+            out.append((key, None if found is None else found.tolist()))
         return pd.DataFrame(out, columns=["key", "shared"])
 
     paired = (line.select(*columns, F.lit(False).alias("guest")).unionAll(guests.select(*columns, F.lit(True).alias("guest")))
@@ -332,7 +376,7 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
             texts, n_lines = [], []
             for page, shared in zip(batch["page"], batch["shared"]):
                 lines, roles = json.loads(zlib.decompress(page))
-                texts.append(main_text(lines, roles, [] if shared is None else shared))
+                texts.append(main_text(lines, roles, shared))
                 n_lines.append(len(lines))
             yield pd.DataFrame({id: batch["__id"], url: batch["__url"], "text": texts, "n_chars": [len(t) for t in texts],
                                 "n_lines": n_lines, "n_shared": [0 if s is None else len(s) for s in batch["shared"]]})

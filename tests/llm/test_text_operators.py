@@ -279,3 +279,24 @@ def test_pages_lose_what_neighbours_share(spark):
     assert got[102][0].text == got[103][0].text == "" and got[104][0].text == "plain <text"
     assert got[105][0].text == ("long words " * 20000).strip() and got[105][0].n_chars == len(got[105][0].text)
     assert html_main.extract_main_text(df.limit(0)).count() == 0
+
+
+def page_texts(pages):
+    """Main texts of pages of one host, in the order of their paths."""
+    outlines = [html_main.lines_of(p) for p in pages]
+    ids = [np.array([zlib.crc32(t.encode()) for t in ts], np.int64) for ts, _ in outlines]
+    chars = [np.array([len(t) for t in ts], np.int64) for ts, _ in outlines]
+    sides = [html_main.others(ids, chars, ["h"] * len(pages), step) for step in (-1, 1)]
+    return [html_main.main_text(ts, roles, html_main.shared_lines(ids[k], [ids[s[k]] for s in sides if s[k] is not None])) for k, (ts, roles) in enumerate(outlines)]
+
+
+def test_the_comparison_decides_where_markup_does_not():
+    body = [f"The body of page {k} stands in plain words, {k * 7919} of them." for k in range(4)]
+    teaser = ["<div><p>Home</p><p>Shop</p></div><div><p>%s</p></div><article><p>Teaser %d</p></article>" % (b, k) for k, b in enumerate(body)]
+    assert page_texts(teaser) == [f"{b}\nTeaser {k}" for k, b in enumerate(body)]
+    menus = ["<main><ul><li>Home</li><li>Shop</li></ul><h1>News</h1><p>%s</p><p>It is the same here.</p></main>" % b for b in body]
+    assert page_texts(menus) == [f"News\n{b}\nIt is the same here." for b in body]
+    frame = "<p>Home and shop and news and all that the site has to say at length on every page</p><p>%s</p>"
+    assert page_texts([frame % "Short one", frame % "Other two 2 2"]) == ["Short one", "Other two 2 2"]
+    copies = ["<p>Site</p><p>%s</p>" % body[k] for k in (0, 0, 0, 1)]
+    assert page_texts(copies) == [body[0]] * 3 + [body[1]]
