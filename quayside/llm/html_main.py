@@ -49,7 +49,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|title)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+>",
     re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # What the markup says of a line.  A heading line is one of an article.  Of an
@@ -61,25 +61,33 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
 
 
-def _role(tag: str, rest: str, in_article: bool) -> int | None:
-    """What an element says of its content: furniture, article, or nothing."""
-    names, role = set(), ""
+def _role(tag: str, rest: str, inside: int) -> int:
+    """What holds inside an element: what it says of its content, or what held outside."""
+    if inside == FURNITURE_LINE:
+        return inside
+    in_article = inside in IN_ARTICLE
+    names, whole, role = set(), set(), ""
     if rest:
         for m in _ATTRIBUTE.finditer(rest):
             key, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return FURNITURE_LINE
-            if key in ("class", "id", "role"):
+            if key == "role":
+                role = value.lower()
+            if key in ("class", "id", "role") and not (in_article and (tag in _HEADINGS or tag == "section" and key == "id")):
                 names |= {x.lower() for x in _NAME.findall(value)}
-                role = value.lower() if key == "role" else role
+                whole |= set(value.lower().split())
     if tag in _SETS["furniture"] or tag == "header" and not in_article:
         return FURNITURE_LINE
-    if tag not in ("article", "main", "body", "html"):
-        if names & _SETS["names"] or names & _SETS["alone"] and not names & _SETS["article"]:
-            return FURNITURE_LINE
     if tag in ("article", "main") or role in ("main", "article"):
         return ARTICLE_LINE
-    return None
+    if inside == TOLD_LINE:
+        return inside
+    if tag not in ("body", "html"):
+        told = names & _SETS["names"] or names & _SETS["alone"] and not names & _SETS["article"]
+        if told:
+            return TOLD_LINE if told & whole else NAMED_ARTICLE_LINE if in_article else NAMED_LINE
+    return HEADING_LINE if inside == ARTICLE_LINE and tag in _HEADINGS else inside
 
 
 def lines_of(page: str | None) -> tuple[list[str], list[int]]:
@@ -157,11 +165,7 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
                         break
                     if t in _SETS["block"]:
                         break
-            inside = role_now()
-            role = _role(tag, m.group("rest"), inside in IN_ARTICLE)
-            if inside == FURNITURE_LINE or role is None:
-                role = HEADING_LINE if inside == ARTICLE_LINE and tag in _HEADINGS else inside
-            stack.append((tag, role))
+            stack.append((tag, _role(tag, m.group("rest"), role_now())))
     if at < len(page) and not silent:
         held.append(page[at:])
     close_block()

@@ -300,3 +300,13 @@ def test_the_comparison_decides_where_markup_does_not():
     assert page_texts([frame % "Short one", frame % "Other two 2 2"]) == ["Short one", "Other two 2 2"]
     copies = ["<p>Site</p><p>%s</p>" % body[k] for k in (0, 0, 0, 1)]
     assert page_texts(copies) == [body[0]] * 3 + [body[1]]
+
+
+def test_a_name_does_not_take_the_page():
+    text = "<h1 id='navigation'>Title</h1><section id='social-history'><h2 id='related-work'>Part</h2><p data-hidden='false' title='the hidden valley'>Words.</p></section>"
+    want = "Title\nPart\nWords."
+    for opened in ("<article>", "<div class='layout no-sidebar'><article>", "<div class='container with-sidebar'><main>", "<div class='sidebar'><article>"):
+        assert page_texts([f"<body><div class='ad'>Buy this</div>{opened}{text}"]) == [want], opened
+    plain = ["<div class='layout no-sidebar'><p>Site</p><p>Words of page %d.</p></div>" % k for k in range(2)]
+    assert page_texts(plain) == ["Words of page 0.", "Words of page 1."] and page_texts(plain[:1]) == ["Site\nWords of page 0."]
+    assert page_texts(["<body><p>Text</p><p hidden>No</p><p style='display: none'>No</p><article><p>Much more text.</p></article>"]) == ["Much more text."]
