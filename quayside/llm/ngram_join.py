@@ -6,7 +6,7 @@ Two sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of
 each in that order (its prefix), so only documents that meet there can link;
 for given sizes the shared one stands before n - ceil(t / (1 + t) (n + m)) + 1.
 Candidates are then decided by vertical partitioning: the order is cut into
-fragments, every set into one segment per fragment, overlaps are counted per
+fragments, the rare shingles by hash, the frequent ones as the last, every set into one segment per fragment, overlaps are counted per
 pair and fragment, and the partial counts are summed per pair.
 
 What is wanted is the groups, so no group is expanded into its pairs.  Equal
@@ -105,6 +105,14 @@ class FrequentFirst:
         rest = h[common][np.lexsort((h[common], often[common]))]
         return rare, rest[:size - len(rare)]
 
+    def fragments(self, h: np.ndarray) -> list[np.ndarray]:
+        """Segments of a sorted set by the order: the rare shingles by equal ranges
+        of the hash, the frequent ones in the last."""
+        often = self.count(h) > 0
+        rare = h[~often]
+        edges = np.searchsorted(rare, [np.uint64((k << 64) // (FRAGMENTS - 1)) for k in range(1, FRAGMENTS - 1)])
+        return [*np.split(rare, edges), h[often]]
+
 
 def _count_cells(docs: DataFrame, width: int, ranges: int) -> DataFrame:
     """Occurrences of all shingle cells; returns ``cell, n`` of those with
@@ -293,6 +301,7 @@ class JaccardGroups:
         num, den = self.threshold
         keep = self.scratch.keep
         order, total = self.order()
+        self.known = order
         ranges = max(16, total // (2 * FLUSH))
         written = keep(_prefixes(self.docs, self.width, self.threshold, order, ranges), by="kind")
         texts = written.filter("kind = 'text'").select("rid", "doc", "digest", "n", "twice", "often")
@@ -379,7 +388,7 @@ class JaccardGroups:
         """Overlap of each pair: partial counts per fragment, summed per pair."""
         wanted = self.scratch.keep(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(nodes.select("node", "doc", "digest"), "node"))
         flagged = maybe_member(self.docs, "__doc", wanted.select(F.col("doc").alias("__doc")), "__wanted", wanted.count())
-        width, order = self.width, FRAGMENTS - 1
+        width, order = self.width, self.known
 
         def cut(batches):
             for batch in batches:
@@ -388,8 +397,7 @@ class JaccardGroups:
                     h = shingles(text, width)
                     if len(h):
                         digest = xxhash.xxh3_128_digest(h.tobytes())
-                        edges = np.searchsorted(h, [np.uint64((k << 64) // FRAGMENTS) for k in range(1, FRAGMENTS)])
-                        rows += [(digest, k, s.view(np.int64)) for k, s in enumerate(np.split(h, edges)) if len(s)]
+                        rows += [(digest, k, s.view(np.int64)) for k, s in enumerate(order.value.fragments(h)) if len(s)]
                 yield pd.DataFrame(rows, columns=["digest", "fragment", "segment"])
 
         cut_texts = flagged.filter("__wanted").select("__text").mapInPandas(cut, "digest binary, fragment int, segment array<long>")

@@ -121,6 +121,16 @@ def test_packed_cells_round_trip():
             assert (ngram_join._unpack(ngram_join._pack(cells, 0), 0) == cells).all()
 
 
+def test_frequent_shingles_stand_in_the_last_fragment():
+    h = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 5000, dtype=np.uint64))
+    often = h[::7]
+    known = ngram_join.FrequentFirst(ngram_join._cells(often), np.full(len(often), 9))
+    *rare, last = known.fragments(h)
+    assert len(rare) == ngram_join.FRAGMENTS - 1 and (last == often).all()
+    assert (np.concatenate(rare) == np.delete(h, np.arange(0, len(h), 7))).all() and all(len(s) for s in rare)
+    assert sum(map(len, ngram_join.FrequentFirst(np.zeros(0, int), np.zeros(0, int)).fragments(h))) == len(h)
+
+
 def brute_vectors(rows):
     links, count = [], {i: 0 for i, _ in rows}
     good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
