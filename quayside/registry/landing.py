@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators import filters as FL
-from quayside.operators import tables as TB
 from quayside.plans.sqlfiles import run_statements
 from quayside.registry.base import ORDERS_COLS, register, src
 from quayside.session import scratch_path, table_path
@@ -291,7 +290,7 @@ def events_rows(spark, sf):
 def _drops(spark, sf):
     """Monthly drops ``YYYY-MM-01.parquet`` of orders, plus an undated Parquet drop
     (the 'P' orders) and a non-Parquet object."""
-    from quayside.operators.tables import _fs, _rename
+    from quayside.operators.tables import _fs
 
     folder = scratch_path(spark, "drops")
     staging = folder + "-staging"
@@ -300,13 +299,14 @@ def _drops(spark, sf):
         "rebalance", "drop"
     ).write.partitionBy("drop").parquet(staging)
     fs, root = _fs(spark, staging)
+    fs.mkdirs(_fs(spark, folder)[1])
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if name.startswith("drop="):
-            _rename(spark, f"{staging}/{name}", f"{folder}/{name[5:]}.parquet")
+        if name.startswith("drop=") and not fs.rename(st.getPath(), _fs(spark, f"{folder}/{name[5:]}.parquet")[1]):
+            raise OSError(f"could not move {name}")
     o.filter(F.col("o_orderstatus") == "P").write.parquet(f"{folder}/undated.parquet")
     spark.createDataFrame([("not data",)], "value STRING").write.text(f"{folder}/notes.txt")
-    TB._delete(spark, staging)
+    fs.delete(root, True)
     return folder
 
 
