@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.session import read_table
 
-from . import boosted_quality, html_main, licence_scan, line_rules, metric_join, mixture_shards, ngram_join, prefix_bpe, token_counts, vector_packing
+from . import boosted_quality, html_main, licence_scan, line_rules, metric_join, mixture_shards, ngram_join, phrase_mining, prefix_bpe, token_counts, vector_packing
 
 SHARDS = 24
 TOKEN_LIMIT = 512
@@ -20,6 +20,9 @@ SEQUENCE_TOKENS = 1024
 SEQUENCE_SEGMENTS = 64
 ACCEPTED_SCORE = 0.7
 NEAR_COSINE = 0.9
+PHRASE_LEAST = 30
+PHRASE_WORDS = 4
+PHRASES = 2000
 
 
 def op1_page_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +74,14 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"), "licence_kind")
 
 
+def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = phrase_mining.mine_phrases(read_table(spark, sf_dir, "documents"), PHRASE_LEAST, PHRASE_WORDS)
+    return phrase_mining.best_of_each_language(phrases, PHRASES).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_main_text, op2_ngram_groups, op3_line_rules, op4_prefix_bpe, op5_mixture_shards, op6_near_vectors, op7_token_counts,
-    op8_vector_packing, op9_boosted_quality, op10_licence_scan)}
+    op8_vector_packing, op9_boosted_quality, op10_licence_scan, op11_setm_phrases)}
 
 
 def _quoted(text: str) -> str:
@@ -133,6 +141,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT 100 * lost > 50 * word_chars AS kept
 FROM m""",
+    "op11_setm_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+above AS (
+  SELECT lang, g, max(f) AS above FROM (SELECT lang, g[:k - 1] AS g, f FROM f WHERE k > 2 UNION ALL SELECT lang, g[2:] AS g, f FROM f WHERE k > 2)
+  GROUP BY ALL),
+c AS (
+  SELECT f.lang, f.g, f.f AS a, unnest(range(1, f.k)) AS cut FROM f LEFT JOIN above USING (lang, g)
+  WHERE f.k > 1 AND (above IS NULL OR 100 * above < 80 * f.f)),
+s AS (
+  SELECT c.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.g = c.g[:cut] JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1:]),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+  array_to_string(g, ' ') AS phrase, a, l, r, n, score
+FROM best JOIN n USING (lang) QUALIFY rank <= 2000""",
     "op6_near_vectors": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0

@@ -18,10 +18,11 @@ from quayside.session import scratch_path
 ARROW_ROWS = 1000
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Session settings the Python-backed operators rely on, and the library
-    itself for the Python workers of executors that do not have it installed."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    itself for the Python workers of executors that do not have it installed.
+    Rows that hold megabytes each go to Python ``rows`` at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     sc = spark.sparkContext
     if _SHIPPED.get("to") != sc.applicationId:
         _SHIPPED["to"] = sc.applicationId
