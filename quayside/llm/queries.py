@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.session import read_table
 
-from . import boosted_quality, html_main, licence_scan, line_rules, metric_join, mixture_shards, ngram_join, phrase_mining, prefix_bpe, token_counts, vector_packing
+from . import boosted_quality, hard_negatives, html_main, licence_scan, line_rules, metric_join, mixture_shards, ngram_join, phrase_mining, prefix_bpe, token_counts, vector_packing
 
 SHARDS = 24
 TOKEN_LIMIT = 512
@@ -79,9 +79,15 @@ def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.best_of_each_language(phrases, PHRASES).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op12_zone_map_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(vectors.withColumn("label", moved), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_main_text, op2_ngram_groups, op3_line_rules, op4_prefix_bpe, op5_mixture_shards, op6_near_vectors, op7_token_counts,
-    op8_vector_packing, op9_boosted_quality, op10_licence_scan, op11_setm_phrases)}
+    op8_vector_packing, op9_boosted_quality, op10_licence_scan, op11_setm_phrases, op12_zone_map_negatives)}
 
 
 def _quoted(text: str) -> str:
@@ -163,6 +169,21 @@ best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER B
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
   array_to_string(g, ' ') AS phrase, a, l, r, n, score
 FROM best JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op12_zone_map_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
     "op6_near_vectors": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
