@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .shared import Memo, Scratch, prepare
 
-BLOCK_WORDS = 500_000     # words that a task gathers before it counts or writes them
-RELATION_ROWS = 16        # blocks in one Arrow batch: 4 MB each
+BLOCK_WORDS = 250_000     # words that a task gathers before it counts or writes them
+RELATION_ROWS = 16        # blocks in one Arrow batch: 2 MB each
+TASK_NAMES = 100_000      # different phrases that a task gathers before it hands on their counts
 RANGES_PER_SPLIT = 8      # counting tasks' key ranges for each split of the input
 FILTER_BITS = 27          # the semi-join filter never has more bits than 2^27 (16 MB)
 UNKNOWN = "und"
@@ -50,7 +51,7 @@ def _named(word: bytes) -> int:
     return 0 if word == _GAP else xxhash.xxh64_intdigest(word) or 1
 
 
-_WORDS = Memo(_named, 200_000)
+_WORDS = Memo(_named, 100_000)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -175,26 +176,57 @@ def _word_counts(docs: DataFrame, ranges: int) -> DataFrame:
 _KINDS = "kind string, ids binary, id long, left long, right long, lang string, word string, n long"
 
 
-def _rows(kind: str, **columns) -> pd.DataFrame:
-    out = pd.DataFrame(columns)
-    for c in ("ids", "id", "left", "right", "lang", "word", "n"):
-        if c not in out:
-            out[c] = None
-    return out.assign(kind=kind)[["kind", "ids", "id", "left", "right", "lang", "word", "n"]].astype(
+def _relation_row(ids: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"kind": ["relation"], "ids": [ids.tobytes()], **dict.fromkeys(("id", "left", "right", "lang", "word", "n"))}).astype(
         {c: "Int64" for c in ("id", "left", "right", "n")})
 
 
+class _Names:
+    """Phrases of a task with their counts, handed on when there are many."""
+
+    def __init__(self, *parts: str):
+        self.parts, self.held, self.size = parts, [], 0
+
+    def add(self, id: np.ndarray, n: np.ndarray, *parts) -> Iterator[pd.DataFrame]:
+        self.held.append((id, n, *[np.asarray(p) for p in parts]))
+        self.size += len(id)
+        if self.size > 2 * TASK_NAMES:
+            self._fold()
+            if self.size > TASK_NAMES:
+                yield from self.flush()
+
+    def _fold(self) -> None:
+        id, n, *parts = (np.concatenate(c) for c in zip(*self.held))
+        id, first, of = np.unique(id, return_index=True, return_inverse=True)
+        for p in parts:
+            if (p != p[first][of.reshape(-1)]).any():
+                raise ValueError("two phrases share a 64-bit name")
+        self.held = [(id, np.bincount(of.reshape(-1), n, len(id)).astype(np.int64), *[p[first] for p in parts])]
+        self.size = len(id)
+
+    def flush(self) -> Iterator[pd.DataFrame]:
+        if self.held:
+            self._fold()
+            id, n, *parts = self.held[0]
+            named = {"id": id.view(np.int64), "n": n, **{c: p.view(np.int64) if p.dtype == np.uint64 else p for c, p in zip(self.parts, parts)}}
+            out = pd.DataFrame({"kind": "name", "ids": None, **dict.fromkeys(("id", "left", "right", "lang", "word", "n")), **named}, index=range(len(id)))
+            yield out.astype({c: "Int64" for c in ("id", "left", "right", "n")})
+            self.held, self.size = [], 0
+
+
 def _first_relation(docs: DataFrame, known) -> DataFrame:
     """R_1 in blocks (kind ``relation``), and its words with their counts (kind ``name``)."""
     def emit(batches):
+        named = _Names("lang", "word")
         for held in _gathered(batches):
             ids = held.block()
             ids[~known.value.has(ids)] = 0
-            yield _rows("relation", ids=[ids.tobytes()])
+            yield _relation_row(ids)
             at = np.flatnonzero(ids)
             names, first, n = np.unique(ids[at], return_index=True, return_counts=True)
             words = [held.words[k].decode("utf-8", "surrogatepass") for k in at[first]]
-            yield _rows("name", id=names.view(np.int64), lang=held.lang_at(at[first]), word=words, n=n)
+            yield from named.add(names, n, np.array(held.lang_at(at[first]), object), np.array(words, object))
+        yield from named.flush()
 
     return docs.mapInPandas(emit, _KINDS)
 
@@ -211,21 +243,24 @@ def _next_counts(relation: DataFrame, ranges: int) -> DataFrame:
 def _next_relation(relation: DataFrame, known) -> DataFrame:
     """R_(k+1) of the frequent names, and its phrases by their parts (kind ``name``)."""
     def emit(batches):
+        named = _Names("left", "right")
         for batch in batches:
             for blob in batch["ids"]:
                 ids = np.frombuffer(blob, np.uint64)
                 at, names = joined(ids)
                 keep = known.value.has(names)
                 at, names = at[keep], names[keep]
+                if not len(at):
+                    continue
                 longer = np.zeros(len(ids), np.uint64)
                 longer[at] = names
-                if len(at):
-                    yield _rows("relation", ids=[longer.tobytes()])
-                _, first, of, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
-                left, right = ids[at[first]], ids[at[first] + 1]
-                if len(at) and ((ids[at] != left[of.reshape(-1)]) | (ids[at + 1] != right[of.reshape(-1)])).any():
+                yield _relation_row(longer)
+                names, first, of, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+                left, right = ids[at], ids[at + 1]
+                if ((left != left[first][of.reshape(-1)]) | (right != right[first][of.reshape(-1)])).any():
                     raise ValueError("two phrases share a 64-bit name")
-                yield _rows("name", id=names[first].view(np.int64), left=left.view(np.int64), right=right.view(np.int64), n=n)
+                yield from named.add(names, n, left[first], right[first])
+        yield from named.flush()
 
     return relation.select("ids").mapInPandas(emit, _KINDS)
 
