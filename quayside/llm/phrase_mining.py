@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from .shared import Memo, Scratch, prepare
 
 BLOCK_WORDS = 250_000     # words that a task gathers before it counts or writes them
-RELATION_ROWS = 16        # blocks in one Arrow batch: 2 MB each
-TASK_NAMES = 100_000      # different phrases that a task gathers before it hands on their counts
+RELATION_WORDS = 65_536   # words of one row of a relation
+RELATION_ROWS = 4         # of its rows in one Arrow batch: half a megabyte each
+TASK_NAMES = 250_000      # different phrases that a task gathers before it hands on their counts
 RANGES_PER_SPLIT = 8      # counting tasks' key ranges for each split of the input
 FILTER_BITS = 27          # the semi-join filter never has more bits than 2^27 (16 MB)
 UNKNOWN = "und"
@@ -176,8 +177,12 @@ def _word_counts(docs: DataFrame, ranges: int) -> DataFrame:
 _KINDS = "kind string, ids binary, id long, left long, right long, lang string, word string, n long"
 
 
-def _relation_row(ids: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"kind": ["relation"], "ids": [ids.tobytes()], **dict.fromkeys(("id", "left", "right", "lang", "word", "n"))}).astype(
+def _relation_rows(ids: np.ndarray) -> pd.DataFrame:
+    """Rows of about ``RELATION_WORDS`` places, cut where nothing stands, so that no phrase is cut."""
+    gaps = np.flatnonzero(ids == 0)
+    after = np.searchsorted(gaps, np.arange(RELATION_WORDS, len(ids), RELATION_WORDS))
+    parts = [p for p in np.split(ids, np.unique(gaps[after[after < len(gaps)]])) if p.any()]
+    return pd.DataFrame({"kind": "relation", "ids": [p.tobytes() for p in parts], **dict.fromkeys(("id", "left", "right", "lang", "word", "n"))}).astype(
         {c: "Int64" for c in ("id", "left", "right", "n")})
 
 
@@ -221,7 +226,7 @@ def _first_relation(docs: DataFrame, known) -> DataFrame:
         for held in _gathered(batches):
             ids = held.block()
             ids[~known.value.has(ids)] = 0
-            yield _relation_row(ids)
+            yield _relation_rows(ids)
             at = np.flatnonzero(ids)
             names, first, n = np.unique(ids[at], return_index=True, return_counts=True)
             words = [held.words[k].decode("utf-8", "surrogatepass") for k in at[first]]
@@ -254,7 +259,7 @@ def _next_relation(relation: DataFrame, known) -> DataFrame:
                     continue
                 longer = np.zeros(len(ids), np.uint64)
                 longer[at] = names
-                yield _relation_row(longer)
+                yield _relation_rows(longer)
                 names, first, of, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
                 left, right = ids[at], ids[at + 1]
                 if ((left != left[first][of.reshape(-1)]) | (right != right[first][of.reshape(-1)])).any():
