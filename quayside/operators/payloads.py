@@ -9,6 +9,8 @@ no shuffle at all.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,10 @@ from quayside.functions.coerce import (
     try_cast,
     unix_or_epoch,
 )
+from quayside.operators.tables import TableSpec, append
+from quayside.session import scratch_path
 
+POLL_VOTES = ["options", "preloaded_voters"]  # fixed values: what a poll's header leaves to its rows and the post
 LIKE_ACTION_ID = 2  # fixed value: the "like" entry of a post's action summary
 
 # --------------------------------------------------------------------------- #
@@ -63,13 +68,13 @@ POLL = (
 POST = (
     "struct<id: string, topic_id: string, post_number: string, user_id: string, username: string, created_at: string, "
     "updated_at: string, reply_to_post_number: string, reply_count: string, reads: string, raw: string, cooked: string, "
-    f"actions_summary: array<struct<id: bigint, count: string>>, polls: array<{POLL}>>"
+    f"actions_summary: array<struct<id: bigint, count: string>>, polls: array<string>>"
 )
 TOPIC = (
     "struct<id: string, title: string, slug: string, category_id: string, posts_count: string, reply_count: string, "
     "views: string, like_count: string, participant_count: string, tags: array<string>, created_at: string, "
     "last_posted_at: string, bumped_at: string, closed: boolean, archived: boolean, pinned: boolean, "
-    f"post_stream: struct<posts: array<{POST}>, stream: array<bigint>>>"
+    "post_stream: struct<posts: array<string>, stream: array<bigint>>>"
 )
 LIKE_ACTION = (
     "struct<post_id: string, topic_id: string, post_number: string, acting_user_id: string, created_at: string, "
@@ -83,14 +88,111 @@ def _s(c) -> Column:
 
 
 # --------------------------------------------------------------------------- #
-# Trades / fills
+# Pages → elements and rejects
 # --------------------------------------------------------------------------- #
 
 
-def explode_json_array(df: DataFrame, body: str, element_ddl: str, keep=()) -> DataFrame:
-    """Payload holding a JSON array → one row per element with its position."""
-    arr = F.from_json(F.col(body), f"array<{element_ddl}>")
-    return df.select(*keep, F.posexplode_outer(arr).alias("pos", "e")).filter(F.col("e").isNotNull())
+class Payload(NamedTuple):
+    """A kind of landed page: where its list of elements stands (a dotted path,
+    empty for a body that is the list, ``None`` for a body that is one element),
+    and the fields read of each element."""
+
+    entity: str
+    path: str | None
+    ddl: str
+
+
+TRADES = Payload("trades", "", TRADE)
+PROFILES = Payload("profiles", "results", "struct<`$distinct_id`: string, `$properties`: string>")
+SPACES = Payload("space", None, SPACE)
+PROPOSALS = Payload("proposals", "", PROPOSAL)
+VOTES = Payload("votes", "", VOTE)
+FOLLOWS = Payload("follows", "", FOLLOW)
+CATEGORIES = Payload("categories", "category_list.categories", f"struct<{CATEGORY_FIELDS}, subcategory_list: array<string>>")
+USERS = Payload("users", "directory_items", USER_ITEM)
+TOPICS = Payload("topics", None, TOPIC)
+LIKES = Payload("likes", "user_actions", LIKE_ACTION)
+
+REJECTS_DDL = "entity STRING, page STRING, pos INT, reason STRING, text STRING"
+_REASON = "reject_reason"
+
+
+def landed(pages: DataFrame, payload: Payload, keep=(), body: str = "body") -> DataFrame:
+    """Pages → ``keep..., pos, raw_json, e, reject_reason``: a row per element, and a
+    row with a reason per page or element that cannot be read.
+
+    Page reasons: ``empty``, ``malformed`` (cut off or no JSON), ``errors`` (an
+    error answer), ``not_a_list``; a well-formed page whose list is missing or
+    null holds nothing.  Element reason: ``not_an_object``; ``raw_json`` is then
+    the element, and of a page the page.  Of a readable element it is the JSON
+    object as parsed, keys in their order.
+    """
+    text = F.col("_body")
+    if payload.path is None:
+        items = F.array(text)
+    else:
+        names = payload.path.split(".") if payload.path else []
+        ddl = "array<string>"
+        for n in reversed(names):
+            ddl = f"struct<`{n}`: {ddl}>"
+        items = F.from_json(text, ddl)
+        for n in names:
+            items = items[n]
+    well_formed = F.json_object_keys(text).isNotNull() | F.json_array_length(text).isNotNull()
+    page_reason = (
+        F.when(F.coalesce(F.trim(text), F.lit("")) == "", "empty")
+        .when(~well_formed, "malformed")
+        .when(F.get_json_object(text, "$.errors").isNotNull(), "errors")
+    )
+    if payload.path is not None:
+        listed = F.lit(True) if not payload.path else F.get_json_object(text, "$." + payload.path).isNotNull()
+        page_reason = F.when(F.col("_items").isNull(), page_reason.when(listed, "not_a_list"))
+    keep = list(keep)
+    parsed = pages.select(*keep, F.col(body).alias("_body")).withColumn("_items", items).withColumn("_why", page_reason)
+    none = F.array(F.lit(None).cast("string"))
+    rows = parsed.select(*keep, "_why", "_body", F.posexplode(F.when(F.col("_why").isNotNull(), none).otherwise(F.col("_items"))).alias("pos", "_item"))
+    fine = F.col("_why").isNull()
+    is_object = F.coalesce(F.col("_item").rlike(r"^\s*\{"), F.lit(False))
+    return rows.select(
+        *keep, F.when(fine, F.col("pos")).alias("pos"), F.when(fine, F.col("_item")).otherwise(F.col("_body")).alias("raw_json"),
+        F.when(fine & is_object, F.from_json("_item", payload.ddl)).alias("e"),
+        F.when(fine & ~is_object, "not_an_object").otherwise(F.col("_why")).alias(_REASON))
+
+
+def elements(pages: DataFrame, payload: Payload, keep=(), body: str = "body") -> DataFrame:
+    """The readable elements of pages, or of pages already given to :func:`landed`."""
+    if _REASON not in pages.columns:
+        pages = landed(pages, payload, keep, body)
+    return pages.filter(F.col(_REASON).isNull()).select(*keep, "pos", "raw_json", "e")
+
+
+def page_rejects(parsed: DataFrame, payload: Payload, page=(), entity: str | None = None) -> DataFrame:
+    """What :func:`landed` could not read: ``entity, page, pos, reason, text``.
+    ``page`` names the columns that identify a page, ``entity`` one that holds the
+    entity in place of the payload's."""
+    return parsed.filter(F.col(_REASON).isNotNull()).select(
+        (F.lit(payload.entity) if entity is None else F.col(entity)).alias("entity"),
+        F.concat_ws("/", *[F.col(c).cast("string") for c in page]).alias("page"), "pos", F.col(_REASON).alias("reason"), F.col("raw_json").alias("text"))
+
+
+def land(pages: DataFrame, payload: Payload, rejects: TableSpec | None = None, keep=(), page=(), run_ts=None, body: str = "body") -> DataFrame:
+    """Parses pages once: the result is written to the shared folder, what cannot
+    be read goes to the table ``rejects``, and the written rows are returned for
+    the row builders, which take them like pages."""
+    spark = pages.sparkSession
+    path = scratch_path(spark, "landed-" + payload.entity)
+    parsed = landed(pages, payload, list(dict.fromkeys([*keep, *page])), body)
+    parsed.write.parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
+    if rejects is not None:
+        bad = page_rejects(parsed, payload, page)
+        append(bad if run_ts is None else bad.withColumn("rejected_at", F.lit(run_ts).cast("timestamp_ntz")), rejects)
+    return parsed
+
+
+# --------------------------------------------------------------------------- #
+# Trades / fills
+# --------------------------------------------------------------------------- #
 
 
 def _amount(fee: Column) -> Column:
@@ -98,27 +200,88 @@ def _amount(fee: Column) -> Column:
     return F.coalesce(F.nullif(fee["amount"], F.lit("")), F.lit("0"))
 
 
+LIMB = 18  # digits of one part of a long sum
+
+
+def _limbs(text: Column) -> Column:
+    """A whole number's text as parts of ``LIMB`` digits, the last digits first,
+    each with the number's sign."""
+    digits = F.regexp_replace(text, r"^[+-]", "")
+    parts = F.greatest(F.lit(1), F.ceil(F.length(digits) / LIMB)).cast("int")
+    padded = F.lpad(digits, parts * LIMB, F.lit("0"))
+    sign = F.when(text.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    return F.transform(F.sequence(F.lit(1), parts), lambda k: (
+        try_cast(F.substring(padded, (parts - k) * LIMB + 1, F.lit(LIMB)), "decimal(38,0)") * sign).cast("decimal(38,0)"))
+
+
+def _carried(limbs: Column) -> Column:
+    """Parts brought into 0 .. 10^LIMB - 1, and what is carried out of the last."""
+    base = F.lit(10**LIMB).cast("decimal(38,0)")
+    start = F.struct(F.lit(0).cast("decimal(38,0)").alias("carry"), F.array().cast("array<decimal(38,0)>").alias("out"))
+
+    def step(acc, limb):
+        total = (acc["carry"] + limb).cast("decimal(38,0)")
+        digit = F.pmod(total, base).cast("decimal(38,0)")
+        return F.struct(((total - digit) / base).cast("decimal(38,0)").alias("carry"), F.concat(acc["out"], F.array(digit)).alias("out"))
+
+    return F.aggregate(limbs, start, step)
+
+
+def sum_of_wholes(texts: Column) -> Column:
+    """Sum of an array of whole numbers of any length, as text; NULL where one of
+    them is no whole number.  ``[]`` sums to 0."""
+    trimmed = F.transform(texts, lambda t: F.trim(t))
+    valid = ~F.exists(trimmed, lambda t: t.isNull() | ~t.rlike(r"^[+-]?[0-9]+$"))
+    short = ~F.exists(trimmed, lambda t: F.length(t) > 27)  # 10^10 of these stay within 38 digits
+    plain = F.aggregate(trimmed, F.lit(0).cast("decimal(38,0)"), lambda acc, t: F.try_add(acc, try_cast(t, "decimal(38,0)")).cast("decimal(38,0)"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    added = F.aggregate(trimmed, F.array().cast("array<decimal(38,0)>"), lambda acc, t: F.zip_with(
+        acc, _limbs(t), lambda x, y: (F.coalesce(x, zero) + F.coalesce(y, zero)).cast("decimal(38,0)")))
+
+    def written(limbs: Column) -> Column:
+        def text(sign: str, value: Column) -> Column:
+            tops = F.reverse(F.concat(value["out"], F.array(value["carry"])))
+            digits = F.regexp_replace(F.array_join(F.transform(tops, lambda d: F.lpad(d.cast("string"), LIMB, "0")), ""), "^0+(?=[0-9])", "")
+            return F.concat(F.lit(sign), digits)
+
+        return _once(_carried(limbs), lambda up: F.when(up["carry"] >= 0, text("", up)).otherwise(
+            _once(_carried(F.transform(limbs, lambda x: (-x).cast("decimal(38,0)"))), lambda down: text("-", down))))
+
+    return F.when(valid, F.when(short, plain.cast("string")).otherwise(_once(added, written)))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _by_size(number: Column) -> Column:
+    """A key that orders whole numbers given as text; NULL comes first."""
+    digits = F.regexp_replace(number, "^-", "")
+    return F.when(number.startswith("-"), F.struct(F.lit(0).alias("up"), (-F.length(digits)).alias("n"), F.translate(digits, "0123456789", "9876543210").alias("d"))).when(
+        number.isNotNull(), F.struct(F.lit(1).alias("up"), F.length(digits).alias("n"), digits.alias("d")))
+
+
 def fee_by_dominant_token(fees: Column) -> Column:
     """Per trade: token with the greatest summed fee (tie → first seen), that sum
     as text; ``('', '0')`` when there are no fees.
 
-    Sums are DECIMAL(38,0); an overflowing sum becomes NULL (reported, never wrapped).
+    Sums are exact at any length.  A token with an amount that is no whole number
+    has no sum: it loses to every other, and is NULL when it is the only one.
     """
     fees = F.coalesce(fees, F.array().cast(f"array<{FEE}>"))
     tokens = F.array_distinct(F.transform(fees, lambda f: F.coalesce(f["token"], F.lit(""))))
-    zero = F.lit(0).cast("decimal(38,0)")
 
     def total(t):
         same = F.filter(fees, lambda f: F.coalesce(f["token"], F.lit("")) == t)
-        return F.aggregate(
-            same, zero,
-            lambda acc, f: F.try_add(acc, try_cast(_amount(f), "decimal(38,0)")),
-        )
+        return sum_of_wholes(F.transform(same, _amount))
+
+    def ranked(totals: Column) -> Column:
+        return F.array_max(F.transform(totals, lambda x, i: F.struct(_by_size(x["s"]).alias("k"), (-i).alias("o"), x["s"].alias("s"), x["t"].alias("t"))))
 
-    ranked = F.transform(tokens, lambda t, i: F.struct(total(t).alias("s"), (-i).alias("o"), t.alias("t")))
-    best = F.array_max(ranked)
+    best = _once(F.transform(tokens, lambda t: F.struct(total(t).alias("s"), t.alias("t"))), ranked)
     return F.when(F.size(fees) == 0, F.struct(F.lit("").alias("fee_token"), F.lit("0").alias("fee_amount"))).otherwise(
-        F.struct(best["t"].alias("fee_token"), best["s"].cast("string").alias("fee_amount"))
+        F.struct(best["t"].alias("fee_token"), best["s"].alias("fee_amount"))
     )
 
 
@@ -140,7 +303,7 @@ def fee_policies_json(fees: Column) -> Column:
 
 def fills_rows(pages: DataFrame, body: str = "body") -> DataFrame:
     """Trades pages → 12 fill columns, ``x or default`` on every field."""
-    t = explode_json_array(pages, body, TRADE)
+    t = elements(pages, TRADES, body=body)
     e = F.col("e")
     fee = fee_by_dominant_token(e["executedProtocolFees"])
     return t.select(
@@ -203,12 +366,10 @@ def chart_points(windows: DataFrame, body: str = "body", window_col: str = "wind
 
 def profiles_rows(pages: DataFrame, project_id: str, body: str = "body") -> DataFrame:
     """Profile pages → (distinct_id, project_id, properties); profiles without an id dropped."""
-    results = F.from_json(F.col(body), "struct<results: array<string>>")["results"]
-    r = pages.select(F.posexplode(results).alias("pos", "r"))
-    return r.select(
-        F.coalesce(F.get_json_object("r", "$.$distinct_id"), F.lit("")).alias("distinct_id"),
+    return elements(pages, PROFILES, body=body).select(
+        F.coalesce(F.col("e.$distinct_id"), F.lit("")).alias("distinct_id"),
         F.lit(project_id).alias("project_id"),
-        F.coalesce(F.get_json_object("r", "$.$properties"), F.lit("{}")).alias("properties"),
+        F.coalesce(F.col("e.$properties"), F.lit("{}")).alias("properties"),
     ).filter(F.col("distinct_id") != "")
 
 
@@ -217,9 +378,9 @@ def profiles_rows(pages: DataFrame, project_id: str, body: str = "body") -> Data
 # --------------------------------------------------------------------------- #
 
 
-def snapshot_space_rows(payloads: DataFrame, default_space: str, body: str = "body") -> DataFrame:
-    s = F.from_json(F.col(body), SPACE)
-    return payloads.select(s.alias("s"), F.col(body).alias("raw_json")).select(
+def snapshot_space_rows(pages: DataFrame, default_space: str, body: str = "body") -> DataFrame:
+    s = elements(pages, SPACES, body=body).select(F.col("e").alias("s"), "raw_json")
+    return s.select(
         F.coalesce(F.nullif("s.id", F.lit("")), F.lit(default_space)).alias("space_id"),
         _s("s.name").alias("name"),
         _s("s.network").alias("network"),
@@ -232,7 +393,7 @@ def snapshot_space_rows(payloads: DataFrame, default_space: str, body: str = "bo
 
 
 def snapshot_proposals_rows(pages: DataFrame, default_space: str, body: str = "body") -> DataFrame:
-    p = explode_json_array(pages, body, PROPOSAL)
+    p = elements(pages, PROPOSALS, body=body)
     e = "e."
     return p.select(
         _s(e + "id").alias("id"),
@@ -250,11 +411,12 @@ def snapshot_proposals_rows(pages: DataFrame, default_space: str, body: str = "b
         lenient_double(e + "quorum").alias("quorum"),
         lenient_int(e + "votes").alias("votes_count"),
         _s(e + "scores_state").alias("scores_state"),
+        "raw_json",
     )
 
 
 def snapshot_votes_rows(pages: DataFrame, default_space: str, body: str = "body") -> DataFrame:
-    v = explode_json_array(pages, body, VOTE)
+    v = elements(pages, VOTES, body=body)
     return v.select(
         _s("e.id").alias("id"),
         _s("e.proposal.id").alias("proposal_id"),
@@ -263,23 +425,29 @@ def snapshot_votes_rows(pages: DataFrame, default_space: str, body: str = "body"
         unix_or_epoch("e.created").alias("created_at"),
         lenient_double("e.vp").alias("vp"),
         _s("e.vp_state").alias("vp_state"),
+        "raw_json",
     )
 
 
 def snapshot_follows_rows(pages: DataFrame, default_space: str, body: str = "body") -> DataFrame:
-    f = explode_json_array(pages, body, FOLLOW)
+    f = elements(pages, FOLLOWS, body=body)
     return f.select(
         _s("e.id").alias("id"),
         _s("e.follower").alias("follower"),
         F.coalesce(F.nullif(F.col("e.space.id"), F.lit("")), F.lit(default_space)).alias("space_id"),
         unix_or_epoch("e.created").alias("created_at"),
+        "raw_json",
     )
 
 
 def landed_pages(pages: DataFrame, element_ddl: str, entity_col: str = "entity", page_col: str = "page_no",
-                 body: str = "body") -> DataFrame:
-    """(entity, page_no, body) → one row per element with (entity, page_no, pos, e)."""
-    return explode_json_array(pages, body, element_ddl, keep=(entity_col, page_col))
+                 body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(entity, page_no, body) → one row per element with (entity, page_no, pos,
+    raw_json, e), and the rejects (entity, page, pos, reason, text).  Both read
+    the one parse, which is written to the shared folder."""
+    payload = Payload("pages", "", element_ddl)
+    parsed = land(pages, payload, keep=(entity_col, page_col), body=body)
+    return elements(parsed, payload, (entity_col, page_col)), page_rejects(parsed, payload, (page_col,), entity_col)
 
 
 def dedupe_pages_by_id(rows: DataFrame, id_col: str, page_col: str = "page_no", pos_col: str = "pos",
@@ -309,16 +477,15 @@ def _category(c: Column) -> list[Column]:
 
 def category_tree_flatten(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Categories payload → parent rows then each subcategory (parent −1 at the root)."""
-    cats = F.from_json(F.col(body), f"struct<category_list: struct<categories: array<{CATEGORY}>>>")["category_list"]["categories"]
-    c = payloads.select(F.explode(cats).alias("c"))
-    parents = c.select(*_category(F.col("c")))
-    subs = c.select(F.explode("c.subcategory_list").alias("s")).select(*_category(F.col("s")))
-    return parents.unionByName(subs)
+    c = elements(payloads, CATEGORIES, body=body)
+    parents = c.select(*_category(F.col("e")), "raw_json")
+    subs = c.select(F.explode("e.subcategory_list").alias("raw_json")).filter("raw_json IS NOT NULL")
+    parsed = subs.select(F.from_json("raw_json", f"struct<{CATEGORY_FIELDS}>").alias("s"), "raw_json")
+    return parents.unionByName(parsed.select(*_category(F.col("s")), "raw_json"))
 
 
 def forum_users_rows(pages: DataFrame, body: str = "body") -> DataFrame:
-    items = F.from_json(F.col(body), f"struct<directory_items: array<{USER_ITEM}>>")["directory_items"]
-    i = pages.select(F.explode(items).alias("i"))
+    i = elements(pages, USERS, body=body).withColumnRenamed("e", "i")
     return i.select(
         lenient_int("i.user.id").alias("id"),
         _s("i.user.username").alias("username"),
@@ -329,6 +496,7 @@ def forum_users_rows(pages: DataFrame, body: str = "body") -> DataFrame:
         lenient_int("i.post_count").alias("post_count"),
         lenient_int("i.topic_count").alias("topic_count"),
         lenient_int("i.days_visited").alias("days_visited"),
+        "raw_json",
     )
 
 
@@ -337,7 +505,7 @@ def forum_topics_rows(details: DataFrame, stubs: DataFrame | None = None, body:
 
     ``bumped_at`` falls back to the list stub's value, then to ``last_posted_at``.
     """
-    t = details.select(F.from_json(F.col(body), TOPIC).alias("t"), F.col(body).alias("_raw"))
+    t = elements(details, TOPICS, body=body).select(F.col("e").alias("t"), F.col("raw_json").alias("_raw"))
     out = t.select(
         lenient_int("t.id").alias("id"),
         _s("t.title").alias("title"),
@@ -368,8 +536,9 @@ def forum_topics_rows(details: DataFrame, stubs: DataFrame | None = None, body:
 
 
 def _topic_posts(details: DataFrame, body: str) -> DataFrame:
-    t = details.select(F.from_json(F.col(body), TOPIC).alias("t"))
-    return t.select(F.col("t.id").alias("_topic"), F.explode("t.post_stream.posts").alias("p"))
+    """Posts of each topic payload: ``_topic, raw_json, p``."""
+    t = elements(details, TOPICS, body=body).select(F.col("e.id").alias("_topic"), F.explode("e.post_stream.posts").alias("raw_json"))
+    return t.filter("raw_json IS NOT NULL").select("_topic", "raw_json", F.from_json("raw_json", POST).alias("p"))
 
 
 def forum_posts_rows(details: DataFrame, body: str = "body") -> DataFrame:
@@ -390,12 +559,13 @@ def forum_posts_rows(details: DataFrame, body: str = "body") -> DataFrame:
         F.coalesce(lenient_int(F.get(likes, 0)["count"]), F.lit(0).cast("bigint")).alias("like_count"),
         _s("p.raw").alias("raw"),
         _s("p.cooked").alias("cooked"),
+        "raw_json",
     )
 
 
 def posts_still_missing(details: DataFrame, posts: DataFrame, body: str = "body") -> DataFrame:
     """Post ids listed in a topic's stream but absent from its landed posts."""
-    t = details.select(F.from_json(F.col(body), TOPIC).alias("t"))
+    t = elements(details, TOPICS, body=body).select(F.col("e").alias("t"))
     listed = t.select(lenient_int("t.id").alias("topic_id"), F.explode("t.post_stream.stream").alias("post_id"))
     have = posts.select(F.col("topic_id"), F.col("id").alias("post_id"))
     return listed.join(have, ["topic_id", "post_id"], "left_anti")
@@ -403,12 +573,15 @@ def posts_still_missing(details: DataFrame, posts: DataFrame, body: str = "body"
 
 def forum_poll_options(details: DataFrame, body: str = "body") -> DataFrame:
     """One row per (post, poll, option); empty polls and options without id skipped;
-    withheld votes → −1; ``close`` NULL when absent."""
+    withheld votes → −1; ``close`` NULL when absent; ``raw_json`` is the poll's
+    header, without its options and voters."""
     p = _topic_posts(details, body)
-    polls = p.select("_topic", "p.id", "p.topic_id", F.explode("p.polls").alias("poll")).filter(F.size("poll.options") > 0)
+    raw = p.select("_topic", "p.id", "p.topic_id", F.explode("p.polls").alias("_raw"))
+    polls = raw.select("*", F.from_json("_raw", POLL).alias("poll")).filter(F.size("poll.options") > 0)
     o = polls.select("*", F.explode("poll.options").alias("opt")).filter(
         F.col("opt.id").isNotNull() & (F.col("opt.id") != "")
     )
+    header = F.map_filter(F.from_json("_raw", "map<string, variant>"), lambda k, v: ~k.isin(*POLL_VOTES))
     return o.select(
         lenient_int("id").alias("post_id"),
         F.when(F.coalesce(F.col("topic_id"), F.lit("")).isin("", "0"), lenient_int("_topic")).otherwise(lenient_int("topic_id")).alias("topic_id"),
@@ -423,14 +596,14 @@ def forum_poll_options(details: DataFrame, body: str = "body") -> DataFrame:
         F.col("opt.id").alias("option_id"),
         _s("opt.html").alias("option_html"),
         F.coalesce(F.col("opt.votes"), F.lit(-1).cast("bigint")).alias("option_votes"),
+        F.to_json(header).alias("raw_json"),
     )
 
 
 def forum_likes_rows(pages: DataFrame, user_col: str = "username", body: str = "body") -> DataFrame:
     """Like pages of a queried user → edges; acting user name = the queried user;
     actions without a post id dropped."""
-    acts = F.from_json(F.col(body), f"struct<user_actions: array<{LIKE_ACTION}>>")["user_actions"]
-    a = pages.select(F.col(user_col).alias("acting_username"), F.explode(acts).alias("a"))
+    a = elements(pages, LIKES, keep=(user_col,), body=body).select(F.col(user_col).alias("acting_username"), F.col("e").alias("a"), "raw_json")
     return a.select(
         lenient_int("a.post_id").alias("post_id"),
         lenient_int("a.topic_id").alias("topic_id"),
@@ -440,4 +613,5 @@ def forum_likes_rows(pages: DataFrame, user_col: str = "username", body: str = "
         iso_or_epoch("a.created_at").alias("created_at"),
         F.coalesce(F.col("a.hidden").cast("int"), F.lit(0)).alias("hidden"),
         F.coalesce(F.col("a.deleted").cast("int"), F.lit(0)).alias("deleted"),
+        "raw_json",
     ).filter(F.col("post_id") != 0)

@@ -46,7 +46,10 @@ def _one(struct_col):
     f"""SELECT CASE WHEN n_nationkey = 0 THEN '{SPACE}' ELSE lower(n_name) END AS space_id, n_name AS name,
        CAST(n_regionkey + 1 AS VARCHAR) AS network, substr(n_name, 1, 3) AS symbol,
        CAST(n_nationkey * 2 AS BIGINT) AS proposals_count, CAST(n_regionkey AS BIGINT) AS followers_count,
-       CAST(0 AS BIGINT) AS votes_count
+       CAST(0 AS BIGINT) AS votes_count,
+       '{{"id":"' || CASE WHEN n_nationkey = 0 THEN '' ELSE lower(n_name) END || '","name":"' || n_name || '","network":' || (n_regionkey + 1)
+         || ',"symbol":"' || substr(n_name, 1, 3) || '","proposalsCount":' || (n_nationkey * 2) || ',"followersCount":' || n_regionkey
+         || ',"strategies":[]}}' AS raw_json
 FROM nation""",
 )
 def snapshot_space_rows(spark, sf):
@@ -57,7 +60,7 @@ def snapshot_space_rows(spark, sf):
         F.substring("n_name", 1, 3).alias("symbol"), (F.col("n_nationkey") * 2).alias("proposalsCount"),
         F.col("n_regionkey").alias("followersCount"), F.array().cast("array<string>").alias("strategies"),
     ))
-    return P.snapshot_space_rows(n.select(body.alias("body")), SPACE).drop("raw_json")
+    return P.snapshot_space_rows(n.select(body.alias("body")), SPACE)
 
 
 _STATE = "CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'P' THEN 'pending' ELSE 'closed' END"
@@ -76,7 +79,12 @@ def _state():
        CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN TIMESTAMP '1970-01-01'
             ELSE o_orderdate + INTERVAL 7 DAY END AS end_at,
        o_orderkey * 10 AS snapshot_block, o_totalprice AS scores_total, 0.0::DOUBLE AS quorum,
-       o_custkey AS votes_count, 'final' AS scores_state
+       o_custkey AS votes_count, 'final' AS scores_state,
+       '{{"id":"prop-' || o_orderkey || '","title":"' || o_orderpriority || '","state":"' || {_STATE} || '","type":"single-choice","author":"0x'
+         || o_custkey || '","created":' || epoch(o_orderdate)::BIGINT || ',"start":' || (epoch(o_orderdate)::BIGINT + 3600) || ',"end":'
+         || CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN -5 ELSE epoch(o_orderdate)::BIGINT + 604800 END
+         || ',"snapshot":' || (o_orderkey * 10) || ',"scores_total":' || o_totalprice || ',"votes":' || o_custkey || ',"scores_state":"final","space":{{'
+         || CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE '"id":"orders.eth"' END || '}}}}' AS raw_json
 FROM orders""",
 )
 def snapshot_proposals_rows(spark, sf):
@@ -100,7 +108,9 @@ def snapshot_proposals_rows(spark, sf):
     "snapshot_votes_rows",
     f"""SELECT 'v-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
        'prop-' || CAST(l_orderkey AS VARCHAR) AS proposal_id, '{SPACE}' AS space_id,
-       '0x' || CAST(l_suppkey AS VARCHAR) AS voter, l_shipdate AS created_at, l_quantity AS vp, 'final' AS vp_state
+       '0x' || CAST(l_suppkey AS VARCHAR) AS voter, l_shipdate AS created_at, l_quantity AS vp, 'final' AS vp_state,
+       '{{"id":"v-' || l_orderkey || '-' || l_linenumber || '","voter":"0x' || l_suppkey || '","created":' || epoch(l_shipdate)::BIGINT
+         || ',"vp":' || l_quantity || ',"vp_state":"final","proposal":{{"id":"prop-' || l_orderkey || '"}}}}' AS raw_json
 FROM lineitem""",
 )
 def snapshot_votes_rows(spark, sf):
@@ -117,7 +127,9 @@ def snapshot_votes_rows(spark, sf):
 @register(
     "snapshot_follows_rows",
     """SELECT 'f-' || CAST(c_custkey AS VARCHAR) AS id, '0x' || CAST(c_custkey AS VARCHAR) AS follower,
-       lower(c_mktsegment) AS space_id, TIMESTAMP '2020-01-01' + to_hours(c_custkey) AS created_at
+       lower(c_mktsegment) AS space_id, TIMESTAMP '2020-01-01' + to_hours(c_custkey) AS created_at,
+       '{"id":"f-' || c_custkey || '","follower":"0x' || c_custkey || '","created":' || (1577836800 + c_custkey * 3600)
+         || ',"space":{"id":"' || lower(c_mktsegment) || '"}}' AS raw_json
 FROM customer""",
 )
 def snapshot_follows_rows(spark, sf):
@@ -161,7 +173,8 @@ _ELEMENT = "struct<id: bigint, name: string, acctbal: double>"
 
 
 def _landed(spark, sf):
-    return P.landed_pages(customer_pages(spark, sf), _ELEMENT).select("entity", "page_no", "pos", "e.id", "e.name", "e.acctbal")
+    rows, _ = P.landed_pages(customer_pages(spark, sf), _ELEMENT)
+    return rows.select("entity", "page_no", "pos", "e.id", "e.name", "e.acctbal")
 
 
 @register("landed_pages", _PAGES_SQL + "\nSELECT * FROM positioned")
@@ -170,6 +183,28 @@ def landed_pages(spark, sf):
     return _landed(spark, sf)
 
 
+@register(
+    "landed_rejects",
+    """SELECT 'orders' AS entity, CAST(o_orderkey AS VARCHAR) AS page, CAST(CASE WHEN o_orderkey % 5 = 3 THEN 1 END AS INTEGER) AS pos,
+       CASE o_orderkey % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'errors' WHEN 2 THEN 'empty' WHEN 3 THEN 'not_an_object' END AS reason, CAST(NULL AS BIGINT) AS id
+FROM orders WHERE o_orderkey % 5 < 4
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), p, NULL, o_orderkey * 10 + p FROM orders, (SELECT unnest([0, 1]) AS p)
+WHERE o_orderkey % 5 = 4 OR (o_orderkey % 5 = 3 AND p = 0)""",
+)
+def landed_rejects(spark, sf):
+    """Pages of two elements, of which some are cut off, error answers, empty, or hold
+    a bare number: the rows of what can be read beside the rejects."""
+    o = src(spark, sf, "orders")
+    good = F.to_json(F.array(F.struct((F.col("o_orderkey") * 10).alias("id")), F.struct((F.col("o_orderkey") * 10 + 1).alias("id"))))
+    kind = F.col("o_orderkey") % 5
+    body = (F.when(kind == 0, F.substring(good, F.lit(1), F.length(good) - 3)).when(kind == 1, F.lit('{"errors":[{"message":"busy"}]}'))
+            .when(kind == 2, F.lit(" ")).when(kind == 3, F.concat(F.lit("["), F.to_json(F.struct((F.col("o_orderkey") * 10).alias("id"))), F.lit(",7]"))).otherwise(good))
+    pages = o.select(F.lit("orders").alias("entity"), F.col("o_orderkey").alias("page_no"), body.alias("body"))
+    rows, rejects = P.landed_pages(pages, "struct<id: bigint>")
+    read = rows.select("entity", F.col("page_no").cast("string").alias("page"), "pos", F.lit(None).cast("string").alias("reason"), F.col("e.id"))
+    return rejects.select("entity", "page", "pos", "reason", F.lit(None).cast("bigint").alias("id")).unionAll(read)
+
+
 @register(
     "dedupe_pages_by_id",
     _PAGES_SQL + "\nSELECT id, page_no, pos, name, acctbal FROM positioned QUALIFY row_number() OVER (PARTITION BY id ORDER BY page_no, pos) = 1",
@@ -209,25 +244,32 @@ def profiles_rows(spark, sf):
 
 @register(
     "category_tree_flatten",
-    """SELECT CAST(r_regionkey + 1000 AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, r_name AS name, lower(r_name) AS slug,
+    """WITH subs AS (
+  SELECT *, '{"id":' || n_nationkey || ',"parent_category_id":' || (n_regionkey + 1000) || ',"name":"' || n_name || '","slug":"'
+    || lower(replace(n_name, ' ', '-')) || '","topic_count":' || n_regionkey || ',"post_count":' || (n_nationkey * 3)
+    || ',"description_text":"nation ' || n_name || '"}' AS raw FROM nation)
+SELECT CAST(r_regionkey + 1000 AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, r_name AS name, lower(r_name) AS slug,
        (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) AS topic_count, CAST(0 AS BIGINT) AS post_count,
-       'region ' || r_name AS description
+       'region ' || r_name AS description,
+       '{"id":' || (r_regionkey + 1000) || ',"name":"' || r_name || '","slug":"' || lower(r_name) || '","topic_count":'
+         || (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) || ',"description":"region ' || r_name || '","subcategory_list":['
+         || coalesce((SELECT string_agg(raw, ',' ORDER BY n_nationkey) FROM subs WHERE n_regionkey = r_regionkey), '') || ']}' AS raw_json
 FROM region
 UNION ALL
 SELECT n_nationkey, n_regionkey + 1000, n_name, lower(replace(n_name, ' ', '-')), n_regionkey, CAST(n_nationkey * 3 AS BIGINT),
-       'nation ' || n_name
-FROM nation""",
+       'nation ' || n_name, raw
+FROM subs""",
 )
 def category_tree_flatten(spark, sf):
     """Parents first, then each subcategory; root parents get −1."""
     r = src(spark, sf, "region")
     n = src(spark, sf, "nation")
-    sub = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(
+    sub = n.groupBy("n_regionkey").agg(F.sort_array(F.collect_list(F.struct(
         F.col("n_nationkey").alias("id"), (F.col("n_regionkey") + 1000).alias("parent_category_id"),
         F.col("n_name").alias("name"), F.lower(F.regexp_replace("n_name", " ", "-")).alias("slug"),
         F.col("n_regionkey").alias("topic_count"), (F.col("n_nationkey") * 3).alias("post_count"),
         F.concat(F.lit("nation "), F.col("n_name")).alias("description_text"),
-    )).alias("subs"))
+    ))).alias("subs"))
     cat = r.join(sub, r.r_regionkey == sub.n_regionkey, "left").select(F.struct(
         (F.col("r_regionkey") + 1000).alias("id"), F.col("r_name").alias("name"), F.lower("r_name").alias("slug"),
         F.coalesce(F.size("subs"), F.lit(0)).alias("topic_count"),
@@ -244,7 +286,10 @@ def category_tree_flatten(spark, sf):
        CAST(c_nationkey AS BIGINT) AS trust_level, CAST(c_nationkey AS BIGINT) AS likes_received,
        CAST(floor(c_acctbal / 100) AS BIGINT) AS likes_given, c_custkey AS post_count,
        CAST(CASE WHEN c_mktsegment = 'MACHINERY' THEN 0 ELSE c_nationkey END AS BIGINT) AS topic_count,
-       CAST(0 AS BIGINT) AS days_visited
+       CAST(0 AS BIGINT) AS days_visited,
+       '{"user":{"id":' || c_custkey || ',"username":"' || lower(replace(c_name, '#', '_')) || '","name":"' || c_name || '","trust_level":' || c_nationkey
+         || '},"likes_received":' || c_nationkey || ',"likes_given":' || CAST(floor(c_acctbal / 100) AS BIGINT) || ',"post_count":' || c_custkey
+         || ',"topic_count":"' || CASE WHEN c_mktsegment = 'MACHINERY' THEN 'n/a' ELSE CAST(c_nationkey AS VARCHAR) END || '"}' AS raw_json
 FROM customer""",
 )
 def forum_users_rows(spark, sf):
@@ -385,12 +430,18 @@ SELECT conv_id AS id, 'conv ' || CAST(conv_id AS VARCHAR) AS title, 'conv-' || C
        CASE WHEN sys = 0 THEN created + to_minutes(max_turn)
             WHEN n >= 4 THEN created + INTERVAL 2 DAY
             ELSE created + to_minutes(n) END AS bumped_at,
-       CASE WHEN sys > 0 THEN 1 ELSE 0 END AS closed, 0 AS archived, CASE WHEN n > 8 THEN 1 ELSE 0 END AS pinned
+       CASE WHEN sys > 0 THEN 1 ELSE 0 END AS closed, 0 AS archived, CASE WHEN n > 8 THEN 1 ELSE 0 END AS pinned,
+       '{"id":' || conv_id || ',"title":"conv ' || conv_id || '","slug":"conv-' || conv_id || '"' || CASE WHEN sys > 0 THEN ',"category_id":' || sys ELSE '' END
+         || ',"posts_count":' || n || ',"reply_count":' || (n - 1) || ',"views":' || views || ',"like_count":' || likes || ',"participant_count":' || participants
+         || ',"tags":["' || array_to_string(tags, '","') || '"],"created_at":"' || strftime(created, '%Y-%m-%dT%H:%M:%S.000Z') || '","last_posted_at":"'
+         || strftime(created + to_minutes(n), '%Y-%m-%dT%H:%M:%S.000Z') || '"'
+         || CASE WHEN sys = 0 THEN ',"bumped_at":"' || strftime(created + to_minutes(max_turn), '%Y-%m-%dT%H:%M:%S.000Z') || '"' ELSE '' END
+         || ',"closed":' || (sys > 0) || ',"archived":false,"pinned":' || (n > 8) || '}' AS raw_json
 FROM conv""",
 )
 def forum_topics_rows(spark, sf):
     """Topic detail ⟕ list stub: bumped_at = detail → stub → last_posted_at; flags 0/1; tags joined."""
-    return P.forum_topics_rows(topic_details(spark, sf), topic_stubs(spark, sf)).drop("raw_json")
+    return P.forum_topics_rows(topic_details(spark, sf), topic_stubs(spark, sf))
 
 
 @register(
@@ -413,6 +464,14 @@ def topic_stub_join(spark, sf):
     return J.topic_stub_join(d, stubs).select("id", iso_or_epoch("bumped_at").alias("bumped_at"))
 
 
+_AT_SQL = f"strftime(TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn), '%Y-%m-%dT%H:%M:%S.000Z')"
+# A poll's header, without the closing brace.
+_POLL_SQL = f"""'{{"id":' || turn || CASE WHEN turn = 1 THEN '' ELSE ',"name":"poll' || turn || '"' END || ',"type":"regular","status":"'
+  || CASE WHEN length(text) > 500 THEN 'open' ELSE 'closed' END || '","results":"always","public":' || (turn > 2)
+  || CASE WHEN length(text) > 800
+       THEN ',"close":"' || strftime(TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn) + INTERVAL 30 DAY, '%Y-%m-%dT%H:%M:%S.000Z') || '"' ELSE '' END
+  || ',"voters":' || (length(text) // 10)"""
+
 _POSTS_SQL = f"""posts AS (
   SELECT conv_id * 1000 + turn AS id, conv_id AS topic_id, turn + 1 AS post_number,
          CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END AS BIGINT) AS user_id, role AS username,
@@ -421,8 +480,16 @@ _POSTS_SQL = f"""posts AS (
          CASE WHEN turn > 0 THEN turn ELSE 0 END AS reply_to_post_number, CAST(0 AS BIGINT) AS reply_count,
          length(text) AS reads,
          CASE WHEN role = 'system' THEN 0 ELSE len(string_split(text, ' ')) END AS like_count,
-         text AS raw, '' AS cooked, role, text, turn, conv_id
-  FROM conversations
+         text AS raw, '' AS cooked, role, text, turn, conv_id,
+         '{{"id":' || (conv_id * 1000 + turn) || CASE WHEN role = 'user' THEN ',"topic_id":' || conv_id ELSE '' END || ',"post_number":' || (turn + 1)
+           || ',"user_id":' || CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END || ',"username":"' || role
+           || '","created_at":"' || stamp || '","updated_at":"' || stamp || '"' || CASE WHEN turn > 0 THEN ',"reply_to_post_number":' || turn ELSE '' END
+           || ',"reply_count":0,"reads":' || length(text) || ',"raw":' || to_json(text)::VARCHAR || ',"actions_summary":'
+           || CASE WHEN role = 'system' THEN '[{{"id":3,"count":5}}]'
+                   ELSE '[{{"id":1,"count":9}},{{"id":2,"count":' || len(string_split(text, ' ')) || '}}]' END
+           || CASE WHEN role = 'assistant' THEN ',"polls":[' || poll || ',"options":[{{"id":"o1","html":"yes","votes":' || len(string_split(text, '.'))
+                || '}},{{"id":"o2","html":"no"}},{{"id":"","html":"skip","votes":1}}]}}]' ELSE '' END || '}}' AS raw_json
+  FROM (SELECT *, {_AT_SQL} AS stamp, {_POLL_SQL} AS poll FROM conversations)
 )"""
 
 
@@ -434,7 +501,7 @@ def _posts(spark, sf):
     "forum_posts_rows",
     "WITH " + _POSTS_SQL + """
 SELECT id, topic_id, post_number, user_id, username, created_at, updated_at, reply_to_post_number, reply_count,
-       reads, like_count, raw, cooked FROM posts""",
+       reads, like_count, raw, cooked, raw_json FROM posts""",
 )
 def forum_posts_rows(spark, sf):
     """Posts of each topic; like count = action 2; topic id falls back to the topic."""
@@ -457,7 +524,8 @@ _POLLS_SQL = f"""polls AS (
          'always' AS results_visibility, CASE WHEN turn > 2 THEN 1 ELSE 0 END AS is_public,
          CASE WHEN length(text) > 800 THEN TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn) + INTERVAL 30 DAY END AS close_at,
          length(text) // 10 AS voters, o.option_id, o.option_html,
-         CASE WHEN o.option_id = 'o1' THEN len(string_split(text, '.')) ELSE -1 END AS option_votes
+         CASE WHEN o.option_id = 'o1' THEN len(string_split(text, '.')) ELSE -1 END AS option_votes,
+         {_POLL_SQL} || '}}' AS raw_json
   FROM conversations, (VALUES ('o1', 'yes'), ('o2', 'no')) o(option_id, option_html)
   WHERE role = 'assistant'
 )"""
@@ -520,7 +588,10 @@ _LIKES_SQL = f"""likes AS (
   SELECT conv_id * 1000 + turn AS post_id, conv_id AS topic_id, turn + 1 AS post_number,
          CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END AS BIGINT) AS acting_user_id,
          role AS acting_username, TIMESTAMP '{_T0}' + to_hours(conv_id) + to_minutes(turn) AS created_at,
-         0 AS hidden, CASE WHEN length(text) < 50 THEN 1 ELSE 0 END AS deleted
+         0 AS hidden, CASE WHEN length(text) < 50 THEN 1 ELSE 0 END AS deleted,
+         '{{"post_id":' || (conv_id * 1000 + turn) || ',"topic_id":' || conv_id || ',"post_number":' || (turn + 1) || ',"acting_user_id":'
+           || CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE -1 END || ',"created_at":"' || {_AT_SQL} || '","deleted":'
+           || (length(text) < 50) || '}}' AS raw_json
   FROM conversations WHERE turn > 0
 )"""
 
@@ -675,6 +746,19 @@ def fee_by_dominant_token(spark, sf):
     return _fills(spark, sf).select("order_uid", "log_index", "fee_token", "fee_amount")
 
 
+@register(
+    "fee_long_sums",
+    "WITH " + _FEES_SQL + """
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, CAST(coalesce(t.l_linenumber, 0) AS BIGINT) AS log_index,
+       coalesce(b.token, '') AS fee_token, coalesce(CAST(b.s AS VARCHAR) || repeat('0', 36), '0') AS fee_amount
+FROM trades t LEFT JOIN best b ON b.l_orderkey = t.o_orderkey AND b.l_linenumber = t.l_linenumber""",
+)
+def fee_long_sums(spark, sf):
+    """The dominant token by amounts of more digits than any number type holds."""
+    wide = F.regexp_replace("body", '"amount":"([0-9]+)"', '"amount":"$1' + "0" * 36 + '"')
+    return P.fills_rows(trade_pages(spark, sf).select(wide.alias("body"))).select("order_uid", "log_index", "fee_token", "fee_amount")
+
+
 @register(
     "fee_policies_json",
     "WITH " + _FEES_SQL + """
