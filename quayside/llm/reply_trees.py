@@ -73,19 +73,19 @@ def paths(messages: DataFrame, scratch: Scratch, branches: int | None = None) ->
     links = messages.select("tree", "node", "parent", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
     heads = links.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
     first = links.join(heads, "parent", "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("to"), "score", F.lit(1).alias("steps"))
+    # Only messages that are not yet at their root go on; the others are settled.
     state = scratch.keep(first)
-    jumps = [scratch.keep(state.filter("to IS NOT NULL").select("node", "to"))]
-    reach = 1
-    total = state.count()
-    while reach <= total and not jumps[-1].isEmpty():
-        behind = state.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("score").alias("s"), F.col("steps").alias("n"))
-        state = scratch.keep(state.join(behind, "to", "left").select(
-            "tree", "node", F.col("next").alias("to"), (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("n", F.lit(0))).alias("steps")))
-        jumps.append(scratch.keep(state.filter("to IS NOT NULL").select("node", "to")))
-        reach *= 2
+    total, settled = state.count(), state.filter("to IS NULL")
+    jumps = [state.filter("to IS NOT NULL")]
+    while 1 << (len(jumps) - 1) <= total and not jumps[-1].isEmpty():
+        far = jumps[-1]
+        behind = settled.unionAll(far).select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("score").alias("s"), F.col("steps").alias("n"))
+        state = scratch.keep(far.join(behind, "to").select(
+            "tree", "node", F.col("next").alias("to"), (F.col("score") + F.col("s")).alias("score"), (F.col("steps") + F.col("n")).alias("steps")))
+        settled = settled.unionAll(state.filter("to IS NULL"))
+        jumps.append(state.filter("to IS NOT NULL"))
     answered = links.select(F.col("parent").alias("node")).filter("node IS NOT NULL").distinct()
-    leaves = (state.filter("to IS NULL").join(answered, "node", "left_anti")
+    leaves = (settled.join(answered, "node", "left_anti")
               .select(F.coalesce(F.concat(F.lit("="), F.col("tree").cast("string")), F.lit("")).alias("of"), "tree", "node",
                       (F.col("score") / F.col("steps")).alias("branch_score"), "steps"))
     order = ranked(leaves.withColumn("below", -F.col("branch_score")), ["below", "node"], scratch, within="of")
@@ -93,7 +93,7 @@ def paths(messages: DataFrame, scratch: Scratch, branches: int | None = None) ->
     chosen = scratch.keep(chosen if branches is None else chosen.filter(F.col("branch") <= branches))
     steps = chosen.select("path", F.col("path").alias("node"), F.lit(0).cast("long").alias("up"))
     for k in range(len(jumps) - 1, -1, -1):
-        further = steps.join(jumps[k], "node").select("path", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"))
+        further = steps.join(jumps[k].select("node", "to"), "node").select("path", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"))
         steps = scratch.keep(steps.unionAll(further))
     return steps.join(chosen, "path")
 
