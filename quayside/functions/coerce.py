@@ -46,12 +46,6 @@ def try_cast(c, to: str) -> Column:
     return col_of(c).try_cast(to)
 
 
-def blank_to_null(c) -> Column:
-    """'' → NULL (``nullIf(x, '')``)."""
-    c = col_of(c)
-    return F.when(c == F.lit(""), F.lit(None).cast("string")).otherwise(c)
-
-
 def sentinel_to_null(c, sentinels=UNKNOWN_OWNER, lower: bool = True) -> Column:
     """Sentinel strings → NULL, everything else (optionally) lowercased."""
     c = col_of(c)
@@ -120,7 +114,7 @@ def boundary_day(seconds) -> Column:
 
 def utc_midnight_seconds(d) -> Column:
     """Unix seconds of 00:00 UTC on date ``d``."""
-    return F.unix_seconds(col_of(d).cast("date").cast("timestamp"))
+    return F.unix_date(col_of(d).cast("date")).cast("bigint") * SECONDS_PER_DAY
 
 
 def month_start(d) -> Column:
@@ -129,12 +123,13 @@ def month_start(d) -> Column:
 
 
 def lenient_int(c) -> Column:
-    """Integer or 0: numbers truncate toward zero, text must be an integer literal."""
+    """Integer or 0: numbers truncate toward zero, text must be an integer literal
+    (``3.7`` as text is none).  Spaces around a literal are allowed."""
     c = col_of(c)
-    as_text = c.cast("string")
-    whole = try_cast(as_text, "bigint")
-    if_number = try_cast(try_cast(as_text, "double"), "bigint")
-    return F.coalesce(whole, F.when(~as_text.rlike(r"^\s*-?\d+\s*$") & as_text.rlike(r"^-?[\d.eE+-]+$"), if_number), F.lit(0).cast("bigint"))
+    text = F.trim(c.cast("string"))
+    literal = F.when(text.rlike(r"^[+-]?[0-9]+$"), try_cast(text, "bigint"))
+    number = F.when(F.typeof(c) != "string", try_cast(try_cast(text, "double"), "bigint"))
+    return F.coalesce(literal, number, F.lit(0).cast("bigint"))
 
 
 def lenient_double(c) -> Column:
@@ -155,12 +150,6 @@ def json_text(j, path: str, missing: str = "") -> Column:
     return F.coalesce(F.get_json_object(col_of(j), path), F.lit(missing))
 
 
-def flag01(c) -> Column:
-    """Truthy → 1, else 0 (UInt8 flags)."""
-    c = col_of(c)
-    return F.when(F.coalesce(c.cast("boolean"), F.lit(False)), F.lit(1)).otherwise(F.lit(0))
-
-
 def coin_key(chain, address) -> Column:
     """``chain:address`` lookup key, both parts lowercased."""
     return F.concat_ws(":", F.lower(F.trim(col_of(chain))), F.lower(F.trim(col_of(address))))

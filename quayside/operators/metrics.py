@@ -67,24 +67,21 @@ def last_price_per_day(points: DataFrame, asset_col: str, ts_col: str, price_col
 
 
 def merge_chart_windows(points: DataFrame, asset_col: str, day_col: str, price_col: str,
-                        window_col: str, pos_col: str, conf_col: str) -> DataFrame:
+                        window_col: str, pos_col: str, conf_col: str, confidences: DataFrame | None = None) -> DataFrame:
     """Many chart windows per asset → one point per day; the later-fetched window
-    wins, and the confidence is the last non-NULL one in fetch order."""
+    wins, and the confidence is the last non-NULL one in fetch order.
+
+    ``confidences`` (asset, window, confidence) holds those of all windows: one
+    without points has no row among ``points`` but its confidence counts."""
     p = points.filter(F.col(price_col).isNotNull())
     price = F.max(F.struct(window_col, pos_col, price_col))[price_col].alias(price_col)
-    conf = F.max(F.when(F.col(conf_col).isNotNull(), F.struct(window_col, pos_col, conf_col)))[conf_col].alias(conf_col)
+    conf = F.max(F.when(F.col(conf_col).isNotNull(), F.struct(window_col, conf_col)))[conf_col].alias(conf_col)
     days = p.groupBy(asset_col, day_col).agg(price)
     # Confidence is a per-asset property of the series (last non-null seen).
-    confs = points.groupBy(asset_col).agg(conf)
+    confs = (points if confidences is None else confidences).groupBy(asset_col).agg(conf)
     return days.join(confs, asset_col, "left")
 
 
-def boundary_points(points: DataFrame, asset_col: str, ts_col: str, price_col: str, pos_col: str) -> DataFrame:
-    """Chart ticks snapped to the nearest UTC midnight; last tick per (asset, day) wins."""
-    p = points.filter(F.col(price_col).isNotNull()).withColumn("day", boundary_day(ts_col))
-    return last_per_group(p, [asset_col, "day"], pos_col, price_col)
-
-
 def series_coverage(series: DataFrame, asset_col: str, day_col: str) -> DataFrame:
     """Per asset: number of points, first day, last day."""
     return series.groupBy(asset_col).agg(

@@ -21,6 +21,7 @@ from quayside.functions.coerce import (
     iso_or_null,
     lenient_double,
     lenient_int,
+    millis_to_date,
     or_default,
     try_cast,
     unix_or_epoch,
@@ -113,6 +114,8 @@ USERS = Payload("users", "directory_items", USER_ITEM)
 TOPICS = Payload("topics", None, TOPIC)
 LIKES = Payload("likes", "user_actions", LIKE_ACTION)
 
+MARKET_CHARTS = Payload("market_charts", None, "struct<prices: array<array<double>>>")
+
 REJECTS_DDL = "entity STRING, page STRING, pos INT, reason STRING, text STRING"
 _REASON = "reject_reason"
 
@@ -175,6 +178,11 @@ def page_rejects(parsed: DataFrame, payload: Payload, page=(), entity: str | Non
         F.concat_ws("/", *[F.col(c).cast("string") for c in page]).alias("page"), "pos", F.col(_REASON).alias("reason"), F.col("raw_json").alias("text"))
 
 
+def rejects_of(spec: TableSpec) -> TableSpec:
+    """The table of what a load into ``spec`` could not take, beside it."""
+    return TableSpec(path=spec.path.rstrip("/") + "__rejects", schema=REJECTS_DDL + ", rejected_at TIMESTAMP_NTZ")
+
+
 def land(pages: DataFrame, payload: Payload, rejects: TableSpec | None = None, keep=(), page=(), run_ts=None, body: str = "body") -> DataFrame:
     """Parses pages once: the result is written to the shared folder, what cannot
     be read goes to the table ``rejects``, and the written rows are returned for
@@ -186,7 +194,7 @@ def land(pages: DataFrame, payload: Payload, rejects: TableSpec | None = None, k
     parsed = spark.read.schema(parsed.schema).parquet(path)
     if rejects is not None:
         bad = page_rejects(parsed, payload, page)
-        append(bad if run_ts is None else bad.withColumn("rejected_at", F.lit(run_ts).cast("timestamp_ntz")), rejects)
+        append(bad.withColumn("rejected_at", F.lit(run_ts).cast("timestamp_ntz")), rejects)
     return parsed
 
 
@@ -342,6 +350,16 @@ def history_price_rows(payloads: DataFrame, id_col: str, body: str = "body") ->
     return payloads.select(F.col(id_col), price.alias("price")).filter(F.col("price").isNotNull())
 
 
+def market_chart_rows(pages: DataFrame, id_col: str, body: str = "body") -> DataFrame:
+    """``{prices: [[unix ms, price], ...]}`` per asset → (asset id, pos, ts, day,
+    price); points without a time or price skipped."""
+    p = elements(pages, MARKET_CHARTS, keep=(id_col,), body=body).select(F.col(id_col), F.posexplode("e.prices").alias("pos", "p"))
+    return p.select(
+        F.col(id_col), "pos", F.timestamp_millis(F.get("p", 0).cast("bigint")).alias("ts"), millis_to_date(F.get("p", 0)).alias("day"),
+        F.get("p", 1).alias("price"),
+    ).filter(F.col("ts").isNotNull() & F.col("price").isNotNull())
+
+
 def chart_points(windows: DataFrame, body: str = "body", window_col: str = "window_no") -> DataFrame:
     """Chart windows → (coin, window, pos, timestamp, day, price, confidence); NULL prices skipped.
 
@@ -359,6 +377,13 @@ def chart_points(windows: DataFrame, body: str = "body", window_col: str = "wind
     ).filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
 
 
+def chart_confidences(windows: DataFrame, body: str = "body", window_col: str = "window_no") -> DataFrame:
+    """(coin, window, confidence) of every chart window, one without points included."""
+    coins = F.try_variant_get(F.try_parse_json(F.col(body)), "$.coins", CHART_COINS)
+    return windows.select(F.col(window_col), F.explode(coins).alias("coin", "v")).select(
+        "coin", window_col, F.col("v.confidence").alias("confidence"))
+
+
 # --------------------------------------------------------------------------- #
 # Product events and profiles
 # --------------------------------------------------------------------------- #

@@ -30,13 +30,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from quayside.functions.coerce import month_start
 from quayside.session import scratch_path
 
 SEQ = "_load_seq"
 MONTH = "month_part"
-INTERNAL = (SEQ, MONTH)
+CONTENT = "_content"
+INTERNAL = (SEQ, MONTH, CONTENT)
 
 
 @dataclass(frozen=True)
@@ -253,6 +255,41 @@ def append(df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
 upsert = append  # replacing tables resolve duplicates at read / compaction time
 
 
+def content_hash(df: DataFrame, leave_out=()) -> Column:
+    """128-bit hash of a row's business columns, names and NULLs included."""
+    def text(f):
+        c = F.col(f"`{f.name}`")
+        return F.to_json(c) if isinstance(f.dataType, (StructType, ArrayType, MapType)) else c.cast("string")
+
+    fields = sorted((f for f in df.schema.fields if f.name not in INTERNAL and f.name not in leave_out), key=lambda f: f.name)
+    return F.md5(F.to_json(F.struct(*[text(f).alias(f.name) for f in fields]), {"ignoreNullFields": "false"}))
+
+
+def upsert_changed(spark: SparkSession, df: DataFrame, spec: TableSpec, seen: str = "ingested_at") -> int:
+    """Upsert of the rows that differ from the newest held row of their key.
+
+    A row as it is held writes nothing, so its ``seen`` stays the time it was
+    first observed; a row that changed, or changed back, is written.  Each stored
+    row keeps a hash of its content (``seen`` left out), so only keys, order and
+    hashes of the table are read.  NULL key parts equal each other.  Rows stored
+    without a hash get theirs from their columns.  Returns the rows written.
+    """
+    df = with_defaults(df, spec)
+    order = [spec.version] if spec.version else []
+    new = latest(df.withColumn(CONTENT, content_hash(df, (seen,))), spec.key, order)
+    if not path_bytes(spark, spec.path):
+        return append(new, spec)
+    raw = read_raw(spark, spec, merge=True)
+    stored = content_hash(raw.select(*[c for c in raw.columns if c in df.columns]), (seen,))
+    raw = raw.withColumn(CONTENT, F.coalesce(F.col(CONTENT), stored) if CONTENT in raw.columns else stored)
+    held = latest(raw, spec.key, spec.order, keep=[*spec.key, *spec.order, CONTENT]).select(
+        *[F.col(k).alias(f"_held_{k}") for k in spec.key], F.col(CONTENT).alias("_held"))
+    same = new[CONTENT] == held["_held"]
+    for k in spec.key:
+        same = same & new[k].eqNullSafe(held[f"_held_{k}"])
+    return append(new.join(held, same, "left_anti"), spec)
+
+
 def _observe(df: DataFrame):
     from pyspark.sql import Observation
 
@@ -297,13 +334,14 @@ def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return _prepare(df, spec, 0)
 
 
-def read_raw(spark: SparkSession, spec: TableSpec, months: list | None = None) -> DataFrame:
-    """Every stored row, internal columns included; ``months`` prunes partitions."""
+def read_raw(spark: SparkSession, spec: TableSpec, months: list | None = None, merge: bool = False) -> DataFrame:
+    """Every stored row, internal columns included; ``months`` prunes partitions.
+    ``merge`` looks for columns in every file, not in one."""
     if not path_bytes(spark, spec.path):
         if not spec.schema:
             raise FileNotFoundError(spec.path)
         return _empty(spark, spec)
-    df = spark.read.option("basePath", spec.path).parquet(spec.path)
+    df = spark.read.option("basePath", spec.path).option("mergeSchema", merge).parquet(spec.path)
     if spec.month_of:
         df = df.withColumn(MONTH, F.col(MONTH).cast("date"))
         if months is not None:
@@ -463,8 +501,9 @@ def prune_series(
         append(new, spec)  # first load: nothing older to prune
         return 0
     returned = new if valid is None else new.filter(valid)
-    # One scalar pair for the whole load.
-    bound, run = returned.agg(F.max(date_col), F.max(run_col)).first()
+    # One row for the whole load: the bound, the run, and the least and greatest asset.
+    ends = [f(c) for c in asset_cols for f in (F.min, F.max)]
+    bound, run, *ends = returned.agg(F.max(date_col), F.max(run_col), *ends).first()
     existing = read_raw(spark, spec)
     append(new, spec)
     if bound is None:
@@ -475,8 +514,14 @@ def prune_series(
         bounds = returned.select(*asset_cols).distinct().select(
             *asset_cols, F.lit(bound).alias("_bound"), F.lit(run).alias("_run"))
     doomed = F.coalesce((F.col(date_col) <= F.col("_bound")) & (F.col(run_col) < F.col("_run")), F.lit(False))
-    # Months in which stored rows die; none lies behind the newest bound.
-    reached = existing.filter(F.col(MONTH) <= month_start(F.lit(bound))) if spec.month_of == date_col else existing
+    # Months in which stored rows die.  Every condition that holds for all of them is a
+    # literal, so Parquet's own bounds pass over the row groups that hold none, and three
+    # or four narrow columns are read of the others.
+    reached = existing.filter((F.col(date_col) <= F.lit(bound)) & (F.col(run_col) < F.lit(run)))
+    for c, (lo, hi) in zip(asset_cols, zip(ends[::2], ends[1::2])):
+        reached = reached.filter(F.col(c).between(F.lit(lo), F.lit(hi)))
+    if spec.month_of == date_col:
+        reached = reached.filter(F.col(MONTH) <= month_start(F.lit(bound)))
     months = _months_of(reached.join(bounds, asset_cols).filter(doomed))
     if not months:
         return 0

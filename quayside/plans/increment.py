@@ -81,10 +81,12 @@ def pending_dates(plan: DataFrame, ledger: DataFrame, day_col: str = "completed_
 
 
 def ledger_gaps(ledger: DataFrame, group: str = "project_id", day_col: str = "completed_date") -> DataFrame:
-    """Completed-date holes below each project's maximum (never revisited by max+1 resume)."""
-    span = ledger.groupBy(group).agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
-    every = span.select(group, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    done = ledger.select(group, F.col(day_col).alias("day"))
+    """Holes below each project's last completed day (never revisited by max+1
+    resume): days with no mark, or with one that is not ``complete``."""
+    span = _completed(ledger, None).groupBy(group).agg(F.max(day_col).alias("_hi")).join(
+        ledger.groupBy(group).agg(F.min(day_col).alias("_lo")), group)
+    every = span.select(group, F.explode(F.sequence(F.least("_lo", "_hi"), "_hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
+    done = _completed(ledger, None).select(group, F.col(day_col).alias("day")).distinct()
     return every.join(done, [group, "day"], "left_anti")
 
 

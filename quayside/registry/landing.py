@@ -111,6 +111,49 @@ def csv_conform(spark, sf):
     return _conform_file(spark, sf)
 
 
+# Headers of the folder's files, by customer key modulo 4: in order and with quoted
+# line ends; in another order; cleaned names in another case, a column missing;
+# two names that differ in case only.
+_FOLDER_HEADERS = ["c_custkey,c_name,c_acctbal", "c_acctbal,c_custkey,c_name", "C CUSTKEY,Notes,C_NAME$", "C_CUSTKEY,c_custkey,c_name"]
+
+
+def _folder_of_csv(spark, sf):
+    """Customers in CSV files of 200 ids under four headers."""
+    key, name, balance = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_acctbal").cast("string")
+    lines = [F.concat_ws(",", key, F.concat(F.lit('"'), name, F.lit('\nx"')), balance), F.concat_ws(",", balance, key, name),
+             F.concat_ws(",", key, F.lit("note"), name), F.concat_ws(",", F.lit("-1"), key, name)]
+    kind = (F.col("c_custkey") % 4).cast("int")
+    rows = src(spark, sf, "customer").select(
+        kind.alias("kind"), F.floor(F.col("c_custkey") / 200).alias("part"), "c_custkey", F.get(F.array(*lines), kind).alias("line"),
+        F.get(F.array(*[F.lit(h) for h in _FOLDER_HEADERS]), kind).alias("header"))
+    whole = rows.groupBy("kind", "part", "header").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "line"))).alias("l"))
+    path = scratch_path(spark, "csv_folder")
+    whole.select("kind", "part", F.concat_ws("\n", F.col("header"), F.col("l.line")).alias("value")).write.partitionBy("kind", "part").text(path)
+    return path
+
+
+@register(
+    "csv_folder",
+    """SELECT CASE WHEN c_custkey % 4 = 2 THEN NULL ELSE c_custkey END AS c_custkey,
+       c_name || CASE WHEN c_custkey % 4 = 0 THEN chr(10) || 'x' ELSE '' END AS c_name,
+       CASE WHEN c_custkey % 4 < 2 THEN c_acctbal END AS c_acctbal
+FROM customer WHERE c_custkey % 4 <> 2
+UNION ALL SELECT c_custkey, c_name, NULL FROM customer WHERE c_custkey % 4 = 2""",
+)
+def csv_folder(spark, sf):
+    """A folder of CSV files with drifting headers, one scan per header, united by name."""
+    return R.conform_csv(spark, _folder_of_csv(spark, sf), T.StructType(TARGET.fields[:3]))
+
+
+@register("csv_files", """SELECT header, multi_line, count(*) AS n_files FROM (
+  SELECT DISTINCT c_custkey // 200 AS part, CASE c_custkey % 4 WHEN 0 THEN 'c_custkey,c_name,c_acctbal' WHEN 1 THEN 'c_acctbal,c_custkey,c_name'
+    WHEN 2 THEN 'C CUSTKEY,Notes,C_NAME$' ELSE 'C_CUSTKEY,c_custkey,c_name' END AS header, c_custkey % 4 = 0 AS multi_line FROM customer)
+GROUP BY ALL""")
+def csv_files(spark, sf):
+    """The header line of every file, and which files a reader cannot split."""
+    return R.csv_files(spark, _folder_of_csv(spark, sf)).groupBy("header", "multi_line").agg(F.count(F.lit(1)).alias("n_files"))
+
+
 @register("cap_rows", _CONFORMED_SQL + " ORDER BY c_custkey LIMIT 1000")
 def cap_rows(spark, sf):
     """Only the first N rows (explicit order) are kept."""
@@ -354,7 +397,9 @@ def warehouse_scan(spark, sf):
 
     name = "orders_" + uuid.uuid4().hex[:8]
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{table_path(sf, 'orders')}'")
-    return spark.table(name).select("o_orderkey", "o_custkey", "o_orderdate").filter(
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay, and the frame holds their list
+    return table.select("o_orderkey", "o_custkey", "o_orderdate").filter(
         F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
     )
 

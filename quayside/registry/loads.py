@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.operators import payloads as P
 from quayside.operators import tables as TB
 from quayside.plans import increment as I
 from quayside.plans import loads as LD
@@ -241,19 +242,71 @@ def ember_load(spark, sf):
     return TB.read_raw(spark, spec).select("date", "area", "category", "variable", "unit", F.col("value").cast("double"), "version")
 
 
+_CRAWL_YEAR_TABLES = [t for t in LD.CRAWL_KEYS if t.endswith("_avg_1d")] + ["quic_support_over_7d"]
+_CRAWL_MONTH_TABLES = [t for t in LD.CRAWL_KEYS if t.endswith("_over_7d") and t != "quic_support_over_7d"]
+
+
+def _crawl_drops(spark, sf):
+    """Yearly drops of all 13 crawl tables, made of orders: the priority is the agent
+    type, what a table is about is NULL for '5-LOW', counts are orders."""
+    o = src(spark, sf, "orders").withColumn("y", F.date_trunc("year", "o_orderdate")).withColumn("m", F.date_trunc("month", "o_orderdate"))
+    about = F.when(F.col("p") != "5-LOW", F.concat(F.lit("s-"), F.col("p")))
+    root = scratch_path(spark, "crawl")
+    for table in LD.CRAWL_KEYS:
+        monthly = table in _CRAWL_MONTH_TABLES
+        keys = [F.col("y")] if table == "discv5_stale_records" else [F.col("o_orderpriority").alias("p"), F.col("y")] + ([F.col("m")] if monthly else [])
+        g = o.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("t"))
+        at = F.col("m") if monthly else F.col("y")
+        given = {"min_crawl_created_at": F.col("y"), "max_crawl_created_at": F.col("y"), "crawl_created_at": at, "__count": F.col("n"), "__samples": F.col("n"),
+                 "__pct": F.lit(0.5), "__total": F.col("t"), "crawl_id": F.date_format("y", "yyyy"), "total": F.col("t"), "count": F.col("n"),
+                 "percentage": F.lit(0.5), "reachability": F.lit("online"), "agent_version_semver": F.array(F.lit(1), F.lit(None).cast("bigint"))}
+        if table != "discv5_stale_records":
+            given["agent_version_type"] = F.col("p")
+        fields = T.StructType.fromDDL(LD.crawl_schema(table)).fields
+        df = g.select(F.date_format("y", "yyyy-01-01").alias("drop"), *[given.get(f.name, about).cast(f.dataType).alias(f.name) for f in fields])
+        staging = f"{root}-staging/{table}"
+        df.hint("rebalance", "drop").write.partitionBy("drop").parquet(staging)
+        fs, at_ = TB._fs(spark, staging)
+        fs.mkdirs(TB._fs(spark, f"{root}/{table}")[1])
+        for st in fs.listStatus(at_):
+            name = st.getPath().getName()
+            if name.startswith("drop=") and not fs.rename(st.getPath(), TB._fs(spark, f"{root}/{table}/{name[5:]}.parquet")[1]):
+                raise OSError(f"could not move {name}")
+    return root
+
+
+def _named(tables):
+    return ", ".join(f"('{t}')" for t in tables)
+
+
 @register(
     "crawl_load",
-    f"""SELECT {", ".join(ORDERS_COLS)} FROM orders
-WHERE date_trunc('month', o_orderdate) IN (TIMESTAMP '2001-06-01', TIMESTAMP '2001-07-01', TIMESTAMP '2001-08-01')""",
+    f"""WITH o AS (SELECT *, date_trunc('year', o_orderdate) AS y, date_trunc('month', o_orderdate) AS m FROM orders)
+SELECT t.name AS table_name, y AS first_crawl, o_orderpriority AS agent_type, CASE WHEN t.name = 'quic_support_over_7d' THEN y END AS crawl,
+       count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS total
+FROM o, (VALUES {_named(_CRAWL_YEAR_TABLES)}) t(name) GROUP BY t.name, y, o_orderpriority
+UNION ALL
+SELECT t.name, y, o_orderpriority, m, count(*), CAST(sum(o_custkey) AS BIGINT)
+FROM o, (VALUES {_named(_CRAWL_MONTH_TABLES)}) t(name) GROUP BY t.name, y, m, o_orderpriority
+UNION ALL
+SELECT 'discv5_stale_records', NULL, strftime(y, '%Y'), y, count(*), CAST(sum(o_custkey) AS BIGINT) FROM o GROUP BY y""",
 )
 def crawl_load(spark, sf):
-    """Chosen crawl drops → replacing table keyed with a nullable part; re-running is idempotent."""
-    folder = LA._drops(spark, sf)
-    paths = [f"{folder}/2001-0{m}-01.parquet" for m in (6, 7, 8)]
-    spec = TB.TableSpec(path=scratch_path(spark, "crawl"), key=("o_orderkey", "o_orderpriority"))
-    LD.crawl_load(spark, paths, spec)
-    LD.crawl_load(spark, paths, spec)
-    return TB.read_latest(spark, spec)
+    """All drops of the 13 crawl tables → replacing tables with nullable keys, loaded twice."""
+    landing, root = _crawl_drops(spark, sf), scratch_path(spark, "crawl_tables")
+    LD.crawl_load(spark, landing, root)
+    LD.crawl_load(spark, landing, root)
+    out = None
+    for table in LD.CRAWL_KEYS:
+        df = TB.read_latest(spark, LD.crawl_spec(root, table))
+        stale, daily = table == "discv5_stale_records", table.endswith("_avg_1d")
+        none = F.lit(None).cast("timestamp_ntz")
+        one = df.select(
+            F.lit(table).alias("table_name"), (none if stale else F.col("min_crawl_created_at")).alias("first_crawl"),
+            F.col("crawl_id" if stale else "agent_version_type").alias("agent_type"), (none if daily else F.col("crawl_created_at")).alias("crawl"),
+            F.col("count" if stale else "__count").cast("bigint").alias("n"), F.col("total" if stale else "__total").cast("bigint").alias("total"))
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 # --------------------------------------------------------------------------- #
@@ -279,8 +332,6 @@ def fills_load(spark, sf):
     """Known fills of discovered owners are skipped; the rest are upserted with this run's version."""
     pages = G.trade_pages(spark, sf)
     spec = TB.TableSpec(path=scratch_path(spark, "fills"), key=("order_uid", "tx_hash", "log_index"), version="ingested_at")
-    from quayside.operators import payloads as P
-
     held = P.fills_rows(pages).join(
         src(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
             F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("order_uid")), "order_uid", "left_semi")
@@ -289,22 +340,72 @@ def fills_load(spark, sf):
     return TB.read_latest(spark, spec).select("order_uid", "log_index", "owner", "ingested_at")
 
 
-@register(
-    "events_load",
-    f"""WITH ok AS (SELECT CAST(ts AS DATE) AS day
-  {LA._NDJSON_OK} AND NOT (event_type = 'purchase' AND value < 10)),
-c AS (SELECT day, count(*) AS n FROM ok GROUP BY day)
-SELECT 'p1' AS project_id, CAST(d AS DATE) AS completed_date, coalesce(c.n, 0) AS rows_indexed, 'complete' AS status
-FROM unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) t(d)
-LEFT JOIN c ON c.day = CAST(d AS DATE)""",
-)
-def events_load(spark, sf):
-    """NDJSON export → events table; the ledger records written rows per completed day."""
+EVENT_LIMIT = 25  # events of one answer here; 100,000 in production
+
+_EVENTS_SQL = """all_events AS (
+  SELECT *, CAST(ts AS DATE) AS day, event_type = 'purchase' AND value < 5 AS no_time,
+    CASE WHEN event_type = 'error' AND value < 5 THEN 'malformed' WHEN event_type = 'view' AND value < 5 THEN 'not_an_object'
+         WHEN event_type = 'click' AND value < 5 THEN 'no_event' WHEN event_type = 'signup' AND value < 5 THEN 'blank'
+         WHEN event_type = 'purchase' AND value >= 5 AND value < 10 THEN 'bad_time' END AS bad FROM events),
+dated AS (SELECT * FROM all_events WHERE bad IS NULL AND NOT no_time),
+days AS (SELECT CAST(d AS DATE) AS day FROM unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) t(d)),
+judged AS (
+  SELECT day, sum(n) >= {limit} AND max(n) >= {limit} AS cut FROM (SELECT day, hour(ts) AS h, count(*) AS n FROM dated GROUP BY ALL) GROUP BY day),
+first_cut AS (SELECT min(day) AS d FROM days JOIN judged USING (day) WHERE cut),
+loaded AS (SELECT day FROM days, first_cut WHERE d IS NULL OR day < d),
+counts AS (SELECT day, count(*) AS n FROM dated GROUP BY day),
+marks AS (
+  SELECT loaded.day, coalesce(n, 0) AS rows, coalesce(n, 0) > 0 OR DATE '2024-02-01' - loaded.day >= 3 AS done FROM loaded LEFT JOIN counts USING (day))"""
+
+
+def _events_load_sql(limit):
+    return "WITH " + _EVENTS_SQL.replace("{limit}", str(limit)) + """
+SELECT 'ledger' AS tbl, CAST(NULL AS VARCHAR) AS id, day, rows AS n, 'complete' AS note FROM marks WHERE done
+UNION ALL SELECT 'events', CAST(event_id AS VARCHAR), CASE WHEN no_time THEN DATE '1970-01-01' ELSE day END, 1, event_type FROM all_events
+  WHERE bad IS NULL AND (no_time OR day IN (SELECT day FROM loaded))
+UNION ALL SELECT 'rejects', NULL, NULL, count(*), bad FROM all_events WHERE bad <> 'blank' GROUP BY bad
+UNION ALL SELECT 'outcome', NULL, day, coalesce(m.rows, 0),
+  CASE WHEN m.done THEN 'complete' WHEN NOT m.done THEN 'waiting' WHEN coalesce(cut, false) THEN 'truncated' ELSE 'stopped' END
+  FROM days LEFT JOIN marks m USING (day) LEFT JOIN judged USING (day)"""
+
+
+def _events_load(spark, sf, limit):
+    """The export of January loaded, and loaded again; every table it writes."""
     ndjson = LA._ndjson(spark, sf)
     events = TB.TableSpec(path=scratch_path(spark, "events_tbl"), key=("project_id", "event_name", "event_time", "insert_id"))
     ledger = I.ledger_spec(scratch_path(spark, "ledger"))
-    LD.events_load(spark, ndjson, events, ledger, "p1", "2024-01-01", "2024-01-30", "2024-02-03", "2024-02-03 00:00:00")
-    return TB.read_latest(spark, ledger).select("project_id", "completed_date", "rows_indexed", "status")
+    run = {"project_id": "p1", "today": "2024-02-01", "backfill": ("2024-01-01", "2024-01-30"), "limit": limit}
+    outcome = LD.events_load(spark, ndjson, events, ledger, run_ts="2024-02-01 00:00:00", **run)
+    rejects = TB.read_raw(spark, P.rejects_of(events)).groupBy("reason").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    LD.events_load(spark, ndjson, events, ledger, run_ts="2024-02-01 01:00:00", **run)
+    # Rows of completed days are stored once; events without a time come with each run.
+    stored = TB.read_raw(spark, events)
+    dated = stored.filter(F.col("event_time") > F.lit("1970-01-01").cast("timestamp"))
+    undated = TB.read_latest(spark, events).filter(F.col("event_time") <= F.lit("1970-01-01").cast("timestamp"))
+    rows = dated.select("insert_id", "event_time", "event_name").unionAll(undated.select("insert_id", "event_time", "event_name"))
+    none, no_day = F.lit(None).cast("string"), F.lit(None).cast("date")
+    parts = [
+        TB.read_latest(spark, ledger).select(F.lit("ledger").alias("tbl"), none.alias("id"), F.col("completed_date").alias("day"), F.col("rows_indexed").alias("n"), F.col("status").alias("note")),
+        rows.select(F.lit("events"), "insert_id", F.to_date("event_time"), F.lit(1).cast("bigint"), "event_name"),
+        rejects.select(F.lit("rejects"), none, no_day, "n", "reason"),
+        outcome.select(F.lit("outcome"), none, "day", "rows", "outcome"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+@register("events_load", _events_load_sql(100_000))
+def events_load(spark, sf):
+    """NDJSON export → events, rejects, ledger marks of committed days; a second run adds none."""
+    return _events_load(spark, sf, 100_000)
+
+
+@register("events_load_truncated", _events_load_sql(EVENT_LIMIT))
+def events_load_truncated(spark, sf):
+    """A day with an hour at the limit stops the load there; the days before it are complete."""
+    return _events_load(spark, sf, EVENT_LIMIT)
 
 
 @register(
@@ -338,12 +439,18 @@ v AS (
          'prop-' || CAST(l_orderkey AS VARCHAR) AS proposal_id, '0x' || CAST(l_suppkey AS VARCHAR) AS voter,
          l_shipdate AS created_at, l_quantity AS vp
   FROM lineitem JOIN p ON p.pid = 'prop-' || CAST(l_orderkey AS VARCHAR)
-  WHERE p.o_orderstatus IN ('O', 'P') OR p.end_at >= TIMESTAMP '2001-08-01' - INTERVAL 30 DAY)
-SELECT id, proposal_id, voter, vp FROM v
-QUALIFY row_number() OVER (PARTITION BY proposal_id, id ORDER BY voter DESC, vp DESC) = 1""",
+  WHERE p.o_orderstatus IN ('O', 'P') OR p.end_at >= TIMESTAMP '2001-07-31' - INTERVAL 30 DAY)
+SELECT 'votes' AS tbl, id, proposal_id AS of, vp FROM v
+QUALIFY row_number() OVER (PARTITION BY proposal_id, id ORDER BY voter DESC, vp DESC) = 1
+UNION ALL SELECT 'proposals', pid, NULL, NULL FROM p
+UNION ALL SELECT 'space', 'default.eth', NULL, NULL
+UNION ALL SELECT 'space', lower(n_name), NULL, NULL FROM nation WHERE n_nationkey > 0
+UNION ALL SELECT 'follows', 'f-' || c_custkey, 'default.eth', NULL FROM customer
+UNION ALL SELECT 'rejects of follows', 'malformed', NULL, NULL FROM region""",
 )
 def governance_votes_load(spark, sf):
-    """Proposals upserted; votes loaded only for proposals open or ended within 30 days."""
+    """Space, proposals, follows, and votes of proposals open or ended within 30 days;
+    pages that are cut off are rejects."""
     o = src(spark, sf, "orders")
     created = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
     state = F.when(F.col("o_orderstatus") == "O", "active").when(F.col("o_orderstatus") == "P", "pending").otherwise("closed")
@@ -360,42 +467,151 @@ def governance_votes_load(spark, sf):
         F.struct(F.concat(F.lit("prop-"), F.col("l_orderkey").cast("string")).alias("id")).alias("proposal"),
     )
     vote_pages = li.select(G._one(vote).alias("body"))
-    proposals = TB.TableSpec(path=scratch_path(spark, "proposals"), key=("id",), version="ingested_at")
-    votes = TB.TableSpec(path=scratch_path(spark, "votes"), key=("proposal_id", "id"), version="ingested_at")
-    LD.governance_votes_load(spark, proposal_pages, vote_pages, proposals, votes, G.SPACE, "2001-08-01 00:00:00", days=30)
-    return TB.read_latest(spark, votes).select("id", "proposal_id", "voter", "vp")
+    n, customers = src(spark, sf, "nation"), src(spark, sf, "customer")
+    spaces = n.select(F.to_json(F.struct(F.when(F.col("n_nationkey") > 0, F.lower("n_name")).alias("id"), F.col("n_name").alias("name"))).alias("body"))
+    follow = F.struct(F.concat(F.lit("f-"), F.col("c_custkey").cast("string")).alias("id"))
+    follow_pages = customers.select(G._one(follow).alias("body")).unionAll(src(spark, sf, "region").select(F.lit('[{"id": "f')))
+    tables = {name: TB.TableSpec(path=scratch_path(spark, name), key=key, version="ingested_at") for name, key in {
+        "space": ("space_id",), "proposals": ("id",), "votes": ("proposal_id", "id"), "follows": ("id",)}.items()}
+    for now in ("2001-07-31 00:00:00", "2001-08-01 00:00:00"):
+        LD.governance_load(spark, tables, G.SPACE, now, spaces, proposal_pages, vote_pages, follow_pages, days=30)
+    none, no_vp = F.lit(None).cast("string"), F.lit(None).cast("double")
+    held = {name: TB.read_latest(spark, spec) for name, spec in tables.items()}
+    rejects = TB.read_raw(spark, P.rejects_of(tables["follows"])).filter(F.col("rejected_at") == F.lit("2001-08-01").cast("timestamp_ntz"))
+    return (held["votes"].select(F.lit("votes").alias("tbl"), "id", F.col("proposal_id").alias("of"), "vp")
+            .unionAll(held["proposals"].select(F.lit("proposals"), "id", none, no_vp))
+            .unionAll(held["space"].select(F.lit("space"), "space_id", none, no_vp))
+            .unionAll(held["follows"].select(F.lit("follows"), "id", "space_id", no_vp))
+            .unionAll(rejects.select(F.lit("rejects of follows"), "reason", none, no_vp)))
+
+
+FORUM_KEYS = {
+    "categories": ("id",), "users": ("id",), "likes": ("post_id", "acting_user_id"), "topics": ("id",),
+    "posts": ("topic_id", "post_number"), "polls": ("post_id", "poll_name", "option_id")}
 
 
 @register(
     "forum_load",
-    """SELECT lower(replace(c_name, '#', '_')) AS username, CAST(floor(c_acctbal / 100) AS BIGINT) + 1 AS likes_given,
-       CAST(floor(c_acctbal / 100) AS BIGINT) AS baseline
-FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND floor(c_acctbal / 100) + 1 > 0""",
+    f"""WITH {G._POLLS_SQL}, {G._LIKES_SQL}, conv AS (SELECT DISTINCT conv_id FROM conversations),
+work AS (
+  SELECT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'bumped' ELSE 'open_poll' END AS why FROM conv
+  WHERE conv_id % 7 = 0 OR conv_id IN (SELECT topic_id FROM polls WHERE status = 'open')),
+users AS (SELECT c_custkey, lower(replace(c_name, '#', '_')) AS username, CAST(floor(c_acctbal / 100) AS BIGINT) AS base, c_mktsegment FROM customer)
+SELECT 'topics' AS tbl, CAST(conv_id AS VARCHAR) AS id, CASE WHEN conv_id IN (SELECT conv_id FROM work) THEN 2 ELSE 1 END AS run FROM conv
+UNION ALL SELECT 'posts', CAST(conv_id * 1000 + turn AS VARCHAR), CASE WHEN conv_id IN (SELECT conv_id FROM work) THEN 2 ELSE 1 END FROM conversations
+UNION ALL SELECT 'polls', CAST(post_id AS VARCHAR) || option_id || option_votes,
+  CASE WHEN topic_id % 7 = 0 AND option_id = 'o1' THEN 2 ELSE 1 END
+  FROM (SELECT post_id, topic_id, option_id, CASE WHEN topic_id % 7 = 0 AND option_id = 'o1' THEN '9' ELSE '' END || option_votes AS option_votes FROM polls)
+UNION ALL SELECT 'likes', CAST(post_id AS VARCHAR) || acting_username, 2 FROM likes
+UNION ALL SELECT 'users', CAST(c_custkey AS VARCHAR), 2 FROM users
+UNION ALL SELECT 'users', role, 2 FROM (SELECT DISTINCT role FROM conversations)
+UNION ALL SELECT 'categories', CAST(r_regionkey + 1000 AS VARCHAR), 2 FROM region UNION ALL SELECT 'categories', CAST(n_nationkey AS VARCHAR), 2 FROM nation
+UNION ALL SELECT 'work: ' || why, CAST(conv_id AS VARCHAR), 2 FROM work
+UNION ALL SELECT 'targets', username, 2 FROM users WHERE c_mktsegment = 'AUTOMOBILE' AND base + 1 > 0
+UNION ALL SELECT 'targets', role, 2 FROM (SELECT DISTINCT role FROM conversations)
+UNION ALL SELECT 'missing posts', CAST(conv_id * 1000 + 999 AS VARCHAR), 2 FROM work""",
 )
 def forum_load(spark, sf):
-    """Two daily forum runs; the second returns users whose likes-given grew since the first."""
-    tables = {n: TB.TableSpec(path=scratch_path(spark, f"forum_{n}"), key=k, version="ingested_at") for n, k in {
-        "categories": ("id",), "users": ("id",), "likes": ("post_id", "acting_user_id"), "topics": ("id",),
-        "posts": ("topic_id", "post_number"), "polls": ("post_id", "poll_name", "option_id")}.items()}
+    """Two daily runs over six tables.  In the second some topics were bumped and their
+    first poll options gained votes; topics with open polls are read again without a
+    bump, and what did not change is not written."""
+    tables = {n: TB.TableSpec(path=scratch_path(spark, f"forum_{n}"), key=k, version="ingested_at") for n, k in FORUM_KEYS.items()}
     c = src(spark, sf, "customer")
 
-    def user_pages(bump):
-        likes = F.floor(F.col("c_acctbal") / 100).cast("bigint") + F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(bump)).otherwise(0)
+    def user_pages(run):
+        likes = F.floor(F.col("c_acctbal") / 100).cast("bigint") + F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(run - 1)).otherwise(0)
         item = F.struct(
-            F.struct(F.col("c_custkey").alias("id"), F.lower(F.regexp_replace("c_name", "#", "_")).alias("username")).alias("user"),
-            likes.alias("likes_given"),
-        )
-        return G._bucket_pages(c, item).select(F.to_json(F.struct(F.col("items").alias("directory_items"))).alias("body"))
+            F.struct(F.col("c_custkey").cast("string").alias("id"), F.lower(F.regexp_replace("c_name", "#", "_")).alias("username")).alias("user"),
+            likes.alias("likes_given"))
+        roles = src(spark, sf, "conversations").select("role").distinct().select(F.to_json(F.struct(F.array(F.struct(
+            F.struct((-F.length("role")).alias("id"), F.col("role").alias("username")).alias("user"), F.lit(run).alias("likes_given"))).alias("directory_items"))).alias("body"))
+        return G._bucket_pages(c, item).select(F.to_json(F.struct(F.col("items").alias("directory_items"))).alias("body")).unionAll(roles)
 
     r, n = src(spark, sf, "region"), src(spark, sf, "nation")
     sub = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("subs"))
     cat_payloads = r.join(sub, r.r_regionkey == sub.n_regionkey, "left").select(F.to_json(F.struct(F.struct(F.array(F.struct(
         (F.col("r_regionkey") + 1000).alias("id"), F.col("r_name").alias("name"), F.col("subs").alias("subcategory_list"))).alias("categories")).alias("category_list"))).alias("body"))
-    details, stubs, likes = G.topic_details(spark, sf), G.topic_stubs(spark, sf), G.like_pages(spark, sf)
-    pages = G.post_pages(spark, sf)
-    LD.forum_load(spark, cat_payloads, user_pages(0), likes, details, stubs, tables, "2024-02-01 00:00:00", pages)
-    targets = LD.forum_load(spark, cat_payloads, user_pages(1), likes, details, stubs, tables, "2024-02-02 00:00:00", pages)
-    return targets.select("username", "likes_given", "baseline")
+    details, likes, pages = G.topic_details(spark, sf), G.like_pages(spark, sf), G.post_pages(spark, sf)
+    all_stubs = src(spark, sf, "conversations").select("conv_id").distinct()
+
+    def stubs(run):
+        return all_stubs.select("conv_id", F.when((F.col("conv_id") % 7 == 0) & F.lit(run == 2), "2030-02-01T00:00:00Z").otherwise("2030-01-01T00:00:00Z").alias("bumped_at")
+                                ).withColumnRenamed("conv_id", "id")
+
+    def bumped(payloads):
+        """The detail of a bumped topic carries no time of its own: its stub's counts."""
+        return payloads.withColumn("body", F.regexp_replace("body", '"bumped_at":"[^"]*",', ""))
+
+    more_votes = F.when(F.get_json_object("body", "$.id").cast("bigint") % 7 == 0, F.regexp_replace(
+        "body", r'"html":"yes","votes":([0-9]+)', r'"html":"yes","votes":9$1')).otherwise(F.col("body"))
+    voted = pages.withColumn("body", more_votes)
+    for run, day in ((1, "2024-02-01 00:00:00"), (2, "2024-02-02 00:00:00")):
+        posts = pages if run == 1 else voted
+        done = LD.forum_load(spark, cat_payloads, user_pages(run), likes, bumped(details), stubs(run), tables, day, posts)
+    run_no = F.when(F.col("ingested_at") == F.lit("2024-02-02").cast("timestamp_ntz"), 2).otherwise(1).alias("run")
+    held = {name: TB.read_latest(spark, spec) for name, spec in tables.items()}
+    second = F.lit(2)
+    parts = [held["topics"].select(F.lit("topics").alias("tbl"), F.col("id").cast("string").alias("id"), run_no),
+             held["posts"].select(F.lit("posts"), F.col("id").cast("string"), run_no),
+             held["polls"].select(F.lit("polls"), F.concat(F.col("post_id").cast("string"), "option_id", F.col("option_votes").cast("string")), run_no),
+             held["likes"].select(F.lit("likes"), F.concat(F.col("post_id").cast("string"), "acting_username"), run_no),
+             held["users"].select(F.lit("users"), F.when(F.col("id") < 0, F.col("username")).otherwise(F.col("id").cast("string")), run_no),
+             held["categories"].select(F.lit("categories"), F.col("id").cast("string"), run_no),
+             done.work.select(F.concat(F.lit("work: "), "why"), F.col("topic_id").cast("string"), second),
+             done.targets.select(F.lit("targets"), "username", second),
+             done.missing_posts.select(F.lit("missing posts"), F.col("post_id").cast("string"), second)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+# --------------------------------------------------------------------------- #
+# Fills: repair and backfill
+# --------------------------------------------------------------------------- #
+
+
+def _fills_in_mode(spark, sf, mode):
+    """Fills of closed orders are held; then a load in the given mode."""
+    pages = G.trade_pages(spark, sf)
+    spec = TB.TableSpec(path=scratch_path(spark, "fills"), key=("order_uid", "tx_hash", "log_index"), version="ingested_at", month_of="ingested_at")
+    held = P.fills_rows(pages).join(src(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
+        F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("order_uid")), "order_uid", "left_semi")
+    TB.upsert(held.withColumn("tx_hash", F.lower("tx_hash")).withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz")), spec)
+    fetched = pages.withColumn("body", F.regexp_replace("body", "0xAB", "0xab"))
+    LD.fills_load(spark, fetched, spec, None, T1, mode=mode, source=FR.onchain_fills(spark, sf))
+    return TB.read_latest(spark, spec).select("order_uid", "log_index", "owner", "ingested_at")
+
+
+_HELD_SQL = """trades AS (
+  SELECT o.*, f.l_linenumber FROM orders o
+  LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) f ON f.l_orderkey = o.o_orderkey
+),
+behind AS (SELECT DISTINCT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'F')"""
+
+
+@register(
+    "fills_load_repair",
+    f"""WITH {_HELD_SQL}
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, CAST(coalesce(l_linenumber, 0) AS BIGINT) AS log_index,
+       '0x' || CAST(o_custkey AS VARCHAR) AS owner,
+       CASE WHEN o_custkey IN (SELECT o_custkey FROM behind) THEN TIMESTAMP '{T1}' ELSE TIMESTAMP '{T0}' END AS ingested_at
+FROM trades WHERE o_orderstatus = 'F' OR o_custkey IN (SELECT o_custkey FROM behind)""",
+)
+def fills_load_repair(spark, sf):
+    """Owners with a fill that the table lacks have all their fills written again."""
+    return _fills_in_mode(spark, sf, "repair")
+
+
+@register(
+    "fills_load_backfill",
+    f"""WITH {_HELD_SQL}
+SELECT '0x' || CAST(o_orderkey AS VARCHAR) AS order_uid, CAST(coalesce(l_linenumber, 0) AS BIGINT) AS log_index,
+       '0x' || CAST(o_custkey AS VARCHAR) AS owner, TIMESTAMP '{T1}' AS ingested_at FROM trades""",
+)
+def fills_load_backfill(spark, sf):
+    """Every fill is written, held or not."""
+    return _fills_in_mode(spark, sf, "backfill")
 
 
 # --------------------------------------------------------------------------- #
@@ -452,3 +668,47 @@ def full_history_load(spark, sf):
     LD.full_history_load(spark, ev, spec, "2024-01-30", "2024-02-01 00:00:00")
     LD.full_history_load(spark, ev, spec, "2024-01-30", "2024-02-02 00:00:00")
     return TB.read_raw(spark, spec).select("asset", "block_date", "price")
+
+
+@register(
+    "price_backfill_by_token",
+    "WITH " + PR._CHART_SQL + """
+SELECT CAST(DATE '1970-01-01' + CAST(round_even(ts_s / 86400.0, 0) AS INTEGER) AS DATE) AS block_date, upper(coin) AS symbol, 'gnosis' AS chain,
+       '0x' || coin AS address, arg_max(price, window_no * 1000000000 + pos) AS price
+FROM pts WHERE price IS NOT NULL AND coin <> 'signup' GROUP BY ALL""",
+)
+def price_backfill_by_token(spark, sf):
+    """The backfill's own row shape: symbol, chain and token address from the allowlist;
+    a coin that is not on it brings no row; run twice."""
+    coins = src(spark, sf, "events").select("event_type").distinct().filter("event_type <> 'signup'")
+    allow = coins.select(F.upper("event_type").alias("symbol"), F.lit("gnosis").alias("chain"), F.concat(F.lit("0x"), "event_type").alias("address"))
+    windows = PR.chart_windows(spark, sf).withColumn("body", F.regexp_replace("body", r'^\{"coins":\{"', '{"coins":{"gnosis:0X'))
+    spec = TB.TableSpec(path=scratch_path(spark, "backfill"), month_of="block_date", schema=(
+        "block_date DATE, symbol STRING, chain STRING, address STRING, price DOUBLE, confidence DOUBLE, ingested_at TIMESTAMP_NTZ"))
+    LD.price_backfill_load(spark, windows, spec, "2024-02-01 00:00:00", allow)
+    LD.price_backfill_load(spark, windows, spec, "2024-02-02 00:00:00", allow)
+    return TB.read_raw(spark, spec).select("block_date", "symbol", "chain", "address", "price")
+
+
+@register(
+    "market_prices_load",
+    """SELECT 'row' AS kind, event_type AS coingecko_id, upper(event_type) AS symbol, CAST(ts AS DATE) AS block_date, arg_max(value, epoch_ms(ts) * 1000000 + event_id) AS price
+FROM events WHERE value IS NOT NULL AND event_type NOT IN ('error', 'signup') AND CAST(ts AS DATE) < DATE '2024-01-30' GROUP BY ALL
+UNION ALL SELECT DISTINCT 'missing', event_type, NULL, NULL, CAST(NULL AS DOUBLE) FROM events WHERE event_type = 'error'
+UNION ALL SELECT DISTINCT 'reject', event_type, 'malformed', NULL, NULL FROM events WHERE event_type = 'error'""",
+)
+def market_prices_load(spark, sf):
+    """Second source: last point per day and id, today left out; the chart that is cut
+    off is a reject and its asset reported, the others load; run twice."""
+    ids = src(spark, sf, "events").select("event_type").distinct().filter("event_type <> 'signup'")
+    allow = ids.select(F.lit(1).alias("pos"), F.col("event_type").alias("coingecko_id"), F.upper("event_type").alias("symbol"))
+    spec = TB.TableSpec(path=scratch_path(spark, "market"), month_of="block_date", schema=(
+        "block_date DATE, coingecko_id STRING, symbol STRING, price DOUBLE, ingested_at TIMESTAMP_NTZ"))
+    charts = PR.market_charts(spark, sf)
+    for day in ("2024-02-01 00:00:00", "2024-02-02 00:00:00"):
+        missing = LD.market_prices_load(spark, charts, allow, spec, "2024-01-30", day)
+    no_day, no_price = F.lit(None).cast("date"), F.lit(None).cast("double")
+    rejects = TB.read_raw(spark, P.rejects_of(spec)).select("page", "reason").distinct()
+    return (TB.read_raw(spark, spec).select(F.lit("row").alias("kind"), "coingecko_id", "symbol", "block_date", "price")
+            .unionAll(missing.select(F.lit("missing"), "coingecko_id", F.lit(None).cast("string"), no_day, no_price))
+            .unionAll(rejects.select(F.lit("reject"), "page", "reason", no_day, no_price)))

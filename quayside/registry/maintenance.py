@@ -147,6 +147,34 @@ def skip_unchanged(spark, sf):
     return changed_rows(fresh, held, list(KEY))
 
 
+@register(
+    "skip_unchanged_write",
+    """WITH first AS (SELECT o_orderkey, o_orderstatus, o_totalprice, TIMESTAMP '2024-01-01' AS ingested_at FROM orders WHERE o_orderstatus <> 'P')
+SELECT * FROM first
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice + CASE WHEN o_custkey % 10 = 0 THEN 1 ELSE 0 END, TIMESTAMP '2024-01-02'
+FROM orders WHERE o_orderstatus = 'P' OR o_custkey % 10 = 0
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice, TIMESTAMP '2024-01-04' FROM orders WHERE o_custkey % 10 = 0""",
+)
+def skip_unchanged_write(spark, sf):
+    """Four observations of a state: the second changes some rows, the third none,
+    the fourth changes them back.  Every stored row is returned."""
+    o = src(spark, sf, "orders")
+    spec = T.TableSpec(path=scratch_path(spark, "orders_seen"), key=("o_orderkey",), version="ingested_at")
+
+    def observe(df, raised, day):
+        price = F.col("o_totalprice") + (F.when(F.col("o_custkey") % 10 == 0, 1).otherwise(0) if raised else 0)
+        T.upsert_changed(spark, df.select("o_orderkey", "o_orderstatus", price.cast("double").alias("o_totalprice"),
+                                          F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp_ntz").alias("ingested_at")), spec)
+
+    observe(o.filter("o_orderstatus <> 'P'"), False, 1)
+    observe(o, True, 2)
+    observe(o, True, 3)
+    observe(o, False, 4)
+    return T.read_raw(spark, spec).select("o_orderkey", "o_orderstatus", "o_totalprice", "ingested_at")
+
+
 @register(
     "exact_distinct_per_group",
     """SELECT l_suppkey, count(DISTINCT l_orderkey) AS n_orders FROM lineitem GROUP BY l_suppkey""",
@@ -266,8 +294,20 @@ SELECT batch_no, count(*) AS n_months, CAST(sum(n) AS BIGINT) AS n_rows, min(mon
 FROM r GROUP BY batch_no""",
 )
 def bounded_write(spark, sf):
-    """Write with ≤ 1,000 rows per file; report the plan as groups of ≤ 24 months."""
+    """Write with ≤ 1,000 rows per file, in commits of ≤ 24 months each; the plan."""
     from quayside.plans.ledger import bounded_write as bw
 
     spec = T.TableSpec(path=scratch_path(spark, "orders_bw"), month_of="o_orderdate", max_records_per_file=1000)
-    return bw(spark, src(spark, sf, "orders"), spec, max_months=24)
+    plan = bw(spark, src(spark, sf, "orders"), spec, max_months=24)
+    return plan.filter("state = 'committed'").drop("state")
+
+
+@register("bounded_write_rows", "SELECT " + ", ".join(ORDERS_COLS) + " FROM orders")
+def bounded_write_rows(spark, sf):
+    """What bounded commits leave in the table, after a second call with the same load id."""
+    from quayside.plans.ledger import bounded_write as bw
+
+    spec = T.TableSpec(path=scratch_path(spark, "orders_bw"), month_of="o_orderdate")
+    for _ in range(2):
+        bw(spark, src(spark, sf, "orders"), spec, max_months=24, load_id="once")
+    return T.read_latest(spark, spec).select(*ORDERS_COLS)

@@ -298,8 +298,46 @@ LEFT JOIN last_conf c ON p.coin = c.coin""",
 )
 def merge_chart_windows(spark, sf):
     """Windows → one point per day (later window wins) + last non-NULL confidence."""
-    pts = P.chart_points(chart_windows(spark, sf))
-    return M.merge_chart_windows(pts, "coin", "day", "price", "window_no", "pos", "confidence")
+    windows = chart_windows(spark, sf)
+    return M.merge_chart_windows(P.chart_points(windows), "coin", "day", "price", "window_no", "pos", "confidence", P.chart_confidences(windows))
+
+
+@register(
+    "merge_empty_windows",
+    "WITH " + _CHART_SQL + """
+SELECT coin, CAST(DATE '1970-01-01' + CAST(round_even(ts_s / 86400.0, 0) AS INTEGER) AS DATE) AS day,
+       arg_max(price, window_no * 1000000000 + pos) AS price, CASE WHEN coin < 'p' THEN 0.9 ELSE 0.7 END::DOUBLE AS confidence
+FROM pts WHERE price IS NOT NULL GROUP BY ALL""",
+)
+def merge_empty_windows(spark, sf):
+    """The last window of some coins has a confidence and no points; it counts."""
+    windows = chart_windows(spark, sf)
+    quote = lambda c: F.to_json(F.struct(F.create_map("coin", F.struct(F.array().cast("array<string>").alias("prices"), F.lit(c).alias("confidence"))).alias("coins")))
+    coins = windows.select("coin").distinct()
+    windows = windows.unionByName(coins.select("coin", F.lit(1 << 40).alias("window_no"), quote(0.7).alias("body")))
+    windows = windows.unionByName(coins.filter("coin < 'p'").select("coin", F.lit(1 << 41).alias("window_no"), quote(0.9).alias("body")))
+    return M.merge_chart_windows(P.chart_points(windows), "coin", "day", "price", "window_no", "pos", "confidence", P.chart_confidences(windows))
+
+
+def market_charts(spark, sf):
+    """Market charts of the second price source: points of 500 event ids per page;
+    the chart of 'error' is cut off."""
+    point = F.struct("event_id", F.array(F.unix_millis(F.col("ts").cast("timestamp")).cast("double"), F.col("value")).alias("p"))
+    pages = src(spark, sf, "events").groupBy(F.col("event_type").alias("coingecko_id"), F.floor(F.col("event_id") / 500).alias("page")).agg(
+        F.sort_array(F.collect_list(point)).alias("pts"))
+    body = F.to_json(F.struct(F.col("pts.p").alias("prices")))
+    cut = F.when(F.col("coingecko_id") == "error", F.substring(body, F.lit(1), F.length(body) - 2)).otherwise(body)
+    return pages.select("coingecko_id", "page", cut.alias("body"))
+
+
+@register(
+    "market_chart_rows",
+    """SELECT event_type AS coingecko_id, date_trunc('milliseconds', ts) AS ts, CAST(ts AS DATE) AS day, value AS price
+FROM events WHERE event_type <> 'error' AND value IS NOT NULL""",
+)
+def market_chart_rows(spark, sf):
+    """``prices[[ms, price]]`` → (asset id, time, day, price); a chart that is cut off gives none."""
+    return P.market_chart_rows(market_charts(spark, sf), "coingecko_id").drop("pos")
 
 
 _SERIES_SQL = """series AS (
@@ -333,8 +371,8 @@ def series_coverage(spark, sf):
 # --------------------------------------------------------------------------- #
 
 
-def _daily(spark, sf, flag, agg):
-    li = src(spark, sf, "lineitem").filter(F.col("l_returnflag") == flag)
+def _daily(spark, sf, flags, agg):
+    li = src(spark, sf, "lineitem").filter(F.col("l_returnflag").isin(flags))
     return li.groupBy(F.col("l_partkey").alias("asset"), F.to_date("l_shipdate").alias("day")).agg(
         agg(F.col("l_extendedprice") / F.col("l_quantity")).alias("price")
     )
@@ -343,7 +381,7 @@ def _daily(spark, sf, flag, agg):
 @register(
     "price_compare",
     """WITH a AS (SELECT l_partkey AS asset, CAST(l_shipdate AS DATE) AS day, max(l_extendedprice / l_quantity) AS price
-           FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL),
+           FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY ALL),
 b AS (SELECT l_partkey AS asset, CAST(l_shipdate AS DATE) AS day, min(l_extendedprice / l_quantity) AS price
       FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
 SELECT coalesce(a.asset, b.asset) AS asset, coalesce(a.day, b.day) AS day, a.price AS price_a, b.price AS price_b,
@@ -352,7 +390,7 @@ FROM a FULL OUTER JOIN b ON a.asset = b.asset AND a.day = b.day""",
 )
 def price_compare(spark, sf):
     """Same day and asset across two sources: full outer join and relative difference."""
-    return J.price_compare(_daily(spark, sf, "A", F.max), _daily(spark, sf, "R", F.min), ["asset", "day"])
+    return J.price_compare(_daily(spark, sf, ["A", "N"], F.max), _daily(spark, sf, ["R"], F.min), ["asset", "day"])
 
 
 @register(

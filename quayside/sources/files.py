@@ -13,9 +13,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DATE_NAME = r"^(\d{4}-\d{2}-\d{2})"
-
-
 def list_drops(spark: SparkSession, folder: str) -> DataFrame:
     """One row per object directly under ``folder``: (name, path, drop_date).
 
