@@ -205,7 +205,7 @@ def test_query_equals_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.sql(queries.ORACLE[name])
     got = queries.QUERIES[name](spark, SF_SMALL)
