@@ -48,11 +48,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _named(word: bytes) -> int:
-    return 0 if word == _GAP else xxhash.xxh64_intdigest(word) or 1
-
-
-_WORDS = Memo(_named, 100_000)
+_GAP_ID = np.uint64(xxhash.xxh3_64_intdigest(_GAP))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -129,11 +125,11 @@ class _Blocks:
     def add(self, lang: str, text: str | None) -> None:
         words = words_of(text)
         if words:
-            ids = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+            ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             self.words += words
             self.words.append(_GAP)
             named = np.maximum(_mixed(ids + np.uint64(_LANGS[lang])), np.uint64(1))
-            self.ids += [np.where(ids == 0, ids, named), np.zeros(1, np.uint64)]
+            self.ids += [np.where(ids == _GAP_ID, np.uint64(0), named), np.zeros(1, np.uint64)]
             self.langs.append(lang)
             self.size += len(words) + 1
 
