@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Memo, Scratch, components, maybe_member, prepare
+from .shared import Scratch, components, maybe_member, prepare
 
 FLUSH = 1_000_000        # shingles a task gathers before it writes them out
 FREQUENT = 8             # a shingle that occurs less often is never frequent
@@ -34,29 +34,28 @@ FRAGMENTS = 8            # of the global order, the last for frequent shingles
 HUB_ROUNDS = 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
-_WORDS = Memo(xxhash.xxh64_intdigest, 200_000)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * _MIX
-    return (h ^ (h >> np.uint64(29))) * _MIX2
+# Odd factors of a word by its place in a shingle, from one multiplicative rule.
+_FACTORS = np.multiply.accumulate(np.full(64, 0xD1342543DE82EF95, np.uint64))
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``width``-word shingles: A-Z lowered,
-    words cut at ASCII white space; a shorter text is one shingle, none without words."""
+    words cut at ASCII white space; a shorter text is one shingle, none without words.
+
+    A shingle is the sum of its words' hashes, each times the factor of its place,
+    mixed once."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     k = min(n, width)
     h = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
-        h = _mixed(h) + w[i:n - k + 1 + i]
-    h = _mixed(h)
+        h += w[i:n - k + 1 + i] * _FACTORS[i]
     h ^= h >> np.uint64(32)
+    h *= _MIX
+    h ^= h >> np.uint64(29)
     return np.unique(h)
 
 
