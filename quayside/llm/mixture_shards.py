@@ -20,7 +20,8 @@ def interleave(docs: DataFrame, shards: int, seed: int = 17, text: str = "text",
     Law ``rows``: shard row counts differ by at most one, and each shard's count
     of a source differs from its share by a few rows.  ``size`` is the UTF-8
     bytes of the text (null: none) plus 8, ``slot`` numbers a shard's rows from
-    0 in interleaved order.  A null source is a stratum of its own; repeated
+    0 in interleaved order.  The shuffle depends on seed, id and text alone, so it
+    is the same on any cluster; only rows equal in both take any order.  A null source is a stratum of its own; repeated
     rows and ids keep a row each; empty tables give an empty table.  Only ids,
     sizes and checksums are shuffled, never texts.
     """
@@ -32,7 +33,8 @@ def interleave(docs: DataFrame, shards: int, seed: int = 17, text: str = "text",
         F.crc32(data).alias("text_crc32"),
         F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(source).cast("string"))).alias("stratum"),
         F.monotonically_increasing_id().alias("__row"),
-    ).withColumn("__hash", F.xxhash64(F.lit(seed), F.col(id).cast("string"), "__row")))
+        F.xxhash64(F.lit(seed), F.col(id).cast("string"), data).alias("__hash"),
+    ))
     placed = ranked(rows, ["__hash", "__row"], scratch, within="stratum")
     fraction = (F.col("__rank") + F.lit(0.5)) / F.col("__of")
     line = ranked(placed.withColumn("__fraction", fraction).drop("__rank", "__of"), ["__fraction", "__hash", "__row"], scratch)
