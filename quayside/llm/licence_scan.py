@@ -32,10 +32,25 @@ SENTENCES = {
                  "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
                  "subject to the following conditions:"],
     "MITNotice": ["The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"],
+    "MITLiability": ["IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+                     "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"],
     "MITAsIs": ["THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
                 "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"],
     "ISCGrant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
                  "above copyright notice and this permission notice appear in all copies"],
+    "ISCAsIs": ["THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+                "MERCHANTABILITY AND FITNESS"],
+    "ISCLiability": ["IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+                     "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+                     "THE USE OR PERFORMANCE OF THIS SOFTWARE"],
+    "ISCRef": ["ISC License", "The ISC License", "Licensed under the ISC License", "Released under the ISC License"],
+    "BSDTitle": ["BSD 2-Clause License", "BSD 3-Clause License", "The 2-Clause BSD License", "The 3-Clause BSD License"],
+    "BSDAsIs": ["THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+                "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"],
+    "BSDLiability": [f"IN NO EVENT SHALL THE COPYRIGHT {who} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+                     "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+                     "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+                     "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE" for who in ("HOLDER", "OWNER", "HOLDERS")],
     "BSDRef": ["Licensed under the BSD License", "Released under the BSD License"],
     "BSDGrant": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
     "BSDSource": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"],
@@ -50,9 +65,36 @@ SENTENCES = {
                   "the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
     "GPL2Later": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
                   "the Free Software Foundation; either version 2 of the License, or (at your option) any later version"],
-    "GPLNoWarranty": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
-                      "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"],
-    "GPLSee": ["See the GNU General Public License for more details"],
+    "GPLNoWarranty": [f"This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                      "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE" for what in ("program", "library")],
+    "GPLSee": [f"See the GNU {which}General Public License for more details" for which in ("", "Lesser ", "Affero ")],
+    "GPLReceived": [f"You should have received a copy of the GNU {which}General Public License along with this {what}"
+                    for which in ("", "Lesser ", "Affero ") for what in ("program", "library")],
+    "GPLWrite": ["If not, see https://www.gnu.org/licenses/", "If not, see http://www.gnu.org/licenses/",
+                 "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+                 "if not, write to the Free Software Foundation, Inc., 59 Temple Place, Suite 330, Boston, MA 02111-1307 USA"],
+    "GPLReceivedWrite": [f"You should have received a copy of the GNU {which}General Public License along with this {what}; if not, write to the Free Software "
+                         f"Foundation, Inc., {place} USA" for which in ("", "Lesser ") for what in ("program", "library")
+                         for place in ("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA 02111-1307")],
+    "LGPL21Later": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                    "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"],
+    "LGPL3Later": [f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                   "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version" for what in ("library", "program")],
+    "AGPL3Later": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+                   "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
+    "MPLObtain": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
+                  "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"],
+    "ApacheTitle": ["Apache License Version 2.0, January 2004"],
+    "GPL3Title": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "GPL2Title": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL3Title": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL21Title": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "AGPL3Title": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "MPLTitle": ["Mozilla Public License Version 2.0"],
+    "HowTo": ["APPENDIX: How to apply the Apache License to your work", "How to Apply These Terms to Your New Programs",
+              "How to Apply These Terms to Your New Libraries"],
+    "EndOfTerms": ["END OF TERMS AND CONDITIONS"],
+    "MPLEnd": ["This Source Code Form is \"Incompatible With Secondary Licenses\", as defined by the Mozilla Public License, v. 2.0"],
     "LGPLRef": ["Licensed under the GNU Lesser General Public License, version 3"],
     "AGPLRef": ["Licensed under the GNU Affero General Public License, version 3"],
     "MPL2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License, Version 2.0"],
@@ -76,6 +118,8 @@ RULES = [
     ("MIT", "permissive", ["MITGrant"]),
     ("MIT", "permissive", ["MITRef"]),
     ("ISC", "permissive", ["ISCGrant"]),
+    ("ISC", "permissive", ["ISCRef", "ISCGrant"]),
+    ("ISC", "permissive", ["ISCRef"]),
     ("BSD-3-Clause", "permissive", ["BSDGrant", "BSDSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", "permissive", ["BSDGrant", "BSDSource", "BSDBinary"]),
     ("BSD", "permissive", ["BSDRef"]),
@@ -85,6 +129,9 @@ RULES = [
     ("GPL-2.0-or-later", "copyleft", ["GPL2Later", "GPLNoWarranty", "GPLSee"]),
     ("GPL-2.0-or-later", "copyleft", ["GPL2Later"]),
     ("GPL-2.0-only", "copyleft", ["GPL2Ref"]),
+    ("LGPL-2.1-or-later", "copyleft", ["LGPL21Later"]),
+    ("LGPL-3.0-or-later", "copyleft", ["LGPL3Later"]),
+    ("AGPL-3.0-or-later", "copyleft", ["AGPL3Later"]),
     ("LGPL-3.0-only", "copyleft", ["LGPLRef"]),
     ("AGPL-3.0-only", "copyleft", ["AGPLRef"]),
     ("MPL-2.0", "copyleft", ["MPL2"]),
@@ -97,6 +144,21 @@ RULES = [
     ("all-rights-reserved", "restricted", ["AllRights"]),
 ]
 
+# Whole licence texts: the title, the licence, its kind, and the sentence the text ends with.
+TEXTS = [
+    ("ApacheTitle", "Apache-2.0", "permissive", "EndOfTerms"),
+    ("GPL3Title", "GPL-3.0-only", "copyleft", "EndOfTerms"),
+    ("GPL2Title", "GPL-2.0-only", "copyleft", "EndOfTerms"),
+    ("LGPL3Title", "LGPL-3.0-only", "copyleft", None),
+    ("LGPL21Title", "LGPL-2.1-only", "copyleft", "EndOfTerms"),
+    ("AGPL3Title", "AGPL-3.0-only", "copyleft", "EndOfTerms"),
+    ("MPLTitle", "MPL-2.0", "copyleft", "MPLEnd"),
+]
+
+# What a whole text's instructions for its own use may hold after its end, beside sentences that are not known.
+HOW_TO = {"HowTo", "ApacheMay", "ApacheObtain", "ApacheAsIs", "ApacheSee", "GPL3Later", "GPL2Later", "LGPL21Later", "LGPL3Later", "AGPL3Later",
+          "GPLNoWarranty", "GPLSee", "GPLReceived", "GPLWrite", "GPLReceivedWrite", "?"}
+
 # Kinds from the most to the least binding; a text with several takes the first.
 KINDS = ["restricted", "copyleft", "unknown", "permissive"]
 
@@ -119,13 +181,16 @@ def normalise(sentence: str) -> str:
 class SentenceRules:
     """Recognises licences by ``SENTENCES`` and ``RULES`` or the caller's own."""
 
-    def __init__(self, sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, str, list[str]]] = RULES):
+    def __init__(self, sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, str, list[str]]] = RULES, texts=TEXTS):
         self.known = {normalise(s): name for name, forms in sentences.items() for s in forms}
         self.openings = {" ".join(words[:k]) for words in (s.split() for s in self.known) for k in range(1, len(words))}
         # A word of each known sentence that holds none of the stems: without any, no sentence can be found.
         words = (max(s.split(), key=lambda w: (not w.isalpha() and not w[0].isdigit(), len(w))) for s in self.known if s and not re.search(_STEMS, s))
         self.worth_reading = re.compile("|".join([_STEMS, *map(re.escape, sorted(set(words)))]), re.I)
-        self.rules = sorted(rules, key=lambda r: -len(r[2]))  # stable: among equal lengths the earlier rule
+        # "All rights reserved" between a copyright line and a grant takes nothing of the grant.
+        given = [(x, kind, ["AllRights", *ids]) for x, kind, ids in rules if kind != "restricted"]
+        self.rules = sorted([*rules, *given], key=lambda r: -len(r[2]))  # stable: among equal lengths the earlier rule
+        self.texts = {t[0]: t[1:] for t in texts}
 
     def identifiers(self, text: str) -> list[str]:
         """Sentence identifiers in order: a known name, ``SPDX:x``, or ``?`` for
@@ -167,10 +232,22 @@ class SentenceRules:
         return out
 
     def match(self, identifiers: list[str]) -> list[tuple[str, str]]:
-        """Licences with their kinds, in order of the text."""
+        """Licences with their kinds, in order of the text.
+
+        A title opens a whole licence text: what follows, known or not, belongs to
+        it up to the sentence it ends with, or to the end of the document, and so do
+        the instructions for its use behind that sentence."""
         out, i = [], 0
         while i < len(identifiers):
             name = identifiers[i]
+            if name in self.texts:
+                licence, kind, end = self.texts[name]
+                out.append((licence, kind))
+                i = identifiers.index(end, i) + 1 if end in identifiers[i:] else len(identifiers)
+                if identifiers[i:i + 1] == ["HowTo"]:
+                    while i < len(identifiers) and identifiers[i] in HOW_TO:
+                        i += 1
+                continue
             if name == "?":
                 out.append(("unknown", "unknown"))
                 i += 1
@@ -202,7 +279,8 @@ def scan_licences(docs: DataFrame, rules: SentenceRules | None = None, text: str
     """Licences of every whole text: ``id, sentence_ids array<string>, licences
     array<string> (first occurrences in order), licence_kind``.
 
-    ``licence_kind`` is the most binding kind found (restricted, copyleft,
+    Texts are read whole, however long, in one pass; of rules that match at one
+    place the longest counts, of equal ones the first.  ``licence_kind`` is the most binding kind found (restricted, copyleft,
     unknown, permissive) or ``none``; null and empty texts give ``none``.  One
     row per input row, repeated rows included; nothing is shuffled.
     """
