@@ -45,19 +45,24 @@ _SETS = {k: frozenset(v.split()) for k, v in {
     "silent": SILENT, "block": BLOCK, "void": VOID, "self_closing": SELF_CLOSING, "furniture": FURNITURE, "names": FURNITURE_NAMES,
     "alone": FURNITURE_NAMES_ALONE, "article": ARTICLE_NAMES}.items()}
 
-_TOKEN = re.compile(
+_MARK = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|title)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
-    r"|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+>",
-    re.S | re.I)
+    r"|<[!?][^>]*+>", re.S | re.I)
+_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>")
+_LOOSE_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>[^>]*+)>")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # What the markup says of a line.  A heading line is one of an article.  Of an
 # element with a furniture name, TOLD: a whole word of class, id or role is the
-# name ("ad"); NAMED, in or outside an article: a part of one ("no-sidebar").
-FURNITURE_LINE, ARTICLE_LINE, OPEN_LINE, HEADING_LINE, NAMED_LINE, NAMED_ARTICLE_LINE, TOLD_LINE = range(7)
+# name ("ad"); EDGE: the first or last part of one is ("comment-list"), and it
+# does not say that there is none; NAMED, in or outside an article: a part
+# between, or of a name that says so ("no-sidebar").
+FURNITURE_LINE, ARTICLE_LINE, OPEN_LINE, HEADING_LINE, NAMED_LINE, NAMED_ARTICLE_LINE, TOLD_LINE, EDGE_LINE = range(8)
 IN_ARTICLE = frozenset((ARTICLE_LINE, HEADING_LINE, NAMED_ARTICLE_LINE))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_WITHOUT = frozenset("has hide hides no not with without".split())
+_PART = re.compile(r"[-_:]+")
 _SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
 
 
@@ -81,30 +86,102 @@ def _role(tag: str, rest: str, inside: int) -> int:
         return FURNITURE_LINE
     if tag in ("article", "main") or role in ("main", "article"):
         return ARTICLE_LINE
-    if inside == TOLD_LINE:
+    if inside in (TOLD_LINE, EDGE_LINE):
         return inside
     if tag not in ("body", "html"):
         told = names & _SETS["names"] or names & _SETS["alone"] and not names & _SETS["article"]
+        if told & whole if told else False:
+            return TOLD_LINE
         if told:
-            return TOLD_LINE if told & whole else NAMED_ARTICLE_LINE if in_article else NAMED_LINE
+            for word in whole:
+                parts = [p for p in _PART.split(word) if p]
+                if parts and (parts[0] in told or parts[-1] in told) and not _WITHOUT & set(parts):
+                    return EDGE_LINE
+            return NAMED_ARTICLE_LINE if in_article else NAMED_LINE
     return HEADING_LINE if inside == ARTICLE_LINE and tag in _HEADINGS else inside
 
 
+def _marks(page: str):
+    """Tags, comments and whole raw elements in order, each found from the place of
+    its ``<``.  A ``<`` behind the last ``>`` opens nothing (but an unfinished
+    comment).  Where quotes in a tag find no end, quotes mean nothing from there
+    on and a tag ends at the next ``>``: no part is read twice over."""
+    last, at, quoted = page.rfind(">"), page.find("<"), True
+    while at >= 0:
+        if at > last and not page.startswith("<!--", at):
+            return
+        m = _MARK.match(page, at)
+        if m is None and at < last:
+            m = _TAG.match(page, at) if quoted else None
+            if m is None:
+                m = _LOOSE_TAG.match(page, at)
+                quoted = quoted and m is None
+        if m is not None:
+            yield m
+        at = page.find("<", at + 1 if m is None else m.end())
+
+
+class _Open:
+    """Open elements with the role that holds inside each.  For every tag and for
+    all blocks the places on the stack are kept, so that an end tag is settled
+    without a walk, whatever is left open."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.stops: list[int] = []  # of blocks and of elements that close by themselves
+        self.silent = 0
+
+    def role(self) -> int:
+        return self.stack[-1][1] if self.stack else OPEN_LINE
+
+    def push(self, tag: str, role: int) -> None:
+        k = len(self.stack)
+        self.stack.append((tag, role))
+        self.places.setdefault(tag, []).append(k)
+        if tag in _SETS["block"]:
+            self.blocks.append(k)
+        if tag in _SETS["block"] or tag in _SETS["self_closing"]:
+            self.stops.append(k)
+        self.silent += tag in _SETS["silent"]
+
+    def cut(self, k: int) -> None:
+        """Closes the elements from place ``k`` on."""
+        while len(self.stack) > k:
+            tag, _ = self.stack.pop()
+            self.places[tag].pop()
+            for kept in (self.blocks, self.stops):
+                if kept and kept[-1] == len(self.stack):
+                    kept.pop()
+            self.silent -= tag in _SETS["silent"]
+
+    def end(self, tag: str) -> None:
+        """An end tag; an inline one closes nothing outside its block."""
+        places = self.places.get(tag)
+        if places and (tag in _SETS["block"] or not self.blocks or places[-1] > self.blocks[-1]):
+            self.cut(places[-1])
+
+    def begin_block(self, tag: str) -> None:
+        """Closes what a block closes by itself, with the inline elements left open in it."""
+        if self.stops:
+            t = self.stack[self.stops[-1]][0]
+            if t in _SETS["self_closing"] and not (t in ("li", "dd", "dt", "tr", "td", "th") and tag not in (t, "dt", "dd", "td", "th", "tr")):
+                self.cut(self.stops[-1])
+
+
 def lines_of(page: str | None) -> tuple[list[str], list[int]]:
     """The text blocks of a page and what the markup says of each.
 
     Character references are decoded, white space inside a block is one space.
+    The time taken grows with the length of the page, whatever its markup.
     """
     texts: list[str] = []
     roles: list[int] = []
     if not page:
         return texts, roles
-    stack: list[tuple[str, int]] = []  # open elements with the role that holds inside
+    opened = _Open()
     held: list[str] = []
-    silent = 0
-
-    def role_now() -> int:
-        return stack[-1][1] if stack else OPEN_LINE
 
     def close_block() -> None:
         if held:
@@ -112,35 +189,28 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
             held.clear()
             if text:
                 texts.append(text)
-                roles.append(role_now())
+                roles.append(opened.role())
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at and not silent:
+    for m in _marks(page):
+        if m.start() > at and not opened.silent:
             held.append(page[at:m.start()])
         at = m.end()
-        tag = m.group("tag")
-        if tag is None:
+        if m.re is _MARK:
             continue
-        tag = tag.lower()
+        tag, ends, rest = m["tag"].lower(), m["end"], m["rest"]
         if tag in _SETS["silent"]:
-            if m.group("end"):
-                if silent and any(t == tag for t, _ in stack):
-                    while stack:
-                        t, _ = stack.pop()
-                        silent -= t in _SETS["silent"]
-                        if t == tag:
-                            break
-            elif not m.group("rest").endswith("/"):
-                if not silent and tag == "head":
+            if ends:
+                if opened.silent and opened.places.get(tag):
+                    opened.cut(opened.places[tag][-1])
+            elif not rest.endswith("/"):
+                if not opened.silent and tag == "head":
                     close_block()
-                stack.append((tag, role_now()))
-                silent += 1
+                opened.push(tag, opened.role())
             continue
-        if tag == "body" and silent and not m.group("end"):  # a head that was never closed
-            stack.clear()
-            silent = 0
-        if silent:
+        if tag == "body" and opened.silent and not ends:  # a head that was never closed
+            opened.cut(0)
+        if opened.silent:
             continue
         block = tag in _SETS["block"]
         if block:
@@ -149,24 +219,13 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
             held.append(" ")
         if tag in _SETS["void"]:
             continue
-        if m.group("end"):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if not block and stack[k][0] in _SETS["block"]:
-                    break  # an inline end tag closes nothing outside its block
+        if ends:
+            opened.end(tag)
         else:
-            if block:  # what a block closes by itself, with the inline elements left open in it
-                for k in range(len(stack) - 1, -1, -1):
-                    t = stack[k][0]
-                    if t in _SETS["self_closing"] and not (t in ("li", "dd", "dt", "tr", "td", "th") and tag not in (t, "dt", "dd", "td", "th", "tr")):
-                        del stack[k:]
-                        break
-                    if t in _SETS["block"]:
-                        break
-            stack.append((tag, _role(tag, m.group("rest"), role_now())))
-    if at < len(page) and not silent:
+            if block:
+                opened.begin_block(tag)
+            opened.push(tag, _role(tag, rest, opened.role()))
+    if at < len(page) and not opened.silent:
         held.append(page[at:])
     close_block()
     return texts, roles
@@ -246,6 +305,7 @@ def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(bits.astype(np.int64))])
 
 
+RANGE_PAGES = 20_000  # pages that a task compares
 COPY_SHARE = 0.9  # pages that share so much of the text of both are copies
 
 
@@ -286,23 +346,23 @@ def main_text(texts: list[str], roles: list[int], shared) -> str:
     A heading or sentence of an article stays though shared.  Where the article
     lines that are not shared are most of the text, they are all of it.  What a
     part of a name calls furniture stays where a neighbour was compared and does
-    not share it, without neighbour only where it is most of the text; what a
-    whole name calls so, only where nothing else is left."""
+    not share it, without neighbour only where it is most of the text; what the
+    first or last part calls so, only where the page has no article and it is
+    most of the text; what a whole name calls so never stays."""
     compared = shared is not None
     shared = set(shared if compared else ())
-    size = [0] * 7
+    size = [0] * 8
     for k, (t, r) in enumerate(zip(texts, roles)):
         size[r] += len(t) if k not in shared else 0
-    named = compared or size[NAMED_LINE] + size[NAMED_ARTICLE_LINE] > size[OPEN_LINE] + size[ARTICLE_LINE] + size[HEADING_LINE]
+    in_article = size[ARTICLE_LINE] + size[HEADING_LINE]
+    named = compared or size[NAMED_LINE] + size[NAMED_ARTICLE_LINE] > size[OPEN_LINE] + in_article
     article = {ARTICLE_LINE, HEADING_LINE} | ({NAMED_ARTICLE_LINE} if named else set())
     outside = {OPEN_LINE} | ({NAMED_LINE} if named else set())
+    if not in_article and size[EDGE_LINE] > sum(size[r] for r in outside):
+        outside = outside | {EDGE_LINE}
     wanted = article if sum(size[r] for r in article) > sum(size[r] for r in outside) else article | outside
-
-    def joined(wanted):
-        return "\n".join(t for k, (t, r) in enumerate(zip(texts, roles)) if r in wanted and (
-            k not in shared or r == HEADING_LINE or r == ARTICLE_LINE and _SENTENCE.search(t)))
-
-    return joined(wanted) or joined({TOLD_LINE})
+    return "\n".join(t for k, (t, r) in enumerate(zip(texts, roles)) if r in wanted and (
+        k not in shared or r == HEADING_LINE or r == ARTICLE_LINE and _SENTENCE.search(t)))
 
 
 def _path_key():
@@ -318,8 +378,9 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
     page gives an empty text; pages without a URL count as one host; repeated
     rows give the same text each; an empty table gives an empty one.  A host may
     hold any share of the pages: pages are range-partitioned by (host, path, id)
-    and only the first and last page of a partition are copied to the next.
-    What is sorted are line hashes; the texts are shuffled once, compressed.
+    and only the first and last page of a partition are copied to the next.  Each
+    page is parsed once; what is sorted are line hashes, the texts are written
+    and shuffled once, compressed.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -332,16 +393,19 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
 
     def outline(batches):
         for batch in batches:
-            found = [lines_of(p)[0] for p in batch["__html"]]
-            out = batch[["host", "path", "key"]].copy()
-            out["lines"] = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for t in ts] for ts in found]
-            out["chars"] = [[len(t) for t in ts] for ts in found]
+            found = [lines_of(p) for p in batch["__html"]]
+            out = batch[["__id", "__url", "host", "path", "key"]].copy()
+            out["lines"] = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for t in ts] for ts, _ in found]
+            out["chars"] = [[len(t) for t in ts] for ts, _ in found]
+            out["page"] = [zlib.compress(json.dumps(f).encode(), 6) for f in found]
             yield out
 
-    fields = "host string, path string, key long, lines array<long>, chars array<int>"
-    outlines = keyed.select("host", "path", "key", "__html").mapInPandas(outline, fields)
+    parsed = scratch.keep(keyed.mapInPandas(outline, f"__id {kind}, __url string, host string, path string, key long, lines array<long>, chars array<int>, page binary"))
+    outlines = parsed.select("host", "path", "key", "lines", "chars")
     order = ["host", "path", "key"]
-    line = scratch.keep(outlines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()))
+    # As many ranges as the pages need: what a task compares does not grow with the table.
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-outlines.count() // RANGE_PAGES))
+    line = scratch.keep(outlines.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()))
 
     # The first page of a partition also visits the partition before, the last the one after.
     one = F.struct(*order, "lines", "chars")
@@ -369,12 +433,6 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
               .groupBy("part").applyInPandas(compare, "key long, shared array<int>"))
     decided = paired.groupBy("key").agg(F.max("shared").alias("shared"))  # equal rows have one key
 
-    def squeeze(batches):
-        for batch in batches:
-            out = batch[["__id", "__url", "key"]].copy()
-            out["page"] = [zlib.compress(json.dumps(lines_of(p)).encode(), 6) for p in batch["__html"]]
-            yield out
-
     def finish(batches):
         for batch in batches:
             texts, n_lines = [], []
@@ -385,7 +443,7 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
             yield pd.DataFrame({id: batch["__id"], url: batch["__url"], "text": texts, "n_chars": [len(t) for t in texts],
                                 "n_lines": n_lines, "n_shared": [0 if s is None else len(s) for s in batch["shared"]]})
 
-    packed = keyed.select("__id", "__url", "key", "__html").mapInPandas(squeeze, f"__id {kind}, __url string, key long, page binary")
+    packed = parsed.select("__id", "__url", "key", "page")
     return packed.join(decided, "key", "left").drop("key").mapInPandas(
         finish, f"`{id}` {kind}, `{url}` string, text string, n_chars long, n_lines long, n_shared long")
 
