@@ -19,6 +19,7 @@ SHARDS = 24
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
 SEQUENCE_SEGMENTS = 64
+SEQUENCE_LOSS = 1020  # of a sequence's tokens, those that bear loss
 ACCEPTED_SCORE = 0.7
 NEAR_COSINE = 0.9
 PHRASE_LEAST = 30
@@ -60,7 +61,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                                         SEQUENCE_TOKENS, SEQUENCE_SEGMENTS)
+                                         SEQUENCE_TOKENS, SEQUENCE_SEGMENTS, SEQUENCE_LOSS)
 
 
 def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

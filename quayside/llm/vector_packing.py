@@ -9,6 +9,7 @@ sequences first, and the rest is an item.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -99,33 +100,42 @@ class IdBytes:
 
     The ids are those of the byte-level BPE file.  Where its merges stand in the
     order of their ids, ids serve as ranks and the faster rank encoder gives the
-    same result (tested); any other file goes through its own library.
+    same result (tested); any other file, and a text that the rank encoder's
+    pattern cannot take (very long runs of white space), goes through the file's
+    own library.
     """
 
     def __init__(self, file: bytes):
+        self.file, self.rank_encoder = file, None
         spec = json.loads(file)
         vocab, merges = spec["model"]["vocab"], spec["model"].get("merges") or []
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
         added = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         made = [vocab[a + b] for a, b in pairs]
         pre = spec.get("pre_tokenizer") or {}
-        self.rank_encoder = self.tokenizer = None
         if pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer") and made == sorted(made):
             letters = byte_letters()
             ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in added}
             self.rank_encoder = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=added)
-        else:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
 
-            self.tokenizer = Tokenizer.from_str(file.decode())
-            self.tokenizer.no_truncation()
-            self.tokenizer.no_padding()
+    @functools.cached_property
+    def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_str(self.file.decode())
+        out.no_truncation()
+        out.no_padding()
+        return out
 
     def of(self, text: str) -> bytes:
+        ids = None
         if self.rank_encoder is not None:
-            ids = self.rank_encoder.encode_to_numpy(text, allowed_special="all")
-        else:
+            try:
+                ids = self.rank_encoder.encode_to_numpy(text, allowed_special="all")
+            except ValueError:
+                pass
+        if ids is None:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return ids.astype("<u4").tobytes()
 
@@ -140,15 +150,17 @@ def _encoder(key: str, file: bytes) -> IdBytes:
     return _ENCODERS[key]
 
 
-def cut_documents(docs: DataFrame, path: str, max_tokens: int, end_id: int = 0, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """Pieces of at most ``max_tokens`` ids: ``id, start, tokens, loss_tokens,
-    ids_crc32, doc_tokens, sequence_id, tie``.
+def cut_documents(docs: DataFrame, path: str, max_tokens: int, max_loss: int | None = None, end_id: int = 0, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """Pieces of at most ``max_tokens`` ids and ``max_loss`` loss-bearing ones: ``id,
+    start, tokens, loss_tokens, ids_crc32, doc_tokens, sequence_id, tie``.
 
     A document's ids are those of the tokenizer file at ``path``, then
-    ``end_id``; a null text counts as empty, so each row gives a piece.  A piece
-    that fills a sequence has its (even) ``sequence_id``; the others have null.
-    A document's first id is predicted from nothing and bears no loss.
+    ``end_id``; a null text counts as empty, so each row gives a piece.  A
+    document's first id is predicted from nothing and bears no loss.  A piece as
+    long as the limits let it be has its own (even) ``sequence_id``; the others
+    have null.
     """
+    max_loss = max_loss or max_tokens
     spark = docs.sparkSession
     prepare(spark)
     with open(path, "rb") as f:
@@ -163,16 +175,18 @@ def cut_documents(docs: DataFrame, path: str, max_tokens: int, end_id: int = 0,
             rows = []
             for doc, t in zip(batch.iloc[:, 0], batch.iloc[:, 1]):
                 ids = encoder.of(t or "") + end
-                n = len(ids) // 4
-                for start in range(0, n, max_tokens):
-                    length = min(max_tokens, n - start)
+                n, start = len(ids) // 4, 0
+                while start < n:
+                    most = min(max_tokens, max_loss + (start == 0))
+                    length = min(most, n - start)
                     sequence = None
-                    if length == max_tokens:
+                    if length == most:
                         sequence = (part << 34) + 2 * whole
                         whole += 1
                     rows.append((doc, start, length, length - (start == 0), zlib.crc32(ids[4 * start:4 * (start + length)]),
                                  n, sequence, (part << 34) + row))
                     row += 1
+                    start += length
             out = pd.DataFrame(rows, columns=names)
             out["sequence_id"] = out["sequence_id"].astype("Int64")
             out[id] = pd.array(out[id], dtype="Int64") if kind in ("bigint", "int") else out[id].astype(object)
@@ -189,15 +203,15 @@ def pack_documents(docs: DataFrame, path: str, max_tokens: int = 1024, max_segme
     """Packs all documents into sequences: one row per piece with ``id, start,
     length, ids_crc32, doc_tokens, loss_tokens, sequence_id, offset``.
 
-    Pieces that fill a sequence stand alone in it; the rest of each document is
-    packed under the three limits.  The pieces are written once, so the packing
+    Pieces as long as the limits let them be stand alone in a sequence; the rest of
+    each document is packed under the three limits, of which ``max_loss`` (default:
+    no limit of its own) bounds the loss-bearing tokens of a sequence.  The pieces are written once, so the packing
     reads small rows only and a lost executor costs no second encoding.  Null
     and empty texts give a piece of the end id; repeated rows are packed like
     any others; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    pieces = Scratch(spark, "packing").keep(cut_documents(docs, path, max_tokens, end_id, text, id))
-    # A whole piece fills the tokens of its sequence whatever the other limits say.
+    pieces = Scratch(spark, "packing").keep(cut_documents(docs, path, max_tokens, max_loss, end_id, text, id))
     rest = pack_items(pieces.filter("sequence_id IS NULL").drop("sequence_id"), max_tokens, max_segments, max_loss or max_tokens)
     whole = pieces.filter("sequence_id IS NOT NULL").withColumn("offset", F.lit(0).cast("long"))
     columns = [F.col(id), "start", F.col("tokens").alias("length"), "ids_crc32", "doc_tokens", "loss_tokens", "sequence_id", "offset"]
