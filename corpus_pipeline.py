@@ -35,7 +35,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences, a row per piece."""
-    return vector_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), queries.SEQUENCE_TOKENS, queries.SEQUENCE_SEGMENTS)
+    return vector_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), queries.SEQUENCE_TOKENS, queries.SEQUENCE_SEGMENTS, queries.SEQUENCE_LOSS)
 
 
 STAGES = [
