@@ -1,9 +1,8 @@
 """Joins: anti/semi repair joins, allowlist lookups, growth targeting.
 
-No join strategy is forced except for the token allowlist, a configuration
-dimension whose size is checked before it is broadcast.  Everything else is left
-to Catalyst and AQE, which turn a join into a broadcast at runtime when one side
-turns out small and split skewed partitions otherwise.
+No join strategy is forced: Catalyst and AQE turn a join into a broadcast at
+runtime when one side turns out small, which is the checked bound, and split
+skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -15,20 +14,6 @@ from pyspark.sql import functions as F
 
 from quayside.functions.coerce import coin_key
 
-# Broadcast bound for configuration dimensions (allowlists): checked, not assumed.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the frame is
-    returned unchanged and the planner picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def changed_rows(new: DataFrame, held: DataFrame, key) -> DataFrame:
     """Rows of ``new`` that are not identical to the held row of their key.
 
@@ -98,7 +83,7 @@ def allowlist_lookup(quotes: DataFrame, allowlist: DataFrame, quote_key: str = "
     """Quotes matched to the allowlist by ``chain:address``, case-insensitive on both parts."""
     dim = allowlist.select("*", coin_key("chain", "address").alias("_k"))
     q = quotes.select("*", F.lower(F.trim(F.col(quote_key))).alias("_k"))
-    return q.join(sized_broadcast(dim), "_k").drop("_k")
+    return q.join(dim, "_k").drop("_k")
 
 
 def missing_assets(allowlist: DataFrame, rows: DataFrame, key) -> DataFrame:

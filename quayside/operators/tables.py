@@ -6,12 +6,13 @@ table is read (:func:`read_latest`) and is made physical by :func:`compact`.
 Loads therefore stay cheap appends and never shuffle the existing table.
 
 Plain Parquet has no MERGE or DELETE, so a mutation reads the files of the month
-partitions it touches, appends their new content with Spark's own committer,
-and only then deletes the files it read.  A load that lands meanwhile is another
-file and stays.  What is not atomic: between the append and the deletes both
-versions are visible, and a crash there leaves rows twice, never a gap.  In a
-keyed table the copies are equal and collapse on read; in a plain table the next
-rewrite finishes the deletes that were noted.  One rewriter per table at a time.
+partitions it touches, writes their new content to a hidden folder of the table
+with Spark's own committer, notes the files it read, moves the new ones into
+place and deletes the old ones.  A load that lands meanwhile is another file and
+stays.  A crash before the note leaves the table as it was; one after it is
+settled by the next rewrite, from the note.  What is not atomic: between the
+moves and the deletes both versions are visible.  One rewriter per table at a
+time.
 
 "Newest" is a total order: ``(version, _load_seq, every other column)``, all
 descending.  ``_load_seq`` is stamped on each load, so equal versions resolve to
@@ -143,7 +144,8 @@ def _delete_files(spark: SparkSession, spec: TableSpec, files: list[str]) -> Non
 
 
 def finish_rewrites(spark: SparkSession, spec: TableSpec) -> None:
-    """Delete what earlier rewrites replaced but did not come to delete."""
+    """Settle what earlier rewrites noted: move their new files into place, delete
+    the files they replaced.  Content without a note was never part of the table."""
     notes = f"{spec.path}/{NOTES}"
     fs, folder = _fs(spark, notes)
     if not fs.exists(folder):
@@ -151,23 +153,54 @@ def finish_rewrites(spark: SparkSession, spec: TableSpec) -> None:
     for status in fs.listStatus(folder):
         note = status.getPath().toString()
         if note.endswith(".files"):  # complete: renamed when written
-            _delete_files(spark, spec, [r[0] for r in spark.read.text(note).collect()])
-        fs.delete(status.getPath(), True)
+            _move_in(spark, spec, note.removesuffix(".files") + ".new")
+            _delete_files(spark, spec, [r[0] for r in spark.read.text(note).collect() if r[0]])
+            fs.delete(status.getPath(), True)
     fs.delete(folder, True)
 
 
-def drop_files(spark: SparkSession, spec: TableSpec, files: list[str]) -> None:
-    """Note the replaced files, then delete them."""
-    if not files:
+def _move_in(spark: SparkSession, spec: TableSpec, staged: str) -> None:
+    """Move data files written to ``staged`` to the same place in the table."""
+    fs, folder = _fs(spark, staged)
+    if not fs.exists(folder):
         return
-    draft = f"{spec.path}/{NOTES}/{uuid.uuid4().hex}"
-    spark.createDataFrame([(f,) for f in files], "f string").coalesce(1).write.text(draft)
+    top, files = folder.toUri().getPath().rstrip("/") + "/", fs.listFiles(folder, True)
+    made = set()
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName().startswith(("_", ".")):
+            continue
+        target = _fs(spark, f"{spec.path}/{file.toUri().getPath().removeprefix(top)}")[1]
+        parent = target.getParent()
+        if parent.toString() not in made:
+            made.add(parent.toString())
+            fs.mkdirs(parent)
+        if not fs.rename(file, target):
+            raise IOError(f"cannot move {file.toString()} to {target.toString()}")
+
+
+def drop_files(spark: SparkSession, spec: TableSpec, files: list[str], token: str) -> None:
+    """Note the replaced files of a rewrite, then settle it."""
+    draft = f"{spec.path}/{NOTES}/{token}"
+    spark.createDataFrame([(f,) for f in files or [""]], "f string").coalesce(1).write.text(draft)
     fs, p = _fs(spark, draft)
     if not fs.rename(p, _fs(spark, draft + ".files")[1]):
         raise IOError(f"cannot note the replaced files of {spec.path}")
     finish_rewrites(spark, spec)
 
 
+def _replace_files(spark: SparkSession, spec: TableSpec, content: DataFrame, read: list[str], rebalance: bool = False) -> int:
+    """Replace the files ``read`` by ``content``, prepared for the table; returns its rows."""
+    token = uuid.uuid4().hex
+    observed, o = _observe(content)
+    _writer(observed, spec, "append", rebalance).parquet(f"{spec.path}/{NOTES}/{token}.new")
+    n = _rows_written(o, content)
+    if not n:
+        _keep_schema(spark, spec, content)
+    drop_files(spark, spec, read, token)
+    return n
+
+
 def stored_files(df: DataFrame, months: list | None = None) -> list[str]:
     """Files behind a frame of ``read_raw``, of all months or the given ones (paths only)."""
     files = list(df.inputFiles())
@@ -307,16 +340,11 @@ def _rows_written(o, df: DataFrame) -> int:
 
 
 def full_replace(spark: SparkSession, df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
-    """Truncate-and-insert without a gap: the new rows are added, then the files
-    that held the old ones are deleted.  If it fails in between, both are
-    visible until the next replace, which removes every older file."""
+    """Truncate-and-insert without a gap: the new rows come into place before the
+    files that held the old ones are deleted."""
     finish_rewrites(spark, spec)
     old = stored_files(read_raw(spark, spec)) if path_bytes(spark, spec.path) else []
-    n = append(df, spec, seq)
-    if not n:
-        _keep_schema(spark, spec, _prepare(df, spec, seq))
-    drop_files(spark, spec, old)
-    return n
+    return _replace_files(spark, spec, _prepare(df, spec, seq), old, rebalance=True)
 
 
 def _keep_schema(spark: SparkSession, spec: TableSpec, df: DataFrame) -> None:
@@ -396,11 +424,7 @@ def _months_of(df: DataFrame) -> list:
 
 def rewrite_months(spark: SparkSession, spec: TableSpec, content: DataFrame, read: list[str]) -> None:
     """Replace the files ``read``, from which ``content`` was computed, by ``content``."""
-    observed, o = _observe(_spread(content, spec, spark, path_bytes(spark, spec.path)))
-    _writer(observed, spec, "append").parquet(spec.path)
-    if not _rows_written(o, content):
-        _keep_schema(spark, spec, content)
-    drop_files(spark, spec, read)
+    _replace_files(spark, spec, _spread(content, spec, spark, path_bytes(spark, spec.path)), read)
 
 
 def compact(spark: SparkSession, spec: TableSpec, months: list | None = None) -> None:
@@ -468,9 +492,7 @@ def _prune(spark: SparkSession, spec: TableSpec, existing: DataFrame, survivors:
     files = stored_files(existing, months)
     if not files:
         return
-    observed, _ = _observe(_spread(survivors, spec, spark, path_bytes(spark, spec.path)))
-    _writer(observed, spec, "append").parquet(spec.path)
-    drop_files(spark, spec, files)
+    rewrite_months(spark, spec, survivors, files)
 
 
 def _month_of_value(spark, day):

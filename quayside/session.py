@@ -8,6 +8,7 @@ unset, which happens in unit tests.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -89,9 +90,30 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT[key]
 
 
+_GIVEN: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared root."""
-    return f"{shared_root(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location under the shared root, removed when the program ends."""
+    path = f"{shared_root(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
+    if not _GIVEN:
+        atexit.register(drop_scratch)
+    _GIVEN.append((spark, path))
+    return path
+
+
+def drop_scratch() -> None:
+    """Remove what was written under :func:`scratch_path`.  Frames that read it are
+    of no use afterwards; a session that has ended leaves it behind."""
+    while _GIVEN:
+        spark, path = _GIVEN.pop()
+        if spark.sparkContext._jsc is None:
+            continue
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        # What is kept beside a table has the table's name and two underscores.
+        for kept in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "*")) or []:
+            fs.delete(kept.getPath(), True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -53,8 +53,11 @@ def select_files(spark: SparkSession, folder: str, mode: str = "latest", date=No
 
 
 def read_selected(spark: SparkSession, folder: str, mode: str = "latest", date=None) -> DataFrame | None:
-    """Read the chosen drops (None when nothing matches)."""
+    """Read the chosen drops (None when nothing matches).  All of them are read by
+    a pattern, so no list of paths is made; the other modes choose one path."""
+    if mode == "all":
+        if list_drops(spark, folder).filter(F.col("name").endswith(".parquet")).isEmpty():
+            return None
+        return spark.read.parquet(f"{folder.rstrip('/')}/*.parquet")
     paths = [r["path"] for r in select_files(spark, folder, mode, date).select("path").collect()]
-    if not paths:
-        return None
-    return spark.read.parquet(*paths)
+    return spark.read.parquet(*paths) if paths else None

@@ -61,11 +61,3 @@ def test_stream_and_batch_share_one_sequence(spark, scratch):
         assert [r.n for r in T.read_latest(spark, spec).collect()] == [n]
     T.upsert(_rows(spark, [0], n=4), spec)
     assert [r.n for r in T.read_latest(spark, spec).collect()] == [4]
-
-
-def test_sized_broadcast_checks_the_bound(spark):
-    small = spark.range(10)
-    assert "ResolvedHint" in small.transform(lambda d: J.sized_broadcast(d, 100))._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in J.sized_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-    big = J.sized_broadcast(spark.range(1000), 100)
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()

@@ -190,6 +190,29 @@ def test_a_failed_rewrite_loses_nothing(spark, scratch, monkeypatch, step):
         assert _rows(spark, spec) == before
 
 
+@pytest.mark.parametrize("step", ["_move_in", "_delete_files"])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_a_noted_rewrite_is_settled_by_the_next_call(spark, scratch, monkeypatch, step, keyed):
+    spec = T.TableSpec(path=scratch("noted"), key=("asset",) if keyed else (), month_of="block_date", schema=PDDL)
+    t, d = dt.datetime(2024, 1, 1), dt.date(2023, 11, 1)
+    for price in (1.0, 2.0):
+        T.append(_prices(spark, [("0xa", d, price, t), (f"0x{price}", None, price, t)]), spec)
+    want = [("0x1.0", 1.0), ("0x2.0", 2.0), ("0xa", 2.0)] if keyed else _rows(spark, spec)
+
+    def fail(*_, **__):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(T, step, fail)
+        with pytest.raises(RuntimeError):
+            T.compact(spark, spec)
+    T.compact(spark, spec)
+    assert _rows(spark, spec) == want
+    assert not T.path_exists(spark, f"{spec.path}/{T.NOTES}")
+    assert T.full_replace(spark, _prices(spark, [("0xz", d, 9.0, t)]), spec) == 1 and _rows(spark, spec) == [("0xz", 9.0)]
+    assert T.full_replace(spark, _prices(spark, []), spec) == 0 and _rows(spark, spec) == []
+
+
 def test_a_load_during_a_rewrite_stays(spark, scratch, monkeypatch):
     spec = T.TableSpec(path=scratch("during"), key=("asset",), month_of="block_date", schema=PDDL)
     t, d = dt.datetime(2024, 1, 1), dt.date(2023, 11, 1)
