@@ -28,7 +28,8 @@ BLOCK_WORDS = 250_000     # words that a task gathers before it counts or writes
 RELATION_WORDS = 65_536   # words of one row of a relation
 RELATION_ROWS = 4         # of its rows in one Arrow batch: half a megabyte each
 TASK_NAMES = 250_000      # different phrases that a task gathers before it hands on their counts
-RANGES_PER_SPLIT = 8      # counting tasks' key ranges for each split of the input
+COUNT_WORDS = 1_000_000   # occurrences that a task adds up before it hands on their counts
+RANGES_PER_SPLIT = 2      # counting tasks' key ranges for each split of the input, 64 at least
 FILTER_BITS = 27          # the semi-join filter never has more bits than 2^27 (16 MB)
 UNKNOWN = "und"
 
@@ -99,6 +100,24 @@ def _count_rows(names: np.ndarray, ranges: int) -> pd.DataFrame:
                          "counts": [x.astype(np.uint32).tobytes() for x in np.split(n, cuts)][:len(first)]})
 
 
+class _Counts:
+    """Occurrences of a task, added up before they are handed on."""
+
+    def __init__(self, ranges: int):
+        self.ranges, self.held, self.size = ranges, [], 0
+
+    def add(self, names: np.ndarray) -> Iterator[pd.DataFrame]:
+        self.held.append(names)
+        self.size += len(names)
+        if self.size >= COUNT_WORDS:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pd.DataFrame]:
+        if self.size:
+            yield _count_rows(np.concatenate(self.held), self.ranges)
+        self.held, self.size = [], 0
+
+
 def _added_up(counted: DataFrame, least: int) -> DataFrame:
     """``id, n`` of the names that occur at least ``least`` times."""
     def add_up(group: pd.DataFrame) -> pd.DataFrame:
@@ -157,14 +176,18 @@ def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[_Blocks]:
 
 
 def _word_counts(docs: DataFrame, ranges: int) -> DataFrame:
-    """Counts of words by range, and a row per block and language with its words."""
+    """Counts of words by range, and a row per task and language with its words."""
     def emit(batches):
+        counts, sizes = _Counts(ranges), {}
         for held in _gathered(batches):
             ids = held.block()
-            yield _count_rows(ids[ids != 0], ranges).assign(lang=None, n=0)
-            sizes: dict[str, int] = {}
+            for out in counts.add(ids[ids != 0]):
+                yield out.assign(lang=None, n=0)
             for lang, a in zip(held.langs, held.ids[::2]):
                 sizes[lang] = sizes.get(lang, 0) + int(np.count_nonzero(a))
+        for out in counts.flush():
+            yield out.assign(lang=None, n=0)
+        if sizes:
             yield pd.DataFrame({"r": -1, "names": None, "counts": None, "lang": list(sizes), "n": list(sizes.values())})
 
     return docs.mapInPandas(emit, "r long, names binary, counts binary, lang string, n long")
@@ -234,9 +257,11 @@ def _first_relation(docs: DataFrame, known) -> DataFrame:
 
 def _next_counts(relation: DataFrame, ranges: int) -> DataFrame:
     def emit(batches):
+        counts = _Counts(ranges)
         for batch in batches:
             for blob in batch["ids"]:
-                yield _count_rows(joined(np.frombuffer(blob, np.uint64))[1], ranges)
+                yield from counts.add(joined(np.frombuffer(blob, np.uint64))[1])
+        yield from counts.flush()
 
     return relation.select("ids").mapInPandas(emit, "r long, names binary, counts binary")
 
