@@ -166,7 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = FIT_ROWS, text: st
 
 def score(docs: DataFrame, model: BoostedTrees, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a column ``name``: the model's probability that the whole
-    text has label 1.  Every row is scored in place, without a shuffle."""
+    text has label 1.  Every row is scored in place, without a shuffle: repeated
+    rows alike, null texts as empty ones; a column of that name is replaced."""
     prepare(docs.sparkSession)
 
     @F.pandas_udf("double")

@@ -96,7 +96,8 @@ def measure(docs: DataFrame, max_lost_percent: int = 50, text: str = "text", int
     Base rules: under 10 words, or over 20 % of the words in repeated 5-word
     windows.  The line rules reject a document when the lines they remove hold
     more than ``max_lost_percent`` of its characters in words.  Null and empty
-    texts have no words and fail.  Rows are judged in place: nothing is
+    texts have no words and fail.  A column named ``into`` is replaced, all others
+    stay.  Rows are judged in place: nothing is
     shuffled, whatever a source or group of copies holds.
     """
     def judged(x: Column) -> Column:

@@ -53,6 +53,8 @@ class MergeCounter:
         for k, (a, b) in enumerate(pairs):
             self.rank.setdefault(number[a] << 32 | number[b], k)
         added = sorted((t["content"] for t in spec.get("added_tokens") or []), key=len, reverse=True)
+        if any(" " in t for t in added):
+            raise ValueError("texts are cut before spaces, so an added token may not hold one")
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.pieces = Memo(lambda p: self.count_piece(p.encode("utf-8", "surrogatepass")), memo)
