@@ -288,3 +288,47 @@ def test_crawl_tables(spark, scratch):
         got = {r.table_name: r.rows for r in LD.crawl_load(spark, landing, root).collect()}
     assert got["is_cloud_avg_1d"] == 2 and got["countries_avg_1d"] is None and len(got) == 13
     assert [tuple(r) for r in TB.read_latest(spark, spec).select("is_cloud", "__count").collect()] == [(None, 1.0)]
+
+
+# --------------------------------------------------------------------------- helpers of the loads
+
+
+def test_statement_files_run_in_order(spark, tmp_path):
+    from quayside.plans.sqlfiles import run_files
+
+    (tmp_path / "1.sql").write_text("CREATE OR REPLACE TEMPORARY VIEW {{VIEW}} AS SELECT * FROM range(5)")
+    (tmp_path / "2.sql").write_text("SELECT count(*) AS n FROM {{VIEW}} WHERE id >= :least")
+    got = run_files(spark, [str(tmp_path / "1.sql"), str(tmp_path / "2.sql")], {"VIEW": "v_files"}, {"least": 2})
+    assert got.first().n == 3
+
+
+def test_allowlist_file(spark, tmp_path):
+    pytest.importorskip("yaml")
+    from quayside.sources.allowlist import allowlist_from_yaml
+
+    (tmp_path / "a.yml").write_text("tokens:\n- {symbol: ' GNO ', chain: xDai, address: '0xAB', defillama: true}\n- {symbol: ''}\n- {symbol: B, coingecko_id: b}\n")
+    got = [tuple(r) for r in allowlist_from_yaml(spark, str(tmp_path / "a.yml")).orderBy("pos").collect()]
+    assert got == [(0, "GNO", "gnosis", "0xab", None, True, False), (2, "B", "gnosis", "", "b", False, False)]
+
+
+def test_timed_runs_reach_the_ledger(spark, scratch):
+    ledger = TB.TableSpec(path=scratch("runs"), schema=L.LEDGER_DDL)
+
+    def fails():
+        raise OSError("lost")
+
+    assert L.timed(spark, ledger, "daily", "i", "load", "t", lambda: 5) == 5
+    assert L.timed(spark, ledger, "daily", "i", "load", "t", lambda: 0) == 0
+    with pytest.raises(OSError):
+        L.timed(spark, ledger, "daily", "i", "load", "t", fails)
+    assert sorted((r.result, r.rows) for r in TB.read_raw(spark, ledger).collect() if r.rows is not None) == [("inserted", 5), ("skipped", 0)]
+    assert TB.read_raw(spark, ledger).filter("result = 'failed'").count() == 1
+
+
+def test_days_and_times(spark):
+    from quayside.functions import coerce as C
+
+    day = dt.date(2024, 2, 29)
+    r = spark.createDataFrame([(day, 1709251199999)], "d DATE, ms BIGINT").select(C.utc_midnight_seconds("d").alias("s"), C.millis_to_date("ms").alias("d")).first()
+    assert r.s == int(dt.datetime(2024, 2, 29, tzinfo=dt.timezone.utc).timestamp()) and r.d == day
+    assert spark.range(1).select(C.lenient_int(F.lit("3.7")), C.lenient_int(F.lit(" -4 ")), C.lenient_int(F.lit(3.7))).first() == (0, -4, 3)
