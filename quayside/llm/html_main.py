@@ -378,8 +378,8 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
     page gives an empty text; pages without a URL count as one host; repeated
     rows give the same text each; an empty table gives an empty one.  A host may
     hold any share of the pages: pages are range-partitioned by (host, path, id)
-    and only the first and last page of a partition are copied to the next.  Each
-    page is parsed once; what is sorted are line hashes, the texts are written
+    and only the first and last page of a partition are copied to the next.  What
+    is sorted are line hashes, written once; the texts are parsed again at the end
     and shuffled once, compressed.
     """
     spark = pages.sparkSession
@@ -394,14 +394,14 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
     def outline(batches):
         for batch in batches:
             found = [lines_of(p) for p in batch["__html"]]
-            out = batch[["__id", "__url", "host", "path", "key"]].copy()
+            out = batch[["host", "path", "key"]].copy()
             out["lines"] = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for t in ts] for ts, _ in found]
             out["chars"] = [[len(t) for t in ts] for ts, _ in found]
-            out["page"] = [zlib.compress(json.dumps(f).encode(), 6) for f in found]
             yield out
 
-    parsed = scratch.keep(keyed.mapInPandas(outline, f"__id {kind}, __url string, host string, path string, key long, lines array<long>, chars array<int>, page binary"))
-    outlines = parsed.select("host", "path", "key", "lines", "chars")
+    # Written, as a sort by ranges reads its input twice.
+    outlines = scratch.keep(keyed.select("host", "path", "key", "__html").mapInPandas(
+        outline, "host string, path string, key long, lines array<long>, chars array<int>"))
     order = ["host", "path", "key"]
     # As many ranges as the pages need: what a task compares does not grow with the table.
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-outlines.count() // RANGE_PAGES))
@@ -433,6 +433,12 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
               .groupBy("part").applyInPandas(compare, "key long, shared array<int>"))
     decided = paired.groupBy("key").agg(F.max("shared").alias("shared"))  # equal rows have one key
 
+    def squeeze(batches):
+        for batch in batches:
+            out = batch[["__id", "__url", "key"]].copy()
+            out["page"] = [zlib.compress(json.dumps(lines_of(p)).encode(), 6) for p in batch["__html"]]
+            yield out
+
     def finish(batches):
         for batch in batches:
             texts, n_lines = [], []
@@ -443,7 +449,7 @@ def extract_main_text(pages: DataFrame, html: str = "html", url: str = "url", id
             yield pd.DataFrame({id: batch["__id"], url: batch["__url"], "text": texts, "n_chars": [len(t) for t in texts],
                                 "n_lines": n_lines, "n_shared": [0 if s is None else len(s) for s in batch["shared"]]})
 
-    packed = parsed.select("__id", "__url", "key", "page")
+    packed = keyed.select("__id", "__url", "key", "__html").mapInPandas(squeeze, f"__id {kind}, __url string, key long, page binary")
     return packed.join(decided, "key", "left").drop("key").mapInPandas(
         finish, f"`{id}` {kind}, `{url}` string, text string, n_chars long, n_lines long, n_shared long")
 
