@@ -265,7 +265,7 @@ class JaccardGroups:
 
     def order(self):
         """Broadcast order, and the number of shingle occurrences."""
-        ranges = max(64, 2 * self.docs.rdd.getNumPartitions())
+        ranges = max(64, 8 * self.docs.rdd.getNumPartitions())
         counted = self.scratch.keep(_count_cells(self.docs, self.width, ranges))
         total = counted.filter("cell < 0").agg(F.sum("n")).first()[0] or 0
         # The least count that leaves a list within the bound; total / MOST_FREQUENT always does.
@@ -301,7 +301,7 @@ class JaccardGroups:
         keep = self.scratch.keep
         order, total = self.order()
         self.known = order
-        ranges = max(16, total // (2 * FLUSH))
+        ranges = max(16, total // (FLUSH // 2))
         written = keep(_prefixes(self.docs, self.width, self.threshold, order, ranges), by="kind")
         texts = written.filter("kind = 'text'").select("rid", "doc", "digest", "n", "twice", "often")
         classes = texts.filter("n > 0").groupBy("digest").agg(F.min("rid").alias("node"))
