@@ -373,8 +373,16 @@ def _phrases(found: DataFrame, shorter: DataFrame) -> DataFrame:
         F.concat("l.ls", F.array("l.f")).alias("ls"), F.concat(F.array("r.f"), "r.rs").alias("rs"), "left", "right")
 
 
+SALTS = 32  # parts of a language that are ranked apart first
+
+
 def best_of_each_language(phrases: DataFrame, most: int = 2000) -> DataFrame:
     """The first ``most`` phrases of each language, with ``rank`` from 1: by score,
-    then count, both falling, then phrase in byte order."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    return phrases.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    then count, both falling, then phrase in byte order.
+
+    Parts of a language, by a hash, keep their own first ones; only ``SALTS`` times
+    ``most`` phrases of a language meet in one task."""
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    salted = phrases.withColumn("__salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    parts = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "__salt").orderBy(*order))).filter(F.col("rank") <= most).drop("__salt", "rank")
+    return parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= most)
