@@ -430,9 +430,12 @@ def drop_copies(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4
     ids the first row.  Rows without shingles all stay.
 
     Rows that may have to go are picked out by a bitmap; only they meet the
-    exact list, so the texts of all others are not shuffled.
+    exact list, so the texts of all others are not shuffled.  Columns may have any
+    names: they are renamed by position in between.
     """
-    join = JaccardGroups(docs, width, threshold, text, id, numbered=True)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    join = JaccardGroups(plain, width, threshold, f"c{names.index(text)}", f"c{names.index(id)}", numbered=True)
     texts, groups = join.run()
     placed = join.scratch.keep(texts.join(groups.withColumnRenamed("id", "node"), "node", "left")
                                .select("rid", "doc", F.coalesce("component_id", "node").alias("group")))
@@ -441,4 +444,4 @@ def drop_copies(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4
     flagged = maybe_member(join.rows, "__rid", gone, "__maybe", gone.count())
     sure = flagged.filter(~F.col("__maybe"))
     checked = flagged.filter("__maybe").join(gone, "__rid", "left_anti")
-    return sure.select(*docs.columns).unionAll(checked.select(*docs.columns))
+    return sure.select(*plain.columns).unionAll(checked.select(*plain.columns)).toDF(*names)
