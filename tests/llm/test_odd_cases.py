@@ -116,6 +116,35 @@ def test_placing_equals_the_heuristic_item_by_item():
         assert list(zip(sequence.tolist(), offset.tolist())) == plain_place(tokens.tolist(), loss.tolist(), limits)
 
 
+# --------------------------------------------------------------------------- the pipeline
+
+
+def test_pipeline_takes_nulls_empty_texts_repeated_rows_and_any_columns(spark, tmp_path):
+    import corpus_pipeline as P
+    from quayside.llm import boosted_quality, line_rules
+
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    extra = [(9001, None, "en", "s", 0), (9002, "", None, None, None), (9003, " \n\t", "en", "s", 3), (None, None, None, None, None)]
+    df = spark.createDataFrame([(*r, k, k, k) for k, r in enumerate(rows + rows[:25] + extra)],
+                               "doc_id long, text string, lang string, source string, n_chars long, __rid int, rules int, __score int").repartition(3)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, sf_dir = spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)
+    model = boosted_quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    good = boosted_quality.score(docs, model, name="s").filter("s >= 0.7").drop("s")
+    first = P.quality_classifier(spark, docs, sf_dir)
+    assert first.columns == docs.columns and sorted(map(str, first.collect())) == sorted(map(str, good.collect()))
+    ruled = line_rules.measure(good, into="r").filter("r.kept").drop("r")
+    second = P.quality_rules(spark, first, sf_dir)
+    assert second.columns == docs.columns and sorted(map(str, second.collect())) == sorted(map(str, ruled.collect()))
+    third = P.ngram_jaccard_join(spark, second, sf_dir)
+    kept = third.collect()
+    assert third.columns == docs.columns and {str(r) for r in kept} <= {str(r) for r in second.collect()}
+    assert len({r.doc_id for r in kept}) == len(kept) > 10  # of repeated rows one stays
+    pieces = P.run(spark, sf_dir).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in kept}
+
+
 # --------------------------------------------------------------------------- shards
 
 
