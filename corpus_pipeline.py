@@ -16,16 +16,25 @@ from quayside.llm.shared import Scratch
 from quayside.session import read_table
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose score is under the accepted one."""
     model = boosted_quality.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = boosted_quality.score(docs, model, name="__score")
-    return scored.filter(F.col("__score") >= queries.ACCEPTED_SCORE).select(*docs.columns)
+    name = _unused(docs, "__score")
+    return boosted_quality.score(docs, model, name=name).filter(F.col(name) >= queries.ACCEPTED_SCORE).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the base or line rules reject; texts stay whole."""
-    return line_rules.measure(docs, into="__rules").filter("__rules.kept").select(*docs.columns)
+    name = _unused(docs, "__rules")
+    return line_rules.measure(docs, into=name).filter(F.col(name)["kept"]).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
