@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 
 from .shared import Memo, Scratch, prepare
 
-BLOCK_WORDS = 250_000     # words that a task gathers before it counts or writes them
-RELATION_WORDS = 65_536   # words of one row of a relation
-RELATION_ROWS = 4         # of its rows in one Arrow batch: half a megabyte each
-TASK_NAMES = 250_000      # different phrases that a task gathers before it hands on their counts
-COUNT_WORDS = 1_000_000   # occurrences that a task adds up before it hands on their counts
+BLOCK_WORDS = 125_000     # words that a task gathers before it counts or writes them
+RELATION_WORDS = 32_768   # words of one row of a relation
+RELATION_ROWS = 8         # of its rows read together: a quarter of a megabyte each
+ROW_GROUP = 16 << 20      # bytes of a relation that a writer holds
+TASK_NAMES = 100_000      # different phrases that a task gathers before it hands on their counts
+COUNT_WORDS = 500_000     # occurrences that a task adds up before it hands on their counts
 RANGES_PER_SPLIT = 2      # counting tasks' key ranges for each split of the input, 64 at least
 FILTER_BITS = 27          # the semi-join filter never has more bits than 2^27 (16 MB)
 UNKNOWN = "und"
@@ -328,7 +329,7 @@ def mine_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text: str =
     frequent = scratch.keep(_added_up(counted.filter("r >= 0").select("r", "names", "counts"), least))
     scratch.drop(counted)
     known = spark.sparkContext.broadcast(semi_join_filter(frequent))
-    step = scratch.keep(_first_relation(docs, known), by="kind")
+    step = scratch.keep(_first_relation(docs, known), by="kind", row_group=ROW_GROUP)
     words = _sole(step.filter("kind = 'name'"), "lang", "word").filter(F.col("f") >= least)
     none = F.array().cast("array<bigint>")
     levels = [scratch.keep(words.select("id", "lang", F.col("word").alias("phrase"), "f", none.alias("ls"), none.alias("rs")))]
@@ -337,7 +338,7 @@ def mine_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text: str =
         relation = step.filter("kind = 'relation'")
         frequent = scratch.keep(_added_up(_next_counts(relation, ranges), least))
         known = spark.sparkContext.broadcast(semi_join_filter(frequent))
-        longer = scratch.keep(_next_relation(relation, known), by="kind")
+        longer = scratch.keep(_next_relation(relation, known), by="kind", row_group=ROW_GROUP)
         scratch.drop(step)
         step = longer
         levels.append(scratch.keep(_phrases(_sole(step.filter("kind = 'name'"), "left", "right").filter(F.col("f") >= least), levels[-1])))

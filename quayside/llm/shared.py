@@ -16,13 +16,15 @@ from quayside.session import scratch_path
 # Rows of one Arrow batch between the JVM and Python: texts can be long, and a
 # batch is held whole on both sides.
 ARROW_ROWS = 1000
+READ_ROWS = 4096  # Spark's own batch of a Parquet scan
 
 
 def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Session settings the Python-backed operators rely on, and the library
     itself for the Python workers of executors that do not have it installed.
-    Rows that hold megabytes each go to Python ``rows`` at a time."""
+    Rows that hold much each are read and go to Python ``rows`` at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(min(rows, READ_ROWS) if rows < ARROW_ROWS else READ_ROWS))
     sc = spark.sparkContext
     if _SHIPPED.get("to") != sc.applicationId:
         _SHIPPED["to"] = sc.applicationId
@@ -50,9 +52,11 @@ class Scratch:
         self.root = scratch_path(spark, name)
         self._kept: list[tuple[DataFrame, str]] = []
 
-    def keep(self, df: DataFrame, by: str | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, by: str | None = None, row_group: int | None = None) -> DataFrame:
+        """``by`` makes folders by a column; ``row_group`` bounds the bytes that a
+        writer holds before it writes them out."""
         path = f"{self.root}/{len(self._kept):03d}"
-        writer = df.write
+        writer = df.write if row_group is None else df.write.option("parquet.block.size", row_group)
         (writer.partitionBy(by) if by else writer).parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._kept.append((back, path))
