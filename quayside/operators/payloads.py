@@ -208,54 +208,64 @@ def _amount(fee: Column) -> Column:
     return F.coalesce(F.nullif(fee["amount"], F.lit("")), F.lit("0"))
 
 
-LIMB = 18  # digits of one part of a long sum
+LIMB = 10  # digits of one part of a long sum: a row holds fewer numbers than would fill 64 bits
+BASE = 10**LIMB
+SHORT = 27  # characters of a number that one type sums: 10^10 of these stay within 38 digits
+WHOLE = r"^[+-]?[0-9]+$"
+WIDE = "decimal(38,0)"
 
 
-def _limbs(text: Column) -> Column:
-    """A whole number's text as parts of ``LIMB`` digits, the last digits first,
-    each with the number's sign."""
-    digits = F.regexp_replace(text, r"^[+-]", "")
-    parts = F.greatest(F.lit(1), F.ceil(F.length(digits) / LIMB)).cast("int")
-    padded = F.lpad(digits, parts * LIMB, F.lit("0"))
-    sign = F.when(text.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    return F.transform(F.sequence(F.lit(1), parts), lambda k: (
-        try_cast(F.substring(padded, (parts - k) * LIMB + 1, F.lit(LIMB)), "decimal(38,0)") * sign).cast("decimal(38,0)"))
+def _limbs(texts: Column) -> Column:
+    """The sum of whole numbers' texts by parts of ``LIMB`` digits, the last digits
+    first, nothing carried.  Each number is read once, then added part by part."""
+    parts = F.ceil(F.array_max(F.transform(texts, lambda t: F.length(t))) / LIMB).cast("int")
+
+    def added(n: Column) -> Column:
+        numbers = F.transform(texts, lambda t: F.struct(
+            F.lpad(F.ltrim(t, F.lit("+-")), n * LIMB, F.lit("0")).alias("d"), F.when(t.startswith("-"), F.lit(-1)).otherwise(F.lit(1)).alias("sign")))
+        return _once(numbers, lambda xs: F.transform(F.sequence(F.lit(1), n), lambda k: F.aggregate(
+            xs, F.lit(0).cast("bigint"), lambda acc, x: acc + F.substring(x["d"], (n - k) * LIMB + 1, F.lit(LIMB)).cast("bigint") * x["sign"])))
+
+    return _once(parts, added)
 
 
 def _carried(limbs: Column) -> Column:
     """Parts brought into 0 .. 10^LIMB - 1, and what is carried out of the last."""
-    base = F.lit(10**LIMB).cast("decimal(38,0)")
-    start = F.struct(F.lit(0).cast("decimal(38,0)").alias("carry"), F.array().cast("array<decimal(38,0)>").alias("out"))
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
 
     def step(acc, limb):
-        total = (acc["carry"] + limb).cast("decimal(38,0)")
-        digit = F.pmod(total, base).cast("decimal(38,0)")
-        return F.struct(((total - digit) / base).cast("decimal(38,0)").alias("carry"), F.concat(acc["out"], F.array(digit)).alias("out"))
+        total = acc["carry"] + limb
+        digit = F.pmod(total, F.lit(BASE))
+        return F.struct(F.call_function("div", total - digit, F.lit(BASE)).alias("carry"), F.concat(acc["out"], F.array(digit)).alias("out"))
 
     return F.aggregate(limbs, start, step)
 
 
+def _number_text(sign: Column, digits: Column) -> Column:
+    """Digits without leading zeros, behind their sign; zero has none."""
+    return _once(F.ltrim(digits, F.lit("0")), lambda d: F.when(d == "", "0").otherwise(F.concat(sign, d)))
+
+
 def sum_of_wholes(texts: Column) -> Column:
     """Sum of an array of whole numbers of any length, as text; NULL where one of
     them is no whole number.  ``[]`` sums to 0."""
-    trimmed = F.transform(texts, lambda t: F.trim(t))
-    valid = ~F.exists(trimmed, lambda t: t.isNull() | ~t.rlike(r"^[+-]?[0-9]+$"))
-    short = ~F.exists(trimmed, lambda t: F.length(t) > 27)  # 10^10 of these stay within 38 digits
-    plain = F.aggregate(trimmed, F.lit(0).cast("decimal(38,0)"), lambda acc, t: F.try_add(acc, try_cast(t, "decimal(38,0)")).cast("decimal(38,0)"))
-    zero = F.lit(0).cast("decimal(38,0)")
-    added = F.aggregate(trimmed, F.array().cast("array<decimal(38,0)>"), lambda acc, t: F.zip_with(
-        acc, _limbs(t), lambda x, y: (F.coalesce(x, zero) + F.coalesce(y, zero)).cast("decimal(38,0)")))
-
     def written(limbs: Column) -> Column:
         def text(sign: str, value: Column) -> Column:
             tops = F.reverse(F.concat(value["out"], F.array(value["carry"])))
-            digits = F.regexp_replace(F.array_join(F.transform(tops, lambda d: F.lpad(d.cast("string"), LIMB, "0")), ""), "^0+(?=[0-9])", "")
-            return F.concat(F.lit(sign), digits)
+            return _number_text(F.lit(sign), F.array_join(F.transform(tops, lambda d: F.lpad(d.cast("string"), LIMB, "0")), ""))
 
         return _once(_carried(limbs), lambda up: F.when(up["carry"] >= 0, text("", up)).otherwise(
-            _once(_carried(F.transform(limbs, lambda x: (-x).cast("decimal(38,0)"))), lambda down: text("-", down))))
+            _once(_carried(F.transform(limbs, lambda x: -x)), lambda down: text("-", down))))
+
+    def summed(trimmed: Column) -> Column:
+        only = trimmed[0]
+        valid = F.forall(trimmed, lambda t: F.coalesce(t.rlike(WHOLE), F.lit(False)))
+        short = F.forall(trimmed, lambda t: F.length(t) <= SHORT)
+        plain = F.aggregate(trimmed, F.lit(0).cast(WIDE), lambda acc, t: (acc + try_cast(t, WIDE)).cast(WIDE))
+        return F.when(valid, F.when(F.size(trimmed) == 1, _number_text(F.when(only.startswith("-"), "-").otherwise(""), F.ltrim(only, F.lit("+-"))))
+                      .when(short, plain.cast("string")).otherwise(_once(_limbs(trimmed), written)))
 
-    return F.when(valid, F.when(short, plain.cast("string")).otherwise(_once(added, written)))
+    return _once(F.transform(texts, lambda t: F.trim(t)), summed)
 
 
 def _once(value: Column, use) -> Column:
@@ -265,7 +275,7 @@ def _once(value: Column, use) -> Column:
 
 def _by_size(number: Column) -> Column:
     """A key that orders whole numbers given as text; NULL comes first."""
-    digits = F.regexp_replace(number, "^-", "")
+    digits = F.ltrim(number, F.lit("-"))
     return F.when(number.startswith("-"), F.struct(F.lit(0).alias("up"), (-F.length(digits)).alias("n"), F.translate(digits, "0123456789", "9876543210").alias("d"))).when(
         number.isNotNull(), F.struct(F.lit(1).alias("up"), F.length(digits).alias("n"), digits.alias("d")))
 
@@ -278,19 +288,33 @@ def fee_by_dominant_token(fees: Column) -> Column:
     has no sum: it loses to every other, and is NULL when it is the only one.
     """
     fees = F.coalesce(fees, F.array().cast(f"array<{FEE}>"))
-    tokens = F.array_distinct(F.transform(fees, lambda f: F.coalesce(f["token"], F.lit(""))))
+    read = F.transform(fees, lambda f: F.struct(F.coalesce(f["token"], F.lit("")).alias("t"), F.trim(_amount(f)).alias("a")))
 
-    def total(t):
-        same = F.filter(fees, lambda f: F.coalesce(f["token"], F.lit("")) == t)
-        return sum_of_wholes(F.transform(same, _amount))
+    def first_of(totals: Column) -> Column:
+        """The greatest ``k``, of equal ones the first."""
+        best = F.array_max(F.transform(totals, lambda x, i: F.struct(x["k"].alias("k"), (-i).alias("o"), x["s"].alias("s"), x["t"].alias("t"))))
+        return _once(best, lambda b: F.struct(b["t"].alias("fee_token"), b["s"].alias("fee_amount")))
 
-    def ranked(totals: Column) -> Column:
-        return F.array_max(F.transform(totals, lambda x, i: F.struct(_by_size(x["s"]).alias("k"), (-i).alias("o"), x["s"].alias("s"), x["t"].alias("t"))))
+    def by_number(fees: Column, tokens: Column) -> Column:
+        def total(t):
+            return F.aggregate(fees, F.lit(0).cast(WIDE), lambda acc, f: F.when(f["t"] == t, (acc + try_cast(f["a"], WIDE)).cast(WIDE)).otherwise(acc))
 
-    best = _once(F.transform(tokens, lambda t: F.struct(total(t).alias("s"), t.alias("t"))), ranked)
-    return F.when(F.size(fees) == 0, F.struct(F.lit("").alias("fee_token"), F.lit("0").alias("fee_amount"))).otherwise(
-        F.struct(best["t"].alias("fee_token"), best["s"].alias("fee_amount"))
-    )
+        sums = F.transform(tokens, lambda t: F.struct(total(t).alias("k"), t.alias("t")))
+        return first_of(_once(sums, lambda xs: F.transform(xs, lambda x: F.struct(x["k"].alias("k"), x["k"].cast("string").alias("s"), x["t"].alias("t")))))
+
+    def by_text(fees: Column, tokens: Column) -> Column:
+        def total(t):
+            return sum_of_wholes(F.transform(F.filter(fees, lambda f: f["t"] == t), lambda f: f["a"]))
+
+        sums = F.transform(tokens, lambda t: F.struct(total(t).alias("s"), t.alias("t")))
+        return first_of(_once(sums, lambda xs: F.transform(xs, lambda x: F.struct(_by_size(x["s"]).alias("k"), x["s"].alias("s"), x["t"].alias("t")))))
+
+    def dominant(fees: Column) -> Column:
+        short = F.forall(fees, lambda f: (F.length(f["a"]) <= SHORT) & f["a"].rlike(WHOLE))
+        return _once(F.array_distinct(F.transform(fees, lambda f: f["t"])), lambda tokens: F.when(short, by_number(fees, tokens)).otherwise(by_text(fees, tokens)))
+
+    none = F.struct(F.lit("").alias("fee_token"), F.lit("0").alias("fee_amount"))
+    return F.when(F.size(fees) == 0, none).otherwise(_once(read, dominant))
 
 
 def fee_policies_json(fees: Column) -> Column:
@@ -311,9 +335,9 @@ def fee_policies_json(fees: Column) -> Column:
 
 def fills_rows(pages: DataFrame, body: str = "body") -> DataFrame:
     """Trades pages → 12 fill columns, ``x or default`` on every field."""
-    t = elements(pages, TRADES, body=body)
-    e = F.col("e")
-    fee = fee_by_dominant_token(e["executedProtocolFees"])
+    e, fee = F.col("e"), F.col("_fee")
+    # A column of its own, so that token and amount come from one evaluation.
+    t = elements(pages, TRADES, body=body).select("e", fee_by_dominant_token(e["executedProtocolFees"]).alias("_fee"))
     return t.select(
         _s(e["orderUid"]).alias("order_uid"),
         _s(e["txHash"]).alias("tx_hash"),

@@ -83,3 +83,16 @@ def test_raw_objects(spark):
     assert got == {1: cats["category_list"]["categories"][0], 2: {"id": 2, "x": "y"}}
     text = json.dumps([{"id": "q", "é": "\n", "n": 123456789012345678901234567890}])
     assert json.loads(P.snapshot_proposals_rows(pages(spark, text), "s").first().raw_json) == json.loads(text)[0]
+
+
+def test_fees_are_computed_once_a_trade(spark):
+    d = P.fills_rows(pages(spark, json.dumps([{"orderUid": "a", "executedProtocolFees": [{"amount": "1", "token": "T"}]}])))
+    plan = d.select("fee_token", "fee_amount")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct") == 1
+
+
+def test_sums_of_any_sign_and_length(spark):
+    cases = [["-" + "9" * 60, "9" * 60], ["+007"], ["-0"], ["-" + "0" * 40], ["1" * 28, "-5", "+3"], ["-" + "8" * 43] * 7, []]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, c array<string>")
+    got = {r.i: r.s for r in df.select("i", P.sum_of_wholes(F.col("c")).alias("s")).collect()}
+    assert got == {i: str(sum(map(int, c))) for i, c in enumerate(cases)}
