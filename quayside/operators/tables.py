@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, DateType, DoubleType, FloatType, MapType, StructType, TimestampNTZType, TimestampType
 
 from quayside.functions.coerce import month_start
 from quayside.session import scratch_path
@@ -427,13 +427,44 @@ def rewrite_months(spark: SparkSession, spec: TableSpec, content: DataFrame, rea
     _replace_files(spark, spec, _spread(content, spec, spark, path_bytes(spark, spec.path)), read)
 
 
+_RANGE, _HASH = "_range", "_hash"
+RANGE_BYTES = 32 << 20   # stored bytes of one range of a compaction
+SAMPLE_ROWS = 200_000    # rows looked at to tell whether a key is too frequent for a range
+
+
+def _month_ranges(spark: SparkSession, spec: TableSpec, raw: DataFrame) -> DataFrame | None:
+    """Rows by month of the key's time, then by a hash of the key, in ranges of
+    ``RANGE_BYTES``; ``None`` for a table of few ranges, a key without a time, and
+    where a key holds so many rows that only a map-side dedupe keeps it from one
+    task.  The sample decides between two plans of the same result."""
+    types = {f.name: f.dataType for f in raw.schema.fields}
+    at = next((k for k in spec.key if isinstance(types[k], (DateType, TimestampType, TimestampNTZType))), None)
+    n = path_bytes(spark, spec.path) // RANGE_BYTES
+    # Numbers that are equal and stored otherwise (0.0 and -0.0) have two hashes.
+    if not spec.month_of or at is None or n < 2 or any(isinstance(types[k], (FloatType, DoubleType, ArrayType, StructType)) for k in spec.key):
+        return None
+    placed = raw.withColumn(_RANGE, month_start(at)).withColumn(_HASH, F.xxhash64(*spec.key))
+    share = min(1.0, SAMPLE_ROWS / max(1, raw.count()))
+    seen = placed.select(_HASH).sample(share, seed=1).groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    if seen["most"] is None or seen["most"] > max(16, seen["rows"] // (4 * n)):
+        return None
+    return placed.repartitionByRange(max(n, spark.sparkContext.defaultParallelism), _RANGE, _HASH)
+
+
 def compact(spark: SparkSession, spec: TableSpec, months: list | None = None) -> None:
     """``OPTIMIZE ... FINAL``: keyed tables are physically deduplicated, plain
     tables only have their files merged (duplicates stay)."""
     finish_rewrites(spark, spec)
     raw = read_raw(spark, spec, months)
-    merged = latest(raw, spec.key, spec.order) if spec.keyed else raw
-    rewrite_months(spark, spec, merged, stored_files(raw, months))
+    files = stored_files(raw, months)
+    if not spec.keyed:
+        return rewrite_months(spark, spec, raw, files)
+    ranges = _month_ranges(spark, spec, raw)
+    if ranges is None:
+        return rewrite_months(spark, spec, latest(raw, spec.key, spec.order), files)
+    # Ranges that keep the rows of a key together serve the dedupe and the write: one shuffle.
+    merged = latest(ranges, [_RANGE, _HASH, *spec.key], spec.order).drop(_RANGE, _HASH)
+    _replace_files(spark, spec, merged, files)
 
 
 def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:

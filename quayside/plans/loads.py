@@ -81,14 +81,14 @@ WALLET_EVENT_KEY = ("safe_address", "action", "action_value", "event_time")
 
 
 def _dated(df: DataFrame, needed: str, spec: TB.TableSpec, entity: str, run_ts=None) -> DataFrame:
-    """The rows that have the column a table may not lack.  The load is evaluated
-    once, and the other rows go to the table's rejects."""
-    staged = TB._staged(df.sparkSession, df)
-    bad = staged.filter(F.col(needed).isNull()).select(
+    """The rows that have the column a table may not lack; the other rows go to the
+    table's rejects.  Landed files are read for each of the two: a copy of the load
+    would be written and read whole to save a second scan of them."""
+    bad = df.filter(F.col(needed).isNull()).select(
         F.lit(entity).alias("entity"), F.lit(None).cast("string").alias("page"), F.lit(None).cast("int").alias("pos"),
-        F.lit(f"no_{needed}").alias("reason"), F.to_json(F.struct(*staged.columns)).alias("text"), F.lit(run_ts).cast("timestamp_ntz").alias("rejected_at"))
+        F.lit(f"no_{needed}").alias("reason"), F.to_json(F.struct(*df.columns)).alias("text"), F.lit(run_ts).cast("timestamp_ntz").alias("rejected_at"))
     TB.append(bad, P.rejects_of(spec))
-    return staged.filter(F.col(needed).isNotNull())
+    return df.filter(F.col(needed).isNotNull())
 
 
 def celo_transfers_load(spark: SparkSession, path: str, spec: TB.TableSpec, seq: int | None = None, optimize: bool = False) -> None:

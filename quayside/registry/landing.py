@@ -25,9 +25,9 @@ ORDERS_DDL = (
 )
 
 
-def _csv_writer(df):
+def _csv_writer(df, rebalance=True):
     return (
-        df.hint("rebalance").write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        (df.hint("rebalance") if rebalance else df).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False).option("escape", '"')
     )
 

@@ -24,9 +24,11 @@ from quayside.session import scratch_path
 T0, T1 = "2001-07-25 00:00:00", "2001-08-01 00:00:00"
 
 
-def _land_csv(spark, df, name):
+def _land_csv(spark, df, name, rebalance=True):
+    """``rebalance=False`` leaves each row with the split it was read in: a large
+    export is not shuffled only to be written."""
     path = scratch_path(spark, name)
-    LA._csv_writer(df).csv(path)
+    LA._csv_writer(df, rebalance).csv(path)
     return path
 
 
@@ -147,9 +149,9 @@ def _transfers_csv(df):
 def celo_transfers_load(spark, sf):
     """Full load, then a daily load overlapping 3 days; last load wins per transfer key; compacted."""
     li = src(spark, sf, "lineitem")
-    full = _land_csv(spark, _transfers_csv(li.filter(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz"))), "transfers_full")
+    full = _land_csv(spark, _transfers_csv(li.filter(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz"))), "transfers_full", rebalance=False)
     daily = _land_csv(spark, _transfers_csv(li.filter(F.col("l_shipdate") >= F.lit("1998-12-29").cast("timestamp_ntz")))
-                      .withColumn("amount_usd", F.col("amount_usd") + 1), "transfers_daily")
+                      .withColumn("amount_usd", F.col("amount_usd") + 1), "transfers_daily", rebalance=False)
     spec = TB.TableSpec(path=scratch_path(spark, "transfers"), key=LD.TRANSFER_KEY, month_of="block_date")
     LD.celo_transfers_load(spark, full, spec, seq=1)
     LD.celo_transfers_load(spark, daily, spec, seq=2)

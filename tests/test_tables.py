@@ -254,3 +254,26 @@ def test_prune_days_replaces_only_the_days_returned(spark, scratch):
     assert T.prune_days(spark, spec, _prices(spark, [("0xa", a, 9.0, t2), ("0xc", c, 8.0, t2)]), "block_date", "ingested_at") == 2
     assert _rows(spark, spec) == [("0xa", 2.0), ("0xa", 9.0), ("0xb", 4.0), ("0xc", 8.0)]
     assert T.prune_days(spark, spec, _prices(spark, []), "block_date", "ingested_at") == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_compact_of_many_ranges_shuffles_once(spark, scratch, monkeypatch, hot):
+    """Rows of a key lie in two months; a frequent key takes the map-side dedupe."""
+    monkeypatch.setattr(T, "RANGE_BYTES", 1 << 10)
+    spec = T.TableSpec(path=scratch(), key=("at", "id"), month_of="day")
+    rows = spark.range(3000).select(
+        F.when((F.col("id") % 3 == 0) & F.lit(hot), F.lit(1)).otherwise(F.col("id") % 2000).alias("id"),
+        F.expr("CAST('2024-01-31' AS TIMESTAMP_NTZ)").alias("at"), F.expr("date_add(DATE'2024-01-31', CAST(id % 2 AS INT))").alias("day"), F.col("id").alias("v"))
+    T.upsert(rows, spec, seq=1)
+    T.upsert(rows.filter("v < 100").withColumn("v", F.col("v") + 10_000), spec, seq=2)
+    raw = T.read_raw(spark, spec)
+    ranges = T._month_ranges(spark, spec, raw)
+    assert (ranges is None) == hot
+    if not hot:
+        plan = T.latest(ranges, [T._RANGE, T._HASH, *spec.key], spec.order)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1
+    want = sorted(map(tuple, T.read_latest(spark, spec).collect()), key=str)
+    T.compact(spark, spec)
+    held = T.read_raw(spark, spec)
+    assert sorted(map(tuple, held.select(*T.business_columns(held)).collect()), key=str) == want
+    assert {c for c in held.columns} == {"id", "at", "day", "v", T.SEQ, T.MONTH}
