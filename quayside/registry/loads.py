@@ -332,7 +332,7 @@ FROM trades""",
 )
 def fills_load(spark, sf):
     """Known fills of discovered owners are skipped; the rest are upserted with this run's version."""
-    pages = G.trade_pages(spark, sf)
+    pages = TB._staged(spark, G.trade_pages(spark, sf))  # fetched once, read by what is held and by the load
     spec = TB.TableSpec(path=scratch_path(spark, "fills"), key=("order_uid", "tx_hash", "log_index"), version="ingested_at")
     held = P.fills_rows(pages).join(
         src(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
@@ -575,7 +575,7 @@ def forum_load(spark, sf):
 
 def _fills_in_mode(spark, sf, mode):
     """Fills of closed orders are held; then a load in the given mode."""
-    pages = G.trade_pages(spark, sf)
+    pages = TB._staged(spark, G.trade_pages(spark, sf))  # fetched once, read by what is held and by the load
     spec = TB.TableSpec(path=scratch_path(spark, "fills"), key=("order_uid", "tx_hash", "log_index"), version="ingested_at", month_of="ingested_at")
     held = P.fills_rows(pages).join(src(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
         F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("order_uid")), "order_uid", "left_semi")
