@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.functions.coerce import (
@@ -193,11 +193,33 @@ def land(pages: DataFrame, payload: Payload, rejects: TableSpec | None = None, k
     parsed.write.parquet(path)
     parsed = spark.read.schema(parsed.schema).parquet(path)
     if rejects is not None:
-        bad = page_rejects(parsed, payload, page)
-        append(bad.withColumn("rejected_at", F.lit(run_ts).cast("timestamp_ntz")), rejects)
+        _put_rejects(parsed, payload, rejects, page, run_ts)
     return parsed
 
 
+def _put_rejects(parsed: DataFrame, payload: Payload, rejects: TableSpec, page, run_ts) -> None:
+    append(page_rejects(parsed, payload, page).withColumn("rejected_at", F.lit(run_ts).cast("timestamp_ntz")), rejects)
+
+
+def land_into(pages: DataFrame, payload: Payload, rejects: TableSpec, write, page=(), run_ts=None, body: str = "body") -> None:
+    """:func:`land` for rows that one write reads: ``write`` is given them as they are
+    parsed, so no copy of the pages is written and read in between.  The write
+    counts what cannot be read; only where there is some, or no count came, are
+    the pages read again for the table ``rejects``, without the elements' fields."""
+    parsed, seen = landed(pages, payload, page, body), Observation()
+    write(parsed.observe(seen, F.count(_REASON).alias("bad")))
+    if _counted(seen) != 0:
+        _put_rejects(parsed, payload, rejects, page, run_ts)
+
+
+def _counted(seen: Observation) -> int | None:
+    """The count of a write; ``None`` where its plan was cut short and counted nothing."""
+    try:
+        return seen.get.get("bad")
+    except Exception:  # no observed metrics
+        return None
+
+
 # --------------------------------------------------------------------------- #
 # Trades / fills
 # --------------------------------------------------------------------------- #

@@ -386,19 +386,28 @@ def business_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in INTERNAL]
 
 
-def read_latest(spark: SparkSession, spec: TableSpec, months: list | None = None) -> DataFrame:
+def read_latest(spark: SparkSession, spec: TableSpec, months: list | None = None, columns: list[str] | None = None) -> DataFrame:
     """Merge-on-read view (``FINAL``): newest row per key, internal columns dropped.
 
     ``months`` needs the month column in the key: otherwise the newest row of a
-    key may lie in a month that is not read.
+    key may lie in a month that is not read.  With ``columns`` the view has only
+    these; what the newest row holds in them is settled by the columns up to the
+    last of them, so those behind it are not read.
     """
     if months is not None and spec.keyed and spec.month_of not in spec.key:
         raise ValueError(f"months of a table whose key lacks {spec.month_of!r} would give superseded rows")
     raw = read_raw(spark, spec, months)
     cols = business_columns(raw)
+    wanted = cols if columns is None else list(columns)
     if not spec.keyed:
-        return raw.select(*cols)
-    return latest(raw, spec.key, spec.order, keep=cols + [SEQ]).select(*cols)
+        return raw.select(*wanted)
+    if set(wanted) <= set(spec.key):
+        return raw.select(*spec.key).distinct().select(*wanted)
+    if columns is not None:
+        ruled = [*spec.key, *spec.order]
+        last = max((k for k, c in enumerate(cols) if c in wanted and c not in ruled), default=-1)
+        cols = [c for k, c in enumerate(cols) if k <= last or c in ruled]
+    return latest(raw, spec.key, spec.order, keep=cols + [SEQ]).select(*wanted)
 
 
 def read_between(spark: SparkSession, spec: TableSpec, lo, hi) -> DataFrame:

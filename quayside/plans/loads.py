@@ -311,16 +311,19 @@ def governance_load(spark: SparkSession, tables: dict[str, TB.TableSpec], space:
     """
     from quayside.operators.filters import open_or_recent
 
-    def put(name: str, pages: DataFrame | None, payload: P.Payload, rows, keep=lambda df: df) -> DataFrame | None:
+    def put(name: str, pages: DataFrame | None, payload: P.Payload, rows, keep=lambda df: df) -> int | None:
+        """Loads a table; returns the load's number."""
         if pages is None:
             return None
-        out = rows(P.land(pages, payload, P.rejects_of(tables[name]), run_ts=now), space)
-        TB.upsert(keep(out).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")), tables[name])
-        return out
+        seq = TB.next_load_seq()
+        P.land_into(pages, payload, P.rejects_of(tables[name]), lambda parsed: TB.upsert(
+            keep(rows(parsed, space)).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")), tables[name], seq=seq), run_ts=now)
+        return seq
 
     put("space", space_payloads, P.SPACES, P.snapshot_space_rows)
-    proposals = put("proposals", proposal_pages, P.PROPOSALS, P.snapshot_proposals_rows)
-    if proposals is not None:
+    loaded = put("proposals", proposal_pages, P.PROPOSALS, P.snapshot_proposals_rows)
+    if loaded is not None:
+        proposals = TB.read_raw(spark, tables["proposals"]).filter(F.col(TB.SEQ) == loaded)
         wanted = open_or_recent(proposals, "state", "end_at", days, now, backfill).select(F.col("id").alias("proposal_id"))
         put("votes", vote_pages, P.VOTES, P.snapshot_votes_rows, lambda v: v.join(wanted, "proposal_id", "left_semi"))
     put("follows", follow_pages, P.FOLLOWS, P.snapshot_follows_rows)

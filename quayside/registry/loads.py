@@ -478,7 +478,8 @@ def governance_votes_load(spark, sf):
     for now in ("2001-07-31 00:00:00", "2001-08-01 00:00:00"):
         LD.governance_load(spark, tables, G.SPACE, now, spaces, proposal_pages, vote_pages, follow_pages, days=30)
     none, no_vp = F.lit(None).cast("string"), F.lit(None).cast("double")
-    held = {name: TB.read_latest(spark, spec) for name, spec in tables.items()}
+    shown = {"space": ["space_id"], "proposals": ["id"], "votes": ["id", "proposal_id", "vp"], "follows": ["id", "space_id"]}
+    held = {name: TB.read_latest(spark, spec, columns=shown[name]) for name, spec in tables.items()}
     rejects = TB.read_raw(spark, P.rejects_of(tables["follows"])).filter(F.col("rejected_at") == F.lit("2001-08-01").cast("timestamp_ntz"))
     return (held["votes"].select(F.lit("votes").alias("tbl"), "id", F.col("proposal_id").alias("of"), "vp")
             .unionAll(held["proposals"].select(F.lit("proposals"), "id", none, no_vp))

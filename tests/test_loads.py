@@ -332,3 +332,41 @@ def test_days_and_times(spark):
     r = spark.createDataFrame([(day, 1709251199999)], "d DATE, ms BIGINT").select(C.utc_midnight_seconds("d").alias("s"), C.millis_to_date("ms").alias("d")).first()
     assert r.s == int(dt.datetime(2024, 2, 29, tzinfo=dt.timezone.utc).timestamp()) and r.d == day
     assert spark.range(1).select(C.lenient_int(F.lit("3.7")), C.lenient_int(F.lit(" -4 ")), C.lenient_int(F.lit(3.7))).first() == (0, -4, 3)
+
+
+# --------------------------------------------------------------------------- governance
+
+
+def test_governance_pages_go_to_the_table_without_a_staged_copy(spark, scratch, monkeypatch):
+    monkeypatch.setattr(P, "land", None)  # would write the pages and read them back
+    tables = {n: TB.TableSpec(path=scratch(n), key=k, version="ingested_at") for n, k in {
+        "space": ("space_id",), "proposals": ("id",), "votes": ("proposal_id", "id"), "follows": ("id",)}.items()}
+
+    def pages(*bodies):
+        return spark.createDataFrame([(b,) for b in bodies], "body string")
+
+    proposals = pages('[{"id":"p1","state":"active"},{"id":"p2","state":"closed","end":5}]', "[{", None)
+    votes = pages('[{"id":"v1","vp":1,"proposal":{"id":"p1"}}, 7]', '[{"id":"v2","vp":2,"proposal":{"id":"p2"}}]', '{"errors":[1]}')
+    for now in ("2024-01-01 00:00:00", "2024-01-02 00:00:00"):
+        LD.governance_load(spark, tables, "s.eth", now, None, proposals, votes, pages('[{"id":"f1"}]'))
+    # The second load brings one closed proposal: no vote of it is wanted, what cannot be read is.
+    LD.governance_load(spark, tables, "s.eth", "2024-01-03 00:00:00", None, pages('[{"id":"p1","state":"closed","end":5}]'), votes)
+    got = [tuple(r) for r in TB.read_latest(spark, tables["votes"], columns=["vp", "id", "proposal_id"]).collect()]
+    assert got == [(1.0, "v1", "p1")]
+    assert sorted((r.id, r.state) for r in TB.read_latest(spark, tables["proposals"]).collect()) == [("p1", "closed"), ("p2", "closed")]
+    bad = {n: sorted((str(r.rejected_at)[:10], r.reason) for r in TB.read_raw(spark, P.rejects_of(tables[n])).collect()) for n in tables}
+    days = ("2024-01-01", "2024-01-02", "2024-01-03")
+    assert bad["votes"] == sorted((d, r) for d in days for r in ("errors", "not_an_object"))
+    assert bad["proposals"] == sorted((d, r) for d in days[:2] for r in ("empty", "malformed"))
+    assert bad["space"] == bad["follows"] == []
+
+
+def test_latest_of_some_columns_is_that_of_all(spark, scratch):
+    spec = TB.TableSpec(path=scratch("some"), key=("k",), version="v")
+    rows = [(None, "a", 1, "x", None), (None, "b", 1, "w", 1), ("k", "a", 2, "x", 1), ("k", None, 2, "y", 3), ("k", "a", 2, "x", 4), ("k", "z", 1, "z", 9)]
+    TB.upsert(spark.createDataFrame(rows, "k string, a string, v int, b string, c int"), spec, seq=1)
+    names = ["k", "a", "v", "b", "c"]
+    whole = TB.read_latest(spark, spec)
+    for columns in (["k"], ["a"], ["b", "k"], ["c"], ["v"], ["v", "a"], names[::-1]):
+        want = sorted(map(str, whole.select(*columns).collect()))
+        assert sorted(map(str, TB.read_latest(spark, spec, columns=columns).collect())) == want
