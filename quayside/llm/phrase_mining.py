@@ -9,7 +9,13 @@ of frequent ones are kept by a semi-join and persisted as R_(k+1).
 
 A phrase is named by 64 bits made of the names of its two parts one word
 shorter.  The parts are kept beside the count, so names are looked up by joins;
-two phrases of one name raise an error.
+two phrases of one name raise an error: counts carry 16 further bits of the first
+part, which are compared.
+
+A frequent phrase occurs in most tasks, and its parts need to be told once.  Each
+row of a relation is of one of 256 classes, by a hash of its content; counting
+finds the least class in which a phrase occurs, and only rows of that class tell
+its parts.
 """
 
 from __future__ import annotations
@@ -91,14 +97,46 @@ def semi_join_filter(frequent: DataFrame) -> FrequentNames:
     return FrequentNames(rows["word"].to_numpy(), rows["bits"].to_numpy(), bits)
 
 
-def _count_rows(names: np.ndarray, ranges: int) -> pd.DataFrame:
-    """Names with their counts, cut by range: a frequent phrase is one entry of a block."""
-    names, n = np.unique(names, return_counts=True)
+CLASS_BITS, PART_BITS = 8, 16  # a mark is a row's class below some bits of the first part of a phrase
+
+
+def _class_of(blob: bytes) -> np.uint32:
+    """The class of a row of a relation."""
+    return np.uint32(xxhash.xxh3_64_intdigest(blob) & ((1 << CLASS_BITS) - 1))
+
+
+def _marks(first: np.ndarray, of: np.uint32) -> np.ndarray:
+    return ((first & np.uint64((1 << PART_BITS) - 1)).astype(np.uint32) << np.uint32(CLASS_BITS)) | of
+
+
+def _in_class(names: np.ndarray, of) -> np.ndarray:
+    """Names of phrases told by a class."""
+    return _mixed(names + np.asarray(of, np.uint64) * _MIX)
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """Numbers by byte, the first bytes of all before the second ones, so that bytes that are alike compress."""
+    return a.view(np.uint8).reshape(len(a), -1).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def _count_rows(names: np.ndarray, marks: np.ndarray, ranges: int) -> pd.DataFrame:
+    """Names with their counts and least marks, cut by range: a frequent phrase is one
+    entry of a block.  Names rise, so each is written as what it is above the one before."""
+    order = np.argsort(names)
+    names, marks = names[order], marks[order]
+    part = marks >> np.uint32(CLASS_BITS)
+    at = np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1]) | (part[1:] != part[:-1])]))
+    n, marks, names = np.diff(np.append(at, len(names))), np.minimum.reduceat(marks, at), names[at]
     r = (names >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
     cuts = np.flatnonzero(np.diff(r)) + 1
     first = np.concatenate([[0], cuts])[:len(names)]
-    return pd.DataFrame({"r": r[first].astype(np.int64), "names": [x.tobytes() for x in np.split(names, cuts)][:len(first)],
-                         "counts": [x.astype(np.uint32).tobytes() for x in np.split(n, cuts)][:len(first)]})
+    return pd.DataFrame({"r": r[first].astype(np.int64), "names": [_planes(np.diff(x, prepend=np.uint64(0))) for x in np.split(names, cuts)][:len(first)],
+                         "counts": [_planes(x.astype(np.uint32)) for x in np.split(n, cuts)][:len(first)],
+                         "marks": [_planes(x) for x in np.split(marks, cuts)][:len(first)]})
 
 
 class _Counts:
@@ -107,30 +145,37 @@ class _Counts:
     def __init__(self, ranges: int):
         self.ranges, self.held, self.size = ranges, [], 0
 
-    def add(self, names: np.ndarray) -> Iterator[pd.DataFrame]:
-        self.held.append(names)
+    def add(self, names: np.ndarray, marks: np.ndarray) -> Iterator[pd.DataFrame]:
+        self.held.append((names, marks))
         self.size += len(names)
         if self.size >= COUNT_WORDS:
             yield from self.flush()
 
     def flush(self) -> Iterator[pd.DataFrame]:
         if self.size:
-            yield _count_rows(np.concatenate(self.held), self.ranges)
+            yield _count_rows(*(np.concatenate(c) for c in zip(*self.held)), self.ranges)
         self.held, self.size = [], 0
 
 
 def _added_up(counted: DataFrame, least: int) -> DataFrame:
-    """``id, n`` of the names that occur at least ``least`` times."""
+    """``id, n`` of the names that occur at least ``least`` times, and ``told``, the
+    name of each in the class that tells its parts."""
     def add_up(group: pd.DataFrame) -> pd.DataFrame:
-        names = np.concatenate([np.frombuffer(b, np.uint64) for b in group["names"]])
-        n = np.concatenate([np.frombuffer(b, np.uint32) for b in group["counts"]])
-        names, of = np.unique(names, return_inverse=True)
-        total = np.zeros(len(names), np.int64)
-        np.add.at(total, of.reshape(-1), n)
+        names = np.concatenate([np.cumsum(_numbers(b, np.uint64), dtype=np.uint64) for b in group["names"]])
+        n, marks = (np.concatenate([_numbers(b, np.uint32) for b in group[c]]) for c in ("counts", "marks"))
+        order = np.argsort(names)
+        names, n, marks = names[order], n[order], marks[order]
+        at = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+        total = np.add.reduceat(n, at, dtype=np.int64)
         keep = total >= least
-        return pd.DataFrame({"id": names[keep].view(np.int64), "n": total[keep]})
+        lowest, highest = np.minimum.reduceat(marks, at)[keep], np.maximum.reduceat(marks, at)[keep]
+        if (lowest >> np.uint32(CLASS_BITS) != highest >> np.uint32(CLASS_BITS)).any():
+            raise ValueError("two phrases share a 64-bit name")
+        names = names[at][keep]
+        told = _in_class(names, lowest & np.uint32((1 << CLASS_BITS) - 1))
+        return pd.DataFrame({"id": names.view(np.int64), "n": total[keep], "told": told.view(np.int64)})
 
-    return counted.groupBy("r").applyInPandas(add_up, "id long, n long")
+    return counted.groupBy("r").applyInPandas(add_up, "id long, n long, told long")
 
 
 class _Blocks:
@@ -182,16 +227,17 @@ def _word_counts(docs: DataFrame, ranges: int) -> DataFrame:
         counts, sizes = _Counts(ranges), {}
         for held in _gathered(batches):
             ids = held.block()
-            for out in counts.add(ids[ids != 0]):
+            ids = ids[ids != 0]
+            for out in counts.add(ids, np.zeros(len(ids), np.uint32)):
                 yield out.assign(lang=None, n=0)
             for lang, a in zip(held.langs, held.ids[::2]):
                 sizes[lang] = sizes.get(lang, 0) + int(np.count_nonzero(a))
         for out in counts.flush():
             yield out.assign(lang=None, n=0)
         if sizes:
-            yield pd.DataFrame({"r": -1, "names": None, "counts": None, "lang": list(sizes), "n": list(sizes.values())})
+            yield pd.DataFrame({"r": -1, "names": None, "counts": None, "marks": None, "lang": list(sizes), "n": list(sizes.values())})
 
-    return docs.mapInPandas(emit, "r long, names binary, counts binary, lang string, n long")
+    return docs.mapInPandas(emit, "r long, names binary, counts binary, marks binary, lang string, n long")
 
 
 _KINDS = "kind string, ids binary, id long, left long, right long, lang string, word string, n long"
@@ -261,14 +307,17 @@ def _next_counts(relation: DataFrame, ranges: int) -> DataFrame:
         counts = _Counts(ranges)
         for batch in batches:
             for blob in batch["ids"]:
-                yield from counts.add(joined(np.frombuffer(blob, np.uint64))[1])
+                ids = np.frombuffer(blob, np.uint64)
+                at, names = joined(ids)
+                yield from counts.add(names, _marks(ids[at], _class_of(blob)))
         yield from counts.flush()
 
-    return relation.select("ids").mapInPandas(emit, "r long, names binary, counts binary")
+    return relation.select("ids").mapInPandas(emit, "r long, names binary, counts binary, marks binary")
 
 
-def _next_relation(relation: DataFrame, known) -> DataFrame:
-    """R_(k+1) of the frequent names, and its phrases by their parts (kind ``name``)."""
+def _next_relation(relation: DataFrame, known, told) -> DataFrame:
+    """R_(k+1) of the frequent names, and its phrases by their parts (kind ``name``),
+    told by the rows of their class."""
     def emit(batches):
         named = _Names("left", "right")
         for batch in batches:
@@ -282,6 +331,10 @@ def _next_relation(relation: DataFrame, known) -> DataFrame:
                 longer = np.zeros(len(ids), np.uint64)
                 longer[at] = names
                 yield _relation_rows(longer)
+                tell = told.value.has(_in_class(names, _class_of(blob)))
+                at, names = at[tell], names[tell]
+                if not len(at):
+                    continue
                 names, first, of, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
                 left, right = ids[at], ids[at + 1]
                 if ((left != left[first][of.reshape(-1)]) | (right != right[first][of.reshape(-1)])).any():
@@ -300,6 +353,13 @@ def _sole(named: DataFrame, *parts: str) -> DataFrame:
     return same.withColumn("f", F.when(F.col("__hi") == F.col("__lo"), F.col("f")).otherwise(clash)).drop("__hi", "__lo")
 
 
+def _with_parts(frequent: DataFrame, named: DataFrame) -> DataFrame:
+    """``id, f, left, right`` of the frequent phrases; one whose parts nothing told is an error."""
+    parts = _sole(named, "left", "right").select("id", "left", "right")
+    untold = F.raise_error(F.lit("a frequent phrase without its parts")).cast("long")
+    return frequent.select("id", F.col("n").alias("f")).join(parts, "id", "left").withColumn("left", F.coalesce("left", untold))
+
+
 def mine_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text: str = "text", lang: str = "lang",
                  absorbed_percent: int = 80) -> DataFrame:
     """Phrases of 2 to ``longest`` words that occur ``least`` times or more in a
@@ -326,7 +386,7 @@ def mine_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text: str =
 
     counted = scratch.keep(_word_counts(docs, ranges))
     sizes = scratch.keep(counted.filter("r < 0").groupBy("lang").agg(F.sum("n").alias("n")))
-    frequent = scratch.keep(_added_up(counted.filter("r >= 0").select("r", "names", "counts"), least))
+    frequent = scratch.keep(_added_up(counted.filter("r >= 0").select("r", "names", "counts", "marks"), least))
     scratch.drop(counted)
     known = spark.sparkContext.broadcast(semi_join_filter(frequent))
     step = scratch.keep(_first_relation(docs, known), by="kind", row_group=ROW_GROUP)
@@ -338,10 +398,11 @@ def mine_phrases(docs: DataFrame, least: int = 30, longest: int = 4, text: str =
         relation = step.filter("kind = 'relation'")
         frequent = scratch.keep(_added_up(_next_counts(relation, ranges), least))
         known = spark.sparkContext.broadcast(semi_join_filter(frequent))
-        longer = scratch.keep(_next_relation(relation, known), by="kind", row_group=ROW_GROUP)
+        told = spark.sparkContext.broadcast(semi_join_filter(frequent.select(F.col("told").alias("id"))))
+        longer = scratch.keep(_next_relation(relation, known, told), by="kind", row_group=ROW_GROUP)
         scratch.drop(step)
         step = longer
-        levels.append(scratch.keep(_phrases(_sole(step.filter("kind = 'name'"), "left", "right").filter(F.col("f") >= least), levels[-1])))
+        levels.append(scratch.keep(_phrases(_with_parts(frequent, step.filter("kind = 'name'")), levels[-1])))
     scratch.drop(step)
     prepare(spark)
     found = None

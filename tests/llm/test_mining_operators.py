@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,28 @@ def test_best_phrases_by_score_count_and_bytes(spark):
     assert sorted((r.lang, r.rank, r.phrase) for r in got.collect()) == [("de", 1, "q"), ("en", 1, "y"), ("en", 2, "z"), ("en", 3, "a"), ("en", 4, "b")]
 
 
+def test_parts_of_a_frequent_phrase_are_told_by_few_tasks(spark):
+    rows = [np.array([11, 22, 0, 1000 + k, 0], np.uint64).tobytes() for k in range(32)]
+    relation = spark.createDataFrame([(bytearray(r),) for r in rows], "ids binary").repartition(32)
+    frequent = phrase_mining._added_up(phrase_mining._next_counts(relation, 64), 30).cache()
+    name = int(phrase_mining.joined(np.array([11, 22], np.uint64))[1].view(np.int64)[0])
+    assert [(r.id, r.n) for r in frequent.collect()] == [(name, 32)]
+    known, told = (spark.sparkContext.broadcast(phrase_mining.semi_join_filter(frequent.selectExpr(f"{c} AS id"))) for c in ("id", "told"))
+    told_parts = phrase_mining._next_relation(relation, known, told).filter("kind = 'name'").collect()
+    assert 1 <= len(told_parts) <= 3 and {(r.id, r.left, r.right) for r in told_parts} == {(name, 11, 22)}
+
+
+def test_counts_of_two_phrases_of_one_name_are_an_error(spark):
+    def counted(*firsts):
+        rows = [phrase_mining._count_rows(np.array([5, 9, 5], np.uint64), phrase_mining._marks(np.array([f, 1, f], np.uint64), np.uint32(k)), 64) for k, f in enumerate(firsts)]
+        return spark.createDataFrame(pd.concat(rows), "r long, names binary, counts binary, marks binary")
+
+    assert sorted((r.id, r.n) for r in phrase_mining._added_up(counted(7, 7), 2).collect()) == [(5, 4), (9, 2)]
+    assert phrase_mining._added_up(counted(7, 8), 9).collect() == []
+    with pytest.raises(Exception, match="64-bit"):
+        phrase_mining._added_up(counted(7, 8), 4).collect()
+
+
 def test_two_phrases_of_one_name_are_an_error():
     names = phrase_mining._Names("left")
     list(names.add(np.array([1], np.uint64), np.array([1]), np.array([5], np.uint64)))
