@@ -2,10 +2,11 @@
 
 Pivots cut the vectors into cells: a vector is at home with its nearest pivot.
 By the triangle inequality a vector can only have neighbours in a cell whose
-pivot lies within the cell's radius plus the range, so it is copied there as a
-guest.  Cells then join independently, in blocks of bounded size: a home block
-meets the cell's members block by block and reports counts and a spanning
-forest of its links, never the pairs.
+pivot lies within the cell's radius plus the range: it is a guest there.  Cells
+are written in blocks of bounded size, a row each, and the product of the blocks
+with themselves is read from that one copy: no vector is copied for a task.  Two
+blocks meet once, with the guests that each has in the other's cell; a task
+reports counts and a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from .shared import Scratch, components, prepare
 
 CELL_VECTORS = 4096   # vectors a pivot stands for
 MAX_PIVOTS = 512      # more vectors make larger cells of more blocks, not more pivots
-HOME_BLOCK = 4096     # home vectors of one task
-MEMBER_BLOCK = 8192   # vectors they meet in one task
+HOME_BLOCK = 4096     # vectors of one block, fewer where they are long
+MEMBER_BLOCK = 32768  # vectors of the blocks that one side of a task reads
+BLOCK_BYTES = 1 << 21  # of the vectors of one block
+ARROW_PAIRS = 4       # pairs of blocks in one Arrow batch
 STRIP = 512           # home vectors compared at a time
 
 
@@ -47,10 +50,11 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def join_block(home: np.ndarray, members: np.ndarray, home_id: np.ndarray, member_id: np.ndarray, weight: np.ndarray,
-               threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(weight of the members linked with each home vector, edge ends a, edge
-    ends b)`` for cosine >= threshold; the edges span what is linked.
+def join_block(home: np.ndarray, members: np.ndarray, home_id: np.ndarray, member_id: np.ndarray, home_weight: np.ndarray,
+               weight: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(weight of the members linked with each home vector, weight of the home
+    vectors linked with each member, edge ends a, edge ends b)`` for cosine >=
+    threshold; the edges span what is linked.
 
     A single-precision bound on the leading dimensions plus the length of the
     rest (Cauchy-Schwarz) discards most pairs; what is left is decided by the
@@ -65,7 +69,7 @@ def join_block(home: np.ndarray, members: np.ndarray, home_id: np.ndarray, membe
         return np.concatenate([x[:, :lead], rest[:, None]], 1).astype(np.float32)
 
     bound_h, bound_m = bounded(unit_h), bounded(unit_m)
-    linked = np.zeros(len(home), np.int64)
+    linked, met = np.zeros(len(home), np.int64), np.zeros(len(members), np.int64)
     edges = []
     for at in range(0, len(home), STRIP):
         a, b = np.nonzero(bound_h[at:at + STRIP] @ bound_m.T >= threshold - 1e-4)
@@ -78,17 +82,18 @@ def join_block(home: np.ndarray, members: np.ndarray, home_id: np.ndarray, membe
         a, b = a[sure], b[sure]
         if len(a):
             linked += np.bincount(a, weight[b], len(home)).astype(np.int64)
+            met += np.bincount(b, home_weight[a], len(members)).astype(np.int64)
             label = _forest(a, b + len(home), len(home) + len(members))
             seen = np.flatnonzero(label != np.arange(len(label)))
             edges.append(np.stack([seen, label[seen]], 1))
     if not edges:
         none = np.zeros(0, np.int64)
-        return linked, none, none
+        return linked, met, none, none
     pairs = np.concatenate(edges)
     label = _forest(pairs[:, 0], pairs[:, 1], len(home) + len(members))
     seen = np.flatnonzero(label != np.arange(len(label)))
     ids = np.concatenate([home_id, member_id])
-    return linked, ids[seen], ids[label[seen]]
+    return linked, met, ids[seen], ids[label[seen]]
 
 
 def valid(vector) -> "F.Column":
@@ -119,10 +124,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vector: str = "embe
     links, edges = _join_cells(classes, threshold, scratch)
     groups = components(spark, edges, scratch)
     linked = links.groupBy("cid").agg(F.sum("linked").alias("linked"))
-    named = (classes.select("cid", "__v", "least", "copies").join(linked, "cid", "left")
+    # Numbers only: the vectors are met once, to name the rows.
+    named = (classes.select("cid", "least", "copies").join(linked, "cid", "left")
              .join(groups.withColumnRenamed("id", "cid"), "cid", "left").withColumn("group", F.coalesce("component_id", "cid")))
     least = named.groupBy("group").agg(F.min("least").alias("component"))
-    known = named.join(least, "group").select("__v", "component", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"))
+    told = named.join(least, "group").select("cid", "component", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"))
+    known = classes.select("cid", "__v").join(told, "cid").drop("cid")
     return rows.join(known, "__v", "left").select(
         F.col(id), F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("component", F.col(id)).alias("component_id"))
 
@@ -162,47 +169,77 @@ def _join_cells(classes: DataFrame, threshold: float, scratch: Scratch) -> tuple
     # One row per pivot (and per length of vectors without pivots).
     cells = {r["cell"]: (r["far"], r["n"]) for r in homes.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()}
 
-    def meet(batches):
-        """Copies for every task: (cell, home block, member block)."""
+    # Of each cell: its first block, its number of blocks, the cells that can have guests in it.
+    first, blocks, near, n_blocks = {}, {}, {}, 0
+    for cell in sorted(cells):
+        d = -cell if cell < 0 else next(e for e in pivots if number[e] <= cell < number[e] + len(pivots[e]))
+        first[cell], blocks[cell] = n_blocks, -(-cells[cell][1] // max(1, min(HOME_BLOCK, BLOCK_BYTES // (8 * d))))
+        n_blocks += blocks[cell]
+        near[cell] = [cell]
+    for d, p in pivots.items():
+        between, own = angles(p), [c for c in near if number[d] <= c < number[d] + len(p)]
+        for c in own:
+            near[c] += [e for e in own if e != c and min(between[c - number[d], e - number[d]], between[e - number[d], c - number[d]]) <= cells[c][0] + cells[e][0] + reach]
+
+    def place(batches):
+        """Rows with the number of their block."""
         for batch in batches:
-            for d, part in batch.groupby(batch["x"].map(len)):
-                x = _matrix(part["x"])
-                angle = angles(x) if d // 8 in pivots else None
-                for cell, (radius, n) in cells.items():
-                    own = part["cell"].to_numpy() == cell
-                    if angle is None or cell < 0:
-                        inside = own
-                    elif number[d // 8] <= cell < number[d // 8] + angle.shape[1]:
-                        inside = own | (angle[:, cell - number[d // 8]] <= radius + reach)
-                    else:
-                        continue
-                    if not inside.any():
-                        continue
-                    blocks = -(-n // HOME_BLOCK)
-                    slots = max(1, -(-total // MEMBER_BLOCK))
-                    cid, copies, blob = (part[c].to_numpy() for c in ("cid", "copies", "x"))
-                    salt = (cid * 2654435761 >> 7)
-                    block, slot = salt % blocks, (salt // 64) % slots
-                    for is_home, chosen, other in ((False, inside, blocks), (True, own, slots)):
-                        k = np.flatnonzero(chosen)
-                        if not len(k):
-                            continue
-                        for o in range(other):
-                            yield pd.DataFrame({"cell": cell, "block": block[k] if is_home else o, "slot": o if is_home else slot[k],
-                                                "is_home": is_home, "cid": cid[k], "copies": copies[k], "x": blob[k]})
-
+            cell, salt = batch["cell"].to_numpy(), batch["cid"].to_numpy() * 2654435761 >> 7
+            start, n = (np.array([of[c] for c in cell], np.int64) for of in (first, blocks))
+            yield batch.drop(columns="far").assign(block=start + salt % np.maximum(n, 1))
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        cell = int(group["cell"].iloc[0])
+        return pd.DataFrame({"block": group["block"].iloc[:1], "cell": cell, "near": [near[cell]], "cids": [group["cid"].to_numpy("<i8").tobytes()],
+                             "copies": [group["copies"].to_numpy("<i8").tobytes()], "x": [b"".join(group["x"])]})
+
+    def compare(batches):
+        """Links of all pairs of blocks of a task: a count and an edge per vector."""
+        counts, ends = [], []
+        for batch in batches:
+            for row in batch.itertuples():
+                ids, weights, x = [], [], []
+                for side, other in (("", "2"), ("2", "")):
+                    cid, copies = (np.frombuffer(getattr(row, c + side), "<i8") for c in ("cids", "copies"))
+                    v = np.frombuffer(getattr(row, "x" + side), "<f8").reshape(len(cid), -1)
+                    cell, met = getattr(row, "cell" + side), getattr(row, "cell" + other)
+                    if cell != met:
+                        guest = angles(v)[:, met - number[v.shape[1]]] <= cells[met][0] + reach
+                        cid, copies, v = cid[guest], copies[guest], v[guest]
+                    ids.append(cid), weights.append(copies), x.append(v)
+                if not len(ids[0]) or not len(ids[1]):
+                    continue
+                linked, met, a, b = join_block(*x, *ids, *weights, threshold)
+                found = [(ids[0], linked), (ids[1], met)]
+                for cid, n in found[:1] if row.block == row.block2 else found:
+                    k = np.flatnonzero(n)
+                    counts.append(np.stack([cid[k], n[k]]))
+                ends.append(np.stack([a, b]))
+        if counts:
+            (cid, n), (a, b) = np.concatenate(counts, 1), np.concatenate(ends, 1)
+            seen, at = np.unique(cid, return_inverse=True)
+            total = np.zeros(len(seen), np.int64)
+            np.add.at(total, at, n)
+            nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            label = _forest(at[:len(a)], at[len(a):], len(nodes))
+            k = np.flatnonzero(label != np.arange(len(nodes)))
+            yield pd.DataFrame({"cid": np.concatenate([seen, nodes[k]]), "linked": np.concatenate([total, np.zeros(len(k), np.int64)]),
+                                "other": np.concatenate([seen, nodes[label[k]]])})
+
+    packed = scratch.keep(homes.mapInPandas(place, "cid long, copies long, cell long, x binary, block long").groupBy("block").applyInPandas(
+        pack, "block long, cell long, near array<long>, cids binary, copies binary, x binary"), row_group=16 << 20)
+    scratch.drop(homes)
+    prepare(spark, ARROW_PAIRS)
     total = sum(n for _, n in cells.values())
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        home, members = group[group["is_home"]], group[~group["is_home"]]
-        if not len(home) or not len(members):
-            return pd.DataFrame({"cid": [], "linked": [], "other": []}).astype("int64")
-        home_id, member_id = home["cid"].to_numpy(), members["cid"].to_numpy()
-        linked, a, b = join_block(_matrix(home["x"]), _matrix(members["x"]), home_id, member_id, members["copies"].to_numpy(), threshold)
-        k = np.flatnonzero(linked)
-        return pd.DataFrame({"cid": np.concatenate([home_id[k], a]), "linked": np.concatenate([linked[k], np.zeros(len(a), np.int64)]),
-                             "other": np.concatenate([home_id[k], b])})
-
-    tasks = homes.mapInPandas(meet, "cell long, block long, slot long, is_home boolean, cid long, copies long, x binary")
-    found = scratch.keep(tasks.groupBy("cell", "block", "slot").applyInPandas(compare, "cid long, linked long, other long"))
+    parts = max(-(-total // MEMBER_BLOCK), min(n_blocks, math.isqrt(2 * spark.sparkContext.defaultParallelism) + 1), 1)
+    dealt = packed.repartition(parts)
+    other = dealt.toDF(*[c + "2" for c in packed.columns]).hint("shuffle_replicate_nl")
+    # Each two blocks once, from either side in turn, so that no task has all pairs of its two sides and another none.
+    once = (F.col("block") == F.col("block2")) | ((F.col("block") < F.col("block2")) == ((F.col("block") + F.col("block2")) % 2 == 0))
+    # Both sides read the same columns, so they are one exchange.
+    meets = F.array_contains("near", F.col("cell2")) & F.array_contains("near2", F.col("cell"))
+    pairs = dealt.join(other, once & meets).drop("near", "near2")
+    found = scratch.keep(pairs.mapInPandas(compare, "cid long, linked long, other long"))
+    scratch.drop(packed)
+    prepare(spark)
     return found, found.filter("cid <> other").select(F.col("cid").alias("a"), F.col("other").alias("b"))

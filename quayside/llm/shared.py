@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.session import scratch_path
+from quayside.session import scratch_path, shuffles_end
 
 # Rows of one Arrow batch between the JVM and Python: texts can be long, and a
 # batch is held whole on both sides.
@@ -57,7 +57,8 @@ class Scratch:
         writer holds before it writes them out."""
         path = f"{self.root}/{len(self._kept):03d}"
         writer = df.write if row_group is None else df.write.option("parquet.block.size", row_group)
-        (writer.partitionBy(by) if by else writer).parquet(path)
+        with shuffles_end(self.spark):
+            (writer.partitionBy(by) if by else writer).parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._kept.append((back, path))
         return back

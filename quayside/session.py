@@ -11,6 +11,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -116,6 +117,22 @@ def drop_scratch() -> None:
             fs.delete(kept.getPath(), True)
 
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession):
+    """Writes in it remove their shuffle files when they end.  What is written is read
+    back, and a write's plan is never run again; else the files stay until the driver
+    happens to collect its garbage, and a job of many writes keeps all of them."""
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 

@@ -1,9 +1,11 @@
 """Operators on pairs against brute force, and the pipeline against its stages."""
 
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import metric_join, ngram_join, queries
 from quayside.llm.shared import Scratch, components, maybe_member
@@ -162,6 +164,47 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, cell):
     assert metric_join.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_write_no_vector_twice_for_their_blocks(spark, monkeypatch):
+    """On vectors that are as good as random each cell has guests from all others."""
+    for name, value in (("CELL_VECTORS", 40), ("HOME_BLOCK", 32), ("MEMBER_BLOCK", 64)):
+        monkeypatch.setattr(metric_join, name, value)
+    kept = {}
+
+    class Noted(metric_join.Scratch):
+        def keep(self, df, *args, **kwargs):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            back = super().keep(df, *args, **kwargs)
+            name = "blocks" if "cids" in back.columns else "links" if "linked" in back.columns else "other"
+            kept[name] = (plan, [len(r.cids) // 8 for r in back.select("cids").collect()] if name == "blocks" else None)
+            return back
+
+    monkeypatch.setattr(metric_join, "Scratch", Noted)
+    x = np.random.default_rng(5).normal(size=(300, 12))
+    near = metric_join.near_vectors(spark.createDataFrame([(n, [float(c) for c in v]) for n, v in enumerate(x)], "vec_id long, embedding array<double>"))
+    sizes, plan = kept["blocks"][1], kept["links"][0]
+    assert sum(sizes) == 300 and max(sizes) <= 64 and len(sizes) > 7
+    # What is dealt out for the links are the blocks as they are written; their pairs go nowhere but to the task that compares them.
+    lines = plan.splitlines()
+    dealt = [k for k, line in enumerate(lines) if " Exchange " in line]
+    assert len(dealt) == 2 and all("RoundRobinPartitioning" in lines[k] and k > plan[:plan.index("CartesianProduct")].count("\n") for k in dealt)
+    assert near.count() == 300
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().endswith(".data")}
+
+    before = files()
+    table = Scratch(spark, "t").keep(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count())
+    assert len(table.collect()) == 7
+    for _ in range(10):  # removal is not waited for
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 50)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
