@@ -75,8 +75,9 @@ def skip_known_fills(new: DataFrame, target: DataFrame, owners: DataFrame, now,
     known = known.select(
         F.lower("order_uid").alias("_u"), F.lower("tx_hash").alias("_t"), F.col("log_index").alias("_l")
     )
-    k = new.select("*", F.lower("order_uid").alias("_u"), F.lower("tx_hash").alias("_t"), F.col("log_index").alias("_l"))
-    return k.join(known, ["_u", "_t", "_l"], "left_anti").drop("_u", "_t", "_l")
+    # The keys are computed where they are compared: new rows are not shuffled with a copy of theirs.
+    same = (F.lower(new["order_uid"]) == known["_u"]) & (F.lower(new["tx_hash"]) == known["_t"]) & (new["log_index"] == known["_l"])
+    return new.join(known, same, "left_anti")
 
 
 def allowlist_lookup(quotes: DataFrame, allowlist: DataFrame, quote_key: str = "coin") -> DataFrame:

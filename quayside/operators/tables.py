@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, FloatType, MapType, StructType, TimestampNTZType, TimestampType
 
 from quayside.functions.coerce import month_start
-from quayside.session import scratch_path
+from quayside.session import scratch_path, shuffles_end
 
 SEQ = "_load_seq"
 MONTH = "month_part"
@@ -193,7 +193,8 @@ def _replace_files(spark: SparkSession, spec: TableSpec, content: DataFrame, rea
     """Replace the files ``read`` by ``content``, prepared for the table; returns its rows."""
     token = uuid.uuid4().hex
     observed, o = _observe(content)
-    _writer(observed, spec, "append", rebalance).parquet(f"{spec.path}/{NOTES}/{token}.new")
+    with shuffles_end(spark):
+        _writer(observed, spec, "append", rebalance).parquet(f"{spec.path}/{NOTES}/{token}.new")
     n = _rows_written(o, content)
     if not n:
         _keep_schema(spark, spec, content)
@@ -277,11 +278,14 @@ def create_if_absent(spark: SparkSession, spec: TableSpec, name: str | None = No
     return name
 
 
-def append(df: DataFrame, spec: TableSpec, seq: int | None = None) -> int:
-    """Plain append (and the cheap insert of a replacing table); returns rows written."""
+def append(df: DataFrame, spec: TableSpec, seq: int | None = None, rebalance: bool = True) -> int:
+    """Plain append (and the cheap insert of a replacing table); returns rows written.
+    ``rebalance=False`` is for a load whose rows all have one month: each task writes
+    one file as it is, and the load is not shuffled only to be written."""
     out = _prepare(df, spec, seq)
     observed, o = _observe(out)
-    _writer(observed, spec, "append", rebalance=True).parquet(spec.path)
+    with shuffles_end(df.sparkSession):
+        _writer(observed, spec, "append", rebalance).parquet(spec.path)
     return _rows_written(o, out)
 
 
@@ -479,7 +483,8 @@ def compact(spark: SparkSession, spec: TableSpec, months: list | None = None) ->
 def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The load, written once and read back, so that it is evaluated once."""
     path = scratch_path(spark, "stage")
-    df.write.parquet(path)
+    with shuffles_end(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

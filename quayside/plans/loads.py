@@ -215,15 +215,25 @@ def fills_load(spark: SparkSession, pages: DataFrame, target: TB.TableSpec, owne
     ``source`` (on-chain fills) knows one that the table lacks; what was held
     comes again and is resolved by the key.
     """
-    fills = P.fills_rows(P.land(pages, P.TRADES, P.rejects_of(target), run_ts=now))
     if mode == "daily":
-        fills = J.skip_known_fills(fills, recent_fills(spark, target, now, known_days), owners, now, known_days)
+        def keep(fills):
+            return J.skip_known_fills(fills, recent_fills(spark, target, now, known_days), owners, now, known_days)
     elif mode == "repair":
-        behind = J.missing_by_owner(missing_of(spark, source, target)).select(F.lower("taker").alias("_owner"))
-        fills = fills.withColumn("_owner", F.lower("owner")).join(behind, "_owner", "left_semi").drop("_owner")
-    elif mode != "backfill":
+        # Owners only, found before the load, so that what finds them is off the disk while fills are shuffled.
+        behind = TB._staged(spark, J.missing_by_owner(missing_of(spark, source, target)).select(F.lower("taker").alias("_owner")).distinct())
+
+        def keep(fills):
+            return fills.join(behind, F.lower(fills["owner"]) == behind["_owner"], "left_semi")
+    elif mode == "backfill":
+        def keep(fills):
+            return fills
+    else:
         raise ValueError(f"unknown mode {mode!r}")
-    return TB.upsert(fills.withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")), target)
+    written = []
+    # One time of ingestion, so one month where the table is laid out by it.
+    P.land_into(pages, P.TRADES, P.rejects_of(target), lambda parsed: written.append(TB.upsert(
+        keep(P.fills_rows(parsed)).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")), target, rebalance=target.month_of != "ingested_at")), run_ts=now)
+    return written[0]
 
 
 def recent_fills(spark: SparkSession, target: TB.TableSpec, now, days: int) -> DataFrame:

@@ -677,7 +677,9 @@ def trade_pages(spark, sf):
     fill of that order (log index = line number) whose protocol fees are the
     lineitems sharing the key (token = return flag).  Orders without lineitems
     are one fill without fees."""
-    li = src(spark, sf, "lineitem", spread=True)
+    # Dealt out by order once, which serves the fees of a fill and the join.
+    li = src(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_discount",
+                                           "l_returnflag", "l_linestatus").filter(F.col("l_orderkey").isNotNull()).repartition("l_orderkey")
     o = src(spark, sf, "orders", spread=True)  # streamed side of a possible broadcast join
     amount = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
     token = F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N"), F.lit(None)).otherwise(F.col("l_returnflag"))

@@ -339,7 +339,7 @@ def fills_load(spark, sf):
             F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("order_uid")), "order_uid", "left_semi")
     TB.upsert(held.withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz")), spec)
     LD.fills_load(spark, pages, spec, FR._owners(spark, sf), T1, known_days=14)
-    return TB.read_latest(spark, spec).select("order_uid", "log_index", "owner", "ingested_at")
+    return TB.read_latest(spark, spec, columns=["order_uid", "log_index", "owner", "ingested_at"])
 
 
 EVENT_LIMIT = 25  # events of one answer here; 100,000 in production

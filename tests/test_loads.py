@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.operators import joins as J
 from quayside.operators import payloads as P
 from quayside.operators import tables as TB
 from quayside.plans import increment as I
@@ -234,6 +236,66 @@ def test_fills_in_three_modes(spark, scratch):
     assert TB.read_latest(spark, spec).count() == 3
 
 
+@pytest.mark.parametrize("mode", ["daily", "repair", "backfill"])
+def test_fills_are_loaded_without_a_copy_of_the_pages(spark, scratch, mode):
+    spec = TB.TableSpec(path=scratch("fills"), key=("order_uid", "tx_hash", "log_index"), version="ingested_at", month_of="ingested_at")
+    source = spark.createDataFrame([("O1", "u1", "0xa", 1, dt.datetime(2024, 1, 1)), ("O2", "u2", "0xa", 1, dt.datetime(2024, 1, 1))],
+                                   "taker STRING, order_uid STRING, transaction_hash STRING, log_index BIGINT, block_timestamp TIMESTAMP")
+    held = TB.append(P.fills_rows(trades(spark, ("u1", 1, "O1"))).withColumn("tx_hash", F.lower("tx_hash"))
+                     .withColumn("ingested_at", F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")), spec)
+    assert held == 1
+    pages = trades(spark, ("u1", 1, "O1"), ("u2", 1, "O2"), ("U1", 1, "o1")).unionAll(spark.createDataFrame([("[{",)], "body STRING")).repartition(3)
+    fs, root = TB._fs(spark, spec.path.rsplit("/", 1)[0])
+    copies = lambda: {f.getPath().getName() for f in fs.listStatus(root) if f.getPath().getName().startswith("landed-trades")}
+    before, left = copies(), shuffle_files(spark)
+    written = LD.fills_load(spark, pages, spec, source.select("taker"), "2024-02-02 00:00:00", mode=mode, source=source)
+    assert copies() == before
+    for _ in range(10):  # removal is not waited for
+        if not shuffle_files(spark) - left:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - left
+    new = {r.order_uid for r in TB.read_raw(spark, spec).filter("ingested_at > '2024-02-01'").collect()}
+    assert (written, new) == {"daily": (1, {"u2"}), "repair": (1, {"u2"}), "backfill": (3, {"u1", "u2", "U1"})}[mode]
+    assert [(r.reason, r.text) for r in TB.read_raw(spark, P.rejects_of(spec)).collect()] == [("malformed", "[{")]
+
+
+def shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(k).getName() for k in range(found.size())) if name.endswith(".data")}
+
+
+def test_known_fills_are_found_without_further_columns(spark):
+    """NULL parts of a key are never known; case of uid and hash does not matter."""
+    new = spark.createDataFrame([("U1", "0xA", 1, "x"), ("u1", "0xa", 2, "x"), ("u1", None, 1, "x")], "order_uid STRING, tx_hash STRING, log_index BIGINT, fee_policies STRING")
+    held = spark.createDataFrame([("o", "u1", "0xa", 1, dt.datetime(2024, 1, 1)), ("o", "u1", None, 1, dt.datetime(2024, 1, 1))],
+                                 "owner STRING, order_uid STRING, tx_hash STRING, log_index BIGINT, ingested_at TIMESTAMP")
+    got = J.skip_known_fills(new, held, held.select("owner"), "2024-01-02 00:00:00")
+    assert sorted((r.order_uid, r.tx_hash, r.log_index) for r in got.collect() if r.tx_hash) == [("u1", "0xa", 2)]
+    assert got.count() == 2 and got.columns == new.columns
+    dealt = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "AS _u#" in line]
+    assert len(dealt) == 1  # of the held side only
+
+
+@pytest.mark.parametrize("name", ["fills_load", "fills_load_repair", "fills_load_backfill"])
+def test_fills_are_shown_without_their_other_columns(spark, tmp_path, name):
+    from quayside.registry import QUERIES
+
+    day = dt.datetime(2000, 2, 1)
+    spark.createDataFrame([(1, 7, "F", 10.0, day, "5-LOW"), (2, 7, "O", 20.0, day, "5-LOW"), (3, 8, "F", 30.0, day, "1-URGENT"), (None, 8, "F", 1.0, day, "5-LOW")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 1, 1, 1, 1.5, 0.1, "A", "F", day), (1, 1, 2, 1, 1.5, 0.1, "N", "F", day), (2, 1, 1, 3, 1.5, 0.1, "A", "O", day), (None, 1, 1, 3, 1.5, 0.1, "A", "O", day)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string, "
+                          "l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    shown = QUERIES[name](spark, str(tmp_path))
+    again = {"fills_load": {"0x2"}, "fills_load_repair": {"0x1", "0x2"}, "fills_load_backfill": {"0x1", "0x2", "0x3", ""}}[name]
+    rows = [("0x1", 1, "0x7"), ("0x2", 3, "0x7"), ("0x3", 0, "0x8"), ("", 0, "0x8")]
+    assert sorted(tuple(r)[:3] + (r.ingested_at.month == 8,) for r in shown.collect()) == sorted(
+        r + (r[0] in again or (name == "fills_load" and r[0] in ("0x3", "")),) for r in rows if r[0] or name != "fills_load_repair")
+    read, = (line for line in shown._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in line)
+    assert "fee_policies" not in read and "sell_token" not in read and "owner" in read
+
+
 def test_known_fills_read_the_months_of_the_window(spark, scratch):
     spec = TB.TableSpec(path=scratch("fills"), key=("order_uid",), month_of="ingested_at")
     rows = spark.range(400).select(F.col("id").cast("string").alias("order_uid"), F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp").alias("ingested_at"))
