@@ -580,10 +580,10 @@ def _fills_in_mode(spark, sf, mode):
     spec = TB.TableSpec(path=scratch_path(spark, "fills"), key=("order_uid", "tx_hash", "log_index"), version="ingested_at", month_of="ingested_at")
     held = P.fills_rows(pages).join(src(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
         F.concat(F.lit("0x"), F.col("o_orderkey").cast("string")).alias("order_uid")), "order_uid", "left_semi")
-    TB.upsert(held.withColumn("tx_hash", F.lower("tx_hash")).withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz")), spec)
+    TB.upsert(held.withColumn("tx_hash", F.lower("tx_hash")).withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz")), spec, rebalance=False)
     fetched = pages.withColumn("body", F.regexp_replace("body", "0xAB", "0xab"))
     LD.fills_load(spark, fetched, spec, None, T1, mode=mode, source=FR.onchain_fills(spark, sf))
-    return TB.read_latest(spark, spec).select("order_uid", "log_index", "owner", "ingested_at")
+    return TB.read_latest(spark, spec, columns=["order_uid", "log_index", "owner", "ingested_at"])
 
 
 _HELD_SQL = """trades AS (
