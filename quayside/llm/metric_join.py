@@ -23,7 +23,7 @@ from .shared import Scratch, components, prepare
 CELL_VECTORS = 4096   # vectors a pivot stands for
 MAX_PIVOTS = 512      # more vectors make larger cells of more blocks, not more pivots
 HOME_BLOCK = 4096     # vectors of one block, fewer where they are long
-MEMBER_BLOCK = 32768  # vectors of the blocks that one side of a task reads
+MEMBER_BLOCK = 32768  # vectors of the blocks that one side of a task reads, fewer where they are long
 BLOCK_BYTES = 1 << 21  # of the vectors of one block
 ARROW_PAIRS = 4       # pairs of blocks in one Arrow batch
 STRIP = 512           # home vectors compared at a time
@@ -230,8 +230,7 @@ def _join_cells(classes: DataFrame, threshold: float, scratch: Scratch) -> tuple
         pack, "block long, cell long, near array<long>, cids binary, copies binary, x binary"), row_group=16 << 20)
     scratch.drop(homes)
     prepare(spark, ARROW_PAIRS)
-    total = sum(n for _, n in cells.values())
-    parts = max(-(-total // MEMBER_BLOCK), min(n_blocks, math.isqrt(2 * spark.sparkContext.defaultParallelism) + 1), 1)
+    parts = max(-(-n_blocks // max(1, MEMBER_BLOCK // HOME_BLOCK)), min(n_blocks, math.isqrt(2 * spark.sparkContext.defaultParallelism) + 1), 1)
     dealt = packed.repartition(parts)
     other = dealt.toDF(*[c + "2" for c in packed.columns]).hint("shuffle_replicate_nl")
     # Each two blocks once, from either side in turn, so that no task has all pairs of its two sides and another none.
